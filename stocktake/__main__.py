@@ -40,6 +40,7 @@ def _arguments(argv):
     for name in AUDITS:
         audit = commands.add_parser(name)
         audit.add_argument("--config", required=True)
+        audit.add_argument("--sites", help="sites.tsv; every collection's site must be in it")
         audit.add_argument("--skip-site", help="leave out collections of this site")
         audit.add_argument("names", nargs="*", metavar="COLLECTION")
     copy = commands.add_parser("copies")
@@ -82,6 +83,8 @@ def _archive(spark, args) -> audits.Archive:
         archive.artifact = table("artifact", m.ARTIFACT)
     if args.command in AUDITS:
         archive.collections = tables.read_config(spark, "collections", f"{args.config}/collections.tsv")
+        if args.sites:
+            archive.sites = tables.read_config(spark, "sites", args.sites)
     if args.command in ("reconcile", "duplicates"):
         archive.mappings = tables.read_config(spark, "mappings", f"{args.config}/mappings.tsv")
     if args.command == "reconcile":

@@ -28,6 +28,7 @@ class Archive:
     inventory: DataFrame | None = None
     mappings: DataFrame | None = None
     collections: DataFrame | None = None
+    sites: DataFrame | None = None
 
 
 @contextmanager
@@ -41,7 +42,10 @@ def kept(df: DataFrame):
 
 
 def _selected(archive: Archive, requested: DataFrame | None, **rules) -> DataFrame:
-    return config.select_collections(archive.collections, requested, **rules).select("collection")
+    selected = config.select_collections(archive.collections, requested, **rules)
+    if archive.sites is not None:
+        selected = config.require_site(selected, archive.sites)
+    return selected.select("collection")
 
 
 def _only(observation: DataFrame, selected: DataFrame) -> DataFrame:

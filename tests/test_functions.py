@@ -1,0 +1,87 @@
+from pyspark.sql import functions as F
+
+from conftest import rows
+from stocktake.functions.dedupe import dedupe_first, newest_first
+from stocktake.functions.numbers import hours_minutes_seconds, percent, tebibytes
+from stocktake.functions.prefixes import match_namespaces, path_prefixes, under
+from stocktake.functions.skew import attach_group_values, lookup_join
+
+LISTING = "uri string, content_checksum string, content_length long, content_type string, last_modified string"
+
+
+def test_dedupe_keeps_the_newest_under_a_total_order(frame):
+    df = frame([
+        ("a", "c1", 1, "t", "2024-01-01"), ("a", "c2", 2, "t", "2024-01-02"), ("a", "c9", 2, "t", None),
+        ("b", "c2", 1, "t", None), ("b", "c1", 1, "t", None), ("b", None, 1, "t", None),
+    ], LISTING)
+    kept = dedupe_first(df, ["uri"], newest_first())
+    assert rows(kept, "uri", "content_checksum") == [("a", "c2"), ("b", None)]
+
+
+def test_namespace_is_literal(frame):
+    df = frame([("a_b/1",), ("aXb/1",), ("ab/1",), ("a_b",), ("a_bc/1",)], "uri string")
+    assert rows(df.where(under("uri", "a_b"))) == [("a_b/1",)]
+    found = match_namespaces(df, frame([("a_b",), ("a%",), ("a",)], "namespace string"))
+    assert rows(found, "namespace", "uri") == [("a_b", "a_b/1")]
+
+
+def test_overlapping_and_deep_namespaces_match_once_each(frame):
+    df = frame([("a/b/c/1",), ("a/2",), ("a/b",), ("/x",), ("a//y",), ("plain",), (None,)], "uri string")
+    spaces = frame([("a",), ("a/b",), ("a/b/c",), ("a/b/c/1",), ("",), ("a/",)], "namespace string")
+    expected = [
+        ("", "/x"), ("a", "a//y"), ("a", "a/2"), ("a", "a/b"), ("a", "a/b/c/1"), ("a/", "a//y"),
+        ("a/b", "a/b/c/1"), ("a/b/c", "a/b/c/1"),
+    ]
+    assert rows(match_namespaces(df, spaces), "namespace", "uri") == expected
+    by_depth = match_namespaces(df, spaces, depths=[1, 2, 3])
+    assert rows(by_depth, "namespace", "uri") == expected
+    assert rows(match_namespaces(df, spaces, depths=[1]), "namespace", "uri") == [
+        r for r in expected if r[0] in ("", "a")
+    ]
+
+
+def test_prefix_join_equals_startswith(spark, frame):
+    import random
+
+    rng = random.Random(5)
+    path = lambda: "/".join(rng.choice("ab_%") * rng.randint(0, 2) for _ in range(rng.randint(1, 5)))
+    uris = sorted({path() for _ in range(300)})
+    spaces = sorted({path() for _ in range(60)})
+    df, ns = frame([(u,) for u in uris], "uri string"), frame([(n,) for n in spaces], "namespace string")
+    expected = sorted((n, u) for u in uris for n in spaces if u.startswith(n + "/"))
+    assert sorted(rows(match_namespaces(df, ns), "namespace", "uri")) == expected
+
+
+def test_lookup_join_is_the_same_beyond_the_broadcast_limit(frame):
+    left = frame([("a", i) for i in range(50)] + [("b", 1), ("z", 1)], "k string, v int")
+    table = frame([("a", "x"), ("a", "y"), ("b", "x"), ("c", "x")], "k string, w string")
+    for how in ("inner", "left"):
+        small = rows(lookup_join(left, table, ["k"], how), "k", "v", "w")
+        assert small == rows(left.join(table, "k", how), "k", "v", "w")
+        assert small == rows(lookup_join(left, table, ["k"], how, broadcast_rows=1), "k", "v", "w")
+
+
+def test_attach_group_values_equals_a_join_whatever_is_broadcast(frame):
+    data = [("hot", None, i) for i in range(100)] + [("a", "x", 1), ("a", None, 2), (None, None, 3)]
+    df = frame(data, "k string, j string, v int")
+    groups = df.groupBy("k", "j").agg(F.count("*").alias("n"), F.max("v").alias("top"))
+    tops = {}
+    for k, j, v in data:
+        tops[k, j] = max(tops.get((k, j), 0), v)
+    expected = sorted(((k, j, v, tops[k, j]) for k, j, v in data), key=str)
+    for largest in (1, 2, 1000):
+        got = attach_group_values(df, groups, ["k", "j"], "n", largest)
+        assert sorted(rows(got, "k", "j", "v", "top"), key=str) == expected
+
+
+def test_numbers(frame):
+    df = frame([(1, 8, 3661.9), (1, 0, 360000.0), (0, 3, 0.2)], "part long, whole long, seconds double")
+    assert rows(df, percent("part", "whole"), hours_minutes_seconds("seconds")) == [
+        (None, "100:00:00"), (0.0, "00:00:00"), (12.5, "01:01:01"),
+    ]
+    assert rows(df.select(tebibytes(F.lit(2**40)))) == [(1.0,)] * 3
+
+
+def test_path_prefixes_of_odd_values(frame):
+    df = frame([("a",), ("a/b/c",), (None,)], "uri string").select(path_prefixes("uri").alias("p"))
+    assert sorted([r.p for r in df.collect()], key=str) == [["a", "a/b"], [], []]

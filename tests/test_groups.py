@@ -1,0 +1,65 @@
+import random
+
+import pytest
+
+from conftest import rows
+from stocktake.operators import groups
+
+MAPPING = "collection string, si_namespace string"
+
+
+def _sets(members):
+    out = {}
+    for g, kind, member in rows(members, "group_id", "member_type", "member"):
+        out.setdefault(g, {}).setdefault(kind, set()).add(member)
+    return {g: (sorted(v["collection"]), sorted(v["namespace"])) for g, v in out.items()}
+
+
+def test_chain_isolated_and_odd_names(frame):
+    mappings = frame([
+        ("c1", "n1"), ("c2", "n1"), ("c2", "n2"), ("c3", "n2"), ("alone", "n9"), ("with_line", "x_y"),
+        ("c1", "n1"), ("same", "same"), (None, "n1"), ("nothing", None),
+    ], MAPPING)
+    assert _sets(groups.audit_groups(mappings)) == {
+        "c1": (["c1", "c2", "c3"], ["n1", "n2"]), "alone": (["alone"], ["n9"]),
+        "with_line": (["with_line"], ["x_y"]), "same": (["same"], ["same"]),
+    }
+
+
+def _components(edges):
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return sorted((x, find(x)) for x in parent)
+
+
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_components_of_random_and_extreme_graphs(frame, broadcast_rows):
+    rng = random.Random(3)
+    name = lambda i: f"v{i:03d}"
+    edges = [(name(rng.randint(0, 120)), name(rng.randint(0, 120))) for _ in range(70)]
+    edges += [(name(200 + i), name(201 + i)) for i in range(40)]       # a long chain
+    edges += [(name(399), name(300 + i)) for i in range(60)]           # a hub with the greatest name
+    edges += [("self", "self")]
+    got = groups.connected_components(frame(edges, "a string, b string"), broadcast_rows)
+    assert rows(got, "node", "component") == _components(edges)
+
+
+def test_groups_with_requested_collections(frame):
+    members = groups.audit_groups(frame([("a", "n1"), ("b", "n1"), ("c", "n2")], MAPPING))
+    got = groups.groups_with(members, frame([("b",), ("b",)], "collection string"))
+    assert _sets(got) == {"a": (["a", "b"], ["n1"])}
+
+
+def test_namespaces_per_collection(frame):
+    mappings = frame([("a", "n2"), ("a", "n1"), ("a", "n2"), ("b", "n1")], MAPPING)
+    assert rows(groups.namespaces_per_collection(mappings)) == [("a", "n1"), ("a", "n2"), ("b", "n1")]
