@@ -1,0 +1,35 @@
+"""Every registered query against its SQL in DuckDB, on the smallest driver tables."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from workload.views import TABLES
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def db():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    return connection
+
+
+def _normal(rows, columns):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(repr(tuple(row[i] for i in order)) for row in rows)
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_query_equals_sql(spark, db, name):
+    df = entry.queries()[name](spark, SMALL)
+    result = db.execute(entry.oracle_sql()[name])
+    columns = [c[0] for c in result.description]
+    assert sorted(df.columns) == sorted(columns)
+    assert _normal(df.collect(), df.columns) == _normal(result.fetchall(), columns)
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() == 20
