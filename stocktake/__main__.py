@@ -6,7 +6,11 @@
     stocktake usage      --tables DIR --out DIR [--start FIELD] [--end FIELD]
     stocktake harvest    --tables DIR --site NAME=PATH ... --out DIR --collection NAME
                          --source TEXT --namespace NAME --asof TIME
-    stocktake uploads | compare | expected  on file listings
+    stocktake merge      --counts DIR --site NAME ... --out DIR
+    stocktake summary    --report DIR ... --out DIR
+    stocktake uploads    --listing FILE --owner NAME --out DIR
+    stocktake compare    --source DIR --target DIR --out DIR
+    stocktake expected   --source DIR --out DIR
 
 ``--tables`` holds one Parquet folder per table: observation, plane, artifact,
 inventory, harvest_skip. ``--config`` holds mappings.tsv, collections.tsv,
@@ -21,7 +25,7 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 
 from stocktake import model as m
-from stocktake.operators import manifests
+from stocktake.operators import copies, manifests, reports
 from stocktake.plans import audits
 from stocktake.plans.session import configure
 from stocktake.sources import sinks, tables
@@ -65,6 +69,11 @@ def _arguments(argv):
     compare.add_argument("--target", required=True)
     expected = commands.add_parser("expected")
     expected.add_argument("--source", required=True)
+    merge = commands.add_parser("merge")
+    merge.add_argument("--counts", required=True, help="CSV that the copies command wrote")
+    merge.add_argument("--site", action="append", required=True, metavar="NAME")
+    total = commands.add_parser("summary")
+    total.add_argument("--report", action="append", required=True, help="output folder of one audit")
     for command in commands.choices.values():
         command.add_argument("--out", required=True)
         command.add_argument("--format", default="tsv", choices=["tsv", "csv", "parquet", "orc", "json"])
@@ -101,7 +110,9 @@ def run(spark: SparkSession, argv=None) -> None:
     if getattr(args, "names", None):
         key = "namespace" if args.command == "copies" else "collection"
         requested = spark.createDataFrame([(n,) for n in args.names], f"{key} string")
-    places = dict(s.split("=", 1) for s in getattr(args, "site", None) or [])
+    places = {}
+    if args.command in ("copies", "harvest"):
+        places = dict(site.split("=", 1) for site in args.site)
     if args.command in ("profiles", "previews"):
         AUDITS[args.command](_archive(spark, args), args.out, requested, args.skip_site, args.format)
     elif args.command in AUDITS:
@@ -121,6 +132,14 @@ def run(spark: SparkSession, argv=None) -> None:
             args.namespace, args.asof,
         )
         audits.harvest_audit(figures, args.out, args.format)
+    elif args.command == "merge":
+        counts = tables.read_site_counts(spark, args.counts)
+        sinks.write_table(copies.merge_site_counts(counts, args.site), args.out, ["namespace"], args.format)
+    elif args.command == "summary":
+        found = reports.collect_summaries(
+            tables.read_summaries(spark, [f"{place}/summary" for place in args.report])
+        )
+        sinks.write_table(found, args.out, [found.columns[0]], args.format)
     elif args.command == "uploads":
         schema = m.StructType([f for f in m.MANIFEST if f.name in ("dir", "name", "modified", "owner")])
         listing = tables.read_table(spark, args.listing, schema, "csv")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -94,17 +95,19 @@ def not_listed(
 ) -> DataFrame:
     """Contribution directories whose name occurs nowhere in the table of contents.
 
-    Occurring means as part of any line. Every piece of a line that is as long
-    as some name becomes a join key, which keeps this an equi-join.
+    Occurring means as part of any line. Every piece of a line that starts with
+    one of the ``letters`` and is as long as some name becomes a join key, which
+    keeps this an equi-join.
     """
     names = directories.where(F.substring("name", 1, 1).isin(*letters)).select("name").distinct()
-    lengths = names.agg(F.collect_set(F.length("name")).alias("lengths")).scalar()
-    lines = contents.select("line").distinct().withColumn("size", F.explode(lengths))
-    lines = lines.where(F.length("line") >= F.col("size"))
-    pieces = lines.select(F.explode(F.transform(
-        F.sequence(F.lit(1), F.length("line") - F.col("size") + 1),
-        lambda start: F.substr("line", start, F.col("size")),
-    )).alias("name")).where(F.substring("name", 1, 1).isin(*letters)).distinct()
+    longest = names.agg(F.max(F.length("name"))).scalar()
+    lengths = names.agg(F.collect_set(F.length("name"))).scalar()
+    starts = "".join(re.escape(letter) for letter in letters)
+    # A lookahead also finds pieces that overlap.
+    window = F.concat(F.lit(f"(?s)(?=([{starts}].{{0,"), longest - 1, F.lit("}))"))
+    tails = contents.select(F.explode(F.regexp_extract_all("line", window, F.lit(1))).alias("tail"))
+    pieces = tails.select("tail", F.explode(lengths).alias("size")).where("length(tail) >= size")
+    pieces = pieces.select(F.expr("substring(tail, 1, size)").alias("name")).distinct()
     return names.join(pieces, "name", "left_anti")
 
 

@@ -23,6 +23,13 @@ def field_catalog(observation: DataFrame, plane: DataFrame) -> list[str]:
     )
 
 
+def field_names(columns: DataFrame, tables: Sequence[str] = (OBSERVATION, PLANE)) -> DataFrame:
+    """The same from a service's own (table_name, column_name) list; order by it when writing."""
+    return columns.where(F.col("table_name").isin(*tables)).select(
+        F.concat_ws(".", "table_name", "column_name").alias("field_name")
+    )
+
+
 def field_range(fields: Sequence[str], start: str | None = None, end: str | None = None) -> list[str]:
     """The fields from ``start`` to ``end`` inclusive; none if ``start`` is not a field."""
     if start is not None and start not in fields:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -127,11 +127,12 @@ def read_manifest(spark: SparkSession, path: str, checksum: bool = False) -> Dat
 
 
 def read_site_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Counts that earlier runs wrote, one folder for all namespaces and sites."""
-    return read_table(spark, path, m.SITE_COUNTS, "csv")
+    """Counts that earlier runs wrote, one folder for all namespaces and sites; durations are optional."""
+    counts = spark.read.options(header=True).csv(path)
+    wanted = [f for f in m.SITE_COUNTS if f.name != "duration" or "duration" in counts.columns]
+    return conform(counts, StructType(wanted))
 
 
-def read_summaries(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Summary rows of every report below ``path``."""
-    reader = spark.read.options(header=True, sep="\t", recursiveFileLookup=True)
-    return reader.schema(schema).csv(path)
+def read_summaries(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """The summary of every report, as text columns."""
+    return [spark.read.options(header=True, sep="\t").csv(path) for path in paths]

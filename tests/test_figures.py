@@ -64,6 +64,11 @@ def test_usage_reports(tables):
         ("A", "cam", "Plane.kind", 1), ("A", "spec", None, None), ("B", "cam", None, None)]
 
 
+def test_field_names(frame):
+    listed = frame([("Plane", "b"), ("Observation", "a"), ("Chunk", "c")], "table_name string, column_name string")
+    assert rows(usage.field_names(listed)) == [("Observation.a",), ("Plane.b",)]
+
+
 def test_field_ranges(tables):
     fields = usage.field_catalog(*tables)
     assert fields[0] == "Observation.collection" and fields[-1] == "Plane.plane_id"

@@ -124,6 +124,12 @@ def test_duplicate_command(spark, archive):
     assert rows(_tsv(spark, out / "summary"), "num_uris", "num_duplicate_uris") == [("4", "1")]
 
 
+def test_summary_command(spark, archive):
+    out = _run(spark, archive, "duplicates")
+    run(spark, ["summary", "--report", str(out), "--report", str(out), "--out", str(archive / "all")])
+    assert rows(_tsv(spark, archive / "all"), "collection", "num_uris") == [("A", "4")]
+
+
 def test_profile_and_preview_commands(spark, archive):
     out = _run(spark, archive, "profiles")
     assert rows(_tsv(spark, out / "summary"), "collection", "num_planes", "num_no_planes", "num_junk_planes") == [
@@ -138,6 +144,11 @@ def test_copies_command(spark, archive):
     site = str(archive / "tables" / "inventory")
     out = _run(spark, archive, "copies", "--site", f"x={site}", "--site", f"y={site}", "n")
     assert rows(_tsv(spark, out / "merged"), "namespace", "x_count", "y_count") == [("n", "3", "3")]
+    _run(spark, archive, "copies", "--site", f"x={site}", "--format", "csv", "--out", str(archive / "again"))
+    run(spark, ["merge", "--counts", str(archive / "again" / "counts"), "--site", "x", "--site", "z",
+                "--out", str(archive / "merged")])
+    assert rows(_tsv(spark, archive / "merged"), "namespace", "x_count", "z_count") == [
+        ("n", "3", None), ("q", "0", None)]
 
 
 def test_usage_command(spark, archive):

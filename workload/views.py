@@ -29,8 +29,8 @@ VIEWS = {
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
     "plane": """
         SELECT l_orderkey * 10 + l_linenumber AS plane_id, l_orderkey AS obs_id,
-               MIN(CASE WHEN l_linestatus = 'O' THEN 'image' WHEN l_linenumber = 7 THEN NULL
-                        ELSE 'spectrum' END) AS data_product_type,
+               CASE MIN(CASE WHEN l_linestatus = 'O' THEN 1 WHEN l_linenumber = 7 THEN NULL ELSE 2 END)
+                    WHEN 1 THEN 'image' WHEN 2 THEN 'spectrum' END AS data_product_type,
                CASE WHEN MAX(l_quantity) >= 49 THEN 'junk' WHEN MAX(l_quantity) < 25 THEN NULL
                     ELSE 'ok' END AS quality_flag,
                MAX(l_shipdate) AS max_last_modified
