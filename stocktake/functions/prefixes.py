@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stocktake.functions.skew import lookup_join
+from stocktake.functions.skew import BROADCAST_ROWS, lookup_join
 
 
 def under(uri, namespace: str) -> Column:
@@ -18,19 +18,27 @@ def under(uri, namespace: str) -> Column:
     return (F.col(uri) if isinstance(uri, str) else uri).startswith(namespace + "/")
 
 
+def _slashes(uri: Column) -> Column:
+    return F.length(uri) - F.length(F.translate(uri, "/", ""))
+
+
 def path_prefixes(uri, depths: Sequence[int] | None = None) -> Column:
     """Every leading path of ``uri`` that ends just before a slash.
 
-    ``depths`` limits them to prefixes of 1, 2, ... path elements, for callers
-    who know how deep their namespaces are.
+    ``depths`` limits them to prefixes of 1, 2, ... path elements. The
+    expression then stays inside generated code, without a lambda.
     """
     uri = F.col(uri) if isinstance(uri, str) else uri
-    slashes = F.length(uri) - F.length(F.translate(uri, "/", ""))
+    slashes = _slashes(uri)
     if depths is None:
-        wanted = F.when(slashes > 0, F.sequence(F.lit(1), slashes)).otherwise(F.array().cast("array<int>"))
-    else:
-        wanted = F.filter(F.array(*[F.lit(d) for d in depths]), lambda d: d <= slashes)
-    return F.transform(wanted, lambda d: F.call_function("substring_index", uri, F.lit("/"), d))
+        every = F.sequence(F.lit(1), slashes)
+        wanted = F.when(slashes > 0, every).otherwise(F.array().cast("array<int>"))
+        return F.transform(wanted, lambda d: F.call_function("substring_index", uri, F.lit("/"), d))
+    return F.array(*[F.when(slashes >= d, F.substring_index(uri, "/", d)) for d in depths])
+
+
+# With more distinct depths than this, all prefixes are formed instead of chosen ones.
+MOST_DEPTHS = 16
 
 
 def match_namespaces(
@@ -39,12 +47,23 @@ def match_namespaces(
     uri: str = "uri",
     namespace: str = "namespace",
     also_on: Sequence[str] = (),
-    depths: Sequence[int] | None = None,
 ) -> DataFrame:
     """Rows of ``df`` with the columns of every namespace they live under.
 
     An equi-join on the URI's own path prefixes instead of a ``startswith``
-    nested loop; overlapping namespaces give one row per match.
+    nested loop; overlapping namespaces give one row per match. The namespaces
+    are measured first: how many they are decides how they are joined, and how
+    deep they are decides which prefixes are formed.
     """
-    exploded = df.withColumn(namespace, F.explode(path_prefixes(uri, depths)))
-    return lookup_join(exploded, namespaces, [namespace, *also_on], spread_by=[uri])
+    name = F.col(namespace)
+    measured = namespaces.select(name).limit(BROADCAST_ROWS + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.collect_set(_slashes(name) + 1).alias("depths")
+    ).first()
+    whole = measured["rows"] <= BROADCAST_ROWS and len(measured["depths"]) <= MOST_DEPTHS
+    prefixes = path_prefixes(uri, sorted(measured["depths"]) if whole else None)
+    if whole and not measured["depths"]:
+        prefixes = F.array().cast("array<string>")
+    candidates = df.withColumn(namespace, F.explode(prefixes)).where(name.isNotNull())
+    return lookup_join(
+        candidates, namespaces, [namespace, *also_on], spread_by=[uri], table_rows=measured["rows"]
+    )

@@ -63,15 +63,19 @@ def lookup_join(
     how: str = "inner",
     spread_by: Sequence[str] = (),
     broadcast_rows: int = BROADCAST_ROWS,
+    table_rows: int | None = None,
 ) -> DataFrame:
     """Join many ``rows`` with a configuration table whose keys may each match a large share of them.
 
-    The table is measured first. If it is small it is broadcast. Otherwise every
+    The table is measured first, unless the caller already did and gives
+    ``table_rows``. If it is small it is broadcast. Otherwise every
     key is spread over ``SPREAD`` parts by a hash of ``spread_by`` (all of the
     row by default), so that one key's rows land in many tasks.
     """
     on = list(on)
-    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if table_rows is None:
+        table_rows = table.limit(broadcast_rows + 1).count()
+    if table_rows <= broadcast_rows:
         return rows.join(F.broadcast(table), on, how)
     part = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(SPREAD)).cast("int")
     spread_rows = rows.withColumn("_part", part)

@@ -14,11 +14,10 @@ def site_counts(
     namespaces: DataFrame,
     sites: Sequence[str],
     datestamp: str | None = None,
-    depths: Sequence[int] | None = None,
 ) -> DataFrame:
     """(datestamp, namespace, site, count) for all namespaces and sites, 0 where nothing is held."""
     known = namespaces.select("namespace").distinct()
-    files = match_namespaces(inventory.select("site", "uri"), known, depths=depths)
+    files = match_namespaces(inventory.select("site", "uri"), known)
     held = files.groupBy("namespace").agg(
         *[F.count_if(F.col("site") == s).alias(f"_at_{i}") for i, s in enumerate(sites)]
     )

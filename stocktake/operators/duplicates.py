@@ -20,12 +20,10 @@ def product_type_flags(
     return artifact.select(*keep, *type_flags(vocabulary=vocabulary))
 
 
-def artifacts_of_collections(
-    described: DataFrame, mappings: DataFrame, depths: Sequence[int] | None = None
-) -> DataFrame:
+def artifacts_of_collections(described: DataFrame, mappings: DataFrame) -> DataFrame:
     """Artifacts under one of their own collection's namespaces, one row per match."""
     namespaces = mappings.select("collection", F.col("si_namespace").alias("namespace")).distinct()
-    return match_namespaces(described, namespaces, also_on=["collection"], depths=depths)
+    return match_namespaces(described, namespaces, also_on=["collection"])
 
 
 def uri_type_counts(

@@ -72,7 +72,7 @@ def type_profile(planes: DataFrame, vocabulary: Sequence[str] = PRODUCT_TYPES) -
     flags = [flag_name(t) for t in vocabulary]
     combinations = planes.groupBy(*PROFILE, *flags).agg(F.count(F.lit(1)).alias("num_planes"))
     return combinations.select(
-        F.lit("TYPES").alias("category"), *PROFILE, "num_planes", *flags
+        F.lit("TYPE").alias("category"), *PROFILE, "num_planes", *flags
     )
 
 

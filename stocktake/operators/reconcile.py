@@ -42,9 +42,7 @@ def inventory_listing(inventory: DataFrame, namespace: str) -> DataFrame:
     return dedupe_first(held, ["uri"], newest_first())
 
 
-def catalog_listing_for_groups(
-    described: DataFrame, members: DataFrame, depths: Sequence[int] | None = None
-) -> DataFrame:
+def catalog_listing_for_groups(described: DataFrame, members: DataFrame) -> DataFrame:
     """Catalog files of every audit group at once: its collections x its namespaces.
 
     ``members`` is the output of ``groups.audit_groups``. Copies are dropped
@@ -58,19 +56,17 @@ def catalog_listing_for_groups(
         "group_id", F.col("member").alias("namespace")
     )
     files = lookup_join(described.select("collection", *FILE), collections, ["collection"], spread_by=["uri"])
-    files = match_namespaces(files, namespaces, also_on=["group_id"], depths=depths)
+    files = match_namespaces(files, namespaces, also_on=["group_id"])
     files = files.select("group_id", "collection", "namespace", *FILE)
     return dedupe_first(files, ["group_id", "collection", "namespace", "uri"], newest_first())
 
 
-def inventory_listing_for_groups(
-    inventory: DataFrame, members: DataFrame, depths: Sequence[int] | None = None
-) -> DataFrame:
+def inventory_listing_for_groups(inventory: DataFrame, members: DataFrame) -> DataFrame:
     """Stored files of every audit group at once."""
     namespaces = members.where("member_type = 'namespace'").select(
         "group_id", F.col("member").alias("namespace")
     )
-    files = match_namespaces(inventory.select(*FILE), namespaces, depths=depths)
+    files = match_namespaces(inventory.select(*FILE), namespaces)
     files = files.select("group_id", "namespace", *FILE)
     return dedupe_first(files, ["group_id", "namespace", "uri"], newest_first())
 

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from conftest import rows
+from stocktake.functions import prefixes
 from stocktake.functions.dedupe import dedupe_first, newest_first
 from stocktake.functions.numbers import hours_minutes_seconds, percent, tebibytes
 from stocktake.functions.prefixes import match_namespaces, path_prefixes, under
@@ -25,7 +26,7 @@ def test_namespace_is_literal(frame):
     assert rows(found, "namespace", "uri") == [("a_b", "a_b/1")]
 
 
-def test_overlapping_and_deep_namespaces_match_once_each(frame):
+def test_overlapping_and_deep_namespaces_match_once_each(frame, monkeypatch):
     df = frame([("a/b/c/1",), ("a/2",), ("a/b",), ("/x",), ("a//y",), ("plain",), (None,)], "uri string")
     spaces = frame([("a",), ("a/b",), ("a/b/c",), ("a/b/c/1",), ("",), ("a/",)], "namespace string")
     expected = [
@@ -33,11 +34,9 @@ def test_overlapping_and_deep_namespaces_match_once_each(frame):
         ("a/b", "a/b/c/1"), ("a/b/c", "a/b/c/1"),
     ]
     assert rows(match_namespaces(df, spaces), "namespace", "uri") == expected
-    by_depth = match_namespaces(df, spaces, depths=[1, 2, 3])
-    assert rows(by_depth, "namespace", "uri") == expected
-    assert rows(match_namespaces(df, spaces, depths=[1]), "namespace", "uri") == [
-        r for r in expected if r[0] in ("", "a")
-    ]
+    monkeypatch.setattr(prefixes, "MOST_DEPTHS", 1)
+    assert rows(match_namespaces(df, spaces), "namespace", "uri") == expected
+    assert rows(match_namespaces(df, spaces.where("false")), "namespace", "uri") == []
 
 
 def test_prefix_join_equals_startswith(spark, frame):
@@ -85,3 +84,5 @@ def test_numbers(frame):
 def test_path_prefixes_of_odd_values(frame):
     df = frame([("a",), ("a/b/c",), (None,)], "uri string").select(path_prefixes("uri").alias("p"))
     assert sorted([r.p for r in df.collect()], key=str) == [["a", "a/b"], [], []]
+    chosen = frame([("a/b/c",), ("a",), (None,)], "uri string").select(path_prefixes("uri", [2]).alias("p"))
+    assert sorted([r.p for r in chosen.collect()], key=str) == [["a/b"], [None], [None]]

@@ -29,6 +29,9 @@ def test_query_equals_sql(spark, db, name):
     columns = [c[0] for c in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert _normal(df.collect(), df.columns) == _normal(result.fetchall(), columns)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for word in ("Python", "Pandas", "Arrow", "NestedLoop", "Cartesian"):
+        assert word not in plan
 
 
 def test_entry(spark):

@@ -81,7 +81,7 @@ def test_profile_and_summary(archive):
 def test_profile_order_puts_nulls_first_both_ways(frame):
     df = frame([("c", "i", "a"), ("c", "i", None), ("c", "i", "b"), ("c", None, "a")],
                "collection string, instrument_name string, intent string")
-    df = df.withColumns({"category": F.lit("TYPES"), "data_product_type": F.lit("x"),
+    df = df.withColumns({"category": F.lit("TYPE"), "data_product_type": F.lit("x"),
                          **{flag_name(t): F.lit(None).cast("int") for t in PRODUCT_TYPES}})
     got = [(r.instrument_name, r.intent) for r in df.orderBy(*profiles.profile_order()).collect()]
     assert got == [(None, "a"), ("i", None), ("i", "b"), ("i", "a")]

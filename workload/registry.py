@@ -333,7 +333,7 @@ def _(v):
     return _plane_types(v)
 
 
-@register("type_profile", f"""WITH {PLANE_TYPES} SELECT 'TYPES' AS category, collection,
+@register("type_profile", f"""WITH {PLANE_TYPES} SELECT 'TYPE' AS category, collection,
     instrument_name, intent, data_product_type, COUNT(*) AS num_planes, {FLAG_NAMES} FROM planes
     GROUP BY collection, instrument_name, intent, data_product_type, {FLAG_NAMES}""")
 def _(v):
