@@ -38,7 +38,7 @@ def connected_components(edges: DataFrame, broadcast_rows: int = BROADCAST_ROWS)
         small = 2 * size <= broadcast_rows
         both = links.unionByName(links.select(F.col("to").alias("node"), F.col("node").alias("to")))
         large = _relink(both, "node", "to", small).where("to > node")
-        large = large.select(F.col("to").alias("node"), F.col("low").alias("to")).distinct()
+        large = large.select(F.col("to").alias("node"), F.col("low").alias("to"))
         near = _relink(large, "node", "to", small)
         near = near.select(F.col("to").alias("node"), F.col("low").alias("to")).unionByName(
             near.select("node", F.col("low").alias("to"))
