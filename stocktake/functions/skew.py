@@ -31,10 +31,12 @@ def attach_group_values(
     all rows. The two halves are exact complements.
     """
     values = [c for c in groups.columns if c not in keys and c != size]
-    # Ties are broken by the keys: both uses of ``head`` must see the same groups.
-    head = groups.orderBy(F.desc(size), *[F.col(k).asc_nulls_first() for k in keys]).limit(largest)
-    head = head.alias("head")
-    group = groups.alias("grp")
+    # Ties are broken by the keys: both uses of ``head`` must see the same groups. The values,
+    # and the condition on the size, add nothing but make all uses of ``groups`` need the same
+    # columns, so that Spark computes and shuffles the groups once.
+    head = groups.orderBy(F.desc(size), *[F.col(c).asc_nulls_first() for c in (*keys, *values)])
+    head = head.limit(largest).alias("head")
+    group = groups.where(F.col(size) > 0).alias("grp")
     row = rows.alias("row")
 
     def matches(name):

@@ -83,10 +83,12 @@ def manifest_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     )
     listed = pairs.where("in_source AND NOT archive").select("dir", "name", action.alias("action"))
     stale = pairs.where("in_source IS NULL").select("dir", "name", action.alias("action"))
-    known = pairs.groupBy("dir").agg(
-        F.count(F.lit(1)).alias("num_files"), F.max("in_source").alias("in_source")
+    directories = source.select("dir", F.lit(1).alias("in_source"), F.lit(0).alias("held"))
+    directories = directories.unionByName(target.select("dir", F.lit(0).alias("in_source"), F.lit(1).alias("held")))
+    known = directories.groupBy("dir").agg(
+        F.max("in_source").alias("in_source"), F.sum("held").alias("num_files")
     )
-    known = known.where("in_source").drop("in_source")
+    known = known.where("in_source = 1").drop("in_source")
     return listed.unionByName(attach_group_values(stale, known, ["dir"], "num_files"))
 
 

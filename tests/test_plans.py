@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stocktake.functions.dedupe import dedupe_first, newest_first
 from stocktake.functions.prefixes import match_namespaces
-from stocktake.operators import copies, manifests, previews, profiles, reconcile, usage
+from stocktake.operators import manifests, reconcile, usage
 from workload.registry import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -109,3 +109,14 @@ def test_previews_are_counted_without_a_join_back(spark, no_broadcast):
     both = plan(QUERIES["preview_classify"](spark, SMALL), run=True)
     # The planes are read three times, their tables only once.
     assert count(both, "FileScan") <= 6
+
+
+def test_groups_are_found_once(spark, tmp_path):
+    path = str(tmp_path / "uploads")
+    spark.range(6000).select(
+        (F.col("id") % 3000).cast("string").alias("dir"), F.col("id").cast("string").alias("name"),
+        F.col("id").alias("modified"),
+    ).write.parquet(path)
+    text = plan(manifests.newest_upload(spark.read.parquet(path)), run=True)
+    # One scan for the groups, one for each half of the rows.
+    assert count(text, "FileScan") == 3 and count(text, "ReusedExchange") >= 2
