@@ -93,9 +93,10 @@ def profile_summary(
 ) -> DataFrame:
     """All profile counts per collection.
 
-    Equal planes fold into their combination first, so distinct combinations are
-    counted without a wide distinct. Every join is inner or has unique keys: one
-    observation with very many planes can be split between tasks.
+    Planes alike within an observation fold to one row before they meet the
+    observations, and alike within a collection afterwards. So one observation
+    with very many planes stays small, and distinct combinations are counted
+    without a wide distinct.
     """
     flags = [flag_name(t) for t in vocabulary]
     owners = observation.select("obs_id", "collection", "instrument_name", "intent")
@@ -103,14 +104,18 @@ def profile_summary(
         artifact_types_by_plane(artifact, vocabulary), "plane_id", "left"
     )
     checked = F.col("num_artifacts").isNotNull() & non_junk()
-    combinations = planes.join(owners, "obs_id").withColumn("checked", checked).groupBy(
-        *PROFILE, *flags, "checked"
+    alike = planes.withColumn("checked", checked).groupBy(
+        "obs_id", "data_product_type", *flags, "checked"
     ).agg(
         F.count_if(F.col("num_artifacts").isNull()).alias("no_artifacts"),
         F.count_if(F.col("quality_flag") == JUNK).alias("junk"),
         F.count(F.lit(1)).alias("planes"),
         total(F.col("num_artifacts")).alias("artifacts"),
     )
+    sums = ("no_artifacts", "junk", "planes", "artifacts")
+    combinations = alike.join(owners, "obs_id").groupBy(*PROFILE, *flags, "checked").agg(
+        *[F.sum(c).alias(c) for c in sums]
+    )
     zero = F.lit(0).cast("long")
     per_collection = combinations.groupBy("collection").agg(
         F.sum("no_artifacts").alias("num_no_artifacts"),

@@ -103,8 +103,9 @@ def null_usage_plane(
 ) -> DataFrame:
     """Null counts of the Plane fields, one scan and one join for all of them.
 
-    Before the join each plane shrinks to one bit per field, so wide planes do
-    not travel through the shuffle.
+    Before the join each plane shrinks to one bit per field, and planes of one
+    observation with the same bits to one row with their number. Wide planes do
+    not travel through the shuffle, nor do all planes of a crowded observation.
     """
     columns = _columns_of(PLANE, fields)
     words = []
@@ -115,14 +116,19 @@ def null_usage_plane(
         ]
         words.append(reduce(Column.bitwiseOR, bits).alias(f"_word_{len(words)}"))
     owners = observation.where(usable_instrument()).select("obs_id", *by)
-    masks = plane.select("obs_id", *words).join(owners, "obs_id")
+    bits = plane.select("obs_id", *words)
+    masks = bits.groupBy(*bits.columns).agg(F.count(F.lit(1)).alias("_planes")).join(owners, "obs_id")
+    zero = F.lit(0).cast("long")
 
     def is_null(i):
         return F.col(f"_word_{i // _BITS}").bitwiseAND(F.lit(1 << (i % _BITS))) != 0
 
     counts = masks.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("num_instances"),
-        *[F.count_if(is_null(i)).alias(f"_null_{i}") for i in range(len(columns))],
+        F.sum("_planes").alias("num_instances"),
+        *[
+            F.sum(F.when(is_null(i), F.col("_planes")).otherwise(zero)).alias(f"_null_{i}")
+            for i in range(len(columns))
+        ],
     )
     return _finish(_long(counts, PLANE, columns, by), by) if columns else _no_usage(counts, by)
 
