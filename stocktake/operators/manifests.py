@@ -18,6 +18,11 @@ def is_bundle(name="name") -> Column:
     )
 
 
+def _matches(text: Column, patterns: Sequence[str]) -> Column:
+    """Any of the patterns occurs, tested in one go."""
+    return text.rlike("|".join(f"(?:{p})" for p in patterns)) if patterns else F.lit(False)
+
+
 def newest_upload(listing: DataFrame, name: str = "name") -> DataFrame:
     """Which uploads of each directory to take.
 
@@ -54,10 +59,14 @@ def listing_filter(
     A name is the last word of its line in the listing.
     """
     name = F.col("name")
-    unwanted = [F.col("owner") == owner, name.contains(F.concat("dir", F.lit(".pdf")))]
-    unwanted += [name.contains(part) for part in (*parts, *extra_names)]
-    unwanted += [F.lower(name).contains(part.lower()) for part in parts_any_case]
-    keep = ~F.coalesce(reduce(lambda a, b: a | b, unwanted), F.lit(False))
+    exact = [re.escape(part) for part in (*parts, *extra_names)]
+    loose = [f"(?i:{re.escape(part)})" for part in parts_any_case]
+    unwanted = (
+        (F.col("owner") == owner)
+        | name.contains(F.concat("dir", F.lit(".pdf")))
+        | _matches(name, [*exact, *loose])
+    )
+    keep = ~F.coalesce(unwanted, F.lit(False))
     return listing.where(keep).withColumn("name", F.element_at(F.split("name", " "), -1))
 
 
@@ -116,7 +125,7 @@ def not_listed(
 def unexpected_files(listing: DataFrame, expected: Sequence[str] = m.EXPECTED_KINDS) -> DataFrame:
     """Files of no expected kind."""
     path = F.concat_ws("/", "dir", "name")
-    return listing.where(~reduce(lambda a, b: a | b, (path.rlike(kind) for kind in expected)))
+    return listing.where(~_matches(path, expected))
 
 
 def unexpected_extensions(listing: DataFrame, expected: Sequence[str] = m.EXPECTED_KINDS) -> DataFrame:

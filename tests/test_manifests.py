@@ -63,6 +63,7 @@ def test_unexpected_files(frame):
     assert rows(manifests.unexpected_files(files), "name") == [
         ("a.doc",), ("b.PNG",), ("b.doc",), ("makedefs2",), ("noext",)]
     assert rows(manifests.unexpected_extensions(files)) == [("PNG",), ("doc",)]
+    assert manifests.unexpected_files(files, []).count() == 11
 
 
 def test_hot_directory_is_whole(frame, spark):
