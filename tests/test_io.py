@@ -1,6 +1,6 @@
 """Readers, writers and the command line, end to end on small files."""
 
-from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +65,20 @@ def test_checkpoint_folder_is_the_one_named(spark):
     assert spark.conf.get("spark.checkpoint.dir") in spark.sparkContext.getCheckpointDir()
 
 
+def test_checkpoint_folder_must_be_named_on_a_cluster():
+    def session(master, named):
+        used = []
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=used.append)
+        conf = SimpleNamespace(get=lambda key, default: named)
+        return SimpleNamespace(sparkContext=context, conf=conf), used
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session("spark://host:7077", None)[0])
+    cluster, used = session("yarn", "/shared/here")
+    ensure_checkpoint_dir(cluster)
+    assert used == ["/shared/here"]
+
+
 @pytest.fixture
 def archive(spark, frame, tmp_path):
     at = "2024-01-14 12:00:00"
