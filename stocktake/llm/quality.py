@@ -1,11 +1,11 @@
 """Quality by weak supervision: rules vote good or bad or abstain, expectation-maximisation weighs them.
 
 Features are counted inside each row by built-in functions. Rules turn them into votes. The votes of all documents shrink to
-counts of vote patterns, at most 3**rules of them, whatever the table's size; expectation-maximisation on these counts
-estimates how each rule votes on good and on bad documents, and Bayes' rule gives a document's probability to be good.
+counts of vote patterns, at most 2**rules of them, whatever the table's size; expectation-maximisation on these counts
+estimates how each rule votes on good documents and on each kind of bad ones, and Bayes' rule gives a document's probability to be good.
 
 Defined results: null and empty texts have no words and fail the base rule; rows are judged one by one, so repeated
-ones get equal results; a table without rows gives none; if all documents vote alike, the prior decides.
+ones get equal results; a table without rows gives none; without any fault in the table, all are good.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ from stocktake.llm.common import UPPER, let, staged, table, word_list
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 GOOD, ABSTAIN, BAD = 1, 0, -1
-#: Iterations at most, and the change of parameters at which they end.
+#: Iterations at most, and the change of a probability at which they end.
 ROUNDS, SETTLED = 40, 1e-5
-PRIOR = 0.85
+#: Belief in the class in which a document starts.
+SURE = 0.95
 
 
 def _removed(text: Column, characters: str) -> Column:
@@ -87,70 +88,86 @@ def base_failed() -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """Votes by name. Each is a judgement of its own and abstains between its limits."""
+    """Votes by name. Each rule speaks for one class only and otherwise abstains: the lack of a fault proves little."""
     words, chars, lines = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1)), F.greatest(F.col("n_lines"), F.lit(1))
+    length = chars / words
 
-    def vote(bad: Column, good: Column) -> Column:
-        return F.when(bad, F.lit(BAD)).when(good, F.lit(GOOD)).otherwise(F.lit(ABSTAIN))
+    def bad(case: Column) -> Column:
+        return F.when(case, F.lit(BAD)).otherwise(F.lit(ABSTAIN))
+
+    def good(case: Column) -> Column:
+        return F.when(case, F.lit(GOOD)).otherwise(F.lit(ABSTAIN))
 
-    length = chars / words
     return {
-        "symbols": vote(F.col("n_symbols") / words > 0.2, F.col("n_symbols") / words < 0.05),
-        "capitals": vote(F.col("n_upper") / chars > 0.3, F.col("n_upper") / chars < 0.1),
-        "shouting": vote(F.col("n_shouts") / words > 0.2, F.col("n_shouts") / words < 0.05),
-        "copied_lines": vote(F.col("n_dup_lines") / lines > 0.2, (F.col("n_dup_lines") == 0) & (F.col("n_lines") > 2)),
-        "copied_windows": vote(F.col("n_repeat_words") / words > 0.15, (F.col("n_repeat_words") == 0) & (F.col("n_words") > 40)),
-        "word_length": vote((length < 2.5) | (length > 10), length.between(3, 8)),
-        "sentences": vote(F.col("n_ended") / lines < 0.3, F.col("n_ended") / lines > 0.7),
-        "size": vote(F.col("n_words") < 20, F.col("n_words") > 60),
+        "symbols": bad(F.col("n_symbols") / words > 0.2),
+        "capitals": bad(F.col("n_upper") / chars > 0.3),
+        "shouting": bad(F.col("n_shouts") / words > 0.2),
+        "copied_lines": bad(F.col("n_dup_lines") / lines > 0.4),
+        "copied_windows": bad(F.col("n_repeat_words") * 100 > F.col("n_words") * 30),
+        "odd_words": bad((length < 2.5) | (length > 10)),
+        "sentences": good(F.col("n_ended") / lines >= 0.66),
+        "all_new": good((F.col("n_dup_lines") == 0) & (F.col("n_repeat_words") == 0)),
+        "size": good(F.col("n_words") > 60),
     }
 
 
 VOTES = (BAD, ABSTAIN, GOOD)
 
 
-def posterior(names: list[str], prior: float, evidence: dict[str, dict[int, float]]) -> Column:
-    """Probability of a good document: the prior's logit and the evidence of each vote, through the logistic function."""
-    logit = F.lit(math.log(prior / (1 - prior)))
-    for x in names:
-        logit = logit + F.element_at(F.array(*[F.lit(evidence[x][v]) for v in VOTES]), F.col(x) + 2)
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
+def posterior(names: list[str], prior: list[float], chances: list[dict[str, dict[int, float]]]) -> Column:
+    """Probability of the first class, the good one, by Bayes' rule. chances[class][rule][vote] = P(vote | class)."""
+    odds = F.lit(1.0)
+    for share, chance in zip(prior[1:], chances[1:], strict=True):
+        logit = F.lit(math.log(share / prior[0]))
+        for x in names:
+            logit = logit + F.element_at(F.array(*[F.lit(math.log(chance[x][v] / chances[0][x][v])) for v in VOTES]), F.col(x) + 2)
+        odds = odds + F.exp(logit)
+    return F.lit(1.0) / odds
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], names: list[str]) -> tuple[float, dict[str, dict[int, float]]]:
-    """Expectation-maximisation on counted vote patterns, at most 3**rules of them; a majority of votes starts it.
+def fit(patterns: list[tuple[tuple[int, ...], int]], names: list[str]) -> tuple[list[float], list[dict[str, dict[int, float]]]]:
+    """Expectation-maximisation on counted vote patterns, at most 2**rules of them.
 
-    Returns the share of good documents and, by rule and vote, log P(vote | good) / P(vote | bad).
+    Bad documents are bad in different ways, so they are one class for each rule that finds faults; with a single bad class the
+    faults that come together would define it and push the others over to the good ones. A document starts in the
+    class of its first fault. Returns the share of each class and its chances of each vote; the good class is first.
     """
-    belief = [0.95 if sum(votes) > 0 else 0.05 if sum(votes) < 0 else 0.5 for votes, _ in patterns]
-    prior, evidence = PRIOR, {x: dict.fromkeys(VOTES, 0.0) for x in names}
-    for _ in range(ROUNDS if patterns else 0):
-        every = sum(n for _, n in patterns)
-        good = sum(n * p for (_, n), p in zip(patterns, belief, strict=True))
-        prior = (good + 1) / (every + 2)
-        for k, x in enumerate(names):
-            for v in VOTES:
-                with_vote = [(n, p) for (votes, n), p in zip(patterns, belief, strict=True) if votes[k] == v]
-                if_good = (sum(n * p for n, p in with_vote) + 1) / (good + 3)
-                if_bad = (sum(n * (1 - p) for n, p in with_vote) + 1) / (every - good + 3)
-                evidence[x][v] = math.log(if_good / if_bad)
-        logits = [math.log(prior / (1 - prior)) + sum(evidence[x][v] for x, v in zip(names, votes, strict=True)) for votes, _ in patterns]
-        now = [1 / (1 + math.exp(-max(-700.0, min(700.0, z)))) for z in logits]
-        moved = max(abs(a - b) for a, b in zip(now, belief, strict=True))
+    faults = sorted({k for votes, _ in patterns for k, v in enumerate(votes) if v == BAD})
+    classes = [None, *faults]
+    belief = []
+    for votes, _ in patterns:
+        own = next((k for k in faults if votes[k] == BAD), None)
+        belief.append([SURE if c == own else (1 - SURE) / max(1, len(faults)) for c in classes])
+    prior = [1.0] + [1e-9] * len(faults)
+    chances = [{x: dict.fromkeys(VOTES, 1 / 3) for x in names} for _ in classes]
+    for _ in range(ROUNDS if faults else 0):
+        weight = [sum(n * p[c] for (_, n), p in zip(patterns, belief, strict=True)) for c in range(len(classes))]
+        prior = [(w + 1) / (sum(weight) + len(classes)) for w in weight]
+        for c in range(len(classes)):
+            for k, x in enumerate(names):
+                for v in VOTES:
+                    seen = sum(n * p[c] for (votes, n), p in zip(patterns, belief, strict=True) if votes[k] == v)
+                    chances[c][x][v] = (seen + 0.1) / (weight[c] + 0.3)
+        moved, now = 0.0, []
+        for (votes, _), old in zip(patterns, belief, strict=True):
+            logs = [math.log(prior[c]) + sum(math.log(chances[c][x][v]) for x, v in zip(names, votes, strict=True)) for c in range(len(classes))]
+            parts = [math.exp(z - max(logs)) for z in logs]
+            now.append([z / sum(parts) for z in parts])
+            moved = max(moved, abs(now[-1][0] - old[0]))
         belief = now
         if moved < SETTLED:
             break
-    return prior, evidence
+    return prior, chances
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """Counts, base verdict, votes, quality (probability) and kept for each document."""
     names = list(rules())
     voted = staged(features(docs).withColumns(rules()), "quality")
-    # At most 3**rules rows, however many documents.
+    # At most 2**rules rows, however many documents.
     counted = voted.groupBy(*names).agg(F.count("*").alias("n")).orderBy(*names).collect()
-    prior, evidence = fit([(tuple(r[x] for x in names), r["n"]) for r in counted], names)
-    scored = voted.withColumn("quality", posterior(names, prior, evidence)).withColumn("base_failed", base_failed())
+    prior, chances = fit([(tuple(r[x] for x in names), r["n"]) for r in counted], names)
+    scored = voted.withColumn("quality", posterior(names, prior, chances)).withColumn("base_failed", base_failed())
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5))
 
 
