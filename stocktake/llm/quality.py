@@ -63,6 +63,12 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) <= WINDOW, 0).otherwise(let(hashes, measured)).cast("long")
 
 
+def stutters(words: Column) -> Column:
+    """Words equal to the word before them."""
+    same = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: a.eqNullSafe(b))
+    return F.size(F.filter(same, lambda x: x))
+
+
 def features(docs: DataFrame) -> DataFrame:
     """doc_id and the counts that the rules use."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -71,7 +77,7 @@ def features(docs: DataFrame) -> DataFrame:
         F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup"),
         F.size(F.filter(x, lambda y: y.rlike(r"[.?][\x20\x09-\x0D]*$"))).alias("ended"),
     ))
-    of_words = let(word_list(F.col("text")), lambda x: F.struct(F.size(x).alias("n"), repeated_words(x).alias("repeat")))
+    of_words = let(word_list(F.col("text")), lambda x: F.struct(F.size(x).alias("n"), repeated_words(x).alias("repeat"), stutters(x).alias("stutters")))
     counted = docs.select(
         "doc_id", of_lines.alias("l"), of_words.alias("w"),
         F.length(text).alias("chars"), _removed(text, " \t\n\x0b\x0c\r").alias("spaces"), _removed(text, SYMBOLS).alias("symbols"), _removed(text, UPPER).alias("upper"), _removed(text, "!").alias("shouts"),
@@ -79,7 +85,7 @@ def features(docs: DataFrame) -> DataFrame:
     return counted.select(
         "doc_id", F.col("w.n").cast("long").alias("n_words"), (F.col("chars") - F.col("spaces")).cast("long").alias("word_chars"),
         F.col("symbols").cast("long").alias("n_symbols"), F.col("l.dup").cast("long").alias("n_dup_lines"), F.col("w.repeat").alias("n_repeat_words"),
-        F.col("l.n_lines").alias("n_lines"), F.col("l.ended").alias("n_ended"), F.col("upper").alias("n_upper"), F.col("shouts").alias("n_shouts"),
+        F.col("l.n_lines").alias("n_lines"), F.col("l.ended").alias("n_ended"), F.col("upper").alias("n_upper"), F.col("shouts").alias("n_shouts"), F.col("w.stutters").alias("n_stutters"),
     )
 
 
@@ -104,6 +110,7 @@ def rules() -> dict[str, Column]:
         "shouting": bad(F.col("n_shouts") / words > 0.2),
         "copied_lines": bad(F.col("n_dup_lines") / lines > 0.4),
         "copied_windows": bad(F.col("n_repeat_words") * 100 > F.col("n_words") * 30),
+        "stutter": bad(F.col("n_stutters") / words > 0.3),
         "odd_words": bad((length < 2.5) | (length > 10)),
         "sentences": good(F.col("n_ended") / lines >= 0.66),
         "all_new": good((F.col("n_dup_lines") == 0) & (F.col("n_repeat_words") == 0)),
