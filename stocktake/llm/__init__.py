@@ -1 +1,8 @@
 """Operators of a training-data pipeline. Nothing outside this subpackage imports it."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions travel to the executors by value: their Python needs no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

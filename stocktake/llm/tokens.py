@@ -76,3 +76,30 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray, first: int, last: int, w
     values *= PLACE[(index - begin_of) & 4095]
     hashes = mixed(np.add.reduceat(values, starts))
     return hashes, np.searchsorted(starts, offsets[first : last + 1] - base)
+
+
+def hashed_grams(data: np.ndarray, offsets: np.ndarray, first: int, last: int, size: int, word_bytes: np.ndarray = LETTERS, case: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of `size` bytes inside words, the break before a word being its first byte; places as in hashed_words."""
+    base, end = int(offsets[first]), int(offsets[last])
+    raw = data[base:end]
+    n = len(raw)
+    bounds = offsets[first : last + 1] - base
+    if n < size - 1:
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+    inside = word_bytes[raw]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    rows = bounds[:-1][bounds[:-1] < n]
+    begins[rows] |= inside[rows]
+    codes = BYTE[case][raw]
+    m = n - size + 2  # a run ends size - 1 bytes after its second byte
+    able, total = inside[:m].copy(), np.zeros(m, np.uint64)
+    for k in range(size - 1):
+        total += codes[k : k + m] * PLACE[k + 1]
+        if k:
+            able &= inside[k : k + m] & ~begins[k : k + m]
+    before = np.empty(m, np.uint64)
+    before[0], before[1:] = 0, codes[: m - 1]
+    total += np.where(begins[:m], np.uint64(0), before) * PLACE[0]
+    at = np.flatnonzero(able)
+    return mixed(total[at]), np.searchsorted(at, bounds)

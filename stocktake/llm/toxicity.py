@@ -1,6 +1,6 @@
 """Toxicity by a counterfactually regularised classifier.
 
-A logistic model on hashed words is fitted on a bounded sample of labelled texts. For every sampled text that mentions
+A logistic model on hashed words and word parts is fitted on a bounded sample of labelled texts. For every sampled text that mentions
 an identity group, copies with the group's word swapped for other groups' and for a neutral word are made, and the
 squared differences of their scores are added to the loss: a mere mention of a group must not move the score.
 
@@ -18,15 +18,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktake.llm.common import table
-from stocktake.llm.tokens import LETTERS, chunks, hashed_words, text_bytes
+from stocktake.llm.tokens import LETTERS, chunks, hashed_grams, hashed_words, text_bytes
 
 #: Labelled texts that the model is fitted on, at most: those with the smallest hashes of their ids.
 SAMPLE = 8000
 BITS = 20
+#: Bytes of a word part; compounds share parts, not whole words.
+PART = 5
 FOLDS = 5
 #: A word enters the model if its count among toxic texts is this many standard deviations from what its count among all would give.
 NOTABLE, LEAST_TEXTS = 4.0, 4
-RIDGE, FAIR, STEPS, RATE = 0.5, 20.0, 400, 0.1
+RIDGE, FAIR, STEPS, RATE = 0.1, 20.0, 400, 0.1
 IDENTITY = (
     "women men woman man girls boys muslims muslim christians christian jews jewish hindus hindu buddhists atheists black white asian asians "
     "african africans latino latinos arab arabs immigrants immigrant refugees foreigners gay gays lesbian lesbians straight bisexual transgender "
@@ -35,16 +37,16 @@ IDENTITY = (
 NEUTRAL = "people"
 
 
-def word_ids(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, ids of its chunk's words, places of the rows) for each chunk."""
+def feature_ids(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
+    """(first row, [(ids, places of the rows)] of words and of word parts) for each chunk."""
     for first, last in chunks(offsets):
-        hashes, rows = hashed_words(data, offsets, first, last, LETTERS)
-        yield first, (hashes >> np.uint64(64 - BITS)).astype(np.int32), rows
+        found = [hashed_words(data, offsets, first, last, LETTERS), hashed_grams(data, offsets, first, last, PART)]
+        yield first, [((hashes >> np.uint64(64 - BITS)).astype(np.int32), rows) for hashes, rows in found]
 
 
 def ids_of(words: list[str]) -> np.ndarray:
     data, offsets = text_bytes(pa.array([" ".join(words)]))
-    return next(word_ids(data, offsets))[1] if words else np.zeros(0, np.int32)
+    return next(feature_ids(data, offsets))[1][0][0] if words else np.zeros(0, np.int32)
 
 
 def train_fold(doc_id: Column) -> Column:
@@ -59,7 +61,9 @@ def sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> list[tupl
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            out = [np.unique(ids[a:b]).tobytes() for _, ids, rows in word_ids(data, offsets) for a, b in zip(rows[:-1], rows[1:], strict=True)]
+            out = []
+            for _, ((words, at), (parts, of)) in feature_ids(data, offsets):
+                out += [np.unique(np.concatenate([words[at[k] : at[k + 1]], parts[of[k] : of[k + 1]]])).tobytes() for k in range(len(at) - 1)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_toxic"), pa.array(out, pa.binary())], ["doc_id", "toxic", "ids"])
 
     # The sample has a documented bound, so it is broadcast and the texts stay where they are.
@@ -76,9 +80,10 @@ def fit(texts: list[tuple[int, np.ndarray]], identity: list[str] = IDENTITY, fai
         return weights, -50.0
     if y.min() == y.max():
         return weights, float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
-    rows = np.repeat(np.arange(len(texts)), [len(t[1]) for t in texts])
-    ids = np.concatenate([t[1] for t in texts])
-    texts_with, toxic_with = np.bincount(ids, minlength=1 << BITS), np.bincount(ids, weights=y[rows], minlength=1 << BITS)
+    texts_with, toxic_with = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for toxic, ids in texts:
+        texts_with[ids] += 1
+        toxic_with[ids] += toxic
     share = y.mean()
     surprise = (toxic_with - texts_with * share) / np.sqrt(np.maximum(texts_with, 1) * share * (1 - share))
     groups = ids_of(list(identity))
@@ -87,7 +92,8 @@ def fit(texts: list[tuple[int, np.ndarray]], identity: list[str] = IDENTITY, fai
     kept = np.flatnonzero(used)
     column = np.full(1 << BITS, -1)
     column[kept] = np.arange(len(kept))
-    rows, cols = rows[used[ids]], column[ids[used[ids]]]
+    texts_used = [ids[used[ids]] for _, ids in texts]
+    rows, cols = np.repeat(np.arange(len(texts)), [len(ids) for ids in texts_used]), column[np.concatenate(texts_used)]
     # Swaps: one column goes, another one comes (or none: a group that no text mentions, the neutral word).
     present = [g for g in dict.fromkeys(groups.tolist()) if used[g]]
     swaps = [(column[a], column[b], texts_with[a]) for a in present for b in present if a != b] + [(column[a], -1, texts_with[a]) for a in present]
@@ -119,11 +125,14 @@ def scores(texts: pa.Array, chosen: np.ndarray, values: np.ndarray, bias: float)
     weights[chosen] = values
     known = weights != 0
     out = np.full(len(offsets) - 1, bias)
-    for first, ids, rows in word_ids(data, offsets):
-        at = np.flatnonzero(known[ids])
-        row = np.searchsorted(rows, at, side="right") - 1
-        pairs = np.unique((row.astype(np.int64) << BITS) | ids[at])
-        np.add.at(out, first + (pairs >> BITS), weights[pairs & ((1 << BITS) - 1)])
+    for first, found in feature_ids(data, offsets):
+        pairs = []
+        for ids, rows in found:
+            at = np.flatnonzero(known[ids])
+            row = np.searchsorted(rows, at, side="right") - 1
+            pairs.append((row.astype(np.int64) << BITS) | ids[at])
+        once = np.unique(np.concatenate(pairs))
+        np.add.at(out, first + (once >> BITS), weights[once & ((1 << BITS) - 1)])
     return 1 / (1 + np.exp(-out))
 
 
