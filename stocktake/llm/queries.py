@@ -1,6 +1,6 @@
 """Registered queries of the operators, and their SQL where SQL can express them."""
 
-from stocktake.llm import html, jaccard, licenses, mixing, quality, sharding, toxicity, warc
+from stocktake.llm import decontaminate, html, jaccard, licenses, mixing, quality, sharding, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -9,6 +9,7 @@ QUERIES = {
     "op5_sharding": sharding.op5_sharding,
     "op6_jaccard": jaccard.op6_jaccard,
     "op7_html": html.op7_html,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_licenses": licenses.op10_licenses,
 }
