@@ -1,11 +1,12 @@
 """Registered queries of the operators, and their SQL where SQL can express them."""
 
-from stocktake.llm import decontaminate, html, jaccard, licenses, mixing, quality, sharding, toxicity, warc
+from stocktake.llm import decontaminate, html, jaccard, licenses, mixing, quality, sharding, suffixes, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_mixing": mixing.op2_mixing,
     "op3_quality": quality.op3_quality,
+    "op4_suffixes": suffixes.op4_suffixes,
     "op5_sharding": sharding.op5_sharding,
     "op6_jaccard": jaccard.op6_jaccard,
     "op7_html": html.op7_html,
