@@ -1,6 +1,6 @@
 """Registered queries of the operators, and their SQL where SQL can express them."""
 
-from stocktake.llm import decontaminate, html, jaccard, licenses, mixing, quality, sharding, suffixes, toxicity, warc
+from stocktake.llm import decontaminate, html, jaccard, licenses, mixing, quality, sharding, sql, suffixes, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -14,4 +14,10 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_licenses": licenses.op10_licenses,
 }
-ORACLE = {"op2_mixing": mixing.OP2_SQL, "op5_sharding": sharding.OP5_SQL}
+ORACLE = {
+    "op1_warc": sql.OP1,
+    "op2_mixing": mixing.OP2_SQL,
+    "op5_sharding": sharding.OP5_SQL,
+    "op6_jaccard": sql.OP6,
+    "op10_licenses": sql.OP10,
+}
