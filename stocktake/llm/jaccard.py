@@ -37,6 +37,8 @@ ORDERED = 1 << 20
 #: Classes whose ids are broadcast, at most (16 bytes each); beyond that sets are found by a shuffled join.
 BROADCAST_CLASSES = 2_000_000
 SUBSET = 2
+#: A list of a shingle that recurs at least so often is never gathered in one task.
+HOT = 10_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -118,13 +120,14 @@ def frequent_shingles(profile: DataFrame, most: int) -> tuple[np.ndarray, np.nda
 
 
 def in_order(shingles: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles of one set by frequency, then by number; and which of them are frequent."""
+    """The shingles of one set by frequency, then by number; and which of them are hot."""
     if not len(keys):
         return shingles, np.zeros(len(shingles), bool)
     at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
     common = keys[at] == shingles
-    order = np.lexsort((shingles, np.where(common, counts[at], 0)))
-    return shingles[order], common[order]
+    often = np.where(common, counts[at], 0)
+    order = np.lexsort((shingles, often))
+    return shingles[order], often[order] >= HOT
 
 
 def boundary(sizes: list[tuple[int, int]], percent: int, mean_list: float) -> int:
@@ -148,8 +151,8 @@ def needed_share(size: int, percent: int) -> int:
 def _postings(docs: DataFrame, keys: np.ndarray, counts: np.ndarray, light: int, words: int, percent: int, buckets: int) -> DataFrame:
     """Live postings (sig, class, size, place): signatures that at least two classes have.
 
-    Postings travel as packed arrays, a bucket of signatures to a task, which keeps those that recur. Signatures of frequent shingles
-    surely recur; they are not gathered but go through wherever they are, so no list meets in one task here.
+    Postings travel as packed arrays, a bucket of signatures to a task, which keeps those that may have a partner in their list. Signatures
+    of hot shingles are not gathered but go through wherever they are.
     """
     packed = np.dtype([("sig", "<u8"), ("cls", "<u8"), ("size", "<i4"), ("place", "<i4")])
 
@@ -198,8 +201,7 @@ def _postings(docs: DataFrame, keys: np.ndarray, counts: np.ndarray, light: int,
 
     def table_of(rec: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(rec["sig"].view(np.int64) if rec["sig"].flags.c_contiguous else rec["sig"].astype(np.uint64).view(np.int64)),
-             pa.array(np.ascontiguousarray(rec["cls"]).view(np.int64)), pa.array(np.ascontiguousarray(rec["size"])), pa.array(np.ascontiguousarray(rec["place"]))],
+            [pa.array(np.ascontiguousarray(rec["sig"]).view(np.int64)), pa.array(np.ascontiguousarray(rec["cls"]).view(np.int64)), pa.array(np.ascontiguousarray(rec["size"])), pa.array(np.ascontiguousarray(rec["place"]))],
             ["sig", "cls", "size", "place"],
         )
 
@@ -217,14 +219,30 @@ def _postings(docs: DataFrame, keys: np.ndarray, counts: np.ndarray, light: int,
             rec = rec[np.lexsort((rec["cls"], rec["sig"]))]
             sig, cls = np.ascontiguousarray(rec["sig"]), np.ascontiguousarray(rec["cls"])
             new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (cls[1:] != cls[:-1])])
-            rec, sig = rec[new], sig[new]  # copies of a class say the same
-            same = sig[1:] == sig[:-1]
-            yield table_of(rec[np.concatenate([[False], same]) | np.concatenate([same, [False]])])
+            yield table_of(hopeful(rec[new], percent))  # copies of a class say the same
 
     sent = docs.select("text").mapInArrow(post, "bucket int, frequent boolean, postings binary")
     return sent.repartition(buckets, "bucket").mapInArrow(recurring, "sig long, cls long, size int, place int")
 
 
+def hopeful(rec: np.ndarray, percent: int) -> np.ndarray:
+    """The postings that can reach the overlap with some partner of their list: the smallest one that is large enough asks least."""
+    while len(rec):
+        rec = rec[np.lexsort((rec["size"], rec["sig"]))]
+        sig, size = np.ascontiguousarray(rec["sig"]), rec["size"].astype(np.int64)
+        group = np.cumsum(np.concatenate([[0], sig[1:] != sig[:-1]]))
+        wide = int(size.max()) + 1
+        at = np.searchsorted(group * wide + size, group * wide + -(-percent * size // 100))
+        at += at == np.arange(len(rec))
+        partner = np.minimum(at, len(rec) - 1)
+        need = -(-percent * (size + size[partner]) // (100 + percent))
+        able = (at < len(rec)) & (group[partner] == group) & (size[partner] * percent <= size * 100) & (size - rec["place"] >= need)
+        if able.all():
+            break
+        rec = rec[able]
+    return rec
+
+
 def _able(percent: int) -> Column:
     """Whether sizes and places of a shared signature allow the overlap; a and b are postings of two classes."""
     need = F.ceil((F.lit(percent) * (F.col("a_size") + F.col("b_size"))) / F.lit(100 + percent))
@@ -277,6 +295,13 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return found.groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 
+def _links(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs that link, staged. Only sets that stand in a pair are read."""
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    sets = staged(_sets(docs, staged(wanted, "jaccard-wanted"), words), "jaccard-sets")
+    return staged(_verified(pairs, sets, percent), "jaccard-links")
+
+
 def grouped(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, cls, component), one row for each row of docs: components of classes, 0 shingles without any."""
     spark = docs.sparkSession
@@ -285,9 +310,8 @@ def grouped(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     keys, counts = frequent_shingles(profile, ORDERED)
     sizes = [(r["n_shingles"], r["count"]) for r in members.where("n_shingles between 4 and 2000").groupBy("n_shingles").count().collect()]
     light = boundary(sizes, percent, float(np.log2(counts).mean()) if len(counts) else 1.0)
-    shared_keys, shared_counts = keys, counts
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    live = staged(_postings(docs, shared_keys, shared_counts, light, words, percent, buckets), "jaccard-postings")
+    live = staged(_postings(docs, keys, counts, light, words, percent, buckets), "jaccard-postings")
 
     # First round: each member of a list meets the list's best connected member.
     degree = live.groupBy("cls").agg(F.count("*").alias("degree"))
@@ -296,8 +320,7 @@ def grouped(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
         hub.select("sig", F.col("hub.cls").alias("b"), F.col("hub.size").alias("b_size"), F.col("hub.place").alias("b_place")), "sig"
     )
     first = staged(first.where((F.col("a") != F.col("b")) & _able(percent)).select("a", "b").distinct(), "jaccard-pairs")
-    sets = staged(_sets(docs, live.select("cls").distinct(), words), "jaccard-sets")
-    links = staged(_verified(first, sets, percent), "jaccard-links")
+    links = _links(docs, first, words, percent)
     label = components(links, "jaccard-components")
 
     # Second round: members of a list that are not connected yet meet each other.
@@ -308,7 +331,7 @@ def grouped(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     rest = sides[0].join(sides[1], "sig").where((F.col("a_cls") < F.col("b_cls")) & (F.col("a_component") != F.col("b_component")) & _able(percent))
     rest = rest.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct()
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = staged(_verified(rest.join(tried, ["a", "b"], "left_anti"), sets, percent), "jaccard-links")
+    more = _links(docs, staged(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs"), words, percent)
     label = components(links.union(more), "jaccard-components")
 
     return members.join(label.withColumnRenamed("id", "cls"), "cls", "left").select(
