@@ -59,3 +59,14 @@ def word_list(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """body(value) with value computed once."""
     return F.transform(F.array(value), body)[0]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktake.llm.common import staged, table
+from stocktake.llm.common import fresh, staged, table
 from stocktake.llm.components import components
 from stocktake.llm.tokens import chunks, hashed_words, mixed, text_bytes
 
@@ -351,30 +351,31 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     """The documents without their near copies, with the columns they came with: of each component the one with the smallest
     id stays (null last, then by class); of rows that repeat it one; documents without words all stay."""
     members = staged(grouped(docs, words, percent), "jaccard-members")
+    some = members.where("n_shingles > 0")
+    own_cls, kept_id, kept_cls, copies = fresh(docs, "_cls", "_kept_id", "_kept_cls", "_copies")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "cls")).alias("first")
-    kept = members.where("n_shingles > 0").groupBy("component").agg(first).select("first.doc_id", "first.cls")
-    kept = kept.join(members.where("n_shingles > 0").groupBy("doc_id", "cls").agg(F.count("*").alias("_copies")).alias("m"), [
-        kept["doc_id"].eqNullSafe(F.col("m.doc_id")), kept["cls"] == F.col("m.cls")
-    ]).select(kept["doc_id"].alias("_kept_id"), kept["cls"].alias("_kept_cls"), "_copies")
+    chosen = some.groupBy("component").agg(first).select(F.col("first.doc_id").alias(kept_id), F.col("first.cls").alias(kept_cls))
+    rows_of = some.groupBy("doc_id", "cls").agg(F.count("*").alias(copies))
+    kept = chosen.join(rows_of, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col("cls") == F.col(kept_cls)))
+    kept = staged(kept.select(kept_id, kept_cls, copies), "jaccard-kept")
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(at))
-            cls, some = [], []
-            for _, shingles, rows in shingle_sets(data, offsets, words):
-                cls.append(_digests(shingles, rows)[0].view(np.int64))
-                some.append(np.diff(rows) > 0)
-            own = pa.array(np.concatenate(cls) if cls else np.zeros(0, np.int64), mask=~np.concatenate(some) if some else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, own], [*batch.schema.names, "_cls"])
+            cls, wordless = np.zeros(batch.num_rows, np.int64), np.ones(batch.num_rows, bool)
+            for begin, shingles, rows in shingle_sets(data, offsets, words):
+                here = slice(begin, begin + len(rows) - 1)
+                cls[here], wordless[here] = _digests(shingles, rows)[0].view(np.int64), np.diff(rows) == 0
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cls, mask=wordless)], [*batch.schema.names, own_cls])
 
     at = docs.columns.index("text")
-    told = docs.mapInArrow(classify, T.StructType([*docs.schema.fields, T.StructField("_cls", T.LongType())]))
-    joined = told.join(kept, told["doc_id"].eqNullSafe(F.col("_kept_id")) & (told["_cls"] == F.col("_kept_cls")), "left")
-    wordless = joined.where(F.col("_cls").isNull())
-    single = joined.where(F.col("_copies") == 1)
-    repeated = joined.where(F.col("_copies") > 1).dropDuplicates(["doc_id", "_cls"])
-    parts = [x.select(*[F.col(f"`{c}`") for c in docs.columns]) for x in (wordless, single, repeated)]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+    told = docs.mapInArrow(classify, T.StructType([*docs.schema.fields, T.StructField(own_cls, T.LongType())]))
+    joined = told.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(own_cls) == F.col(kept_cls)), "left")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    out = joined.where(F.col(own_cls).isNull() | (F.col(copies) == 1)).select(*names)
+    if not kept.where(F.col(copies) > 1).isEmpty():
+        out = out.unionAll(joined.where(F.col(copies) > 1).dropDuplicates(["doc_id", own_cls]).select(*names))
+    return out
 
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
