@@ -16,17 +16,18 @@ import html
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from stocktake.llm.common import table
 
 WINDOW, SURGE = 3, 80
 
-#: Raw elements with all they hold, comments and declarations, or one tag with its attributes.
+#: Raw elements with all they hold, comments and declarations, or one tag with its attributes. Attributes are limited in length
+#: so that a page of broken tags takes linear time; a tag beyond that is text.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|math|iframe|title)\b[^>]*+>.*?(?:</\1\s*+>|\Z)|<[!?][^>]*+>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"<>]*+\"|'[^'<>]*+')*+)[^<>]*+>",
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"]{0,4000}+\"|'[^']{0,4000}+'){0,100}+)[^<>]{0,4000}+>",
     re.S | re.I,
 )
 INLINE = frozenset(
@@ -145,13 +146,16 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = [main_text(p) for p in batch["html"]]
-            yield batch[["page_id", "url"]].assign(text=text, n_chars=[len(t) for t in text])
+            text = [main_text(p) for p in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], names
+            )
 
+    names = ["page_id", "url", "text", "n_chars"]
     kinds = dict(pages.dtypes)
-    return pages.select("page_id", "url", "html").mapInPandas(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
+    return pages.select("page_id", "url", "html").mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
