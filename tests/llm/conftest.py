@@ -1,0 +1,14 @@
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, _cls string"
+
+
+@pytest.fixture
+def documents(spark):
+    """Documents from (doc_id, text) or (doc_id, text, source); extra columns have names that operators use inside."""
+
+    def make(rows):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", 1, 0.5, "x") for r in rows]
+        return spark.createDataFrame(full, SCHEMA)
+
+    return make

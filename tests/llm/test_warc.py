@@ -1,0 +1,68 @@
+import base64
+import hashlib
+
+from stocktake.llm import warc
+
+SCHEMA = "page_id long, url string, html string, digest string, header string"
+
+
+def archive(spark, tmp_path, rows, **options):
+    pages = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    folder = f"file://{tmp_path}/archive"
+    warc.write_archive(pages, folder, **options)
+    return warc.read_archive(spark, folder)
+
+
+PAGES = [
+    (3, "http://a/", "<p>é</p>"), (1, "http://b/", "<p>é</p>"), (2, None, None), (5, "", ""), (7, "http://c/\r\nX: y", "a\r\n\r\nWARC/1.1\r\n"),
+    (9, "http://d/", "rep"), (9, "http://d/", "rep"), (9, "http://c/", "rep"), (None, "http://n/", "rep"), (11, "http://l/", "z" * 100_000),
+]
+
+
+def test_round_trip(spark, tmp_path):
+    found = [r.asDict() for r in archive(spark, tmp_path, PAGES).collect()]
+    assert len(found) == len(PAGES)
+    for r in found:
+        payload = bytes(r["payload"])
+        assert r["payload_bytes"] == len(payload)
+        assert r["payload_digest"] == base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        assert f"\r\nContent-Length: {len(payload)}\r\n\r\n" in r["header"]  # of the HTTP response
+        assert r["header"].startswith("WARC/1.1\r\n") and r["header"].endswith("\r\n\r\n")
+    kinds = sorted((str(r["page_id"]), bytes(r["payload"])[:6], r["record_type"], r["refers_to"]) for r in found)
+    assert kinds == sorted([
+        ("1", "<p>é</p>".encode()[:6], "response", None), ("3", "<p>é</p>".encode()[:6], "revisit", 1), ("2", b"", "response", None), ("5", b"", "revisit", 2),
+        ("7", b"a\r\n\r\nW", "response", None), ("9", b"rep", "response", None), ("9", b"rep", "revisit", 9), ("9", b"rep", "revisit", 9), ("None", b"rep", "revisit", 9),
+        ("11", b"zzzzzz", "response", None),
+    ])
+    assert {r["url"] for r in found if r["page_id"] in (2, 5)} == {None}
+    assert next(r["url"] for r in found if r["page_id"] == 9 and r["record_type"] == "response") == "http://c/"
+
+
+def test_payload_once_and_least_size(spark, tmp_path):
+    assert archive(spark, tmp_path, PAGES, min_bytes=4).where("record_type = 'revisit'").count() == 1
+    assert spark.read.parquet(f"file://{tmp_path}/archive/payloads").count() == 5
+
+
+def test_files(spark, tmp_path):
+    records = archive(spark, tmp_path, PAGES)
+    warc.export_warc(records, f"file://{tmp_path}/files", codec="none")
+    back = {(bytes(r["header"]), bytes(r["block"])) for r in warc.import_warc(spark, f"file://{tmp_path}/files/part-*").collect()}
+    want = {(r["header"].encode(), b"" if r["record_type"] == "revisit" else bytes(r["payload"])) for r in records.collect()}
+    assert back == want
+
+
+def test_damage_is_an_error(spark, tmp_path):
+    archive(spark, tmp_path, PAGES[:1])
+    folder = f"file://{tmp_path}/archive"
+    spark.read.parquet(f"{folder}/payloads").selectExpr("key", "cast('other' as binary) as payload").write.parquet(f"file://{tmp_path}/bad/payloads")
+    spark.read.parquet(f"{folder}/headers").write.parquet(f"file://{tmp_path}/bad/headers")
+    try:
+        warc.read_archive(spark, f"file://{tmp_path}/bad").collect()
+    except Exception as error:
+        assert "does not fit its digest" in str(error)
+    else:
+        raise AssertionError
+
+
+def test_empty(spark, tmp_path):
+    assert archive(spark, tmp_path, []).count() == 0
