@@ -1,6 +1,6 @@
 """Benchmark decontamination: documents that hold a benchmark item within a share of word edits.
 
-Words are symbols. The CGK embedding walks over a text: at step j it emits the word under its pointer and moves on if a random
+Lower-cased words are symbols. The CGK embedding walks over a text: at step j it emits the word under its pointer and moves on if a random
 function of (j, word) says so; two texts of small edit distance fall into step again after each edit, so edit distance becomes
 Hamming distance of the emitted words. Bit sampling takes the words emitted at a few steps as a key. Several walks, with
 nearer and farther horizons, are repeated, over windows of an item's size class at every word of every text and of every
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from stocktake.llm.common import table
@@ -152,8 +153,9 @@ def reach(row: np.ndarray, item: np.ndarray, begin: np.ndarray, rows: np.ndarray
     return low, np.maximum(low, np.minimum(rows[row + 1], begin + index.length[item] + wide))
 
 
-def matches(data: np.ndarray, offsets: np.ndarray, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
-    """(row, item number, edits, first word, words) of the best place of each item in each text."""
+def matches(texts: pa.Array, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
+    """(row, item number, edits, first word, words) of the best place of each item in each text, in any case of letters."""
+    data, offsets = text_bytes(pc.utf8_lower(texts))
     for first, last in chunks(offsets):
         words, rows = hashed_words(data, offsets, first, last)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
@@ -187,7 +189,7 @@ def indexes(benchmark: DataFrame, edits: int = EDITS, block: int = BLOCK) -> Ite
 
 
 def _index(ids: list, texts: list, edits: int) -> Index:
-    data, offsets = text_bytes(pa.array(texts, pa.string()))
+    data, offsets = text_bytes(pc.utf8_lower(pa.array(texts, pa.string())))
     words, rows = hashed_words(data, offsets, 0, len(ids))
     return Index(ids, [words[rows[k] : rows[k + 1]] for k in range(len(ids))], edits)
 
@@ -200,7 +202,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, edits: int = EDITS) -> D
     def search(index: Index):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = list(matches(*text_bytes(batch.column("text")), index))
+                found = list(matches(batch.column("text"), index))
                 at = pa.array([f[0] for f in found], pa.int64())
                 rest = [pa.array([f[k] for f in found], pa.int32()) for k in (2, 3, 4)]
                 yield pa.RecordBatch.from_arrays(
@@ -223,7 +225,7 @@ def without_items(docs: DataFrame, benchmark: DataFrame, edits: int = EDITS) ->
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
-                clean[[f[0] for f in matches(*text_bytes(batch.column(at)), index)]] = False
+                clean[[f[0] for f in matches(batch.column(at), index)]] = False
                 yield batch.filter(pa.array(clean))
 
         return run
