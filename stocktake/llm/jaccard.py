@@ -298,7 +298,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 def _links(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs that link, staged. Only sets that stand in a pair are read."""
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    sets = staged(_sets(docs, staged(wanted, "jaccard-wanted"), words), "jaccard-sets")
+    # Both joins read one exchange of the sets.
+    sets = _sets(docs, staged(wanted, "jaccard-wanted"), words)
     return staged(_verified(pairs, sets, percent), "jaccard-links")
 
 
