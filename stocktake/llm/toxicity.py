@@ -44,9 +44,10 @@ def feature_ids(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, li
         yield first, [((hashes >> np.uint64(64 - BITS)).astype(np.int32), rows) for hashes, rows in found]
 
 
-def ids_of(words: list[str]) -> np.ndarray:
-    data, offsets = text_bytes(pa.array([" ".join(words)]))
-    return next(feature_ids(data, offsets))[1][0][0] if words else np.zeros(0, np.int32)
+def ids_of(word: str) -> np.ndarray:
+    """All ids of a word, its own first, then those of its parts."""
+    _, ((words, _), (parts, _)) = next(feature_ids(*text_bytes(pa.array([word]))))
+    return np.concatenate([words, np.unique(parts)])
 
 
 def train_fold(doc_id: Column) -> Column:
@@ -73,6 +74,21 @@ def sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> list[tupl
     return [(int(r["toxic"] > 0), np.frombuffer(bytes(r["ids"]), np.int32)) for r in rows]
 
 
+def swaps_of(identity: list[str], mentions: np.ndarray) -> list[tuple[dict[int, int], float]]:
+    """Swaps of the groups that texts mention, each for all others and for the neutral word (which no weight knows): the ids that come
+    (1) and go (-1), and how many texts the swap stands for."""
+    ids = {w: ids_of(w) for w in dict.fromkeys(identity)}
+    present = [w for w in ids if mentions[ids[w][0]] > 0]
+    out = []
+    for a in present:
+        for b in [*(w for w in present if w != a), None]:
+            change = dict.fromkeys(ids[b].tolist(), 1) if b else {}
+            for i in ids[a].tolist():
+                change[i] = change.get(i, 0) - 1
+            out.append(({i: c for i, c in change.items() if c}, mentions[ids[a][0]] / len(present)))
+    return out
+
+
 def fit(texts: list[tuple[int, np.ndarray]], identity: list[str] = IDENTITY, fair: float = FAIR) -> tuple[np.ndarray, float]:
     """Weights of all word ids, and the bias."""
     weights, y = np.zeros(1 << BITS), np.array([t[0] for t in texts], dtype=float)
@@ -86,35 +102,33 @@ def fit(texts: list[tuple[int, np.ndarray]], identity: list[str] = IDENTITY, fai
         toxic_with[ids] += toxic
     share = y.mean()
     surprise = (toxic_with - texts_with * share) / np.sqrt(np.maximum(texts_with, 1) * share * (1 - share))
-    groups = ids_of(list(identity))
+    swaps = swaps_of(list(identity), texts_with)
     used = (texts_with >= LEAST_TEXTS) & (np.abs(surprise) >= NOTABLE)
-    used[groups] |= texts_with[groups] > 0
+    for change, _ in swaps:
+        used[list(change)] = True
     kept = np.flatnonzero(used)
     column = np.full(1 << BITS, -1)
     column[kept] = np.arange(len(kept))
     texts_used = [ids[used[ids]] for _, ids in texts]
     rows, cols = np.repeat(np.arange(len(texts)), [len(ids) for ids in texts_used]), column[np.concatenate(texts_used)]
-    # Swaps: one column goes, another one comes (or none: a group that no text mentions, the neutral word).
-    present = [g for g in dict.fromkeys(groups.tolist()) if used[g]]
-    swaps = [(column[a], column[b], texts_with[a]) for a in present for b in present if a != b] + [(column[a], -1, texts_with[a]) for a in present]
-    gone, come = np.array([s[0] for s in swaps], dtype=int), np.array([s[1] for s in swaps], dtype=int)
-    pull = fair * np.array([s[2] for s in swaps], dtype=float) / max(1, len(present)) / len(y)
-    w, bias = np.zeros(len(kept) + 1), float(np.log(share / (1 - share)))
+    swap = np.repeat(np.arange(len(swaps)), [len(c) for c, _ in swaps])
+    swap_col = column[[i for c, _ in swaps for i in c]] if swaps else np.zeros(0, int)
+    sign = np.array([x for c, _ in swaps for x in c.values()], dtype=float)
+    pull = fair * np.array([n for _, n in swaps]) / len(y)
+    w, bias = np.zeros(len(kept)), float(np.log(share / (1 - share)))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, STEPS + 1):
         score = 1 / (1 + np.exp(-(bias + np.bincount(rows, weights=w[cols], minlength=len(y)))))
         grad = np.bincount(cols, weights=(score - y)[rows], minlength=len(w)) / len(y) + RIDGE * w / len(y)
-        if len(swaps):
-            moved = pull * (w[gone] - w[come])
-            np.add.at(grad, gone, moved)
-            np.add.at(grad, come, -moved)
-        grad[-1] = 0.0
+        if swaps:
+            moved = pull * np.bincount(swap, weights=sign * w[swap_col], minlength=len(swaps))
+            grad += np.bincount(swap_col, weights=sign * moved[swap], minlength=len(w))
         grad_b = float((score - y).mean())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         mb, vb = 0.9 * mb + 0.1 * grad_b, 0.999 * vb + 0.001 * grad_b**2
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         bias -= RATE * (mb / (1 - 0.9**step)) / (np.sqrt(vb / (1 - 0.999**step)) + 1e-8)
-    weights[kept] = w[:-1]
+    weights[kept] = w
     return weights, bias
 
 
