@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from workload import registry
 from workload.views import TABLES
 
 SMALL = "/root/testdata/sf0.001"
@@ -22,7 +23,7 @@ def _normal(rows, columns):
     return sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query_equals_sql(spark, db, name):
     df = entry.queries()[name](spark, SMALL)
     result = db.execute(entry.oracle_sql()[name])
