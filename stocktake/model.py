@@ -49,7 +49,7 @@ SI_SITES = _schema(site_name=_STR, url=_STR)
 SITE_COUNTS = _schema(datestamp=_STR, namespace=_STR, site=_STR, count=_LONG, duration=DoubleType())
 MANIFEST = _schema(dir=_STR, name=_STR, modified=_TS, owner=_STR, length=_LONG, checksum=_STR)
 
-# Column names the archive services use -> canonical names.
+# Column names the archive services use -> canonical names.
 ARCHIVE_NAMES = {
     "obsID": "obs_id",
     "observationID": "observation_id",
@@ -63,12 +63,21 @@ ARCHIVE_NAMES = {
     "contentLength": "content_length",
     "contentType": "content_type",
     "lastModified": "last_modified",
-    "contentLastModified": "last_modified",
     "skipID": "skip_id",
     "tryAfter": "try_after",
     "errorMessage": "error_message",
 }
 
+# Tables of files carry two times; the one audited is that of the content.
+FILE_NAMES = {old: new for old, new in ARCHIVE_NAMES.items() if new != "last_modified"}
+FILE_NAMES["contentLastModified"] = "last_modified"
+
+
+def names_for(schema: StructType) -> dict[str, str]:
+    """The source names of a table with this schema."""
+    return FILE_NAMES if {"uri", "last_modified"} <= set(schema.names) else ARCHIVE_NAMES
+
+
 # The archive's product-type vocabulary, in report order.
 PRODUCT_TYPES = (
     "this", "science", "calibration", "preview", "thumbnail", "auxiliary", "bias", "coderived",

@@ -77,11 +77,13 @@ def error_dump(skip: DataFrame, cname: str, source_part: str) -> DataFrame:
 def prefix_volume(plane: DataFrame, artifact: DataFrame, namespace: str) -> DataFrame:
     """Files and TiB the planes hold under a namespace.
 
-    The sum runs over decimals, so it is exact and the same in any order.
+    Files are counted per plane before they meet the planes. The sum runs over
+    decimals, so it is exact and the same in any order.
     """
-    files = artifact.where(under("uri", namespace)).select("plane_id", "content_length")
+    files = artifact.where(under("uri", namespace)).groupBy("plane_id").agg(
+        F.count(F.lit(1)).alias("files"), F.sum(F.col("content_length").cast("decimal(20,0)")).alias("size")
+    )
     held = files.join(plane.select("plane_id"), "plane_id")
     return held.agg(
-        F.count(F.lit(1)).alias("num_files"),
-        tebibytes(F.sum(F.col("content_length").cast("decimal(20,0)"))).alias("tib"),
+        F.coalesce(F.sum("files"), F.lit(0).cast("long")).alias("num_files"), tebibytes(F.sum("size")).alias("tib")
     )

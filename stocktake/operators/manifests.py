@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stocktake import model as m
+from stocktake.functions.dedupe import dedupe_first
 from stocktake.functions.skew import attach_group_values
 
 
@@ -27,16 +28,22 @@ def newest_upload(listing: DataFrame, name: str = "name") -> DataFrame:
     """Which uploads of each directory to take.
 
     If the newest is a bundle, only it is taken. Otherwise all plain files are
-    taken and bundles are orphans. Of equally new uploads the greatest name
-    counts as newest.
+    taken and bundles are orphans. Of equally new uploads the first name counts as
+    newest; an upload without a time is older than any with one. Rows with one
+    directory, name and time are one upload and leave one row.
     """
-    files = listing.withColumn("is_bundle", is_bundle(name))
+    upload = ["dir", name, "modified"]
+    others = [F.col(c).asc_nulls_first() for c in listing.columns if c not in upload]
+    files = dedupe_first(listing, upload, others or [F.col("dir")]).withColumn("is_bundle", is_bundle(name))
+    age = F.negate(F.unix_micros(F.col("modified").cast("timestamp")))
     newest = files.groupBy("dir").agg(
-        F.max(F.struct("modified", F.col(name).alias("name"), "is_bundle")).alias("newest"),
+        F.min(F.struct(
+            F.col("modified").isNull().alias("timeless"), age.alias("age"), F.col(name).alias("name"), "is_bundle"
+        )).alias("newest"),
         F.count(F.lit(1)).alias("num_files"),
     )
     judged = attach_group_values(files, newest, ["dir"], "num_files")
-    first = (F.col("modified") == F.col("newest.modified")) & (F.col(name) == F.col("newest.name"))
+    first = age.eqNullSafe(F.col("newest.age")) & F.col(name).eqNullSafe(F.col("newest.name"))
     outcome = (
         F.when(~F.col("newest.is_bundle") & ~F.col("is_bundle"), "FILE_TAKEN")
         .when(~F.col("newest.is_bundle"), "ORPHAN_BUNDLE")
@@ -74,31 +81,34 @@ def manifest_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     """(dir, name, action): COPY, DIFFERS, SAME, or STALE for a file only the target has.
 
     Archives are passed over on the source side. A target directory the source
-    does not have is left alone.
+    does not have is left alone. Files without a checksum on either side are
+    DIFFERS if their lengths say so, else UNCHECKED.
     """
     # A file name, as listed from inside its directory, carries the directory in front.
     path = F.concat_ws("/", "dir", "name")
     archive = path.contains("tar") | F.col("name").endswith(".rar") | F.col("name").endswith(".zip")
-    left = source.select("dir", "name", "checksum", archive.alias("archive"))
-    right = target.select(
-        "dir", "name", F.col("checksum").alias("target_checksum"), F.lit(True).alias("in_target")
+
+    def content(side: DataFrame, prefix: str) -> list[Column]:
+        length = F.col("length") if "length" in side.columns else F.lit(None)
+        return [F.col("checksum").alias(f"{prefix}checksum"), length.cast("long").alias(f"{prefix}length")]
+
+    shared = target.groupBy("dir").agg(F.count(F.lit(1)).alias("num_files")).join(
+        source.select("dir").distinct(), "dir", "left_semi"
     )
-    pairs = left.withColumn("in_source", F.lit(True)).join(right, ["dir", "name"], "full_outer")
+    # Directories are decided before the files meet, so that they meet once.
+    held = attach_group_values(target, shared, ["dir"], "num_files")
+    left = source.select("dir", "name", *content(source, ""), archive.alias("archive"), F.lit(True).alias("in_source"))
+    right = held.select("dir", "name", *content(held, "target_"), F.lit(True).alias("in_target"))
+    same = F.col("checksum") == F.col("target_checksum")
     action = (
         F.when(F.col("in_source").isNull(), "STALE")
         .when(F.col("in_target").isNull(), "COPY")
-        .when(F.col("checksum") == F.col("target_checksum"), "SAME")
-        .otherwise("DIFFERS")
-    )
-    listed = pairs.where("in_source AND NOT archive").select("dir", "name", action.alias("action"))
-    stale = pairs.where("in_source IS NULL").select("dir", "name", action.alias("action"))
-    directories = source.select("dir", F.lit(1).alias("in_source"), F.lit(0).alias("held"))
-    directories = directories.unionByName(target.select("dir", F.lit(0).alias("in_source"), F.lit(1).alias("held")))
-    known = directories.groupBy("dir").agg(
-        F.max("in_source").alias("in_source"), F.sum("held").alias("num_files")
+        .when(same, "SAME")
+        .when(same.isNotNull() | (F.col("length") != F.col("target_length")), "DIFFERS")
+        .otherwise("UNCHECKED")
     )
-    known = known.where("in_source = 1").drop("in_source")
-    return listed.unionByName(attach_group_values(stale, known, ["dir"], "num_files"))
+    pairs = left.join(right, ["dir", "name"], "full_outer").where("in_source IS NULL OR NOT archive")
+    return pairs.select("dir", "name", action.alias("action"))
 
 
 def not_listed(

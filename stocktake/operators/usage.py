@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,11 +16,14 @@ COLLECTION_INSTRUMENT = ("collection", "instrument_name")
 _BITS = 62
 
 
+def _fields_of(table: str, df: DataFrame) -> dict[str, str]:
+    """``table.column`` as the source spells it -> the column here."""
+    return {f"{table}.{f.metadata.get('source', f.name)}": f.name for f in df.schema}
+
+
 def field_catalog(observation: DataFrame, plane: DataFrame) -> list[str]:
-    """All fields as ``table.column``, in order; read from the schemas, not the data."""
-    return sorted(
-        [f"{OBSERVATION}.{c}" for c in observation.columns] + [f"{PLANE}.{c}" for c in plane.columns]
-    )
+    """All fields as ``table.column`` in their source's spelling, in order; read from the schemas, not the data."""
+    return sorted([*_fields_of(OBSERVATION, observation), *_fields_of(PLANE, plane)])
 
 
 def field_names(columns: DataFrame, tables: Sequence[str] = (OBSERVATION, PLANE)) -> DataFrame:
@@ -31,19 +34,30 @@ def field_names(columns: DataFrame, tables: Sequence[str] = (OBSERVATION, PLANE)
 
 
 def field_range(fields: Sequence[str], start: str | None = None, end: str | None = None) -> list[str]:
-    """The fields from ``start`` to ``end`` inclusive; none if ``start`` is not a field."""
-    if start is not None and start not in fields:
-        return []
-    first = fields.index(start) if start is not None else 0
-    last = fields.index(end) if end in fields else len(fields) - 1
+    """The fields from ``start`` to ``end`` inclusive, found without regard to case; an unknown one is an error."""
+    places = {f.lower(): k for k, f in enumerate(fields)}
+    for field in (start, end):
+        if field is not None and field.lower() not in places:
+            raise ValueError(f"unknown field {field}")
+    first = places[start.lower()] if start is not None else 0
+    last = places[end.lower()] if end is not None else len(fields) - 1
     return list(fields[first : last + 1])
 
 
-def _columns_of(table: str, fields: Sequence[str]) -> list[str]:
+def _names_of(table: str, fields: Sequence[str]) -> list[str]:
     for field in fields:
         if not field.startswith((f"{OBSERVATION}.", f"{PLANE}.")):
             raise ValueError(f"unknown field {field}")
-    return [f.split(".", 1)[1] for f in fields if f.startswith(f"{table}.")]
+    return [f for f in fields if f.startswith(f"{table}.")]
+
+
+def _columns_of(table: str, df: DataFrame, fields: Sequence[str]) -> dict[str, str]:
+    """The fields of the table, with their columns."""
+    known = _fields_of(table, df)
+    missing = [f for f in _names_of(table, fields) if f not in known]
+    if missing:
+        raise ValueError(f"unknown field {missing[0]}")
+    return {f: known[f] for f in _names_of(table, fields)}
 
 
 def usable_instrument() -> Column:
@@ -69,8 +83,8 @@ def plane_totals(
 def _long(counts: DataFrame, table: str, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     """One row per group and field from one wide row per group."""
     fields = F.array(*[
-        F.struct(F.lit(f"{table}.{c}").alias("field"), F.col(f"_null_{i}").alias("num_null"))
-        for i, c in enumerate(columns)
+        F.struct(F.lit(field).alias("field"), F.col(f"_null_{i}").alias("num_null"))
+        for i, field in enumerate(columns)
     ])
     return counts.select(F.lit(table).alias("table_name"), *by, "num_instances", F.inline(fields))
 
@@ -86,11 +100,11 @@ def null_usage_obs(
     observation: DataFrame, fields: Sequence[str], by: Sequence[str] = COLLECTION_INSTRUMENT
 ) -> DataFrame:
     """Null counts of the Observation fields: one scan and one aggregate for all of them."""
-    columns = _columns_of(OBSERVATION, fields)
+    columns = _columns_of(OBSERVATION, observation, fields)
     usable = observation.where(usable_instrument())
     counts = usable.groupBy(*by).agg(
         F.count(F.lit(1)).alias("num_instances"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_null_{i}") for i, c in enumerate(columns)],
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_null_{i}") for i, c in enumerate(columns.values())],
     )
     return _finish(_long(counts, OBSERVATION, columns, by), by) if columns else _no_usage(counts, by)
 
@@ -107,12 +121,12 @@ def null_usage_plane(
     observation with the same bits to one row with their number. Wide planes do
     not travel through the shuffle, nor do all planes of a crowded observation.
     """
-    columns = _columns_of(PLANE, fields)
-    words = []
-    for start in range(0, len(columns), _BITS):
+    columns = _columns_of(PLANE, plane, fields)
+    names, words = list(columns.values()), []
+    for start in range(0, len(names), _BITS):
         bits = [
             F.shiftleft(F.col(f"`{c}`").isNull().cast("long"), i)
-            for i, c in enumerate(columns[start : start + _BITS])
+            for i, c in enumerate(names[start : start + _BITS])
         ]
         words.append(reduce(Column.bitwiseOR, bits).alias(f"_word_{len(words)}"))
     owners = observation.where(usable_instrument()).select("obs_id", *by)
@@ -206,37 +220,35 @@ def usage_by_field(usage: DataFrame) -> DataFrame:
 
 def usage_by_group(
     usage: DataFrame,
-    observation_totals: DataFrame,
-    plane_totals: DataFrame,
+    fields: Sequence[str],
     all_fields: Sequence[str],
     by: Sequence[str] = COLLECTION_INSTRUMENT,
+    totals: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Per table and group: fields, fields with nulls, field instances, null instances, shares.
 
-    Groups come from the totals, so a group without nulls has its row too.
+    ``usage`` has a row for every group and each of ``fields``, so it knows the groups
+    and their sizes. A table with none of ``fields`` takes them from ``totals`` and has
+    its rows too, without nulls.
     """
-    groups = observation_totals.select(
-        F.lit(OBSERVATION).alias("table_name"), *by, F.col("num_instances").alias("group_size"),
-        F.lit(len(_columns_of(OBSERVATION, all_fields))).cast("long").alias("num_fields"),
-    ).unionByName(plane_totals.select(
-        F.lit(PLANE).alias("table_name"), *by, F.col("num_instances").alias("group_size"),
-        F.lit(len(_columns_of(PLANE, all_fields))).cast("long").alias("num_fields"),
-    ))
-    sums = usage.groupBy("table_name", *by).agg(
+    zero = F.lit(0).cast("long")
+
+    def num_fields(table: str) -> Column:
+        return F.lit(len(_names_of(table, all_fields))).cast("long")
+
+    rows = usage.groupBy("table_name", *by).agg(
+        F.max("num_instances").alias("group_size"),
         F.count_if(F.col("num_null") > 0).alias("fields_with_null"),
         F.sum("num_null").alias("instances_with_null"),
-    )
-    keys = ["table_name", *by]
-    joined = groups.join(sums, same_keys(groups, sums, keys), "left")
-    zero = F.lit(0).cast("long")
-    rows = joined.select(
-        *[groups[k] for k in keys], "num_fields",
-        F.coalesce("fields_with_null", zero).alias("fields_with_null"),
-        (F.col("group_size") * F.col("num_fields")).alias("num_instances"),
-        F.coalesce("instances_with_null", zero).alias("instances_with_null"),
-    )
-    return rows.select(
-        *keys, "num_fields", "fields_with_null",
+    ).withColumn("num_fields", F.when(F.col("table_name") == OBSERVATION, num_fields(OBSERVATION)).otherwise(num_fields(PLANE)))
+    for table, sizes in (totals or {}).items():
+        if not _names_of(table, fields):
+            rows = rows.unionByName(sizes.select(
+                F.lit(table).alias("table_name"), *by, F.col("num_instances").alias("group_size"),
+                num_fields(table).alias("num_fields"), zero.alias("fields_with_null"), zero.alias("instances_with_null"),
+            ))
+    return rows.withColumn("num_instances", F.col("group_size") * F.col("num_fields")).select(
+        "table_name", *by, "num_fields", "fields_with_null",
         percent("fields_with_null", "num_fields").alias("percentage_fields"),
         "num_instances", "instances_with_null",
         percent("instances_with_null", "num_instances").alias("percentage_instances"),

@@ -19,27 +19,32 @@ CONFIG_FILES = {
 
 
 def conform(
-    df: DataFrame,
-    schema: StructType,
-    names: Mapping[str, str] = m.ARCHIVE_NAMES,
-    extra: bool = False,
+    df: DataFrame, schema: StructType, names: Mapping[str, str] | None = None, extra: bool = False
 ) -> DataFrame:
     """Rename and cast to ``schema``; a bad value fails when run.
 
-    Source names are matched without regard to case. ``extra`` keeps the
-    columns the schema does not name, for the null-usage audit.
+    Source names are matched without regard to case; two columns for one name are an
+    error. ``extra`` keeps the columns the schema does not name, under their own
+    names, for the null-usage audit. Every column remembers what its source calls it.
     """
+    names = m.names_for(schema) if names is None else names
     aliases = {old.lower(): new for old, new in names.items()}
-    found: dict[str, str] = {}
+    found: dict[str, list[str]] = {}
     for column in df.columns:
-        found.setdefault(aliases.get(column.lower(), column.lower()), column)
+        found.setdefault(aliases.get(column.lower(), column.lower()), []).append(column)
+    clashes = [", ".join(columns) for columns in found.values() if len(columns) > 1]
+    if clashes:
+        raise ValueError(f"columns of one meaning: {'; '.join(clashes)}")
     missing = [f.name for f in schema if f.name not in found]
     if missing:
         raise ValueError(f"columns not found: {', '.join(missing)}")
-    wanted = [F.col(f"`{found[f.name]}`").cast(f.dataType).alias(f.name) for f in schema]
+    wanted = [
+        F.col(f"`{found[f.name][0]}`").cast(f.dataType).alias(f.name, metadata={"source": found[f.name][0]})
+        for f in schema
+    ]
     if extra:
-        named = {f.name for f in schema}
-        wanted += [F.col(f"`{old}`").alias(new) for new, old in found.items() if new not in named]
+        others = [columns[0] for name, columns in found.items() if name not in schema.names]
+        wanted += [F.col(f"`{old}`").alias(old, metadata={"source": old}) for old in others]
     return df.select(*wanted)
 
 
@@ -48,7 +53,7 @@ def read_table(
     location: str,
     schema: StructType,
     format: str = "parquet",
-    names: Mapping[str, str] = m.ARCHIVE_NAMES,
+    names: Mapping[str, str] | None = None,
     extra: bool = False,
     **options: str,
 ) -> DataFrame:
@@ -74,7 +79,7 @@ def read_jdbc(
     lower: str,
     upper: str,
     partitions: int,
-    names: Mapping[str, str] = m.ARCHIVE_NAMES,
+    names: Mapping[str, str] | None = None,
     **options: str,
 ) -> DataFrame:
     """A database table, read in parallel ranges of ``partition_column``; filters are pushed down."""
@@ -108,31 +113,61 @@ def read_config(spark: SparkSession, name: str, path: str) -> DataFrame:
     return read_table(spark, path, schema, "tsv" if separator == "\t" else "csv")
 
 
-def read_manifest(spark: SparkSession, path: str, checksum: bool = False) -> DataFrame:
+#: Files up to this size are read for their checksum; a larger one has none.
+CHECKSUM_BYTES = 256 << 20
+
+
+def _root(spark: SparkSession, path: str) -> str:
+    """The path as Spark lists files below it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.makeQualified(place).toString().rstrip("/")
+
+
+def read_manifest(
+    spark: SparkSession, path: str, checksum: bool = False, checksum_bytes: int = CHECKSUM_BYTES
+) -> DataFrame:
     """Files below ``path`` as (dir, name, modified, owner, length, checksum).
 
-    File contents are read only if the checksum is asked for. ``owner`` is null;
-    file systems do not tell Spark.
+    ``dir`` is relative to ``path``, empty for files right below it. Contents are read
+    only if the checksum is asked for, and only of files up to ``checksum_bytes``, as
+    a file is one row; the checksum of larger ones is null. ``owner`` is null; file
+    systems do not tell Spark.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    parts = F.split("path", "/")
-    return files.select(
-        F.element_at(parts, -2).alias("dir"),
-        F.element_at(parts, -1).alias("name"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("modified"),
-        F.lit(None).cast("string").alias("owner"),
-        "length",
-        (F.md5("content") if checksum else F.lit(None).cast("string")).alias("checksum"),
-    )
+    inner = F.substring("path", len(_root(spark, path)) + 2, 1 << 20)
+    name = F.substring_index(inner, "/", -1)
+
+    def listed(rows: DataFrame, digest) -> DataFrame:
+        return rows.select(
+            F.rtrim(F.expr("left(_inner, length(_inner) - length(_name))"), F.lit("/")).alias("dir"),
+            F.col("_name").alias("name"),
+            F.col("modificationTime").cast("timestamp_ntz").alias("modified"),
+            F.lit(None).cast("string").alias("owner"), "length", digest.alias("checksum"),
+        )
+
+    files = files.withColumns({"_inner": inner, "_name": name})
+    nothing = F.lit(None).cast("string")
+    if not checksum:
+        return listed(files, nothing)
+    small = listed(files.where(F.col("length") <= checksum_bytes), F.md5("content"))
+    return small.unionByName(listed(files.where(F.col("length") > checksum_bytes), nothing))
+
+
+def _written(spark: SparkSession, path: str, format: str) -> DataFrame:
+    """A table that ``sinks`` wrote."""
+    if format in ("csv", "tsv"):
+        return spark.read.options(header=True, sep="\t" if format == "tsv" else ",").csv(path)
+    return spark.read.format(format).load(path)
 
 
-def read_site_counts(spark: SparkSession, path: str) -> DataFrame:
+def read_site_counts(spark: SparkSession, path: str, format: str = "tsv") -> DataFrame:
     """Counts that earlier runs wrote, one folder for all namespaces and sites; durations are optional."""
-    counts = spark.read.options(header=True).csv(path)
+    counts = _written(spark, path, format)
     wanted = [f for f in m.SITE_COUNTS if f.name != "duration" or "duration" in counts.columns]
     return conform(counts, StructType(wanted))
 
 
-def read_summaries(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
-    """The summary of every report, as text columns."""
-    return [spark.read.options(header=True, sep="\t").csv(path) for path in paths]
+def read_summaries(spark: SparkSession, paths: Sequence[str], format: str = "tsv") -> list[DataFrame]:
+    """The summary of every report, as it was written."""
+    return [_written(spark, path, format) for path in paths]

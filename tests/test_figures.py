@@ -51,7 +51,7 @@ def test_usage_reports(tables):
     by_field = usage.usage_by_field(full)
     assert [r for r in rows(by_field) if r[0] in ("Observation.obs_id", "Plane.kind")] == [
         ("Observation.obs_id", 3, 0, 0.0, 4, 0, 0.0), ("Plane.kind", 2, 1, 50.0, 4, 1, 25.0)]
-    by_group = usage.usage_by_group(full, usage.obs_totals(obs), usage.plane_totals(obs, plane), fields)
+    by_group = usage.usage_by_group(full, fields, fields)
     assert rows(by_group) == [
         ("Observation", "A", "cam", 5, 2, 40.0, 10, 3, 30.0),
         ("Observation", "A", "spec", 5, 1, 20.0, 5, 1, 20.0),
@@ -73,14 +73,17 @@ def test_field_ranges(tables):
     fields = usage.field_catalog(*tables)
     assert fields[0] == "Observation.collection" and fields[-1] == "Plane.plane_id"
     assert usage.field_range(fields, "Observation.target", "Plane.kind") == ["Observation.target", "Plane.kind"]
-    assert usage.field_range(fields, "nope", "Plane.kind") == []
+    assert usage.field_range(fields, "OBSERVATION.Target", "plane.KIND") == ["Observation.target", "Plane.kind"]
+    for unknown in (("nope", "Plane.kind"), (None, "Plane.nope")):
+        with pytest.raises(ValueError, match="unknown field"):
+            usage.field_range(fields, *unknown)
     assert usage.field_range(fields, "Plane.kind", "Observation.target") == []
     assert usage.field_range(fields) == fields
     with pytest.raises(ValueError):
         usage.null_usage(*tables, ["Elsewhere.kind"])
     assert usage.null_usage(*tables, []).count() == 0
-    none = usage.usage_by_group(usage.null_usage(*tables, ["Plane.kind"]), usage.obs_totals(tables[0]),
-                                usage.plane_totals(*tables), fields)
+    totals = {"Observation": usage.obs_totals(tables[0]), "Plane": usage.plane_totals(*tables)}
+    none = usage.usage_by_group(usage.null_usage(*tables, ["Plane.kind"]), ["Plane.kind"], fields, totals=totals)
     assert none.where("table_name = 'Observation' and fields_with_null = 0").count() == 3
 
 

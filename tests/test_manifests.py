@@ -11,12 +11,17 @@ def test_newest_upload(frame):
         ("d1", "a.tar.gz", 3), ("d1", "b.tex", 2), ("d1", "c.zip", 1),
         ("d2", "a.tex", 3), ("d2", "b.rar", 2), ("d2", "c.tex", 1),
         ("d3", "x.7z", 1), ("d4", "x.tgz", 1), ("d5", "a.tar", 5), ("d5", "b.tex", 5),
+        ("d6", "a.tex", 5), ("d6", "b.tar", 5), ("d7", "only.zip", None), ("d8", "late.tar", None), ("d8", "a.tex", 1),
+        ("d9", "twice.tar", 2), ("d9", "twice.tar", 2), ("d9", "twice.tar", 1),
     ], UPLOAD)
     assert rows(manifests.newest_upload(uploads), "dir", "name", "outcome") == [
         ("d1", "a.tar.gz", "BUNDLE_TAKEN"), ("d1", "b.tex", "OLDER_FILE"), ("d1", "c.zip", "OLDER_BUNDLE"),
         ("d2", "a.tex", "FILE_TAKEN"), ("d2", "b.rar", "ORPHAN_BUNDLE"), ("d2", "c.tex", "FILE_TAKEN"),
         ("d3", "x.7z", "BUNDLE_TAKEN"), ("d4", "x.tgz", "FILE_TAKEN"),
-        ("d5", "a.tar", "ORPHAN_BUNDLE"), ("d5", "b.tex", "FILE_TAKEN"),
+        ("d5", "a.tar", "BUNDLE_TAKEN"), ("d5", "b.tex", "OLDER_FILE"),
+        ("d6", "a.tex", "FILE_TAKEN"), ("d6", "b.tar", "ORPHAN_BUNDLE"), ("d7", "only.zip", "BUNDLE_TAKEN"),
+        ("d8", "a.tex", "FILE_TAKEN"), ("d8", "late.tar", "ORPHAN_BUNDLE"),
+        ("d9", "twice.tar", "BUNDLE_TAKEN"), ("d9", "twice.tar", "OLDER_BUNDLE"),
     ]
 
 
@@ -41,9 +46,14 @@ def test_manifest_diff(frame):
         ("c", "kept", "1"), ("a", "z.rar", "9"), ("a", "nosum", "1"),
     ], columns)
     assert rows(manifests.manifest_diff(source, target)) == [
-        ("a", "changed", "DIFFERS"), ("a", "new", "COPY"), ("a", "nosum", "DIFFERS"), ("a", "old", "STALE"),
+        ("a", "changed", "DIFFERS"), ("a", "new", "COPY"), ("a", "nosum", "UNCHECKED"), ("a", "old", "STALE"),
         ("a", "old.zip", "STALE"), ("a", "same", "SAME"), ("b", "old", "STALE"),
     ]
+    sized = "dir string, name string, checksum string, length long"
+    source = frame([("", "big", None, 5), ("", "same", None, 5), ("", "unknown", None, None)], sized)
+    target = frame([("", "big", None, 6), ("", "same", None, 5), ("", "unknown", "1", 1)], sized)
+    assert rows(manifests.manifest_diff(source, target)) == [
+        ("", "big", "DIFFERS"), ("", "same", "UNCHECKED"), ("", "unknown", "UNCHECKED")]
 
 
 def test_not_listed(frame):
