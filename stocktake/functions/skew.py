@@ -25,32 +25,33 @@ def attach_group_values(
 ) -> DataFrame:
     """Inner join of ``rows`` with ``groups`` (one row per key) that no hot key can stall.
 
-    ``groups[size]`` is the number of rows in the group. The ``largest`` groups,
-    a fixed number of rows, are broadcast and their rows never shuffle. The
-    other rows take a shuffle join, where no key has more than 1/``largest`` of
-    all rows. The two halves are exact complements.
+    ``groups[size]`` is the number of rows in the group. Rows are read once: they
+    meet the ``largest`` groups, a fixed number, which are broadcast. Then all take
+    one shuffle join; rows that have their values already travel under a salted key,
+    the others under one that no more than 1/``largest`` of all rows share.
     """
     values = [c for c in groups.columns if c not in keys and c != size]
-    # Ties are broken by the keys: both uses of ``head`` must see the same groups. The values,
-    # and the condition on the size, add nothing but make all uses of ``groups`` need the same
-    # columns, so that Spark computes and shuffles the groups once.
+    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Ties are broken by the keys, so that the same groups are found in a rerun.
     head = groups.orderBy(F.desc(size), *[F.col(c).asc_nulls_first() for c in (*keys, *values)])
-    head = head.limit(largest).alias("head")
-    group = groups.where(F.col(size) > 0).alias("grp")
-    row = rows.alias("row")
-
-    def matches(name):
-        return reduce(
-            lambda a, b: a & b, (F.col(f"row.`{k}`").eqNullSafe(F.col(f"{name}.`{k}`")) for k in keys)
-        )
-
-    def pick(name):
-        return [F.col(f"row.`{c}`") for c in rows.columns] + [F.col(f"{name}.`{c}`") for c in values]
-
-    large = row.join(F.broadcast(head), matches("head"), "inner").select(*pick("head"))
-    small = row.join(F.broadcast(head), matches("head"), "left_anti").alias("row")
-    small = small.join(group, matches("grp"), "inner").select(*pick("grp"))
-    return large.unionByName(small)
+    head = head.limit(largest).select(
+        *[F.col(k).alias(f"_head_{k}") for k in keys],
+        F.struct(F.lit(True).alias("known"), *values).alias("_head"),
+    )
+    own = F.broadcast(head)
+    found = rows.join(own, reduce(lambda a, b: a & b, (rows[k].eqNullSafe(own[f"_head_{k}"]) for k in keys)), "left")
+    salt = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.lit(spread)) + 1
+    found = found.withColumn("_salt", F.when(F.col("_head.known"), salt).otherwise(F.lit(0).cast("long")))
+    group = groups.select(
+        *[F.col(k).alias(f"_group_{k}") for k in keys], F.lit(0).cast("long").alias("_zero"),
+        F.struct(F.lit(True).alias("known"), *values).alias("_group"),
+    )
+    same = reduce(lambda a, b: a & b, (rows[k].eqNullSafe(group[f"_group_{k}"]) for k in keys))
+    joined = found.join(group, same & (F.col("_salt") == F.col("_zero")), "left")
+    held = F.coalesce("_head", "_group")
+    return joined.withColumn("_held", held).where("_held.known").select(
+        *[rows[c] for c in rows.columns], *[F.col(f"_held.`{c}`").alias(c) for c in values]
+    )
 
 
 # A lookup table of at most this many rows is broadcast; a larger one is not.

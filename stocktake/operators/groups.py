@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stocktake.functions.skew import BROADCAST_ROWS, attach_group_values
-from stocktake.plans.session import ensure_checkpoint_dir
+from stocktake.plans.stages import drop, stage
 
 
 def _relink(edges: DataFrame, hub: str, spoke: str, small: bool) -> DataFrame:
@@ -25,13 +25,13 @@ def connected_components(edges: DataFrame, broadcast_rows: int = BROADCAST_ROWS)
     and small-star steps (Kiveris et al., SoCC 2014): every step only moves
     edges towards smaller nodes, and the number of rounds grows with the
     logarithm of the graph, not with its longest chain. Each round is written
-    to the checkpoint folder, so a lost executor repeats one round only.
+    to the shared folder, so a lost executor repeats one round only, and goes when
+    the next one is there.
     """
-    ensure_checkpoint_dir(edges.sparkSession)
-    start = edges.select(
-        F.greatest("a", "b").alias("node"), F.least("a", "b").alias("to")
-    ).distinct().checkpoint()
-    links = start.where("node <> to")
+    start, _ = stage(
+        edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("to")).distinct(), "links"
+    )
+    links, before = start.where("node <> to"), None
     size, unfinished = _progress(links)
     while unfinished:
         # A graph of this many edges has no more hubs than that, so they may be broadcast.
@@ -43,7 +43,10 @@ def connected_components(edges: DataFrame, broadcast_rows: int = BROADCAST_ROWS)
         near = near.select(F.col("to").alias("node"), F.col("low").alias("to")).unionByName(
             near.select("node", F.col("low").alias("to"))
         )
-        links = near.where("node <> to").distinct().checkpoint()
+        links, written = stage(near.where("node <> to").distinct(), "links")
+        if before:
+            drop(edges.sparkSession, before)
+        before = written
         size, unfinished = _progress(links)
     loops = start.where("node = to").select("node", F.col("to").alias("component"))
     centres = links.select(F.col("to").alias("node"), F.col("to").alias("component"))

@@ -19,10 +19,14 @@ PLANE = (
 
 
 def plane_preview_flags(observation: DataFrame, plane: DataFrame, artifact: DataFrame) -> DataFrame:
-    """One row per good plane with artifacts: 1/0 per type. Null keys stay null."""
+    """One row per good plane with artifacts: 1/0 per type. Null keys stay null.
+
+    ``artifact`` is the table or its ``profiles.artifact_types_by_plane``.
+    """
     good = plane.where(non_junk()).select("plane_id", "obs_id", "data_product_type", "max_last_modified")
     owners = observation.select("obs_id", "collection", "observation_id", "instrument_name", "intent")
-    flagged = artifact_types_by_plane(artifact, TYPES)
+    folded = "num_artifacts" in artifact.columns
+    flagged = artifact.select("plane_id", *TYPES) if folded else artifact_types_by_plane(artifact, TYPES)
     planes = flagged.join(good, "plane_id").join(owners, "obs_id")
     return planes.select(*PLANE, *[F.coalesce(t, F.lit(0)).alias(t) for t in TYPES])
 

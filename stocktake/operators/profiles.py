@@ -50,16 +50,24 @@ def artifact_types_by_plane(artifact: DataFrame, vocabulary: Sequence[str] = PRO
     )
 
 
+def _folded(artifact: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+    """``artifact``, or what ``artifact_types_by_plane`` already made of it."""
+    return artifact if "num_artifacts" in artifact.columns else artifact_types_by_plane(artifact, vocabulary)
+
+
 def plane_type_flags(
     observation: DataFrame,
     plane: DataFrame,
     artifact: DataFrame,
     vocabulary: Sequence[str] = PRODUCT_TYPES,
 ) -> DataFrame:
-    """One row per good plane with artifacts, with its type flags. Keys are unique per table."""
+    """One row per good plane with artifacts, with its type flags. Keys are unique per table.
+
+    ``artifact`` is the table or its ``artifact_types_by_plane``, here and below.
+    """
     good = plane.where(non_junk()).select("plane_id", "obs_id", "data_product_type")
     owners = observation.select("obs_id", "collection", "instrument_name", "intent")
-    flagged = artifact_types_by_plane(artifact, vocabulary).drop("num_artifacts")
+    flagged = _folded(artifact, vocabulary).drop("num_artifacts")
     planes = flagged.join(good, "plane_id").join(owners, "obs_id")
     return planes.select(*PROFILE, "plane_id", *[flag_name(t) for t in vocabulary])
 
@@ -101,7 +109,7 @@ def profile_summary(
     flags = [flag_name(t) for t in vocabulary]
     owners = observation.select("obs_id", "collection", "instrument_name", "intent")
     planes = plane.select("plane_id", "obs_id", "data_product_type", "quality_flag").join(
-        artifact_types_by_plane(artifact, vocabulary), "plane_id", "left"
+        _folded(artifact, vocabulary), "plane_id", "left"
     )
     checked = F.col("num_artifacts").isNotNull() & non_junk()
     alike = planes.withColumn("checked", checked).groupBy(

@@ -42,6 +42,32 @@ def inventory_listing(inventory: DataFrame, namespace: str) -> DataFrame:
     return dedupe_first(held, ["uri"], newest_first())
 
 
+def _members(members: DataFrame, kind: str) -> DataFrame:
+    return members.where(F.col("member_type") == kind).select("group_id", F.col("member").alias(kind))
+
+
+#: What a file of an audit group is known by. A URI under nested namespaces is listed under each of them on
+#: both sides; joined on all three it pairs with itself once for each, not each with each.
+GROUP_FILE = ("group_id", "namespace", "uri")
+
+
+def archive_listing_for_groups(
+    observation: DataFrame, plane: DataFrame, artifact: DataFrame, members: DataFrame
+) -> DataFrame:
+    """``catalog_listing_for_groups`` from the archive's three tables.
+
+    Artifacts are matched to the groups' namespaces and observations to their
+    collections before the tables meet, so that files of other groups do not travel.
+    """
+    files = match_namespaces(artifact.select("plane_id", *FILE), _members(members, "namespace"))
+    owners = lookup_join(
+        observation.select("obs_id", "collection"), _members(members, "collection"), ["collection"], spread_by=["obs_id"]
+    )
+    owned = plane.select("plane_id", "obs_id").join(owners, "obs_id").drop("obs_id")
+    rows = files.join(owned, ["plane_id", "group_id"]).select("group_id", "collection", "namespace", *FILE)
+    return dedupe_first(rows, ["group_id", "collection", "namespace", "uri"], newest_first())
+
+
 def catalog_listing_for_groups(described: DataFrame, members: DataFrame) -> DataFrame:
     """Catalog files of every audit group at once: its collections x its namespaces.
 
@@ -49,12 +75,7 @@ def catalog_listing_for_groups(described: DataFrame, members: DataFrame) -> Data
     within (collection, namespace) only, so a URI described by two collections
     stays twice.
     """
-    collections = members.where("member_type = 'collection'").select(
-        "group_id", F.col("member").alias("collection")
-    )
-    namespaces = members.where("member_type = 'namespace'").select(
-        "group_id", F.col("member").alias("namespace")
-    )
+    collections, namespaces = _members(members, "collection"), _members(members, "namespace")
     files = lookup_join(described.select("collection", *FILE), collections, ["collection"], spread_by=["uri"])
     files = match_namespaces(files, namespaces, also_on=["group_id"])
     files = files.select("group_id", "collection", "namespace", *FILE)
@@ -63,9 +84,7 @@ def catalog_listing_for_groups(described: DataFrame, members: DataFrame) -> Data
 
 def inventory_listing_for_groups(inventory: DataFrame, members: DataFrame) -> DataFrame:
     """Stored files of every audit group at once."""
-    namespaces = members.where("member_type = 'namespace'").select(
-        "group_id", F.col("member").alias("namespace")
-    )
+    namespaces = _members(members, "namespace")
     files = match_namespaces(inventory.select(*FILE), namespaces)
     files = files.select("group_id", "namespace", *FILE)
     return dedupe_first(files, ["group_id", "namespace", "uri"], newest_first())
@@ -165,10 +184,15 @@ def reconcile_summary(
     on: Sequence[str] = ("uri",),
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Files and bytes per side and files per category, for each value of ``by``.
+    """Files and bytes per side and files per category, for each value of ``by``, which must be part of ``on``."""
+    return summarize(catalog, inventory, reconcile(catalog, inventory, on), by)
+
 
-    ``by`` must be part of ``on``. Each side is counted from its own listing,
-    because a URI with several copies appears more than once among the pairs.
+def summarize(catalog: DataFrame, inventory: DataFrame, pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The same from pairs already made.
+
+    Each side is counted from its own listing, because a URI with several copies
+    appears more than once among the pairs.
     """
     zero = F.lit(0).cast("long")
 
@@ -180,12 +204,10 @@ def reconcile_summary(
     counts = {c: f"num_{c.lower()}" for c in m.RECONCILE_CATEGORIES}
     sides = [side(catalog, "catalog", "inventory"), side(inventory, "inventory", "catalog")]
     sides = [s.withColumns({n: zero for n in counts.values()}) for s in sides]
-    pairs = reconcile(catalog, inventory, on).groupBy(*by).agg(
-        *[F.count_if(F.col("category") == c).alias(n) for c, n in counts.items()]
-    )
-    pairs = pairs.withColumns(
+    found = pairs.groupBy(*by).agg(*[F.count_if(F.col("category") == c).alias(n) for c, n in counts.items()])
+    found = found.withColumns(
         {n: zero for n in ("num_catalog", "catalog_bytes", "num_inventory", "inventory_bytes")}
     )
-    parts = sides[0].unionByName(sides[1]).unionByName(pairs)
+    parts = sides[0].unionByName(sides[1]).unionByName(found)
     columns = ["num_catalog", "catalog_bytes", "num_inventory", "inventory_bytes", *counts.values()]
     return parts.groupBy(*by).agg(*[total(F.col(c)).alias(c) for c in columns])

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from stocktake import model as m
@@ -15,6 +13,7 @@ from stocktake.functions.skew import lookup_join
 from stocktake.operators import (
     config, copies, duplicates, groups, harvest, previews, profiles, reconcile, usage,
 )
+from stocktake.plans.stages import kept
 from stocktake.sources import sinks
 
 
@@ -31,16 +30,6 @@ class Archive:
     sites: DataFrame | None = None
 
 
-@contextmanager
-def kept(df: DataFrame):
-    """``df`` on executor disks while several outputs are written from it; lost parts are recomputed."""
-    kept_df = df.persist(StorageLevel.DISK_ONLY)
-    try:
-        yield kept_df
-    finally:
-        kept_df.unpersist()
-
-
 def _selected(archive: Archive, requested: DataFrame | None, **rules) -> DataFrame:
     selected = config.select_collections(archive.collections, requested, **rules)
     if archive.sites is not None:
@@ -56,23 +45,28 @@ def _only(observation: DataFrame, selected: DataFrame) -> DataFrame:
 def reconcile_audit(
     archive: Archive, out: str, requested: DataFrame | None = None, format: str = "tsv"
 ) -> None:
-    """Catalog against inventory, for the audit groups of the selected collections."""
+    """Catalog against inventory, for the audit groups of the selected collections.
+
+    Both listings and their pairs are made once; sections and counts come from the written tables.
+    """
     selected = _selected(archive, requested)
-    members = groups.groups_with(groups.audit_groups(archive.mappings), selected)
-    described = reconcile.described_artifacts(archive.observation, archive.plane, archive.artifact)
-    catalog = reconcile.catalog_listing_for_groups(described, members)
-    inventory = reconcile.inventory_listing_for_groups(archive.inventory, members)
-    on = ["group_id", "uri"]
-    with kept(catalog) as catalog, kept(inventory) as inventory:
-        files = reconcile.reconcile(catalog, inventory, on)
-        sinks.write_sections(
-            files.where(F.col("category") != m.CONSISTENT), f"{out}/files", on, format
-        )
-        sinks.write_table(
-            reconcile.reconcile_summary(catalog, inventory, on, ["group_id"]), f"{out}/summary",
-            ["group_id"], format,
-        )
-    sinks.write_table(members, f"{out}/groups", ["group_id", "member_type", "member"], format)
+    on = list(reconcile.GROUP_FILE)
+    with kept(groups.groups_with(groups.audit_groups(archive.mappings), selected), "groups") as members:
+        catalog = reconcile.archive_listing_for_groups(archive.observation, archive.plane, archive.artifact, members)
+        inventory = reconcile.inventory_listing_for_groups(archive.inventory, members)
+        with kept(catalog, "catalog") as catalog, kept(inventory, "inventory") as inventory:
+            with kept(reconcile.reconcile(catalog, inventory, on), "pairs") as pairs:
+                sinks.write_sections(
+                    pairs.where(F.col("category") != m.CONSISTENT), f"{out}/files", on, format
+                )
+                sinks.write_table(
+                    sinks.section_counts(pairs, m.RECONCILE_CATEGORIES), f"{out}/counts", ["category"], format
+                )
+                sinks.write_table(
+                    reconcile.summarize(catalog, inventory, pairs, ["group_id"]), f"{out}/summary",
+                    ["group_id"], format,
+                )
+        sinks.write_table(members, f"{out}/groups", ["group_id", "member_type", "member"], format)
 
 
 def duplicate_audit(
@@ -107,20 +101,21 @@ def profile_audit(
     observation, plane, artifact = _only(archive.observation, selected), archive.plane, archive.artifact
     order = ["collection", "observation_id"]
     sinks.write_table(profiles.no_planes(observation, plane), f"{out}/no_planes", order, format)
-    sinks.write_table(
-        profiles.no_artifacts(observation, plane, artifact), f"{out}/no_artifacts",
-        [*order, "plane_id"], format,
-    )
     sinks.write_table(
         profiles.junk_planes(observation, plane), f"{out}/junk_planes", [*order, "plane_id"], format
     )
-    planes = profiles.plane_type_flags(observation, plane, artifact)
-    sinks.write_table(
-        profiles.type_profile(planes), f"{out}/types", profiles.profile_order(), format
-    )
-    sinks.write_table(
-        profiles.profile_summary(observation, plane, artifact), f"{out}/summary", ["collection"], format
-    )
+    with kept(profiles.artifact_types_by_plane(artifact), "artifact-types") as folded:
+        sinks.write_table(
+            profiles.no_artifacts(observation, plane, folded), f"{out}/no_artifacts",
+            [*order, "plane_id"], format,
+        )
+        planes = profiles.plane_type_flags(observation, plane, folded)
+        sinks.write_table(
+            profiles.type_profile(planes), f"{out}/types", profiles.profile_order(), format
+        )
+        sinks.write_table(
+            profiles.profile_summary(observation, plane, folded), f"{out}/summary", ["collection"], format
+        )
 
 
 def preview_audit(
@@ -184,8 +179,10 @@ def usage_audit(
     all_fields = usage.field_catalog(observation, plane)
     fields = usage.field_range(all_fields, start, end)
     fine = usage.null_usage(observation, plane, fields)
-    fine_obs, fine_plane = usage.obs_totals(observation), usage.plane_totals(observation, plane)
-    with kept(fine) as fine, kept(fine_obs) as fine_obs, kept(fine_plane) as fine_plane:
+    with (
+        kept(fine, "usage") as fine, kept(usage.obs_totals(observation), "totals") as fine_obs,
+        kept(usage.plane_totals(observation, plane), "totals") as fine_plane,
+    ):
         coarse = usage.null_usage_rollup(fine).where("granularity = 'collection'").drop(
             "granularity", "instrument_name"
         )
@@ -205,7 +202,9 @@ def usage_audit(
             )
             sinks.write_table(usage.usage_by_field(rows), f"{place}/summary_by_field", ["field"], format)
             sinks.write_table(
-                usage.usage_by_group(rows, obs, planes, all_fields, by),
+                usage.usage_by_group(
+                    rows, fields, all_fields, by, {usage.OBSERVATION: obs, usage.PLANE: planes}
+                ),
                 f"{place}/summary_by_group", ["table_name", *by], format,
             )
 

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Null counts of wide tables aggregate hundreds of columns; they stay in generated code.
+    "spark.sql.codegen.maxFields": "2000",
 }
 
 
@@ -21,19 +23,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named in ``spark.checkpoint.dir``.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, which all executors share.
 
-    Only a local session may fall back to a temporary folder: on a cluster that
-    folder would not be shared, so leaving the setting out is an error.
+    Where it is unset, a local session, which is one process, makes one of its own;
+    on a cluster leaving it out is an error.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        context.setCheckpointDir(named)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="stocktake-checkpoint-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if not named:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="stocktake-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")

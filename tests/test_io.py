@@ -1,5 +1,6 @@
 """Readers, writers and the command line, end to end on small files."""
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -8,7 +9,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from stocktake import model as m
 from stocktake.__main__ import run
+from stocktake.operators import manifests
 from stocktake.plans.session import ensure_checkpoint_dir
+from stocktake.plans.stages import kept
 from stocktake.sources import sinks, tables
 
 
@@ -41,12 +44,31 @@ def test_read_formats_and_sites(spark, frame, tmp_path):
     assert rows(everywhere, "site", "uri") == [("x", "u/1"), ("x", "u/2"), ("y", "u/1"), ("y", "u/2")]
 
 
+def test_conform_rejects_columns_of_one_meaning(frame):
+    schema = m.StructType([m.ARTIFACT["uri"], m.ARTIFACT["last_modified"]])
+    for columns in ("uri string, lastModified string, contentLastModified string", "uri string, contentLastModified string, lastModified string"):
+        one, two = ("2024-01-01", "2024-01-02") if columns.index("lastM") < columns.index("contentL") else ("2024-01-02", "2024-01-01")
+        got = tables.conform(frame([("u", one, two)], columns), schema, extra=True)
+        assert str(got.first()["last_modified"]).startswith("2024-01-02") and got.columns[2] == "lastModified"
+    with pytest.raises(ValueError, match="URI, uri|uri, URI"):
+        tables.conform(frame([("u", "v")], "a string, b string").toDF("uri", "URI"), m.StructType([m.ARTIFACT["uri"]]))
+    with pytest.raises(ValueError, match="obsID"):
+        tables.conform(frame([("u", "v")], "obsID string, obs_id string"), m.StructType([m.PLANE["obs_id"]]))
+
+
 def test_manifest_of_files(spark, tmp_path):
-    (tmp_path / "P1").mkdir()
-    (tmp_path / "P1" / "a.tex").write_text("hello")
-    got = tables.read_manifest(spark, str(tmp_path), checksum=True)
-    assert rows(got, "dir", "name", "length", "checksum") == [("P1", "a.tex", 5, "5d41402abc4b2a76b9719d911017c592")]
-    plan = tables.read_manifest(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    for side in ("x", "y"):
+        for path, text in (("P1/a.tex", "hello"), ("P1/sub/a.tex", "hello"), ("P2/sub/a.tex", "longer"), ("top.bib", "t")):
+            (tmp_path / side / path).parent.mkdir(parents=True, exist_ok=True)
+            (tmp_path / side / path).write_text(text)
+    got = tables.read_manifest(spark, str(tmp_path / "x"), checksum=True, checksum_bytes=5)
+    hello = "5d41402abc4b2a76b9719d911017c592"
+    assert rows(got, "dir", "name", "length", "checksum") == [
+        ("", "top.bib", 1, "e358efa489f58062f10dd7316b65649e"), ("P1", "a.tex", 5, hello), ("P1/sub", "a.tex", 5, hello),
+        ("P2/sub", "a.tex", 6, None)]
+    both = [tables.read_manifest(spark, str(tmp_path / side), checksum=True, checksum_bytes=5) for side in "xy"]
+    assert rows(manifests.manifest_diff(*both), "dir", "action") == [("", "SAME"), ("P1", "SAME"), ("P1/sub", "SAME"), ("P2/sub", "UNCHECKED")]
+    plan = tables.read_manifest(spark, str(tmp_path / "x"))._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[1]
 
 
@@ -60,23 +82,28 @@ def test_sections(spark, frame, tmp_path):
         sinks.write_sections(df, str(tmp_path / "s"))
 
 
-def test_checkpoint_folder_is_the_one_named(spark):
-    ensure_checkpoint_dir(spark)
-    assert spark.conf.get("spark.checkpoint.dir") in spark.sparkContext.getCheckpointDir()
+def test_stage_tables_stand_in_the_folder_named_and_go(spark, tmp_path):
+    place = ensure_checkpoint_dir(spark)
+    assert place == spark.conf.get("spark.checkpoint.dir")
+    with kept(spark.range(3), "numbers") as numbers:
+        path = Path("/" + numbers.inputFiles()[0].removeprefix("file:").lstrip("/"))
+        assert str(path).startswith(place.removeprefix("file://")) and path.exists() and numbers.count() == 3
+    assert not path.exists()
 
 
 def test_checkpoint_folder_must_be_named_on_a_cluster():
     def session(master, named):
         used = []
-        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=used.append)
-        conf = SimpleNamespace(get=lambda key, default: named)
-        return SimpleNamespace(sparkContext=context, conf=conf), used
+        conf = SimpleNamespace(get=lambda key, default: named, set=lambda key, value: used.append(value))
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master), conf=conf), used
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        ensure_checkpoint_dir(session("spark://host:7077", None)[0])
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(session(master, None)[0])
     cluster, used = session("yarn", "/shared/here")
-    ensure_checkpoint_dir(cluster)
-    assert used == ["/shared/here"]
+    assert ensure_checkpoint_dir(cluster) == "/shared/here" and not used
+    alone, used = session("local[4]", None)
+    assert [ensure_checkpoint_dir(alone)] == used
 
 
 @pytest.fixture
@@ -92,7 +119,7 @@ def archive(spark, frame, tmp_path):
         ("a", "10", "n/1", "science", "c", 5, "t", at), ("b", "10", "n/1p", "preview", "c", 5, "t", at),
         ("c", "11", "n/2", "science", "c", 5, "t", at), ("d", "11", "n/1", "science", "c", 5, "t", at)],
         "artifactID string, planeID string, uri string, productType string, contentChecksum string,"
-        " contentLength long, contentType string, lastModified string")
+        " contentLength long, contentType string, contentLastModified string")
     put("inventory", [("n/1", "c", 5, "t", at), ("n/2", "x", 5, "t", at), ("n/9", "x", 5, "t", at)],
         "uri string, contentChecksum string, contentLength long, contentType string, contentLastModified string")
     put("harvest_skip", [(1, "Observation", "s/A", at, "bad")],
@@ -132,6 +159,27 @@ def test_reconcile_command(spark, archive):
                     "--out", str(archive / "no"), "B"])
 
 
+def test_records_of_each_collection_come_from_its_site(spark, archive, frame):
+    at = "2024-01-14 12:00:00"
+    (archive / "config" / "collections.tsv").write_text("collection\tin_si\tams_site\nA\tTrue\ts1\nB\tTrue\ts2\n")
+    (archive / "config" / "sites.tsv").write_text(f"site_name\tsite_url\ns1\t{archive}/tables\ns2\t{archive}/other\n")
+    other = {
+        "observation": ([("b1", "B", at), ("a9", "A", at)], "obs_id string, collection string, max_last_modified string"),
+        "plane": ([("b1p", "b1"), ("a9p", "a9")], "plane_id string, obs_id string"),
+        "artifact": ([("b1p", "n/5"), ("b1p", "n/5"), ("a9p", "n/6")], "plane_id string, uri string"),
+    }
+    for name, (data, columns) in other.items():
+        table, whole = frame(data, columns), {"observation": m.OBSERVATION, "plane": m.PLANE, "artifact": m.ARTIFACT}[name]
+        table.select("*", *[F.lit("science" if f.name == "product_type" else None).cast("string").alias(f.name) for f in whole if f.name not in table.columns]).write.orc(str(archive / "other" / name))
+        spark.read.parquet(str(archive / "tables" / name)).write.orc(str(archive / "tables_orc" / name))
+    (archive / "config" / "mappings.tsv").write_text("collection\tsi_namespace\nA\tn\nB\tn\n")
+    sites = (archive / "config" / "sites.tsv").read_text().replace(f"{archive}/tables", f"{archive}/tables_orc")
+    (archive / "config" / "sites.tsv").write_text(sites)
+    out = _run(spark, archive, "duplicates", "--sites", str(archive / "config" / "sites.tsv"), "--site-tables", "--table-format", "orc")
+    # The other site's record of collection A does not count.
+    assert rows(_tsv(spark, out / "summary"), "collection", "num_uris", "num_duplicate_uris") == [("A", "4", "1"), ("B", "2", "1")]
+
+
 def test_duplicate_command(spark, archive):
     out = _run(spark, archive, "duplicates", "A")
     assert rows(_tsv(spark, out / "uris"), "collection", "uri", "science", "n_known") == [("A", "n/1", "2", "2")]
@@ -158,7 +206,7 @@ def test_copies_command(spark, archive):
     site = str(archive / "tables" / "inventory")
     out = _run(spark, archive, "copies", "--site", f"x={site}", "--site", f"y={site}", "n")
     assert rows(_tsv(spark, out / "merged"), "namespace", "x_count", "y_count") == [("n", "3", "3")]
-    _run(spark, archive, "copies", "--site", f"x={site}", "--format", "csv", "--out", str(archive / "again"))
+    _run(spark, archive, "copies", "--site", f"x={site}", "--out", str(archive / "again"))
     run(spark, ["merge", "--counts", str(archive / "again" / "counts"), "--site", "x", "--site", "z",
                 "--out", str(archive / "merged")])
     assert rows(_tsv(spark, archive / "merged"), "namespace", "x_count", "z_count") == [
@@ -172,7 +220,7 @@ def test_usage_command(spark, archive):
     assert rows(by_field.where("field = 'Observation.target'"), "collection", "num_null") == [("B", "1")]
     assert read("collection", "summary_by_field").count() == 8 + 5
     assert read("collection", "summary_by_group").count() == 3
-    one = _run(spark, archive, "usage", "--format", "csv", "--start", "Plane.quality_flag", "--out",
+    one = _run(spark, archive, "usage", "--format", "csv", "--start", "plane.QUALITY_flag", "--out",
                str(archive / "range"))
     assert spark.read.options(header=True).csv(str(archive / "range" / "collection" / "summary_by_field")).count() == 1
 
@@ -196,6 +244,12 @@ def test_file_commands(spark, tmp_path):
                 "--out", str(tmp_path / "diff")])
     assert rows(_tsv(spark, tmp_path / "diff")) == [
         ("P1", "a.tex", "SAME"), ("P1", "b.tex", "COPY"), ("P1", "old.doc", "STALE")]
+    (tmp_path / "toc.txt").write_text("p. 3 see P10\n")
+    (tmp_path / "dst" / "P2").mkdir()
+    (tmp_path / "dst" / "P2" / "sub").mkdir()
+    (tmp_path / "dst" / "P2" / "sub" / "a.tex").write_text("x")
+    run(spark, ["listed", "--source", str(tmp_path / "dst"), "--contents", str(tmp_path / "toc.txt"), "--out", str(tmp_path / "absent")])
+    assert rows(_tsv(spark, tmp_path / "absent")) == [("P2",)]
     run(spark, ["expected", "--source", str(tmp_path / "dst"), "--out", str(tmp_path / "odd")])
     assert rows(_tsv(spark, tmp_path / "odd")) == [("P1", "old.doc")]
     (tmp_path / "uploads.csv").write_text(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stocktake.functions.dedupe import dedupe_first, newest_first
 from stocktake.functions.prefixes import match_namespaces
 from stocktake.operators import manifests, reconcile, usage
+from stocktake.plans.session import configure
 from workload.registry import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -80,6 +81,8 @@ def test_all_fields_take_one_scan(spark, tmp_path):
     fields = [f"Observation.f{i}" for i in range(150)]
     text = plan(usage.null_usage_obs(obs, fields))
     assert count(text, "FileScan") == 1 and count(text, "Exchange") == 1
+    configure(spark)
+    assert "*(1) HashAggregate" in plan(usage.null_usage_obs(obs, fields), run=True)
     few = plan(usage.null_usage_obs(obs, fields[:2]))
     assert "ReadSchema: struct<collection:string,instrument_name:string,f0:int,f1:int>" in few
 
@@ -107,8 +110,9 @@ def test_previews_are_counted_without_a_join_back(spark, no_broadcast):
     text = plan(QUERIES["preview_summary"](spark, SMALL))
     assert count(text, "SortMergeJoin") == 4  # two in the views, two of the audit
     both = plan(QUERIES["preview_classify"](spark, SMALL), run=True)
-    # The planes are read three times, their tables only once.
+    # The planes are made once for their combinations and once as rows.
     assert count(both, "FileScan") <= 6
+    assert count(both, "SortMergeJoin") <= 9
 
 
 def test_groups_are_found_once(spark, tmp_path):
@@ -118,5 +122,16 @@ def test_groups_are_found_once(spark, tmp_path):
         F.col("id").alias("modified"),
     ).write.parquet(path)
     text = plan(manifests.newest_upload(spark.read.parquet(path)), run=True)
-    # One scan for the groups, one for each half of the rows.
-    assert count(text, "FileScan") == 3 and count(text, "ReusedExchange") >= 2
+    assert count(text, "FileScan") <= 2
+
+
+def test_files_meet_once(spark, no_broadcast):
+    text = plan(QUERIES["manifest_diff"](spark, SMALL))
+    assert count(text, "FullOuter") == 1
+
+
+def test_artifacts_are_matched_before_they_meet_planes(spark, no_broadcast):
+    text = plan(QUERIES["archive_reconcile_summary"](spark, SMALL))
+    # Below the exchange by plane stands the match with the namespaces.
+    below = text[text.index("hashpartitioning(plane_id"):]
+    assert "namespace" in below.split("FileScan")[0] and "Generate explode" in below
