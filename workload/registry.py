@@ -10,13 +10,16 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from stocktake.functions.dedupe import dedupe_first, newest_first
-from stocktake.model import EXPECTED_KINDS, PREVIEW_CATEGORIES, PRODUCT_TYPES, flag_name
+from stocktake.model import EXPECTED_KINDS, OBSERVATION, PREVIEW_CATEGORIES, PRODUCT_TYPES, flag_name
 from stocktake.operators import (
     config, copies, duplicates, groups, harvest, manifests, previews, profiles, reconcile, reports,
     usage,
 )
+from stocktake.plans.stages import stage
+from stocktake.sources.tables import conform
 from workload.views import view, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,9 +152,9 @@ def _(v):
     return reconcile.reconcile(*_sides(v), on=ON)
 
 
-def _reconcile_summary_sql(key: str, extra: str = "") -> str:
+def _reconcile_summary_sql(key: str, *also: str) -> str:
     """Counts per ``key`` from tables ``cat`` and ``inv`` already defined."""
-    same = f"c.uri = i.uri AND c.{key} = i.{key}"
+    same = " AND ".join(f"c.{k} = i.{k}" for k in ("uri", key, *also))
     pairs = f"(SELECT c.{key} AS k, %s FROM cat c JOIN inv i ON {same})"
     when = " ".join(f"WHEN {w} THEN '{c}'" for c, w in DIFF_WHERE.items())
     metric = "COUNT(*) FILTER (WHERE category = '{0}') AS num_{1}"
@@ -216,13 +219,38 @@ def _(v):
     return reconcile.catalog_listing_for_groups(v("catalog"), members)
 
 
-@register("group_reconcile_summary", f"{GROUP_LISTINGS}, {_reconcile_summary_sql('group_id')}")
+@register("group_reconcile_summary", f"{GROUP_LISTINGS}, {_reconcile_summary_sql('group_id', 'namespace')}")
 def _(v):
     members = groups.audit_groups(v("mappings"))
     return reconcile.reconcile_summary(
         reconcile.catalog_listing_for_groups(v("catalog"), members),
         reconcile.inventory_listing_for_groups(v("inventory"), members),
-        on=["group_id", "uri"], by=["group_id"],
+        on=reconcile.GROUP_FILE, by=["group_id"],
+    )
+
+
+ARCHIVE_LISTINGS = f"""{_groups_sql("archive_mappings")},
+    cat AS ({_first_rows('''(SELECT c.group_id, o.collection, n.member AS namespace, a.uri,
+        a.content_checksum, a.content_length, a.content_type, a.last_modified
+        FROM {artifact} a JOIN {plane} p ON p.plane_id = a.plane_id JOIN {observation} o ON o.obs_id = p.obs_id
+        JOIN members c ON c.member_type = 'collection' AND c.member = o.collection
+        JOIN members n ON n.member_type = 'namespace' AND n.group_id = c.group_id
+          AND starts_with(a.uri, concat(n.member, '/'))) x''', 'group_id, collection, namespace, uri',
+        'group_id, collection, namespace, uri, ' + CONTENT)}),
+    inv AS ({_first_rows('''(SELECT n.group_id, n.member AS namespace, f.uri,
+        f.content_checksum, f.content_length, f.content_type, f.last_modified
+        FROM {archive_inventory} f JOIN members n ON n.member_type = 'namespace'
+          AND starts_with(f.uri, concat(n.member, '/'))) x''', 'group_id, namespace, uri',
+        'group_id, namespace, uri, ' + CONTENT)})"""
+
+
+@register("archive_reconcile_summary", f"{ARCHIVE_LISTINGS}, {_reconcile_summary_sql('group_id', 'namespace')}")
+def _(v):
+    members = groups.audit_groups(v("archive_mappings"))
+    return reconcile.reconcile_summary(
+        reconcile.archive_listing_for_groups(v("observation"), v("plane"), v("artifact"), members),
+        reconcile.inventory_listing_for_groups(v("archive_inventory"), members),
+        on=reconcile.GROUP_FILE, by=["group_id"],
     )
 
 
@@ -287,16 +315,27 @@ def _(v):
 
 # --- C: type profiles ------------------------------------------------------------------------
 
-@register("no_planes", """SELECT 'NO_PLANES' AS category, o.collection, o.observation_id,
-    o.max_last_modified FROM {observation} o LEFT JOIN {plane} p ON o.obs_id = p.obs_id
-    WHERE p.plane_id IS NULL""")
+NO_PLANES = """SELECT 'NO_PLANES' AS category, collection, observation_id, max_last_modified FROM {observation} o
+    WHERE NOT EXISTS (SELECT 1 FROM {plane} p WHERE p.obs_id = o.obs_id)"""
+
+
+@register("no_planes", NO_PLANES)
 def _(v):
     return profiles.no_planes(v("observation"), v("plane"))
 
 
-NO_ARTIFACTS = """SELECT 'NO_ARTIFACTS' AS category, o.collection, o.observation_id, p.plane_id,
-    p.data_product_type, p.max_last_modified FROM {observation} o JOIN {plane} p ON o.obs_id = p.obs_id
-    LEFT JOIN {artifact} a ON a.plane_id = p.plane_id WHERE a.plane_id IS NULL"""
+# Planes with the words their listings use for their observation.
+LISTED = """SELECT p.*, (SELECT collection FROM {observation} o WHERE o.obs_id = p.obs_id) AS collection,
+      (SELECT observation_id FROM {observation} o WHERE o.obs_id = p.obs_id) AS observation_id
+    FROM {plane} p WHERE EXISTS (SELECT 1 FROM {observation} o WHERE o.obs_id = p.obs_id)"""
+
+
+def _listed_sql(category: str, condition: str) -> str:
+    return f"""SELECT '{category}' AS category, collection, observation_id, plane_id, data_product_type,
+      max_last_modified FROM ({LISTED}) x WHERE {condition}"""
+
+
+NO_ARTIFACTS = _listed_sql("NO_ARTIFACTS", "NOT EXISTS (SELECT 1 FROM {artifact} a WHERE a.plane_id = x.plane_id)")
 
 
 @register("no_artifacts", NO_ARTIFACTS)
@@ -304,9 +343,7 @@ def _(v):
     return profiles.no_artifacts(v("observation"), v("plane"), v("artifact"))
 
 
-JUNK = """SELECT 'JUNK_PLANE' AS category, o.collection, o.observation_id, p.plane_id,
-    p.data_product_type, p.max_last_modified FROM {observation} o JOIN {plane} p ON o.obs_id = p.obs_id
-    WHERE p.quality_flag = 'junk'"""
+JUNK = _listed_sql("JUNK_PLANE", "quality_flag = 'junk'")
 
 
 @register("junk_planes", JUNK)
@@ -314,21 +351,23 @@ def _(v):
     return profiles.junk_planes(v("observation"), v("plane"))
 
 
-PLANE_TYPES = f"""artifacts AS (
-    SELECT o.collection, o.instrument_name, o.intent, p.plane_id, p.data_product_type, {FLAG_SQL}
-    FROM {{observation}} o JOIN {{plane}} p ON o.obs_id = p.obs_id
-    JOIN {{artifact}} a ON p.plane_id = a.plane_id
-    WHERE p.quality_flag IS NULL OR p.quality_flag <> 'junk'),
-  planes AS (SELECT collection, instrument_name, intent, data_product_type, plane_id,
-    {', '.join(f'MIN({f}) AS {f}' for _, f in FLAGS)} FROM artifacts
-    GROUP BY collection, instrument_name, intent, data_product_type, plane_id)"""
+# A good plane has a type if any of its artifacts is of it.
+PLANE_TYPES = f"""has AS (SELECT plane_id, COUNT(*) AS num_artifacts,
+      {', '.join(f"CASE WHEN bool_or(product_type = '{t}') THEN 1 END AS {f}" for t, f in FLAGS)}
+    FROM {{artifact}} GROUP BY plane_id),
+  planes AS (SELECT (SELECT collection FROM {{observation}} o WHERE o.obs_id = p.obs_id) AS collection,
+      (SELECT instrument_name FROM {{observation}} o WHERE o.obs_id = p.obs_id) AS instrument_name,
+      (SELECT intent FROM {{observation}} o WHERE o.obs_id = p.obs_id) AS intent,
+      p.data_product_type, has.*
+    FROM has JOIN {{plane}} p USING (plane_id)
+    WHERE coalesce(p.quality_flag, '') <> 'junk' AND p.obs_id IN (SELECT obs_id FROM {{observation}}))"""
 
 
 def _plane_types(v):
     return profiles.plane_type_flags(v("observation"), v("plane"), v("artifact"))
 
 
-@register("plane_type_flags", f"WITH {PLANE_TYPES} SELECT * FROM planes")
+@register("plane_type_flags", f"WITH {PLANE_TYPES} SELECT * EXCLUDE (num_artifacts) FROM planes")
 def _(v):
     return _plane_types(v)
 
@@ -344,13 +383,13 @@ PROFILE_SUMMARY = f"""WITH {PLANE_TYPES}, keys AS (SELECT DISTINCT collection FR
     combos AS (SELECT DISTINCT collection, instrument_name, intent, data_product_type, {FLAG_NAMES}
       FROM planes)
     SELECT collection,
-      (SELECT COUNT(*) FROM {{observation}} o LEFT JOIN {{plane}} p ON o.obs_id = p.obs_id
-        WHERE p.plane_id IS NULL AND o.collection = keys.collection) AS num_no_planes,
+      (SELECT COUNT(*) FROM ({NO_PLANES}) x WHERE x.collection = keys.collection) AS num_no_planes,
       (SELECT COUNT(*) FROM ({NO_ARTIFACTS}) x WHERE x.collection = keys.collection)
         AS num_no_artifacts,
       (SELECT COUNT(*) FROM ({JUNK}) x WHERE x.collection = keys.collection) AS num_junk_planes,
       (SELECT COUNT(*) FROM planes x WHERE x.collection = keys.collection) AS num_planes,
-      (SELECT COUNT(*) FROM artifacts x WHERE x.collection = keys.collection) AS num_artifacts,
+      (SELECT CAST(COALESCE(SUM(num_artifacts), 0) AS BIGINT) FROM planes x WHERE x.collection = keys.collection)
+        AS num_artifacts,
       (SELECT COUNT(*) FROM combos x WHERE x.collection = keys.collection) AS num_combinations
     FROM keys"""
 
@@ -367,36 +406,24 @@ COMBO_SQL = ", ".join(COMBO)
 PLANE_KEYS = """collection, observation_id, instrument_name, intent, plane_id, data_product_type,
     max_last_modified"""
 PREVIEW_TYPES = ("preview", "thumbnail", "this", "science", "calibration")
-# The four rounds, one after the other: each takes the combinations its best planes show and
-# all planes of those combinations away from the next round.
-WATERFALL = f"""p0 AS (
-    SELECT o.collection, o.observation_id, COALESCE(o.instrument_name, 'None') AS instrument_name,
-      COALESCE(o.intent, 'None') AS intent, p.plane_id,
-      COALESCE(p.data_product_type, 'None') AS data_product_type, p.max_last_modified,
-      {', '.join(f"COALESCE(MIN(CASE WHEN a.product_type = '{t}' THEN 1 END), 0) AS {t}"
-                 for t in PREVIEW_TYPES)}
-    FROM {{observation}} o JOIN {{plane}} p ON o.obs_id = p.obs_id
-    JOIN {{artifact}} a ON p.plane_id = a.plane_id
-    WHERE p.quality_flag IS NULL OR p.quality_flag <> 'junk'
-    GROUP BY ALL),
-  c1 AS (SELECT DISTINCT {COMBO_SQL} FROM p0 WHERE preview = 1 AND thumbnail = 1),
-  p1 AS (SELECT * FROM p0 ANTI JOIN c1 USING ({COMBO_SQL})),
-  c2 AS (SELECT DISTINCT {COMBO_SQL} FROM p1 WHERE preview = 1),
-  p2 AS (SELECT * FROM p1 ANTI JOIN c2 USING ({COMBO_SQL})),
-  c3 AS (SELECT DISTINCT {COMBO_SQL} FROM p2 WHERE thumbnail = 1),
-  p3 AS (SELECT * FROM p2 ANTI JOIN c3 USING ({COMBO_SQL})),
-  labelled AS (
-    SELECT CASE WHEN preview = 1 AND thumbnail = 1 THEN 'CONSISTENT_FOR_BOTH'
-                ELSE 'INCONSISTENT_FOR_BOTH' END AS category, * FROM p0 SEMI JOIN c1 USING ({COMBO_SQL})
-    UNION ALL BY NAME
-    SELECT CASE WHEN preview = 1 THEN 'CONSISTENT_FOR_PREVIEW_ONLY'
-                ELSE 'INCONSISTENT_FOR_PREVIEW_ONLY' END AS category, *
-    FROM p1 SEMI JOIN c2 USING ({COMBO_SQL})
-    UNION ALL BY NAME
-    SELECT CASE WHEN thumbnail = 1 THEN 'CONSISTENT_FOR_THUMBNAIL_ONLY'
-                ELSE 'INCONSISTENT_FOR_THUMBNAIL_ONLY' END AS category, *
-    FROM p2 SEMI JOIN c3 USING ({COMBO_SQL})
-    UNION ALL BY NAME SELECT 'NEVER_HAD_PREVIEW' AS category, * FROM p3)"""
+# A plane is judged by what exists among its peers, the planes of its combination: one with both, else one
+# with a preview, else one with a thumbnail.
+PEERS = ", ".join(COMBO)
+WATERFALL = f"""has AS (SELECT plane_id, {', '.join(
+      f"CAST(coalesce(bool_or(product_type = '{t}'), false) AS INTEGER) AS {t}" for t in PREVIEW_TYPES)}
+    FROM {{artifact}} GROUP BY plane_id),
+  p0 AS (SELECT o.collection, o.observation_id, coalesce(o.instrument_name, 'None') AS instrument_name,
+      coalesce(o.intent, 'None') AS intent, x.plane_id, coalesce(x.data_product_type, 'None') AS data_product_type,
+      x.max_last_modified, {', '.join('x.' + t for t in PREVIEW_TYPES)}
+    FROM (SELECT * FROM {{plane}} JOIN has USING (plane_id) WHERE quality_flag IS DISTINCT FROM 'junk') x
+    JOIN {{observation}} o USING (obs_id)),
+  known AS (SELECT *, bool_or(preview + thumbnail = 2) OVER peers AS any_both, bool_or(preview = 1) OVER peers AS any_preview,
+      bool_or(thumbnail = 1) OVER peers AS any_thumbnail FROM p0 WINDOW peers AS (PARTITION BY {PEERS})),
+  due AS (SELECT *, CASE WHEN any_both THEN 'BOTH' WHEN any_preview THEN 'PREVIEW_ONLY'
+      WHEN any_thumbnail THEN 'THUMBNAIL_ONLY' END AS class FROM known),
+  labelled AS (SELECT {PLANE_KEYS}, {', '.join(PREVIEW_TYPES)}, CASE WHEN class IS NULL THEN 'NEVER_HAD_PREVIEW'
+      ELSE CASE WHEN (preview = 1 OR class = 'THUMBNAIL_ONLY') AND (thumbnail = 1 OR class = 'PREVIEW_ONLY')
+        THEN 'CONSISTENT_FOR_' ELSE 'INCONSISTENT_FOR_' END || class END AS category FROM due)"""
 
 
 def _preview_planes(v):
@@ -475,6 +502,13 @@ def _(v):
     return copies.merge_site_counts(counts, SITES)
 
 
+@register("timed_counts_wide", f"""SELECT datestamp, namespace,
+    {', '.join(f"max(CASE WHEN site = '{x}' THEN {c} END) AS {x}_{c}" for x in ('en', 'de', 'xx') for c in ('count', 'duration'))}
+    FROM {{timed_counts}} GROUP BY datestamp, namespace""")
+def _(v):
+    return copies.merge_site_counts(v("timed_counts"), ["en", "de", "xx"])
+
+
 # --- F: null usage ---------------------------------------------------------------------------
 
 OBS_FIELDS = ("collection", "instrument_name", "intent", "max_last_modified", "meta_release", "obs_id",
@@ -553,6 +587,20 @@ def _(v):
     return usage.with_nulls(_usage(v, "Observation.intent", "Plane.max_last_modified"))
 
 
+SPELLED = ("accMetaChecksum", "collection", "instrument_name", "intent", "maxLastModified", "metaRelease", "obsID")
+
+
+@register("null_usage_spelled", f"""SELECT *, {PCT} FROM ({' UNION ALL '.join(
+    f"SELECT 'Observation' AS table_name, 'Observation.{f}' AS field, {CI}, COUNT(*) - COUNT(\"{f}\") AS num_null, COUNT(*) AS num_instances FROM {{source_observation}} WHERE {USABLE} GROUP BY {CI}"
+    for f in SPELLED)}) WHERE num_null > 0""")
+def _(v):
+    """Fields and the ends of their range as the source spells them."""
+    observation = conform(v("source_observation"), StructType([f for f in OBSERVATION if f.name != "observation_id"]), extra=True)
+    fields = usage.field_catalog(observation, v("plane"))
+    fields = usage.field_range(fields, "Observation.accMetaChecksum", "Observation.obsID")
+    return usage.with_nulls(usage.null_usage_obs(observation, fields))
+
+
 @register("fields_by_group", f"""WITH nulls AS (SELECT *, {PCT} FROM ({_null_sql(CI)}) WHERE num_null > 0),
     groups AS (SELECT DISTINCT {CI} FROM {OBS_ROWS})
     SELECT {CI}, field, num_null, num_instances, percentage_null
@@ -595,12 +643,7 @@ def _by_group_sql(by):
 
 def _by_group(v, by):
     fields = usage.field_catalog(v("observation"), v("plane"))
-    return usage.usage_by_group(
-        usage.null_usage(v("observation"), v("plane"), fields, by),
-        usage.obs_totals(v("observation"), by),
-        usage.plane_totals(v("observation"), v("plane"), by),
-        fields, by,
-    )
+    return usage.usage_by_group(usage.null_usage(v("observation"), v("plane"), fields, by), fields, fields, by)
 
 
 @register("usage_by_group", _by_group_sql(CI))
@@ -693,7 +736,12 @@ def _audit_summary_sql() -> str:
 
 @register("audit_summary", _audit_summary_sql())
 def _(v):
-    return reports.audit_summary({a: (fn(v), "collection") for a, (fn, _, _) in SUMMARIES.items()})
+    # Two of the audits need the artifacts folded by plane; that happens once.
+    folded, _ = stage(profiles.artifact_types_by_plane(v("artifact")), "artifact-types")
+    known = {"artifact": folded}
+    summaries = {a: (fn(v if a == "duplicates" else lambda n: known.get(n) or v(n)), "collection")
+                 for a, (fn, _, _) in SUMMARIES.items()}
+    return reports.audit_summary(summaries)
 
 
 @register("collection_site", """SELECT c.collection, c.ams_site, s.site_url
@@ -718,8 +766,8 @@ def _(v):
 
 @register("newest_upload", r"""WITH f AS (
     SELECT *, regexp_matches(name, '\.(tar\.gz|tar|zip|rar|7z)$') AS b,
-      row_number() OVER (PARTITION BY dir ORDER BY modified DESC, name DESC) AS rn
-    FROM {upload_listing}),
+      row_number() OVER (PARTITION BY dir ORDER BY modified DESC NULLS LAST, name) AS rn
+    FROM (SELECT DISTINCT * FROM {upload_listing}) u),
     w AS (SELECT *, first_value(b) OVER (PARTITION BY dir ORDER BY rn) AS top FROM f)
     SELECT dir, name, modified, owner,
       CASE WHEN top AND rn = 1 THEN 'BUNDLE_TAKEN' WHEN top AND b THEN 'OLDER_BUNDLE'
