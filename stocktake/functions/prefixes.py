@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stocktake.functions.skew import BROADCAST_ROWS, lookup_join
+from stocktake.functions.skew import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join
 
 
 def under(uri, namespace: str) -> Column:
@@ -56,14 +56,14 @@ def match_namespaces(
     deep they are decides which prefixes are formed.
     """
     name = F.col(namespace)
-    measured = namespaces.select(name).limit(BROADCAST_ROWS + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.collect_set(_slashes(name) + 1).alias("depths")
+    size = F.octet_length(F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in namespaces.columns]))
+    measured = namespaces.select(name, size.alias("size")).limit(BROADCAST_ROWS + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"), F.collect_set(_slashes(name) + 1).alias("depths")
     ).first()
-    whole = measured["rows"] <= BROADCAST_ROWS and len(measured["depths"]) <= MOST_DEPTHS
+    small = measured["rows"] <= BROADCAST_ROWS and (measured["bytes"] or 0) <= BROADCAST_BYTES
+    whole = small and len(measured["depths"]) <= MOST_DEPTHS
     prefixes = path_prefixes(uri, sorted(measured["depths"]) if whole else None)
     if whole and not measured["depths"]:
         prefixes = F.array().cast("array<string>")
     candidates = df.withColumn(namespace, F.explode(prefixes)).where(name.isNotNull())
-    return lookup_join(
-        candidates, namespaces, [namespace, *also_on], spread_by=[uri], table_rows=measured["rows"]
-    )
+    return lookup_join(candidates, namespaces, [namespace, *also_on], spread_by=[uri], small=small)

@@ -54,11 +54,22 @@ def attach_group_values(
     )
 
 
-# A lookup table of at most this many rows is broadcast; a larger one is not.
+# Limits of what is broadcast; beyond either a table is joined by a shuffle, with the same result.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+# Parts that a key is spread over at least; as many as the session has shuffle partitions if that is more.
 SPREAD = 64
 
 
+def measured(table: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[int, int]:
+    """Rows of a table, counted up to one more than ``rows``, and the bytes of their values as text."""
+    text = F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in table.columns])
+    size = table.select(F.octet_length(text).alias("size")).limit(rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes")
+    ).first()
+    return size["rows"], size["bytes"] or 0
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
@@ -66,21 +77,23 @@ def lookup_join(
     how: str = "inner",
     spread_by: Sequence[str] = (),
     broadcast_rows: int = BROADCAST_ROWS,
-    table_rows: int | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join many ``rows`` with a configuration table whose keys may each match a large share of them.
 
-    The table is measured first, unless the caller already did and gives
-    ``table_rows``. If it is small it is broadcast. Otherwise every
-    key is spread over ``SPREAD`` parts by a hash of ``spread_by`` (all of the
-    row by default), so that one key's rows land in many tasks.
+    The table is measured first, unless the caller already did and tells whether it
+    is ``small``. If so it is broadcast. Otherwise every key is spread over parts by a
+    hash of ``spread_by`` (all of the row by default), so that one key's rows land in
+    many tasks.
     """
     on = list(on)
-    if table_rows is None:
-        table_rows = table.limit(broadcast_rows + 1).count()
-    if table_rows <= broadcast_rows:
+    if small is None:
+        count, size = measured(table, broadcast_rows)
+        small = count <= broadcast_rows and size <= BROADCAST_BYTES
+    if small:
         return rows.join(F.broadcast(table), on, how)
-    part = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(SPREAD)).cast("int")
+    parts = max(SPREAD, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    part = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(parts)).cast("int")
     spread_rows = rows.withColumn("_part", part)
-    copies = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    copies = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return spread_rows.join(copies, [*on, "_part"], how).drop("_part")

@@ -68,14 +68,15 @@ ARCHIVE_NAMES = {
     "errorMessage": "error_message",
 }
 
-# Tables of files carry two times; the one audited is that of the content.
-FILE_NAMES = {old: new for old, new in ARCHIVE_NAMES.items() if new != "last_modified"}
-FILE_NAMES["contentLastModified"] = "last_modified"
+# The inventory carries two times; the one audited is that of the content.
+INVENTORY_NAMES = {old: new for old, new in ARCHIVE_NAMES.items() if new != "last_modified"}
+INVENTORY_NAMES["contentLastModified"] = "last_modified"
 
 
 def names_for(schema: StructType) -> dict[str, str]:
-    """The source names of a table with this schema."""
-    return FILE_NAMES if {"uri", "last_modified"} <= set(schema.names) else ARCHIVE_NAMES
+    """The source names of a table with this schema: files without a plane are the inventory's."""
+    held = "uri" in schema.names and "plane_id" not in schema.names
+    return INVENTORY_NAMES if held else ARCHIVE_NAMES
 
 
 # The archive's product-type vocabulary, in report order.

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from stocktake.functions.flags import type_counts, type_flags
 from stocktake.functions.numbers import total
 from stocktake.functions.prefixes import match_namespaces
+from stocktake.functions.skew import lookup_join
 from stocktake.model import PRODUCT_TYPES, flag_name
 
 
@@ -26,6 +27,23 @@ def artifacts_of_collections(described: DataFrame, mappings: DataFrame) -> DataF
     return match_namespaces(described, namespaces, also_on=["collection"])
 
 
+def archive_artifacts_of_collections(
+    observation: DataFrame, plane: DataFrame, artifact: DataFrame, mappings: DataFrame
+) -> DataFrame:
+    """The same from the archive's three tables.
+
+    Artifacts under none of the namespaces are left out before the tables meet; whose
+    namespace it is is asked afterwards.
+    """
+    pairs = mappings.select("collection", F.col("si_namespace").alias("namespace")).distinct()
+    files = match_namespaces(
+        artifact.select("plane_id", "uri", "product_type"), pairs.select("namespace").distinct()
+    )
+    owners = plane.select("plane_id", "obs_id").join(observation.select("obs_id", "collection"), "obs_id")
+    owned = files.join(owners.drop("obs_id"), "plane_id").drop("plane_id")
+    return lookup_join(owned, pairs, ["collection", "namespace"], spread_by=["uri"])
+
+
 def uri_type_counts(
     artifact: DataFrame, keys: Sequence[str] = ("uri",), vocabulary: Sequence[str] = PRODUCT_TYPES
 ) -> DataFrame:

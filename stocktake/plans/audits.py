@@ -74,11 +74,8 @@ def duplicate_audit(
 ) -> None:
     """URIs described more than once, per collection."""
     selected = _selected(archive, requested)
-    described = reconcile.described_artifacts(
-        _only(archive.observation, selected), archive.plane, archive.artifact
-    )
-    owned = duplicates.artifacts_of_collections(
-        described.select("collection", "uri", "product_type"), archive.mappings
+    owned = duplicates.archive_artifacts_of_collections(
+        _only(archive.observation, selected), archive.plane, archive.artifact, archive.mappings
     )
     with kept(duplicates.uri_type_counts(owned, ["collection", "uri"])) as counts:
         sinks.write_by_group(

@@ -45,11 +45,15 @@ def test_read_formats_and_sites(spark, frame, tmp_path):
 
 
 def test_conform_rejects_columns_of_one_meaning(frame):
-    schema = m.StructType([m.ARTIFACT["uri"], m.ARTIFACT["last_modified"]])
+    schema = m.StructType([m.INVENTORY["uri"], m.INVENTORY["last_modified"]])
     for columns in ("uri string, lastModified string, contentLastModified string", "uri string, contentLastModified string, lastModified string"):
         one, two = ("2024-01-01", "2024-01-02") if columns.index("lastM") < columns.index("contentL") else ("2024-01-02", "2024-01-01")
         got = tables.conform(frame([("u", one, two)], columns), schema, extra=True)
         assert str(got.first()["last_modified"]).startswith("2024-01-02") and got.columns[2] == "lastModified"
+    kept = tables.conform(
+        frame([("u", "p", "2024-01-01", "2024-01-02")], "uri string, planeID string, lastModified string, contentLastModified string"),
+        m.StructType([m.ARTIFACT["uri"], m.ARTIFACT["plane_id"], m.ARTIFACT["last_modified"]]), extra=True)
+    assert str(kept.first()["last_modified"]).startswith("2024-01-01") and kept.columns[3] == "contentLastModified"
     with pytest.raises(ValueError, match="URI, uri|uri, URI"):
         tables.conform(frame([("u", "v")], "a string, b string").toDF("uri", "URI"), m.StructType([m.ARTIFACT["uri"]]))
     with pytest.raises(ValueError, match="obsID"):
@@ -119,7 +123,7 @@ def archive(spark, frame, tmp_path):
         ("a", "10", "n/1", "science", "c", 5, "t", at), ("b", "10", "n/1p", "preview", "c", 5, "t", at),
         ("c", "11", "n/2", "science", "c", 5, "t", at), ("d", "11", "n/1", "science", "c", 5, "t", at)],
         "artifactID string, planeID string, uri string, productType string, contentChecksum string,"
-        " contentLength long, contentType string, contentLastModified string")
+        " contentLength long, contentType string, lastModified string")
     put("inventory", [("n/1", "c", 5, "t", at), ("n/2", "x", 5, "t", at), ("n/9", "x", 5, "t", at)],
         "uri string, contentChecksum string, contentLength long, contentType string, contentLastModified string")
     put("harvest_skip", [(1, "Observation", "s/A", at, "bad")],

@@ -299,9 +299,8 @@ DUPLICATE_SUMMARY = f"""WITH owned AS (
 
 @register("duplicate_summary", DUPLICATE_SUMMARY)
 def duplicate_summary(v):
-    described = reconcile.described_artifacts(v("observation"), v("plane"), v("artifact"))
-    owned = duplicates.artifacts_of_collections(
-        described.select("collection", "uri", "product_type"), v("brand_mappings")
+    owned = duplicates.archive_artifacts_of_collections(
+        v("observation"), v("plane"), v("artifact"), v("brand_mappings")
     )
     counts = duplicates.uri_type_counts(owned, ["collection", "uri"])
     return duplicates.duplicate_summary(counts, ["collection"])
