@@ -34,6 +34,8 @@ WORDS = 5
 PERCENT = 80
 #: Shingles whose frequency orders them, at most: the most frequent ones. Any order gives the same links; a better one shorter lists.
 ORDERED = 1 << 20
+#: Shingles that a task looks through at once for recurring ones.
+RECURRING = 3_000_000
 #: Classes whose ids are broadcast, at most (16 bytes each); beyond that sets are found by a shuffled join.
 BROADCAST_CLASSES = 2_000_000
 SUBSET = 2
@@ -85,27 +87,37 @@ def needed(percent: int, a: int, b: int) -> int:
 
 
 def _profile(docs: DataFrame, words: int) -> DataFrame:
-    """One pass over the texts: (kind 0) id, digest and size of each document; (kind 1) shingles that recur in a batch, counted."""
+    """One pass over the texts: (kind 0) id, digest and size of each document; (kind 1) shingles that recur among some
+    RECURRING shingles of a task, counted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every: list[np.ndarray] = []
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            first, second, size, every = [], [], [], []
+            first, second, size = [], [], []
             for _, shingles, rows in shingle_sets(data, offsets, words):
                 a, b = _digests(shingles, rows)
                 first.append(a), second.append(b), size.append(np.diff(rows)), every.append(shingles)
+                if sum(map(len, every)) >= RECURRING:
+                    yield recurring(every)
+                    every = []
             n = batch.num_rows
             if not n:
                 continue
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(n, np.int32)), batch.column("doc_id").cast(pa.int64()), pa.array(np.concatenate(first).view(np.int64)),
                  pa.array(np.concatenate(second).view(np.int64)), pa.array(np.concatenate(size).astype(np.int64))], names)
-            ordered = np.sort(np.concatenate(every))
-            begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, int)
-            count = np.diff(np.append(begins, len(ordered)))
-            found, count = ordered[begins][count > 1].view(np.int64), count[count > 1].astype(np.int64)
-            nothing = pa.nulls(len(found), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(found), np.int32)), nothing, pa.array(found), nothing, pa.array(count)], names)
+        if every:
+            yield recurring(every)
+
+    def recurring(every: list[np.ndarray]) -> pa.RecordBatch:
+        ordered = np.concatenate(every)
+        ordered.sort()
+        begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, int)
+        count = np.diff(np.append(begins, len(ordered)))
+        found, count = ordered[begins][count > 1].view(np.int64), count[count > 1].astype(np.int64)
+        nothing = pa.nulls(len(found), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(found), np.int32)), nothing, pa.array(found), nothing, pa.array(count)], names)
 
     names = ["kind", "doc_id", "x", "y", "n"]
     return docs.select("doc_id", "text").mapInArrow(run, "kind int, doc_id long, x long, y long, n long")
