@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
-#: Rows that a Python worker gets at once while a table is staged: texts are long, and numpy needs a few times their bytes.
+#: Rows that a Python worker gets at once: texts are long, and numpy needs a few times their bytes.
 BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -32,16 +32,19 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches at BATCH_ROWS rows or fewer; for results that are not staged here but written by others."""
+    now = int(spark.conf.get(BATCH_SETTING))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df, written once to the shared folder and read back: lineage ends there and lost executors cost no recomputation."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    before = spark.conf.get(BATCH_SETTING)
-    spark.conf.set(BATCH_SETTING, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(BATCH_SETTING, before)
+    bounded_batches(spark)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

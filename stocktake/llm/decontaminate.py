@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from stocktake.llm.common import table
+from stocktake.llm.common import bounded_batches, table
 from stocktake.llm.tokens import chunks, hashed_words, mixed, text_bytes
 
 #: Edits allowed, as a percentage of the item's words.
@@ -176,6 +176,7 @@ def matches(texts: pa.Array, index: Index) -> Iterator[tuple[int, int, int, int,
 
 def indexes(benchmark: DataFrame, edits: int = EDITS, block: int = BLOCK) -> Iterator[Index]:
     """Indexes of all items, a block at a time."""
+    bounded_batches(benchmark.sparkSession)
     rows = benchmark.select("item_id", "text").orderBy("item_id", "text").toLocalIterator()
     ids, texts = [], []
     for r in rows:

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from stocktake.llm.common import table
+from stocktake.llm.common import bounded_batches, table
 
 WINDOW, SURGE = 3, 80
 
@@ -155,6 +155,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     names = ["page_id", "url", "text", "n_chars"]
     kinds = dict(pages.dtypes)
+    bounded_batches(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
 
 

@@ -3,8 +3,9 @@
 A block is a line of the text. It matches a notice if it holds at least THRESHOLD of the notice's distinct words
 (containment). Words are ordered by their frequency in the whole corpus, rarest first. A matching block must hold one of
 the first |T| - need + 1 words of the notice T (prefix filter), at least `need` words (length filter), and must still be able to reach
-`need` from the place of the shared word in both orders (positional filter); what is left is counted exactly. Notices are
-a parameter, so their index has a known size and is broadcast.
+`need` from the place of the shared word in both orders (positional filter); what is left is counted exactly. Where two notices
+match one block and all the words of one match are part of the other, which holds a larger share, only the latter
+counts: sister licenses differ by a word. Notices are a parameter, so their index has a known size and is broadcast.
 
 Defined results: null and empty texts have no words and no labels; equal rows get equal results; a block matching several
 notices counts once for each label; an empty table gives no rows.
@@ -131,8 +132,12 @@ def scan(docs: DataFrame, notices: dict[str, list[str]] = NOTICES, threshold: fl
     able = shared.where(
         (F.size("block") >= F.col("need")) & (F.least(F.col("at"), F.col("place")) + 1 + F.least(F.col("size") - F.col("at"), F.size("block") - F.col("place")) - 1 >= F.col("need"))
     )
-    both = F.size(F.array_intersect("block", "own"))
-    matched = able.where(both >= F.col("need")).select("row", "label", (both / F.col("size")).alias("held"))
+    both = able.withColumn("words", F.array_intersect("block", "own")).where(F.size("words") >= F.col("need"))
+    found = F.struct("label", (F.size("words") / F.col("size")).alias("held"), "words")
+    # A notice of the same words but fewer, like that of a sister license, is no match of its own.
+    per_line = both.select("row", "line", found.alias("x")).distinct().groupBy("row", "line").agg(F.collect_list("x").alias("xs"))
+    best = F.filter("xs", lambda x: ~F.exists("xs", lambda y: (y["held"] > x["held"]) & (F.size(F.array_except(x["words"], y["words"])) == 0)))
+    matched = per_line.select("row", F.explode(best).alias("x")).select("row", "x.label", "x.held")
     by_row = matched.groupBy("row").agg(F.collect_set("label").alias("more"), F.max("held").alias("held"))
     starts, base = F.transform("places", lambda x: x["start"]), F.array_sort(F.array_distinct(F.transform("places", lambda x: x["label"])))
     out = seen.drop("blocks", "hits").join(by_row, "row", "left")

@@ -52,8 +52,12 @@ p AS (SELECT doc_id, id, len(ws) AS n_words, {_PLACES} FROM w),
 a AS (SELECT *, {_ALL} AS places FROM p),
 lines AS (SELECT id, list_distinct(regexp_extract_all(unnest(string_split(t, chr(10))), '{_WORD}')) AS b FROM d),
 notices(label, own, need) AS (VALUES {_ROWS}),
-held AS (
-  SELECT id, label, len(list_intersect(b, own)) / CAST(len(own) AS DOUBLE) AS share FROM lines, notices WHERE len(list_intersect(b, own)) >= need
+matches AS (
+  SELECT id, b, label, own, list_intersect(b, own) AS ws, len(list_intersect(b, own)) / CAST(len(own) AS DOUBLE) AS share
+  FROM (SELECT DISTINCT * FROM lines), notices WHERE len(list_intersect(b, own)) >= need
+), held AS (
+  SELECT id, label, share FROM matches x WHERE NOT EXISTS (
+    SELECT 1 FROM matches y WHERE y.id = x.id AND y.b = x.b AND y.share > x.share AND list_has_all(y.ws, x.ws))
 ), named AS (
   SELECT id, label, CAST(1 AS DOUBLE) AS share, true AS base FROM (
     SELECT id, unnest(list_concat(list_concat(CASE WHEN len(at_mit) > 0 THEN ['mit'] ELSE [] END, CASE WHEN len(at_apache) > 0 THEN ['apache'] ELSE [] END),

@@ -34,6 +34,8 @@ from stocktake.llm.tokens import BYTE, chunks, mixed, text_bytes
 LENGTH, GRAM = 200, 48
 #: Different segments of one anchor that are sorted together, at most; beyond that strings are counted by digest.
 HOT = 20_000
+#: Bytes of a long text that are looked at together.
+PIECE = 1 << 21
 #: Bytes of segments that are sorted at once, unless one anchor has more.
 BATCH = 1 << 20
 #: Bits of the filters that name segments and documents, at least and at most (they are collected: 1/8 as many bytes).
@@ -88,21 +90,28 @@ def segments(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return row[begins], first, n, grams[where], digest, strings
 
 
-def records(batch: pa.RecordBatch, single: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray]]:
-    """(records, their rows, first row, bytes) of each chunk. With `single`, only segments of these anchors, string by string."""
+def records(batch: pa.RecordBatch, single: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(records, their rows, first row) of each chunk. With `single`, only segments of these anchors, string by string."""
     data, offsets = text_bytes(batch.column("text"))
     keys = batch.column("key").to_numpy()
     for begin, end in chunks(offsets):
-        raw, bounds = data[offsets[begin] : offsets[end]], offsets[begin : end + 1] - offsets[begin]
-        row, first, n, anchor, digest, strings = segments(raw, bounds)
-        if single is not None:
-            hot = np.flatnonzero(_among(anchor, single))
-            each = np.repeat(hot, n[hot])
-            place = first[each] + np.arange(len(each)) - np.repeat(np.cumsum(n[hot]) - n[hot], n[hot])
-            row, first, n, anchor, digest = row[each], place, np.ones(len(each), np.int64), strings[place], strings[place]
-        out = np.empty(len(row), RECORD)
-        out["anchor"], out["digest"], out["key"], out["at"], out["n"] = anchor, digest, keys[begin + row], first - bounds[row], n
-        yield out, row, begin, raw
+        whole = offsets[begin : end + 1] - offsets[begin]
+        # A long text is taken in pieces that share LENGTH - 1 bytes: every string lies in one. A segment cut in two is two.
+        step = PIECE if end == begin + 1 else max(1, int(whole[-1]))
+        for low in range(0, max(1, int(whole[-1]) - LENGTH + 1 if end == begin + 1 else 1), step):
+            raw, bounds = data[offsets[begin] : offsets[end]], whole
+            if end == begin + 1:
+                raw = raw[low : low + step + LENGTH - 1]
+                bounds = np.array([0, len(raw)])
+            row, first, n, anchor, digest, strings = segments(raw, bounds)
+            if single is not None:
+                hot = np.flatnonzero(_among(anchor, single))
+                each = np.repeat(hot, n[hot])
+                place = first[each] + np.arange(len(each)) - np.repeat(np.cumsum(n[hot]) - n[hot], n[hot])
+                row, first, n, anchor, digest = row[each], place, np.ones(len(each), np.int64), strings[place], strings[place]
+            out = np.empty(len(row), RECORD)
+            out["anchor"], out["digest"], out["key"], out["at"], out["n"] = anchor, digest, keys[begin + row], low + first - bounds[row], n
+            yield out, row, begin
 
 
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -300,7 +309,7 @@ def sorted_spans(keyed: DataFrame, chosen: DataFrame, buckets: int) -> DataFrame
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rec, row, begin, raw in records(batch):
+            for rec, row, begin in records(batch):
                 if not len(rec):
                     continue
                 use = np.flatnonzero(_in_filter(_name(rec), words, bits))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +57,35 @@ def chunks(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
         row = end
 
 
+#: A text above this size is hashed in pieces that end between words.
+LONG = 1 << 22
+
+
+def _in_pieces(hashed, data: np.ndarray, offsets: np.ndarray, first: int, word_bytes: np.ndarray, case: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What `hashed` makes of one long row; a word longer than a piece stays whole."""
+    at, end, parts = int(offsets[first]), int(offsets[first + 1]), []
+    while at < end:
+        cut = min(end, at + LONG)
+        while cut < end:
+            gap = np.flatnonzero(~word_bytes[data[cut : min(end, cut + LONG)]])
+            if len(gap):
+                cut += int(gap[0])
+                break
+            cut = min(end, cut + LONG)
+        parts.append(hashed(data, np.array([at, cut]), 0, 1, word_bytes, case)[0])
+        at = cut
+    every = np.concatenate(parts)
+    return every, np.array([0, len(every)])
+
+
 def hashed_words(data: np.ndarray, offsets: np.ndarray, first: int, last: int, word_bytes: np.ndarray = NO_SPACE, case: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of rows first..last-1, in order, and the place of each row's first word (one more at the end)."""
+    if last == first + 1 and offsets[last] - offsets[first] > LONG:
+        return _in_pieces(_hashed_words, data, offsets, first, word_bytes, case)
+    return _hashed_words(data, offsets, first, last, word_bytes, case)
+
+
+def _hashed_words(data: np.ndarray, offsets: np.ndarray, first: int, last: int, word_bytes: np.ndarray, case: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     base, end = int(offsets[first]), int(offsets[last])
     raw = data[base:end]
     if not len(raw):
@@ -80,6 +108,12 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray, first: int, last: int, w
 
 def hashed_grams(data: np.ndarray, offsets: np.ndarray, first: int, last: int, size: int, word_bytes: np.ndarray = LETTERS, case: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of `size` bytes inside words, the break before a word being its first byte; places as in hashed_words."""
+    if last == first + 1 and offsets[last] - offsets[first] > LONG:
+        return _in_pieces(partial(_hashed_grams, size), data, offsets, first, word_bytes, case)
+    return _hashed_grams(size, data, offsets, first, last, word_bytes, case)
+
+
+def _hashed_grams(size: int, data: np.ndarray, offsets: np.ndarray, first: int, last: int, word_bytes: np.ndarray, case: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     base, end = int(offsets[first]), int(offsets[last])
     raw = data[base:end]
     n = len(raw)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocktake.llm.common import table
+from stocktake.llm.common import bounded_batches, table
 from stocktake.llm.tokens import LETTERS, chunks, hashed_grams, hashed_words, text_bytes
 
 #: Labelled texts that the model is fitted on, at most: those with the smallest hashes of their ids.
@@ -164,6 +164,7 @@ def classify(docs: DataFrame, fitted: tuple[np.ndarray, np.ndarray, float]) -> D
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores(batch.column("text"), *fitted))], ["doc_id", "score"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
 
@@ -175,6 +176,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) ->
         for batch in batches:
             yield batch.filter(pa.array(scores(batch.column("text"), *fitted) < threshold))
 
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 
 

@@ -25,12 +25,15 @@ def brute(text, notices, threshold):
     held = {}
     for line in (text or "").split("\n"):
         block = set(words(line))
+        found = []
         for label, texts in notices.items():
             for t in texts:
                 notice = set(words(t))
-                both = len(block & notice)
-                if both >= math.ceil(round(threshold * len(notice), 9)):
-                    held[label] = max(held.get(label, 0), both / len(notice))
+                if len(block & notice) >= math.ceil(round(threshold * len(notice), 9)):
+                    found.append((label, len(block & notice) / len(notice), block & notice))
+        for label, share, shared in found:
+            if not any(s > share and shared <= o for _, s, o in found):
+                held[label] = max(held.get(label, 0), share)
     score = 1.0 if starts else max(held.values(), default=0.0)
     return (len(own), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | set(held))), score)
 

@@ -44,9 +44,11 @@ def rows_of(seed):
     return [(k, t) for k, t in enumerate(texts)] + [(4, texts[4]), (None, "n" * 10)]
 
 
-@pytest.mark.parametrize("hot", [suffixes.HOT, 1])
-def test_against_counting(documents, monkeypatch, hot):
+@pytest.mark.parametrize("hot, piece", [(suffixes.HOT, suffixes.PIECE), (1, 300), (suffixes.HOT, 150)])
+def test_against_counting(documents, monkeypatch, hot, piece):
     monkeypatch.setattr(suffixes, "HOT", hot)
+    monkeypatch.setattr(suffixes, "PIECE", piece)
+
     for seed in (1, 2):
         rows = rows_of(seed)
         want = Counter(zip([r[0] for r in rows], brute([r[1] for r in rows])))
