@@ -81,3 +81,19 @@ def test_query_equals_sql(spark, db, name):
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def test_stages_take_odd_rows(spark, documents):
+    long = " ".join(f"w{k}" for k in range(30_000))
+    rows = [(1, None, None), (2, "", "a"), (None, "some words of a text without an id", "a"), (3, "one", None), (3, "one", None), (4, long, "b"), (4, long, "b"), (5, long + " x", "a"), (6, "ONE", "c")]
+    for docs in (documents(rows), documents([])):
+        empty = not docs.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, SMALL)
+            assert out.columns == docs.columns, name
+            found = sorted((str(r["doc_id"]), len(r["text"] or "")) for r in out.collect())
+            if name.startswith("n-gram"):
+                assert found == ([] if empty else sorted([("1", 0), ("2", 0), ("None", 34), ("3", 3), ("4", len(long))]))
+            elif not name.startswith("mixing"):
+                assert len(found) == (0 if empty else len(rows)), name
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == (0 if empty else len(rows))
