@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from stocktake.llm import decontaminate
+from llm_fixtures import documents  # noqa: F401
 
 
 def distance(a, b):

@@ -5,6 +5,7 @@ import pytest
 
 from stocktake.llm import jaccard
 from stocktake.llm.components import components
+from llm_fixtures import documents  # noqa: F401
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

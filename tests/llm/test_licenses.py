@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from stocktake.llm import licenses
+from llm_fixtures import documents  # noqa: F401
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

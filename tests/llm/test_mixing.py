@@ -3,6 +3,7 @@ from collections import defaultdict
 import pytest
 
 from stocktake.llm import mixing
+from llm_fixtures import documents  # noqa: F401
 
 
 def fill(sizes, share=1.5, most=2.0):

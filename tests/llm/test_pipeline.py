@@ -15,6 +15,7 @@ from test_decontaminate import brute as contaminated
 from test_jaccard import brute as groups
 from test_mixing import fill
 from test_sharding import brute as split
+from llm_fixtures import documents  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

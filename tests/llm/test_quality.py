@@ -3,6 +3,7 @@ import re
 import pytest
 
 from stocktake.llm import quality
+from llm_fixtures import documents  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

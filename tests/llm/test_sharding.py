@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from stocktake.llm import sharding
+from llm_fixtures import documents  # noqa: F401
 
 
 def key(doc_id, text):

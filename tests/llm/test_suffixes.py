@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from stocktake.llm import suffixes
+from llm_fixtures import documents  # noqa: F401
 
 
 def brute(texts, length=200):

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 
 from stocktake.llm import toxicity
+from llm_fixtures import documents  # noqa: F401
 
 NICE, BAD = "river stone market letter window garden bread music".split(), "idiot scum worthless moron".split()
 
