@@ -17,7 +17,9 @@ QUERIES = {
 ORACLE = {
     "op1_warc": sql.OP1,
     "op2_mixing": mixing.OP2_SQL,
+    "op4_suffixes": sql.OP4,
     "op5_sharding": sharding.OP5_SQL,
     "op6_jaccard": sql.OP6,
+    "op7_html": sql.OP7,
     "op10_licenses": sql.OP10,
 }

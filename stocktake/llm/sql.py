@@ -71,3 +71,34 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) A
   coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
 FROM a LEFT JOIN told USING (id)
 """
+
+OP4 = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT id, k, md5(substr(h, 2 * k + 1, 400)) AS g
+  FROM (SELECT id, h, unnest(range(0, greatest(CAST(len(h) / 2 AS BIGINT) - 199, 0))) AS k FROM d)),
+r AS (SELECT id, k FROM (SELECT id, k, count(*) OVER (PARTITION BY g) AS c FROM w) WHERE c > 1),
+s AS (SELECT id, k, CASE WHEN k <= lag(k) OVER (PARTITION BY id ORDER BY k) + 200 THEN 0 ELSE 1 END AS begins FROM r),
+i AS (SELECT id, k, sum(begins) OVER (PARTITION BY id ORDER BY k) AS run FROM s),
+runs AS (SELECT id, min(k) AS low, max(k) + 200 AS high FROM i GROUP BY id, run),
+gaps AS (SELECT *, coalesce(lag(high) OVER (PARTITION BY id ORDER BY low), 0) AS after FROM runs),
+cut AS (
+  SELECT d.id, sum(high - low) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, 2 * after + 1, 2 * (low - after)), '' ORDER BY low) || substr(any_value(h), 2 * max(high) + 1) AS kept
+  FROM gaps JOIN d ON d.id = gaps.id GROUP BY d.id
+)
+SELECT doc_id, CAST(len(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (id)
+"""
+
+#: The main text of pages like those of the table `pages`: one article element of headings and paragraphs. The operator takes
+#: any page; for these, this says what it has to find.
+OP7 = r"""
+WITH a AS (SELECT page_id, url, row_number() OVER () AS id, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS body FROM pages),
+b AS (SELECT id, unnest(string_split_regex(body, '</?(?:p|h1)[^>]*>')) AS piece, unnest(range(0, len(string_split_regex(body, '</?(?:p|h1)[^>]*>')))) AS place FROM a),
+c AS (SELECT id, place, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(piece,
+    '<br>', ' ', 'g'), '<[^>]*>', '', 'g'), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g') AS piece FROM b),
+d AS (SELECT id, place, trim(regexp_replace(piece, '\s+', ' ', 'g')) AS piece FROM c),
+e AS (SELECT id, string_agg(piece, chr(10) ORDER BY place) AS text FROM d WHERE piece <> '' GROUP BY id)
+SELECT page_id, url, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars FROM a LEFT JOIN e USING (id)
+"""
