@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from stocktake.functions.dedupe import dedupe_first, newest_first
@@ -479,6 +479,17 @@ def preview_summary(v):
     return previews.preview_summary(previews.category_counts(_preview_planes(v)))
 
 
+@register("preview_all_classified", f"""WITH {WATERFALL} SELECT collection, COUNT(*) AS num_planes,
+    COUNT(*) FILTER (WHERE category IN ({', '.join(repr(c) for c in PREVIEW_CATEGORIES)})) AS num_classified
+    FROM labelled GROUP BY collection""")
+def _(v):
+    """Every plane gets one of the categories."""
+    classified = previews.classify_planes(_preview_planes(v))
+    return classified.groupBy("collection").agg(
+        F.count(F.lit(1)).alias("num_planes"), F.count_if(F.col("category").isin(*PREVIEW_CATEGORIES)).alias("num_classified")
+    )
+
+
 # --- E: copies -------------------------------------------------------------------------------
 
 SITE_VALUES = "(VALUES ('alpha'), ('beta'), ('gamma')) s(site)"
@@ -501,6 +512,12 @@ def _(v):
     return copies.merge_site_counts(counts, SITES)
 
 
+@register("known_namespaces", "SELECT DISTINCT concat('ns', source) AS namespace FROM {documents}")
+def _(v):
+    requested = v("documents").select(F.concat(F.lit("ns"), "source").alias("namespace")).distinct()
+    return copies.require_known_namespaces(requested, v("namespaces"))
+
+
 @register("timed_counts_wide", f"""SELECT datestamp, namespace,
     {', '.join(f"max(CASE WHEN site = '{x}' THEN {c} END) AS {x}_{c}" for x in ('en', 'de', 'xx') for c in ('count', 'duration'))}
     FROM {{timed_counts}} GROUP BY datestamp, namespace""")
