@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from stocktake.llm.common import fresh, staged, table
 from stocktake.llm.components import components
+from stocktake.llm.filters import bit_filter, in_filter
 from stocktake.llm.tokens import chunks, hashed_words, mixed, text_bytes
 
 WORDS = 5
@@ -36,8 +37,6 @@ PERCENT = 80
 ORDERED = 1 << 20
 #: Shingles that a task looks through at once for recurring ones.
 RECURRING = 3_000_000
-#: Classes whose ids are broadcast, at most (16 bytes each); beyond that sets are found by a shuffled join.
-BROADCAST_CLASSES = 2_000_000
 SUBSET = 2
 #: A list of a shingle that recurs at least so often is never gathered in one task.
 HOT = 10_000
@@ -281,30 +280,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """Whole sets (cls, shingles) of the wanted classes, one for each class and task."""
-    count = wanted.count()
-    few = np.sort(wanted.toPandas()["cls"].to_numpy(np.int64)) if count <= BROADCAST_CLASSES else None
+    """Whole sets (cls, shingles) of the wanted classes, one each, and of a few others that the bit map lets through."""
+    bits = bit_filter(wanted, "cls", each=64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             ids, blobs = [], []
             for _, shingles, rows in shingle_sets(data, offsets, words):
-                cls = _digests(shingles, rows)[0].view(np.int64)
-                use = np.ones(len(cls), bool) if few is None else few[np.minimum(np.searchsorted(few, cls), len(few) - 1)] == cls if len(few) else np.zeros(len(cls), bool)
-                for r in np.flatnonzero(use & (np.diff(rows) > 0)):
-                    if cls[r] not in done:
-                        if few is not None:
-                            done.add(int(cls[r]))
-                        ids.append(cls[r])
-                        blobs.append(shingles[rows[r] : rows[r + 1]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, np.int64)), pa.array(blobs, pa.binary())], ["cls", "shingles"])
-
-    found = docs.select("text").mapInArrow(run, "cls long, shingles binary")
-    if few is None:
-        found = found.join(wanted, "cls", "left_semi")
-    return found.groupBy("cls").agg(F.first("shingles").alias("shingles"))
+                cls = _digests(shingles, rows)[0]
+                _, first = np.unique(cls, return_index=True)
+                for r in first[in_filter(cls[first], *bits) & (np.diff(rows)[first] > 0)]:
+                    ids.append(cls[r])
+                    blobs.append(shingles[rows[r] : rows[r + 1]].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, np.uint64).view(np.int64)), pa.array(blobs, pa.binary())], ["cls", "shingles"])
+
+    # Copies of a class meet in the map task first.
+    return docs.select("text").mapInArrow(run, "cls long, shingles binary").groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 
 def _links(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktake.llm.common import staged, table
+from stocktake.llm.filters import bit_filter, in_filter
 from stocktake.llm.tokens import BYTE, chunks, mixed, text_bytes
 
 LENGTH, GRAM = 200, 48
@@ -38,8 +39,6 @@ HOT = 20_000
 PIECE = 1 << 21
 #: Bytes of segments that are sorted at once, unless one anchor has more.
 BATCH = 1 << 20
-#: Bits of the filters that name segments and documents, at least and at most (they are collected: 1/8 as many bytes).
-FILTER_BITS = (16, 27)
 SEPARATOR = 0xFF  # in no UTF-8 text
 STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 RECORD = np.dtype([("anchor", "<u8"), ("digest", "<u8"), ("key", "<i8"), ("at", "<i4"), ("n", "<i4")])
@@ -202,20 +201,6 @@ def classify(keyed: DataFrame, buckets: int, single: np.ndarray | None = None) -
     return sent.repartition(buckets, "bucket").mapInArrow(settle, "kind int, x long, low int, high int")
 
 
-def bit_filter(numbers: DataFrame, column: str) -> tuple[np.ndarray, int]:
-    """A bit map of numbers that are hashes, by their first bits, 8 bits a number up to the limit, put together by Spark: it
-    may say yes wrongly, never no."""
-    count = numbers.count()
-    bits = min(FILTER_BITS[1], max(FILTER_BITS[0], int(8 * count).bit_length()))
-    spot = F.call_function("shiftrightunsigned", F.col(column), F.lit(64 - bits))
-    rows = numbers.select(spot.alias("b")).groupBy(F.call_function("shiftright", F.col("b"), F.lit(6)).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b").cast("int").bitwiseAND(63))).alias("bits")
-    ).toPandas()
-    words = np.zeros(1 << (bits - 6), np.uint64)
-    words[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
-    return words, bits
-
-
 def types(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than its successor; the empty suffix is smallest."""
     n = len(text)
@@ -312,7 +297,7 @@ def sorted_spans(keyed: DataFrame, chosen: DataFrame, buckets: int) -> DataFrame
             for rec, row, begin in records(batch):
                 if not len(rec):
                     continue
-                use = np.flatnonzero(_in_filter(_name(rec), words, bits))
+                use = np.flatnonzero(in_filter(_name(rec), words, bits))
                 if not len(use):
                     continue
                 data, offsets = text_bytes(batch.column("text"))
@@ -354,11 +339,6 @@ def sorted_spans(keyed: DataFrame, chosen: DataFrame, buckets: int) -> DataFrame
     return sent.repartition(buckets, "bucket").mapInArrow(search, "key long, low int, high int")
 
 
-def _in_filter(numbers: np.ndarray, words: np.ndarray, bits: int) -> np.ndarray:
-    spot = numbers >> np.uint64(64 - bits)
-    return (words[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
-
-
 def repeated_spans(keyed: DataFrame) -> DataFrame:
     """(key, low, high): all repeated bytes of all documents, overlapping."""
     buckets = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -399,7 +379,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            asked = _in_filter(np.ascontiguousarray(keys).view(np.uint64), words, bits)
+            asked = in_filter(np.ascontiguousarray(keys).view(np.uint64), words, bits)
             texts = batch.column("text")
             data, offsets = text_bytes(texts)
             sizes = np.diff(offsets)

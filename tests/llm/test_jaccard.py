@@ -3,7 +3,7 @@ import re
 import numpy as np
 import pytest
 
-from stocktake.llm import jaccard
+from stocktake.llm import filters, jaccard
 from stocktake.llm.components import components
 from llm_fixtures import documents  # noqa: F401
 
@@ -58,10 +58,10 @@ def test_against_all_pairs(documents, monkeypatch, seed, vocabulary, ordered):
     assert sorted(map(tuple, jaccard.similar(documents(rows).repartition(3)).collect())) == brute(rows)
 
 
-def test_hot_lists_and_large_tables(documents, monkeypatch):
-    """The ways for hot shingles and for more classes than may be broadcast give the same."""
+def test_hot_lists_and_full_filters(documents, monkeypatch):
+    """The way for hot shingles and a bit map that lets nearly all through give the same."""
     monkeypatch.setattr(jaccard, "HOT", 3)
-    monkeypatch.setattr(jaccard, "BROADCAST_CLASSES", 1)
+    monkeypatch.setattr(filters, "BITS", (6, 6))
     rows = made(4, 40)
     assert sorted(map(tuple, jaccard.similar(documents(rows)).collect())) == brute(rows)
 
