@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -13,6 +14,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 #: Rows that a Python worker gets at once: texts are long, and numpy needs a few times their bytes.
 BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
+#: Bytes that one task may gather of packed records.
+BUCKET_BYTES = 64 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -21,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -32,6 +35,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def buckets_for(spark: SparkSession, n_bytes: float) -> int:
+    """How many buckets what a task gathers in memory is dealt to: those of the session, more if one would exceed BUCKET_BYTES."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_bytes / BUCKET_BYTES))
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Hold the session's Arrow batches at BATCH_ROWS rows or fewer; for results that are not staged here but written by others."""
     now = int(spark.conf.get(BATCH_SETTING))

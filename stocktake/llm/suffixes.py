@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocktake.llm.common import staged, table
+from stocktake.llm.common import buckets_for, staged, table
 from stocktake.llm.filters import bit_filter, in_filter
 from stocktake.llm.tokens import BYTE, chunks, mixed, text_bytes
 
@@ -341,7 +341,9 @@ def sorted_spans(keyed: DataFrame, chosen: DataFrame, buckets: int) -> DataFrame
 
 def repeated_spans(keyed: DataFrame) -> DataFrame:
     """(key, low, high): all repeated bytes of all documents, overlapping."""
-    buckets = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # A segment starts about every (LENGTH - GRAM) / 2 bytes.
+    buckets = buckets_for(keyed.sparkSession, size * RECORD.itemsize / ((LENGTH - GRAM) / 2))
     told = staged(classify(keyed, buckets), "suffix-classes")
     spans = told.where("kind = 0").select(F.col("x").alias("key"), "low", "high")
     hot = np.sort(told.where("kind = 2").select("x").toPandas()["x"].to_numpy(np.int64).view(np.uint64))
