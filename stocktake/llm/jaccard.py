@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktake.llm.common import fresh, staged, table
+from stocktake.llm.common import buckets_for, fresh, staged, table
 from stocktake.llm.components import components
 from stocktake.llm.filters import bit_filter, in_filter
 from stocktake.llm.tokens import chunks, hashed_words, mixed, text_bytes
@@ -315,7 +315,9 @@ def grouped(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     keys, counts = frequent_shingles(profile, ORDERED)
     sizes = [(r["n_shingles"], r["count"]) for r in members.where("n_shingles between 4 and 2000").groupBy("n_shingles").count().collect()]
     light = boundary(sizes, percent, float(np.log2(counts).mean()) if len(counts) else 1.0)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = members.agg(F.sum("n_shingles")).first()[0] or 0
+    # A prefix has a share of 1 - percent / 100 of a set, a posting 24 bytes.
+    buckets = buckets_for(spark, total * (1 - percent / 100) * 24)
     live = staged(_postings(docs, keys, counts, light, words, percent, buckets), "jaccard-postings")
 
     # First round: each member of a list meets the list's best connected member.
