@@ -35,6 +35,8 @@ WORDS = 5
 PERCENT = 80
 #: Shingles whose frequency orders them, at most: the most frequent ones. Any order gives the same links; a better one shorter lists.
 ORDERED = 1 << 20
+#: Pairs of one class that meet its set in one task.
+CROWD = 500
 #: Shingles that a task looks through at once for recurring ones.
 RECURRING = 3_000_000
 SUBSET = 2
@@ -262,7 +264,20 @@ def _able(percent: int) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that link, by counting on whole sets."""
+    """The pairs (a, b) of classes that link, by counting on whole sets.
+
+    A class b with more than CROWD pairs has its set dealt to as many parts as its pairs need.
+    """
+    crowds = pairs.groupBy("b").agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
+    crowds = staged(crowds.select("b", F.ceil(F.col("n") / CROWD).cast("int").alias("parts")), "jaccard-crowds")
+    left, right = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("a_set")), sets.select(F.col("cls").alias("b"), F.col("shingles").alias("b_set"))
+    both = pairs.join(left, "a").join(right, "b")
+    if not crowds.isEmpty():
+        both = pairs.join(crowds, "b", "left_anti").join(left, "a").join(right, "b")
+        part = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
+        crowded = pairs.join(crowds, "b").withColumn("part", part).drop("parts").join(left, "a")
+        dealt = right.join(crowds, "b").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        both = both.select("a", "b", "a_set", "b_set").unionAll(crowded.join(dealt, ["b", "part"]).select("a", "b", "a_set", "b_set"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,9 +289,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    with_sets = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("a_set")), "a")
-    with_sets = with_sets.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("b_set")), "b")
-    return with_sets.select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -302,7 +315,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 def _links(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs that link, staged. Only sets that stand in a pair are read."""
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    # Both joins read one exchange of the sets.
+    # All joins read one exchange of the sets.
     sets = _sets(docs, staged(wanted, "jaccard-wanted"), words)
     return staged(_verified(pairs, sets, percent), "jaccard-links")
 
@@ -349,7 +362,8 @@ def grouped(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
 def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of docs."""
     members = staged(grouped(docs, words, percent), "jaccard-members")
-    smallest = members.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that the join back is one of two plain shuffles, which Spark splits where a component is large.
+    smallest = staged(members.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id")), "jaccard-smallest")
     out = members.join(smallest, "component", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 

@@ -62,6 +62,7 @@ def test_hot_lists_and_full_filters(documents, monkeypatch):
     """The way for hot shingles and a bit map that lets nearly all through give the same."""
     monkeypatch.setattr(jaccard, "HOT", 3)
     monkeypatch.setattr(filters, "BITS", (6, 6))
+    monkeypatch.setattr(jaccard, "CROWD", 2)
     rows = made(4, 40)
     assert sorted(map(tuple, jaccard.similar(documents(rows)).collect())) == brute(rows)
 
