@@ -38,7 +38,7 @@ HOT = 20_000
 #: Bytes of a long text that are looked at together.
 PIECE = 1 << 21
 #: Bytes of segments that are sorted at once, unless one anchor has more.
-BATCH = 1 << 20
+BATCH = 1 << 18
 SEPARATOR = 0xFF  # in no UTF-8 text
 STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 RECORD = np.dtype([("anchor", "<u8"), ("digest", "<u8"), ("key", "<i8"), ("at", "<i4"), ("n", "<i4")])
