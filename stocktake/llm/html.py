@@ -3,8 +3,9 @@
 Markup is stripped into lines, one for each block element. Menus, headers, footers, sidebars, notices, adverts, forms and
 reader comments become empty lines, and so do lines that are mostly links. The text lengths of WINDOW lines in a row are summed;
 text surges where the sum passes SURGE and dives where it falls to nothing. What lies between, from the first
-to the last line of the run, is kept. If nothing surges, the run with most text is kept. In a page with an article element, lines
-outside it count as empty and those inside surge by themselves.
+to the last line of the run, is kept. If nothing surges, the run with most text is kept. All lines take part, with or without an
+article or main element; a line inside one weighs up to SURGE more, in full if the element holds half of the page's unlinked text or more, else
+by its share: a teaser or a comment in an article element of its own gains little.
 
 Defined results: a null or empty page, or one without text, gives an empty string; ties between runs go to the first; an element that is
 never closed hides nothing; repeated rows are extracted one by one; an empty table gives no rows.
@@ -15,6 +16,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,12 +50,16 @@ CONCEALED = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|d
 def _is_hidden(name: str, attributes: str) -> bool:
     if name in HIDDEN:
         return True
-    if not attributes or name in ("html", "body", "article", "main"):
+    if not attributes or name in ("html", "body"):
         return False
     named = any(MARKS.search(next(filter(None, m.groups()), "")) for m in NAMED.finditer(attributes))
     return named or bool(CONCEALED.search(attributes))
 
 
+def _unlinked(text: str, links: int) -> int:
+    return 0 if 2 * links > len(text) else len(text)
+
+
 def _closing(tags: list[tuple[int, int, bool, str, str]]) -> dict[int, int]:
     """For each opening tag the number of its closing tag, by name; tags that are never closed are missing."""
     open_by_name: dict[str, list[int]] = {}
@@ -67,8 +73,9 @@ def _closing(tags: list[tuple[int, int, bool, str, str]]) -> dict[int, int]:
     return found
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, length of its links, in an article?) of every block; what is hidden leaves WINDOW empty lines."""
+def lines_of(page: str) -> list[tuple[str, int, float]]:
+    """(text, length of its links, share of the page's unlinked text that its article or main element holds, 0 outside of one) of every
+    block; what is hidden leaves WINDOW empty lines."""
     tags, pieces, at = [], [], 0
     for m in TOKEN.finditer(page):
         pieces.append(page[at : m.start()])
@@ -76,15 +83,17 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         tags.append((m.start(), m.end(), bool(m[2]), (m[3] or "").lower(), m[4] or ""))
     pieces.append(page[at:])
     closing = _closing(tags)
-    out: list[tuple[str, int, bool]] = []
+    out: list[tuple[str, int, int]] = []
     words: list[str] = []
-    links, in_link, article, hidden_until = 0, 0, 0, -1
+    links, in_link, hidden_until = 0, 0, -1
+    articles: list[list[int]] = [[0, 0]]  # first line and line after the last; number 0 stands for none
+    within: list[tuple[int, int]] = []  # closing tag and number of the articles around this place
 
     def flush() -> None:
         nonlocal links
         text = " ".join(html.unescape("".join(words)).split())
         if text:
-            out.append((text, links, article > 0))
+            out.append((text, links, within[-1][1] if within else 0))
         words.clear()
         links = 0
 
@@ -105,24 +114,27 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 words.append(" ")
             continue
         flush()
-        if name in ("article", "main") and (closes or k in closing):
-            article = max(0, article + (-1 if closes else 1))
-        elif not closes and k in closing and _is_hidden(name, attributes):
+        while within and within[-1][0] <= k:
+            articles[within.pop()[1]][1] = len(out)
+        if closes or k not in closing:
+            continue
+        if _is_hidden(name, attributes):
             hidden_until = closing[k]
-            out.extend([("", 0, False)] * WINDOW)
+            out.extend([("", 0, 0)] * WINDOW)
+        elif name in ("article", "main"):
+            within.append((closing[k], len(articles)))
+            articles.append([len(out), len(out)])
     flush()
-    return out
+    for _, number in within:
+        articles[number][1] = len(out)
+    held = [0, *accumulate(_unlinked(text, n) for text, n, _ in out)]
+    share = [(held[end] - held[begin]) / held[-1] if held[-1] else 1.0 for begin, end in articles]
+    return [(text, n, share[a] if a else 0.0) for text, n, a in out]
 
 
 def main_text(page: str | None) -> str:
     lines = lines_of(page or "")
-    inside = any(text and art for text, _, art in lines)
-    size = []
-    for text, links, art in lines:
-        if inside:
-            size.append((len(text) + SURGE) if art and text else 0)
-        else:
-            size.append(0 if 2 * links > len(text) else len(text))
+    size = [_unlinked(text, links) + (round(SURGE * min(1.0, 2 * share)) if text else 0) for text, links, share in lines]
     n = len(size)
     block = [sum(size[k : k + WINDOW]) for k in range(n)]
     kept, runs, k = [], [], 0

@@ -24,6 +24,20 @@ def test_main_text(page, want):
     assert html.main_text(page) == want
 
 
+def test_article_elements_are_a_bonus_only():
+    body = "".join(f"<p>{k} {LONG}</p>" for k in range(4))
+    kept = "\n".join(f"{k} {LONG}" for k in range(4))
+    comments = "".join(f'<article class="comment"><p>comment {k} {LONG}</p></article>' for k in range(3))
+    assert html.main_text(f"<div>{body}</div>{comments}") == kept
+    teasers = "<nav>menu</nav>" + "".join(f"<article><h3><a href=x>teaser {k}</a></h3><p>brief</p></article>" for k in range(3))
+    assert html.main_text(f"<div>{body}</div>{teasers}") == kept
+    assert html.main_text(f"<main><article>{body}</article>{teasers}</main>").startswith(kept)
+    # The window decides outside of the article too: what surges is kept, a short line apart is not.
+    assert html.main_text(f"<article>{body}</article><nav>x</nav><p>short</p><nav>x</nav><div><p>{LONG}</p></div>") == f"{kept}\n{LONG}"
+    assert html.main_text(f"<main>{body}<article class='share-box'>{LONG}</article></main>") == kept
+    assert html.main_text("<article><p><a href=x>only a link</a></p></article>") == "only a link"
+
+
 def test_long_page():
     page = "<article>" + "".join(f"<p>{k} {LONG}</p>" for k in range(20_000)) + "</article>"
     assert html.main_text(page).count("\n") == 19_999
