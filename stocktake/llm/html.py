@@ -1,7 +1,9 @@
 """Main text of web pages by the distribution of their line blocks.
 
 Markup is stripped into lines, one for each block element. Menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments become empty lines, and so do lines that are mostly links. The text lengths of WINDOW lines in a row are summed;
+reader comments become empty lines, and so do lines that are mostly links. What an element's class, id or role only marks as such stays
+if the element holds most of the page's unlinked text; reader comments beside text that surges and a single line beside an article's
+own text do not. The text lengths of WINDOW lines in a row are summed;
 text surges where the sum passes SURGE and dives where it falls to nothing. What lies between, from the first
 to the last line of the run, is kept. If nothing surges, the run with most text is kept. All lines take part, with or without an
 article or main element; a line inside one weighs up to SURGE more, in full if the element holds half of the page's unlinked text or more, else
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -37,23 +40,20 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("nav header footer aside form menu dialog button select fieldset head".split())
-#: Words in class, id or role that mark what is not the article.
+#: Words in class, id or role that mark what is not the article: a whole token or its leading part. "with-sidebar" marks nothing.
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|complementary|contentinfo|cookies?|consent|disqus|footer|form|header|menu|"
-    r"modal|nav|navbar|navigation|newsletter|notice|popup|promo\w*|related|search|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])",
+    r"(?:^|\s)(?:ads?|advert\w*|banner|breadcrumbs?|comments?|complementary|contentinfo|cookies?|consent|disqus|footer|form|header|menu|"
+    r"modal|nav|navbar|navigation|newsletter|notice|popup|promo\w*|related|search|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?=$|[\s_-])",
     re.I,
 )
+#: Marks of reader comments, which may well be longer than the article.
+THREAD = re.compile(r"(?:^|\s)(?:comments?|disqus|disqus_thread)(?=$|\s)", re.I)
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 CONCEALED = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
-def _is_hidden(name: str, attributes: str) -> bool:
-    if name in HIDDEN:
-        return True
-    if not attributes or name in ("html", "body"):
-        return False
-    named = any(MARKS.search(next(filter(None, m.groups()), "")) for m in NAMED.finditer(attributes))
-    return named or bool(CONCEALED.search(attributes))
+def _named(pattern: re.Pattern, attributes: str) -> bool:
+    return any(pattern.search(next(filter(None, m.groups()), "")) for m in NAMED.finditer(attributes))
 
 
 def _unlinked(text: str, links: int) -> int:
@@ -83,17 +83,52 @@ def lines_of(page: str) -> list[tuple[str, int, float]]:
         tags.append((m.start(), m.end(), bool(m[2]), (m[3] or "").lower(), m[4] or ""))
     pieces.append(page[at:])
     closing = _closing(tags)
-    out: list[tuple[str, int, int]] = []
+    hides, marked = set(), set()
+    for k in closing:
+        _, _, _, name, attributes = tags[k]
+        if name in HIDDEN or attributes and name not in ("html", "body") and CONCEALED.search(attributes):
+            hides.add(k)
+        elif attributes and name not in ("html", "body") and _named(MARKS, attributes):
+            marked.add(k)
+    if marked:
+        hides |= marked - _spared(pieces, tags, closing, hides, marked)
+    return [line[:3] for line in _walk(pieces, tags, closing, hides)]
+
+
+def _spared(pieces: list[str], tags: list[tuple], closing: dict[int, int], hides: set[int], marked: set[int]) -> set[int]:
+    """Marked elements that stay: they hold most of the page's unlinked text. Not so reader comments beside text that surges, and
+    a single line beside an article's own text."""
+    lines = _walk(pieces, tags, closing, hides, marked | {closing[k] for k in marked})
+    ends = [at for _, _, _, at in lines]
+    size = [_unlinked(text, links) for text, links, _, _ in lines]
+    held, full = [0, *accumulate(size)], [0, *accumulate(n > 0 for n in size)]
+    own = [0, *accumulate(n if share else 0 for n, (_, _, share, _) in zip(size, lines))]
+    out = set()
+    for k in marked:
+        begin, end = bisect_right(ends, k), bisect_right(ends, closing[k])
+        inside = held[end] - held[begin]
+        thread = held[-1] - inside > SURGE and _named(THREAD, tags[k][4])
+        beside = full[end] - full[begin] < 2 and own[-1] > own[end] - own[begin]
+        if 2 * inside > held[-1] and not thread and not beside:
+            out.add(k)
+    return out
+
+
+def _walk(
+    pieces: list[str], tags: list[tuple], closing: dict[int, int], hides: set[int], edges: set[int] | frozenset[int] = frozenset()
+) -> list[tuple[str, int, float, int]]:
+    """Lines as in lines_of, each with the number of the tag it ends at; what the tags `hides` open is hidden, and tags in `edges` end a line."""
+    out: list[tuple[str, int, int, int]] = []
     words: list[str] = []
     links, in_link, hidden_until = 0, 0, -1
     articles: list[list[int]] = [[0, 0]]  # first line and line after the last; number 0 stands for none
     within: list[tuple[int, int]] = []  # closing tag and number of the articles around this place
 
-    def flush() -> None:
+    def flush(k: int) -> None:
         nonlocal links
         text = " ".join(html.unescape("".join(words)).split())
         if text:
-            out.append((text, links, within[-1][1] if within else 0))
+            out.append((text, links, within[-1][1] if within else 0, k))
         words.clear()
         links = 0
 
@@ -104,32 +139,34 @@ def lines_of(page: str) -> list[tuple[str, int, float]]:
                 links += len(piece)
         if k == len(tags) or k < hidden_until:
             continue
-        _, _, closes, name, attributes = tags[k]
+        _, _, closes, name, _ = tags[k]
         if k == hidden_until or not name:
             continue
-        if name in INLINE and not (not closes and attributes and k in closing and _is_hidden(name, attributes)):
+        if name in INLINE and k not in hides:
+            if k in edges:
+                flush(k)
             if name == "a":
                 in_link = max(0, in_link + (-1 if closes else k in closing))
             elif name == "br":
                 words.append(" ")
             continue
-        flush()
+        flush(k)
         while within and within[-1][0] <= k:
             articles[within.pop()[1]][1] = len(out)
         if closes or k not in closing:
             continue
-        if _is_hidden(name, attributes):
+        if k in hides:
             hidden_until = closing[k]
-            out.extend([("", 0, 0)] * WINDOW)
+            out.extend([("", 0, 0, k)] * WINDOW)
         elif name in ("article", "main"):
             within.append((closing[k], len(articles)))
             articles.append([len(out), len(out)])
-    flush()
+    flush(len(tags))
     for _, number in within:
         articles[number][1] = len(out)
-    held = [0, *accumulate(_unlinked(text, n) for text, n, _ in out)]
+    held = [0, *accumulate(_unlinked(text, n) for text, n, _, _ in out)]
     share = [(held[end] - held[begin]) / held[-1] if held[-1] else 1.0 for begin, end in articles]
-    return [(text, n, share[a] if a else 0.0) for text, n, a in out]
+    return [(text, n, share[a] if a else 0.0, at) for text, n, a, at in out]
 
 
 def main_text(page: str | None) -> str:

@@ -38,6 +38,28 @@ def test_article_elements_are_a_bonus_only():
     assert html.main_text("<article><p><a href=x>only a link</a></p></article>") == "only a link"
 
 
+BODY = "".join(f"<p>{k} {LONG}</p>" for k in range(4))
+KEPT = "\n".join(f"{k} {LONG}" for k in range(4))
+
+
+@pytest.mark.parametrize("name", ["content with-sidebar", "post no-comments", "entry has-header", "section related-work", "related-work", "widget Blog"])
+@pytest.mark.parametrize("page", ["<div class='{}'>{}</div>", "<section id=x class='{}'><article>{}</article></section><footer>foot</footer>",
+                                  "<article><div class='{}'>{}</div></article>", "<main class='{}'>{}</main><div class='sidebar'>side</div>"])
+def test_wrappers_are_not_hidden(name, page):
+    assert html.main_text(page.format(name, BODY)) == KEPT
+
+
+@pytest.mark.parametrize("name", ["sidebar", "comments-area", "x related-posts", "share_box", "comment"])
+def test_marks(name):
+    aside = f"<div class='{name}'><p>{LONG}</p></div>"
+    assert html.main_text(f"<div>{BODY}{aside}</div>") == html.main_text(f"{aside}<article>{BODY}</article>") == KEPT
+    if name == "comment":  # longer than the article
+        assert html.main_text(f"<div>{BODY}</div><div id=comments>{BODY}{BODY}{aside}</div>") == KEPT
+        assert html.main_text(f"<div id=comments>{BODY}</div>") == KEPT
+    assert html.main_text(f"<article><p>brief</p></article><div class='{name}'>{LONG}</div>") == "brief"
+    assert html.main_text(f"<p>{LONG} <span class='{name}'>gone</span></p>") == LONG
+
+
 def test_long_page():
     page = "<article>" + "".join(f"<p>{k} {LONG}</p>" for k in range(20_000)) + "</article>"
     assert html.main_text(page).count("\n") == 19_999
