@@ -1,16 +1,18 @@
 """Toxicity by a counterfactually regularised classifier.
 
 A logistic model on hashed words and word parts is fitted on a bounded sample of labelled texts. For every sampled text that mentions
-an identity group, copies with the group's word swapped for other groups' and for a neutral word are made, and the
-squared differences of their scores are added to the loss: a mere mention of a group must not move the score.
+an identity group, the features of copies with the group's word swapped for other sampled groups' and for a neutral word are made, and the
+squared differences of their scores, as log odds, are added to the loss: a mere mention of a group must not move the score. Copies that differ
+from their texts by the same features are added once, with their number.
 
-Defined results: null and empty texts get the score of the bias alone; rows are scored one by one; without any usable label
+Defined results: of rows with one id the sample takes one; null and empty texts get the score of the bias alone; rows are scored one by one; without any usable label
 the score is 0, with labels of one class only it is that class's smoothed share; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import zlib
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktake.llm.common import bounded_batches, table
-from stocktake.llm.tokens import LETTERS, chunks, hashed_grams, hashed_words, text_bytes
+from stocktake.llm.tokens import LETTERS, LOWER, chunks, hashed_grams, hashed_words, text_bytes
 
 #: Labelled texts that the model is fitted on, at most: those with the smallest hashes of their ids.
 SAMPLE = 6000
@@ -55,62 +57,100 @@ def train_fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS != 0
 
 
-def sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> list[tuple[int, np.ndarray]]:
-    """(label, word ids) of the sampled training texts, featurised where the texts are. Conflicting labels count as toxic."""
+def features(text: bytes) -> np.ndarray:
+    data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    found = [ids for _, pairs in feature_ids(data, offsets) for ids, _ in pairs]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int32)
+
+
+def mentions(text: bytes, ids: np.ndarray, pattern: re.Pattern) -> dict[str, np.ndarray]:
+    """For each identity word of the text the ids that go with it: other words may share its parts."""
+    text = text.translate(LOWER.tobytes())
+    found = {}
+    for word in sorted(set(pattern.findall(text))):
+        rest = pattern.sub(lambda m: b" " if m[0] == word else m[0], text)
+        found[word.decode()] = np.setdiff1d(ids, features(rest))
+    return found
+
+
+def pattern_of(identity: list[str]) -> re.Pattern:
+    """Whole words, where letters are those of LETTERS in small letters."""
+    words = b"|".join(sorted((re.escape(w.encode()) for w in identity), key=len, reverse=True))
+    return re.compile(rb"(?<![a-z\x80-\xff])(?:" + words + rb")(?![a-z\x80-\xff])" if identity else rb"(?!)")
+
+
+def sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, identity: list[str] = IDENTITY) -> list[tuple[int, np.ndarray, dict[str, np.ndarray]]]:
+    """(label, word ids, ids that go with each identity word) of the sampled training texts, featurised where the texts are; one for each id.
+    Conflicting labels count as toxic."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & train_fold(F.col("doc_id")))
     chosen = known.groupBy("doc_id").agg(F.max("toxic").alias("_toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    pattern = pattern_of(identity)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            out = []
-            for _, ((words, at), (parts, of)) in feature_ids(data, offsets):
-                out += [np.unique(np.concatenate([words[at[k] : at[k + 1]], parts[of[k] : of[k + 1]]])).tobytes() for k in range(len(at) - 1)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_toxic"), pa.array(out, pa.binary())], ["doc_id", "toxic", "ids"])
+            out, gone = [], []
+            for first, ((words, at), (parts, of)) in feature_ids(data, offsets):
+                for k in range(len(at) - 1):
+                    ids = np.unique(np.concatenate([words[at[k] : at[k + 1]], parts[of[k] : of[k + 1]]]))
+                    found = mentions(data[offsets[first + k] : offsets[first + k + 1]].tobytes(), ids, pattern)
+                    out.append(ids.tobytes())
+                    gone.append([{"word": w, "ids": i.tobytes()} for w, i in found.items()])
+            kind = pa.list_(pa.struct([("word", pa.string()), ("ids", pa.binary())]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_toxic"), pa.array(out, pa.binary()), pa.array(gone, kind)], ["doc_id", "toxic", "ids", "gone"])
 
     # The sample has a documented bound, so it is broadcast and the texts stay where they are.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.mapInArrow(featurise, "doc_id long, toxic int, ids binary").collect()
-    rows.sort(key=lambda r: (r["doc_id"], zlib.crc32(r["ids"])))
-    return [(int(r["toxic"] > 0), np.frombuffer(r["ids"], np.int32)) for r in rows]
+    found = texts.mapInArrow(featurise, "doc_id long, toxic int, ids binary, gone array<struct<word:string,ids:binary>>")
+    rows = found.groupBy("doc_id").agg(F.min(F.struct("ids", "gone", "toxic")).alias("x")).select("doc_id", "x.*").collect()
+    rows.sort(key=lambda r: r["doc_id"])
+    return [(int(r["toxic"] > 0), np.frombuffer(r["ids"], np.int32), {g["word"]: np.frombuffer(g["ids"], np.int32) for g in r["gone"]}) for r in rows]
 
 
-def swaps_of(identity: list[str], mentions: np.ndarray) -> list[tuple[dict[int, int], float]]:
-    """Swaps of the groups that texts mention, each for all others and for the neutral word (which no weight knows): the ids that come
-    (1) and go (-1), and how many texts the swap stands for."""
+def swaps_of(identity: list[str], texts: list[tuple]) -> list[tuple[dict[int, int], float]]:
+    """Swaps of the groups that texts mention, each for all others mentioned anywhere and for the neutral word (which no weight knows): the ids
+    that come (1) into a copy and go (-1), and how many texts the swap stands for. For texts without the ids that go with a
+    word, none of its parts counts as shared."""
     ids = {w: ids_of(w) for w in dict.fromkeys(identity)}
-    present = [w for w in ids if mentions[ids[w][0]] > 0]
-    out = []
-    for a in present:
+    every = np.unique(np.concatenate([*ids.values(), np.zeros(0, np.int32)]))
+    copies: Counter = Counter()
+    for _, own, *gone in texts:
+        mentioned = {w: g for w, g in gone[0].items() if w in ids} if gone else {w: np.intersect1d(i, own) for w, i in ids.items() if i[0] in own}
+        if mentioned:
+            held = every[np.isin(every, own)].tobytes()
+            copies.update((w, g.tobytes(), held) for w, g in mentioned.items())
+    present = [w for w in ids if w in {w for w, _, _ in copies}]
+    out: Counter = Counter()
+    for (a, gone, held), n in copies.items():
+        goes, has = np.frombuffer(gone, np.int32).tolist(), set(np.frombuffer(held, np.int32).tolist())
         for b in [*(w for w in present if w != a), None]:
-            change = dict.fromkeys(ids[b].tolist(), 1) if b else {}
-            for i in ids[a].tolist():
-                change[i] = change.get(i, 0) - 1
-            out.append(({i: c for i, c in change.items() if c}, mentions[ids[a][0]] / len(present)))
-    return out
+            new = set(ids[b].tolist()) if b else set()
+            change = dict.fromkeys(sorted(new - has), 1) | {i: -1 for i in goes if i not in new}
+            out[tuple(change.items())] += n / len(present)
+    return [(dict(change), n) for change, n in out.items() if change]
 
 
-def fit(texts: list[tuple[int, np.ndarray]], identity: list[str] = IDENTITY, fair: float = FAIR) -> tuple[np.ndarray, float]:
-    """Weights of all word ids, and the bias."""
+def fit(texts: list[tuple], identity: list[str] = IDENTITY, fair: float = FAIR) -> tuple[np.ndarray, float]:
+    """Weights of all word ids, and the bias, of texts as sample() returns them, or (label, word ids) only."""
     weights, y = np.zeros(1 << BITS), np.array([t[0] for t in texts], dtype=float)
     if not len(y):
         return weights, -50.0
     if y.min() == y.max():
         return weights, float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     texts_with, toxic_with = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    for toxic, ids in texts:
+    for toxic, ids, *_ in texts:
         texts_with[ids] += 1
         toxic_with[ids] += toxic
     share = y.mean()
     surprise = (toxic_with - texts_with * share) / np.sqrt(np.maximum(texts_with, 1) * share * (1 - share))
-    swaps = swaps_of(list(identity), texts_with)
+    swaps = swaps_of(list(identity), texts)
     used = (texts_with >= LEAST_TEXTS) & (np.abs(surprise) >= NOTABLE)
     for change, _ in swaps:
         used[list(change)] = True
     kept = np.flatnonzero(used)
     column = np.full(1 << BITS, -1)
     column[kept] = np.arange(len(kept))
-    texts_used = [ids[used[ids]] for _, ids in texts]
+    texts_used = [ids[used[ids]] for _, ids, *_ in texts]
     rows, cols = np.repeat(np.arange(len(texts)), [len(ids) for ids in texts_used]), column[np.concatenate(texts_used)]
     swap = np.repeat(np.arange(len(swaps)), [len(c) for c, _ in swaps])
     swap_col = column[[i for c, _ in swaps for i in c]] if swaps else np.zeros(0, int)
@@ -151,9 +191,9 @@ def scores(texts: pa.Array, chosen: np.ndarray, values: np.ndarray, bias: float)
     return 1 / (1 + np.exp(-out))
 
 
-def model(docs: DataFrame, labels: DataFrame, **options) -> tuple[np.ndarray, np.ndarray, float]:
+def model(docs: DataFrame, labels: DataFrame, identity: list[str] = IDENTITY, **options) -> tuple[np.ndarray, np.ndarray, float]:
     """Ids with a weight, their weights, the bias."""
-    weights, bias = fit(sample(docs, labels), **options)
+    weights, bias = fit(sample(docs, labels, identity=identity), identity, **options)
     chosen = np.flatnonzero(weights)
     return chosen, weights[chosen], bias
 

@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -77,6 +78,36 @@ def test_only_training_rows_teach(spark, documents):
     assert all(np.array_equal(a, b) for a, b in zip(one, two))
 
 
+def test_swapped_copies_of_each_text(spark, documents):
+    identity = ["muslims", "jews", "women", "men"]
+    texts = ["Jews and MUSLIMS met.", "the women, the womenfolk", "no group: womenfolk", "men; men and muslims", "épée jews", "jewsé"]
+    ids = [k for k in range(1, 40) if zlib.crc32(str(k).encode()) % 5][: len(texts)]
+    docs = documents(list(zip(ids, texts)))
+    known = spark.createDataFrame([(k, 1, 0, "x") for k in ids], "doc_id long, quality int, toxic int, text string")
+    found = toxicity.sample(docs, known, identity=identity)
+    want = {}
+    for text in texts:
+        low = toxicity.features(text.encode())
+        words = re.findall(r"[^\x00-\x60\x7b-\x7f]+", text.lower())
+        present = [a for a in identity if a in words]
+        for a in present:
+            for b in [*(w for w in identity if w != a), ""]:
+                copy = toxicity.features(" ".join(b if w == a else w for w in words).encode())
+                change = tuple(sorted([(i, 1) for i in set(copy.tolist()) - set(low.tolist())] + [(i, -1) for i in set(low.tolist()) - set(copy.tolist())]))
+                if change:
+                    want[change] = want.get(change, 0) + 1 / 4
+    got = {tuple(sorted(change.items())): n for change, n in toxicity.swaps_of(identity, found)}
+    assert got == pytest.approx(want)
+
+
+def test_one_row_for_each_sampled_id(spark, documents):
+    rows, labels = labelled(300, 4)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string")
+    docs = documents(rows + [(k, f"{t} again {j}") for k, t in rows[:20] for j in range(30)])
+    assert len(toxicity.sample(docs, known)) == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k, _ in rows)
+    assert len(toxicity.sample(docs, known, limit=50)) == 50
+
+
 def test_edges(spark, documents):
     schema = "doc_id long, quality int, toxic int"
     docs = documents([(1, None), (2, ""), (2, ""), (None, "scum"), (3, "x " * 60_000)])
