@@ -2,9 +2,10 @@
 
 Lower-cased words are symbols. The CGK embedding walks over a text: at step j it emits the word under its pointer and moves on if a random
 function of (j, word) says so; two texts of small edit distance fall into step again after each edit, so edit distance becomes
-Hamming distance of the emitted words. Bit sampling takes the words emitted at a few steps as a key. Several walks, with
-nearer and farther horizons, are repeated, over windows of an item's size class at every word of every text and of every
-item, until the target recall is reached (tests measure it against brute force). Equal keys propose (item, place);
+Hamming distance of the emitted words. Bit sampling takes the words emitted at a few steps as a key. Walks begin at every word of
+every text and of every item. They are short, not as long as the item: 12 to 24 steps, which cover about 6 to 12 words, for all items of 16 words
+or more, and less for shorter ones. So a long item is found by any one of its many short stretches. The walks are a fixed number,
+one for each of HORIZONS (fewer for short items); tests measure their recall against brute force. Equal keys propose (item, place);
 proposals are verified exactly by the edit distance of the whole item to the best stretch of the text there.
 
 Windows of fewer than LEAST_KNOWN words from the items' vocabulary are skipped before walking: edits within the limit leave at least
