@@ -2,7 +2,9 @@
 
 A document's hash is 60 bits of the MD5 of its id and text. The directory starts from the histogram of a prefix that is fine
 for the average; a prefix still too large is split bit by bit, and prefixes that fit are merged upwards while their
-parent fits: what remains is the shallowest prefix of each document whose bytes fit. Only rows (id, hash, bytes) move.
+parent fits: what remains is the shallowest prefix of each document whose bytes fit. The directory is made from rows (hash, bytes); then
+the documents move once, all of a shard's part to one task, which writes them to a folder of their own. Shards are read back, measured
+and checked against the limit; their sizes are those of the stored texts.
 
 Defined results: null and empty texts have 0 bytes and still get a shard; a document larger than the limit ends up alone
 and is marked oversized; rows that all bits leave together (repeated rows) are dealt into overflow parts in turn, as
@@ -13,16 +15,19 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stocktake.llm.common import staged, table
+from stocktake.llm.common import buckets_for, new_folder, staged, table
 
 #: Bytes of text in a shard at most.
 LIMIT = 16 << 20
 BITS = 60
 #: Bits counted beyond those that the average needs, and bits added where that is too coarse.
 SPARE, STEP = 6, 6
+#: Cells of the directory, a few for each shard, that are sent to all tasks at most; more are joined.
+BROADCAST_ROWS = 100_000
 
 
 def shard_key(doc_id: Column, text: Column) -> Column:
@@ -69,38 +74,73 @@ def directory(keyed: DataFrame, limit: int) -> DataFrame:
     return leaf.select("cell", "bits", "leaf.depth", "leaf.prefix", "leaf.shard_bytes")
 
 
-def shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """(doc_id, n_bytes, depth, shard, part, shard_bytes, oversized), one row for each row of docs.
+def _located(keyed: DataFrame, leaves: DataFrame) -> DataFrame:
+    """keyed with depth, prefix and shard_bytes of its leaf."""
+    depths = [r[0] for r in leaves.select("bits").distinct().limit(BITS + 1).collect()]
+    # A cell is found at each of the few depths that the histogram has; the join keys are equalities.
+    found = keyed.withColumn("bits", F.explode(F.array(*[F.lit(d) for d in depths] or [F.lit(0)])))
+    return found.withColumn("cell", _prefix(F.col("key"), F.col("bits"))).join(leaves, ["cell", "bits"]).drop("cell", "bits")
 
-    shard is the prefix as a string of bits; part numbers the overflow of a shard that no bit splits. shard_bytes counts a
-    shard's part.
+
+def write_shards(docs: DataFrame, folder: str, limit: int = LIMIT, broadcast_rows: int = BROADCAST_ROWS) -> None:
+    """Write the documents (row, with all their columns) into a folder for each shard and part: shard=b<prefix bits>/part=<number>.
+
+    part numbers the overflow of a shard that no bit splits.
     """
-    keyed = staged(docs.select(
-        "doc_id", shard_key(F.col("doc_id"), F.col("text")).alias("key"),
+    spark = docs.sparkSession
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), shard_key(F.col("doc_id"), F.col("text")).alias("key"),
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
-    ), "shard-keys")
-    leaves = directory(keyed, limit)
-    depths = leaves.select("bits").distinct()
-    # A cell is found at each of the few depths that the histogram has; the join keys are equalities.
-    found = keyed.withColumn("bits", F.explode(F.array(*[F.lit(r[0]) for r in depths.limit(BITS + 1).collect()] or [F.lit(0)])))
-    found = found.withColumn("cell", _prefix(F.col("key"), F.col("bits"))).join(leaves, ["cell", "bits"])
+    )
+    light = staged(keyed.select("key", "n_bytes"), "shard-keys")
+    leaves = staged(directory(light, limit), "shard-leaves")
+    if leaves.count() <= broadcast_rows:
+        found = _located(keyed, F.broadcast(leaves))
+    else:
+        found = keyed.join(_located(light.select("key").distinct(), leaves), "key")
     name = F.when(F.col("depth") == 0, F.lit("")).otherwise(F.lpad(F.bin("prefix"), F.col("depth"), F.lit("0")))
-    named = found.withColumn("shard", name)
-    fit = named.where(F.col("shard_bytes") <= limit).select("doc_id", "n_bytes", "depth", "shard", F.lit(0).cast("long").alias("part"), "shard_bytes")
-    # Beyond all bits only equal rows are left (or one row): a part takes as many as fit, at least one.
-    over = named.where(F.col("shard_bytes") > limit).groupBy("doc_id", "key", "n_bytes", "depth", "shard").agg(F.count("*").alias("n"))
-    each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("n_bytes"))).cast("long")
-    dealt = over.withColumn("each", each).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    part = F.floor(F.col("i") / F.col("each")).cast("long")
-    rest = dealt.select(
-        "doc_id", "n_bytes", "depth", "shard", part.alias("part"),
-        (F.least(F.col("each"), F.col("n") - part * F.col("each")) * F.col("n_bytes")).alias("shard_bytes"),
+    found = found.withColumn("shard", F.concat(F.lit("b"), name))
+    out = found.where(F.col("shard_bytes") <= limit).select("row", "shard", F.lit(0).cast("long").alias("part"))
+    if not leaves.where(F.col("shard_bytes") > limit).isEmpty():
+        # Beyond all bits only equal rows are left (or one row): a part takes as many as fit, at least one. Rows equal in all columns
+        # are counted first.
+        over = found.where(F.col("shard_bytes") > limit).groupBy("row", "key", "n_bytes", "shard").agg(F.count("*").alias("n"))
+        before = F.sum("n").over(Window.partitionBy("key").orderBy("row").rowsBetween(Window.unboundedPreceding, -1))
+        each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("n_bytes"))).cast("long")
+        dealt = over.withColumn("before", F.coalesce(before, F.lit(0))).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+        out = out.unionByName(dealt.select("row", "shard", F.floor((F.col("before") + F.col("i")) / each).cast("long").alias("part")))
+    total = light.agg(F.sum("n_bytes")).first()[0] or 0
+    out.repartition(buckets_for(spark, total), "shard", "part").write.partitionBy("shard", "part").parquet(folder)
+
+
+def read_shards(spark: SparkSession, folder: str, row: T.StructType) -> DataFrame:
+    """The documents of all shards: row, shard as a string of bits, part."""
+    kinds = T.StructType([T.StructField("row", row), T.StructField("shard", T.StringType()), T.StructField("part", T.LongType())])
+    return spark.read.schema(kinds).parquet(folder).withColumn("shard", F.expr("substring(shard, 2)"))
+
+
+def shards(docs: DataFrame, limit: int = LIMIT, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(doc_id, n_bytes, depth, shard, part, shard_bytes, oversized), one row for each row of docs, from the written shards.
+
+    shard is the prefix as a string of bits; part numbers the overflow of a shard that no bit splits. shard_bytes counts a
+    shard's part. More than one document in a part above the limit is an error.
+    """
+    folder = new_folder(docs.sparkSession, "shards")
+    write_shards(docs, folder, limit, broadcast_rows)
+    stored = read_shards(docs.sparkSession, folder, docs.schema).select(
+        F.col("row.doc_id").alias("doc_id"), F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long").alias("n_bytes"), "shard", "part"
+    )
+    stored = staged(stored, "shard-rows")
+    parts = stored.groupBy("shard", "part").agg(F.sum("n_bytes").alias("shard_bytes"), F.count("*").alias("n"))
+    fits = (F.col("shard_bytes") <= limit) | (F.col("n") == 1)
+    checked = F.when(fits, F.col("shard_bytes")).otherwise(F.raise_error(F.concat(F.lit("shard above the limit: "), "shard")).cast("long"))
+    return stored.join(parts.select("shard", "part", checked.alias("shard_bytes")), ["shard", "part"]).select(
+        "doc_id", "n_bytes", F.length("shard").alias("depth"), "shard", "part", "shard_bytes", (F.col("shard_bytes") > limit).alias("oversized")
     )
-    return fit.unionByName(rest).withColumn("oversized", F.col("shard_bytes") > limit)
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shard all documents."""
+    """Write all documents into shards and say where each is."""
     return shards(table(spark, sf_dir, "documents"))
 
 

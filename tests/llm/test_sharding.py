@@ -57,3 +57,24 @@ def test_repeated_rows_overflow(documents):
 def test_empty(documents):
     assert sharding.shards(documents([])).count() == 0
     assert [r["n_bytes"] for r in sharding.shards(documents([(1, None)])).collect()] == [0]
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
+@pytest.mark.parametrize("limit", [500, 10**9])
+def test_written_shards(spark, documents, tmp_path, limit, broadcast_rows):
+    rows = [*ROWS, *[(1, "a" * 100, f"source {k % 3}") for k in range(40)], (5, "z" * 2000)]
+    docs = documents(rows)
+    folder = f"file://{tmp_path}/shards"
+    sharding.write_shards(docs, folder, limit, broadcast_rows)
+    stored = sharding.read_shards(spark, folder, docs.schema).collect()
+    assert sorted(map(str, (tuple(r["row"]) for r in stored))) == sorted(map(str, map(tuple, docs.collect())))  # texts and all columns
+    held = defaultdict(list)
+    for r in stored:
+        assert key(r["row"]["doc_id"], r["row"]["text"]).startswith(r["shard"])
+        held[r["shard"], r["part"]].append(len((r["row"]["text"] or "").encode()))
+    assert all(sum(sizes) <= limit or len(sizes) == 1 for sizes in held.values())
+    folders = {(p.parent.name, p.name) for p in (tmp_path / "shards").glob("shard=*/part=*")}
+    assert folders == {(f"shard=b{s}", f"part={n}") for s, n in held}
+    assert all(len(list((tmp_path / "shards" / s / p).glob("*.parquet"))) == 1 for s, p in folders)
+    told = Counter((r["doc_id"], r["shard"], r["part"], r["shard_bytes"]) for r in sharding.shards(docs, limit, broadcast_rows).collect())
+    assert told == Counter((r["row"]["doc_id"], r["shard"], r["part"], sum(held[r["shard"], r["part"]])) for r in stored)
