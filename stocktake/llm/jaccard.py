@@ -74,7 +74,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> I
 
 
 def _digests(shingles: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit digests of each row's set: sums of its mixed shingles, so 128 bits tell sets apart."""
+    """Two 64-bit digests of each row's set: sums of its mixed shingles. The first is the class; nothing compares the second yet."""
     parts = []
     for salt in (0x243F6A8885A308D3, 0x13198A2E03707344):
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(shingles ^ np.uint64(salt)), dtype=np.uint64)])
