@@ -1,6 +1,6 @@
 """Registered queries of the operators, and their SQL where SQL can express them."""
 
-from stocktake.llm import decontaminate, html, jaccard, licenses, mixing, quality, sharding, sql, suffixes, toxicity, warc
+from stocktake.llm import decontaminate, html, jaccard, licenses, mixing, periodic, quality, sharding, sql, suffixes, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_licenses": licenses.op10_licenses,
+    "op11_periodic": periodic.op11_periodic,
 }
 ORACLE = {
     "op1_warc": sql.OP1,
@@ -22,4 +23,5 @@ ORACLE = {
     "op6_jaccard": sql.OP6,
     "op7_html": sql.OP7,
     "op10_licenses": sql.OP10,
+    "op11_periodic": periodic.OP11_SQL,
 }

@@ -1,0 +1,136 @@
+import hashlib
+import os
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stocktake.llm import periodic
+from llm_fixtures import documents  # noqa: F401
+
+
+def plain_runs(w):
+    """All runs by trying every period at every place."""
+    n, found = len(w), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            s = i
+            while i + q < n and w[i] == w[i + q]:
+                i += 1
+            if i - s + q >= max(6, 4 * q):
+                found.setdefault((s, i - s + q), q)
+    return sorted((s, n_, q) for (s, n_), q in found.items())
+
+
+def plain_collapsed(words, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def texts(seed):
+    rng = random.Random(seed)
+    out = [[], ["a"], ["a"] * 5, ["a"] * 6, ["a", "b"] * 4, ["a", "b"] * 3 + ["a"], ["a"] * 1000, "a b a b a b a b b b b b b b".split()]
+    for _ in range(60):
+        words = [rng.choice("abc"[: rng.randint(1, 3)]) for _ in range(rng.randint(0, 80))]
+        for _ in range(rng.randint(0, 3)):
+            at, unit = rng.randint(0, len(words)), [rng.choice("abcdef") for _ in range(rng.randint(1, 30))]
+            words[at:at] = unit * rng.randint(2, 9) + unit[: rng.randint(0, len(unit))]
+        out.append(words)
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_runs_against_plain(seed):
+    docs = texts(seed)
+    numbers = np.split(periodic.numbered([w for d in docs for w in d]), np.cumsum([len(d) for d in docs])[:-1])
+    for words, found in zip(docs, periodic.runs_of(numbers)):
+        assert [tuple(r) for r in found.tolist()] == plain_runs(words)
+
+
+@pytest.mark.parametrize("size", [1, 14, 200, 3000])
+def test_extensions(size):
+    rng = np.random.default_rng(size)
+    values = np.append(np.tile(rng.integers(0, 3, size), 3), 9)
+    extend, last = periodic.Extensions(values), len(values) - 1
+    i, j = rng.integers(0, last, 400), rng.integers(0, last, 400)
+    i, j = i[i != j], j[i != j]
+    for a, b, got in zip(i, j, extend(i, j)):
+        want = 0
+        while values[a + want] == values[b + want]:
+            want += 1
+        assert got == want
+
+
+def test_cover():
+    assert {(a - b) % periodic.COVER for a in periodic.MEMBERS for b in periodic.MEMBERS} == set(range(periodic.COVER))
+
+
+def test_small_grids_and_blocks_change_nothing(monkeypatch):
+    docs = texts(9)
+    numbers = [periodic.numbered(d) for d in docs]
+    want = [r.tolist() for r in periodic.runs_of(numbers)]
+    monkeypatch.setattr(periodic, "GRID", 7)
+    assert [r.tolist() for r in periodic.runs_of(numbers)] == want
+    monkeypatch.setattr(periodic, "BATCH_WORDS", 50)
+    assert [r.tolist() for _, r in periodic._runs_of_words(iter(docs))] == want
+
+
+def test_operator_on_odd_rows(documents):
+    loop = "x y " * 10
+    rows = [(1, loop + "end"), (1, loop + "end"), (None, "a"), (2, None), (3, ""), (4, " \n\t"), (5, "é é é é " + "é " * 7)]
+    found = sorted((str(r["doc_id"]), r["text"], [tuple(x) for x in r["runs"]], r["collapsed_text"]) for r in periodic.with_runs(documents(rows).withColumn("runs", F.lit(1))).collect() if r["text"] is not None)
+    assert found == sorted([
+        ("1", loop + "end", [(0, 20, 2)], "x y end"), ("1", loop + "end", [(0, 20, 2)], "x y end"), ("None", "a", [], "a"), ("3", "", [], ""), ("4", " \n\t", [], ""),
+        ("5", rows[6][1], [(3, 7, 1)], "é é é é é"),
+    ])
+    assert periodic.with_runs(documents(rows)).columns == [*documents(rows).columns, "runs", "collapsed_text"]
+    assert periodic.with_runs(documents([])).count() == 0
+
+
+def plain_query(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h, n = zlib.crc32(str(doc_id).encode() if doc_id is not None else b""), len(words)
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = plain_runs(words)
+    digest = [hashlib.sha256(t.encode()).hexdigest() for t in ("".join(f"{s},{k},{q}\n" for s, k, q in runs), plain_collapsed(words, runs))]
+    if not runs:
+        return (doc_id, 0, None, None, None, None, *digest)
+    s, k, q = min(runs, key=lambda r: (-r[1] / r[2], r[0], r[2]))
+    return (doc_id, len(runs), s, k, q, 1000 * k // q, *digest)
+
+
+def test_query_and_sql(spark, documents, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts(5))] + [(None, "q " * 9), (7, "w " * 9), (7, "w " * 9), (-1, None), (400, " ".join(rng.choice("ab") for _ in range(300)))]
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    order = lambda r: tuple((x is None, str(x)) for x in r)
+    found = periodic.op11_periodic(spark, str(tmp_path))
+    got = sorted((tuple(r) for r in found.collect()), key=order)
+    assert got == sorted((plain_query(*r) for r in rows), key=order)
+    sql = duckdb.connect()
+    sql.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    result = sql.execute(periodic.OP11_SQL)
+    assert [c[0] for c in result.description] == found.columns
+    assert sorted(result.fetchall(), key=order) == got
+
+
+def test_every_tenth_document_has_its_planted_run(spark):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.exists(folder):
+        pytest.skip("needs the given tables")
+    rows = {r["doc_id"]: r for r in periodic.op11_periodic(spark, folder).collect()}
+    planted = {i: r for i, r in rows.items() if zlib.crc32(str(i).encode()) % 10 == 0}
+    assert len(rows) >= 200 and len(planted) > 5 and sum(r["n_runs"] > 0 for r in planted.values()) > 0
