@@ -1,6 +1,6 @@
 """Registered queries of the operators, and their SQL where SQL can express them."""
 
-from stocktake.llm import decontaminate, html, jaccard, licenses, mixing, periodic, quality, sharding, sql, suffixes, toxicity, warc
+from stocktake.llm import decontaminate, html, jaccard, licenses, mixing, periodic, quality, sharding, sql, suffixes, token_files, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_licenses": licenses.op10_licenses,
     "op11_periodic": periodic.op11_periodic,
+    "op12_tokens": token_files.op12_tokens,
 }
 ORACLE = {
     "op1_warc": sql.OP1,
