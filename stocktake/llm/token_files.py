@@ -18,8 +18,9 @@ kept in a table beside them, written by Spark when all tasks are done: files of
 Documents are dealt by ranges of (doc_id, hash of the text) and sorted, so files of ascending number hold ascending ids, and
 many rows of one id do not meet in one task. A task holds one batch of texts and the blocks of the moment, not its file.
 
-Words are looked up in a bounded table of what the tokenizer made of them before; it gets to see each once. This gives the ids of
-the whole text for tokenizers that, as byte-level ones do, always end a token where white space follows something else; `whole=True` hands over whole texts instead.
+Words are looked up in a bounded table of what the tokenizer made of them before. For byte-level tokenizers with the usual pattern (contractions, then
+letters, digits, other characters, each with the space before, then white space) this gives the ids of the whole text; for any
+other, `whole=True` hands over whole texts.
 
 Defined results: null ids come first; rows of one id are in the order of the 64-bit hash of their texts, then the texts; rows repeated in
 full are documents of their own; a null or empty text has END alone; an empty table gives no file and reads back empty. Other columns are
@@ -28,6 +29,7 @@ not written. A text without any white space is tokenized in one piece.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
@@ -50,10 +52,17 @@ HEAD_SIZE, FOOT_SIZE = struct.calcsize(HEAD), struct.calcsize(FOOT)
 BLOCK, LANES, WIDTH_AT = 1024, 64, 0.9
 #: Blocks packed or read at once; ids after which a file ends with the document; characters tokenized at once.
 GROUP, FILE_IDS, CHARS = 256, 1 << 25, 1 << 20
-#: Words kept with their ids, and the length up to which a word is kept.
-KEPT_WORDS, KEPT_CHARS = 400_000, 64
+#: Words kept with their ids (up to twice as many), and the length up to which a word is kept.
+KEPT_WORDS, KEPT_CHARS = 250_000, 64
 MANIFEST = "part int, file int, path string, n_docs long, n_ids long, n_bytes long"
-_UNITS = re.compile(r"\s*\S+|\s+")
+#: Latin letters, which every version of Unicode knows as such.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: Pieces of text that end where byte-level pre-tokenization always ends a token too: words of plain letters before white space or one of six
+#: marks, runs of these marks before white space, a line end or tab before something else, else all up to a certain white space. Space, tab and
+#: line ends are certain; of some others not every library says that they are white space, so they end nothing.
+_UNITS = re.compile(
+    rf" ?[{LETTERS}]+(?=[\s.,;:!?]|\Z)|[.,;:!?]+(?=[ \t\n\r]|\Z)|[\t\n\r](?=\S)|\s*\S+(?:[^\S \t\n\r]\s*(?:\S+|\Z))*|\s+"
+)
 
 
 def _lanes(width: int) -> Iterator[tuple[int, int, int]]:
@@ -242,33 +251,63 @@ class Reader:
             at += n
 
 
+class _Known(dict):
+    """Token ids of the words met so far, as bytes; words that have not recurred for KEPT_WORDS new ones are forgotten."""
+
+    def __init__(self, tokens_of) -> None:
+        self.tokens_of, self.older = tokens_of, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = array("I", self.tokens_of(word)).tobytes()
+            if len(word) > KEPT_CHARS:
+                return ids
+        if len(self) >= KEPT_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class Encoder:
-    """Token ids of texts by a tokenizer file."""
+    """Token ids of texts by a tokenizer file. Words of plain letters go straight to the tokenizer's model, in the characters its
+    byte-level step would give it; anything else, and all of other tokenizers, through the tokenizer."""
 
     def __init__(self, path: str, whole: bool = False) -> None:
-        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.whole = Tokenizer.from_file(path), whole
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
-        self.known: dict[str, bytes] = {}
-
-    def _fresh(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.model, self.known = self.tokenizer.model, _Known(self._tokens)
+        self.is_plain = None
+        if isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) and self.tokenizer.normalizer is None:
+            step = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            plain = re.compile(f"[ {LETTERS}]")
+            self.spelled = str.maketrans({c: step.pre_tokenize_str(c)[0][0] for c in map(chr, range(0x300)) if plain.match(c)})
+            self.is_plain = re.compile(f" ?[{LETTERS}]+").fullmatch
+
+    def _tokens(self, word: str) -> list[int]:
+        if self.is_plain and self.is_plain(word):
+            return [t.id for t in self.model.tokenize(word.translate(self.spelled))]
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if self.whole:
-            return [np.frombuffer(b, np.uint32) for b in self._fresh(texts)]
-        units = [_UNITS.findall(t) for t in texts]
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        new = list(set().union(*units).difference(self.known))
-        found = dict(zip(new, self._fresh(new)))
-        self.known.update(found)
-        out = [np.frombuffer(b"".join(map(self.known.__getitem__, u)), np.uint32) for u in units]
-        for u in new:
-            if len(u) > KEPT_CHARS:
-                del self.known[u]
-        return out
+            return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        known = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(known, _UNITS.findall(t))), np.uint32) for t in texts]
+
+
+def _encoder(path: str, whole: bool) -> Encoder:
+    """The encoder of this Python worker, which keeps it from task to task in the library's module."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
+    if (path, whole) not in kept:
+        kept[path, whole] = Encoder(path, whole)
+    return kept[path, whole]
 
 
 def _by_size(ids: list, texts: list[str]) -> Iterator[tuple[list, list[str]]]:
@@ -321,7 +360,7 @@ def write_tokens(
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds)], names=list(row))
 
         for batch in batches:
-            encode = encode or Encoder(tokenizer, whole)
+            encode = encode or _encoder(tokenizer, whole)
             for ids, texts in _by_size(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for i, tokens in zip(ids, encode(texts)):
                     if writer is None:
