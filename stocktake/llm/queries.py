@@ -1,6 +1,6 @@
 """Registered queries of the operators, and their SQL where SQL can express them."""
 
-from stocktake.llm import decontaminate, html, jaccard, licenses, mixing, periodic, quality, sharding, sql, suffixes, token_files, toxicity, warc
+from stocktake.llm import decontaminate, dialogue, html, jaccard, licenses, mixing, periodic, quality, sharding, sql, suffixes, token_files, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_licenses": licenses.op10_licenses,
     "op11_periodic": periodic.op11_periodic,
     "op12_tokens": token_files.op12_tokens,
+    "op13_dialogue": dialogue.op13_dialogue,
 }
 ORACLE = {
     "op1_warc": sql.OP1,
@@ -25,4 +26,5 @@ ORACLE = {
     "op7_html": sql.OP7,
     "op10_licenses": sql.OP10,
     "op11_periodic": periodic.OP11_SQL,
+    "op13_dialogue": dialogue.OP13_SQL,
 }
