@@ -53,7 +53,7 @@ BLOCK, LANES, WIDTH_AT = 1024, 64, 0.9
 #: Blocks packed or read at once; ids after which a file ends with the document; characters tokenized at once.
 GROUP, FILE_IDS, CHARS = 256, 1 << 25, 1 << 20
 #: Words kept with their ids (up to twice as many), and the length up to which a word is kept.
-KEPT_WORDS, KEPT_CHARS = 250_000, 64
+KEPT_WORDS, KEPT_CHARS = 500_000, 64
 MANIFEST = "part int, file int, path string, n_docs long, n_ids long, n_bytes long"
 #: Latin letters, which every version of Unicode knows as such.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
