@@ -6,6 +6,7 @@ join, not the way the operator computes it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -15,10 +16,12 @@ from pyspark.sql.types import StructType
 from stocktake.functions.dedupe import dedupe_first, newest_first
 from stocktake.model import EXPECTED_KINDS, OBSERVATION, PREVIEW_CATEGORIES, PRODUCT_TYPES, flag_name
 from stocktake.operators import (
-    config, copies, duplicates, groups, harvest, manifests, previews, profiles, reconcile, reports,
+    config, copies, digests, duplicates, groups, harvest, manifests, previews, profiles, reconcile, reports,
     usage,
 )
+from stocktake.plans.session import ensure_checkpoint_dir
 from stocktake.plans.stages import stage
+from stocktake.sources import layout
 from stocktake.sources.tables import conform
 from workload.views import view, with_views
 
@@ -137,7 +140,7 @@ NO_SI = ", ".join(f"NULL AS {c.strip()}_si" for c in CONTENT.split(","))
 NO_CAT = ", ".join(f"NULL AS {c.strip()}" for c in CONTENT.split(","))
 
 
-@register("reconcile", f"""{SIDES},
+ORACLE_RECONCILE = f"""{SIDES},
     pairs AS (SELECT {PAIR}),
     decided AS ({' UNION ALL '.join(_diff_sql(c) for c in DIFF_WHERE)})
     SELECT * FROM decided
@@ -147,7 +150,10 @@ NO_CAT = ", ".join(f"NULL AS {c.strip()}" for c in CONTENT.split(","))
       c.content_type, c.last_modified, {NO_SI} FROM cat c
       WHERE NOT EXISTS (SELECT 1 FROM inv i WHERE i.uri = c.uri AND i.collection = c.collection)
     UNION ALL SELECT 'MISSING_IN_CATALOG', i.collection, i.uri, {NO_CAT}, {SI} FROM inv i
-      WHERE NOT EXISTS (SELECT 1 FROM cat c WHERE i.uri = c.uri AND i.collection = c.collection)""")
+      WHERE NOT EXISTS (SELECT 1 FROM cat c WHERE i.uri = c.uri AND i.collection = c.collection)"""
+
+
+@register("reconcile", ORACLE_RECONCILE)
 def _(v):
     return reconcile.reconcile(*_sides(v), on=ON)
 
@@ -183,6 +189,52 @@ def reconcile_summary(v):
     return reconcile.reconcile_summary(*_sides(v), on=ON, by=["collection"])
 
 
+# Both listings stored in buckets of their key; the tables lie in the shared folder.
+def _stored(v, *, of=ON):
+    out = []
+    for name, listing in (("catalog", v("catalog")), ("inventory", v("inventory"))):
+        path = f"{ensure_checkpoint_dir(listing.sparkSession)}/stocktake-listing-{uuid.uuid4().hex}/{name}"
+        layout.write_listing(listing.select("collection", *reconcile.FILE), path, of, buckets=16)
+        out.append(layout.read_listing(listing.sparkSession, path))
+    return out
+
+
+@register("reconcile_stored", ORACLE_RECONCILE)
+def _(v):
+    return reconcile.reconcile(*_stored(v), on=ON)
+
+
+@register("reconcile_changes", f"SELECT * FROM ({ORACLE_RECONCILE}) WHERE category <> 'CONSISTENT'")
+def _(v):
+    return digests.reconcile_changes(*_stored(v), on=ON)
+
+
+@register("reconcile_changes_summary", RECONCILE_SUMMARY)
+def _(v):
+    return digests.reconcile_changes_summary(*_stored(v), on=ON, by=["collection"])
+
+
+# Of the catalog before its last changes every fifth file was not there, every seventh had another length.
+@register("reconcile_again", f"SELECT * FROM ({ORACLE_RECONCILE}) WHERE category <> 'CONSISTENT'")
+def _(v):
+    catalog, inventory = _stored(v)
+    changed = F.when(F.col("content_length") % 7 == 0, F.col("content_length") + 1).otherwise(F.col("content_length"))
+    earlier = catalog.where("content_length % 5 <> 0 OR content_length IS NULL").withColumn("content_length", changed)
+    state = f"{ensure_checkpoint_dir(catalog.sparkSession)}/stocktake-again-{uuid.uuid4().hex}"
+    digests.reconcile_again(earlier, inventory, f"{state}/first", on=ON)
+    return digests.reconcile_again(catalog, inventory, f"{state}/second", f"{state}/first", on=ON)
+
+
+@register("listing_with_changes", f"""WITH stored AS ({_first_rows('{catalog}', 'collection, uri', 'collection, uri, ' + CONTENT)}),
+    changes AS (SELECT collection, uri, {CONTENT}, content_length % 3 = 0 AS gone FROM {{inventory}}),
+    every AS (SELECT *, false AS gone FROM stored UNION ALL SELECT * FROM changes)
+    SELECT * EXCLUDE (gone) FROM ({_first_rows('every', 'collection, uri', 'collection, uri, ' + CONTENT + ', gone')}) WHERE NOT gone""")
+def _(v):
+    stored, _ = _stored(v)
+    changes = v("inventory").withColumn("gone", F.col("content_length") % 3 == 0)
+    return layout.with_changes(stored, changes, ON, deleted="gone")
+
+
 def _groups_sql(mappings: str) -> str:
     return f"""RECURSIVE reach(collection, other) AS (
       SELECT DISTINCT collection, collection FROM {{{mappings}}}
