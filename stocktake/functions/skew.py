@@ -97,3 +97,54 @@ def lookup_join(
     spread_rows = rows.withColumn("_part", part)
     copies = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return spread_rows.join(copies, [*on, "_part"], how).drop("_part")
+
+
+# Rows made from less than this meet their owners by a plain join; the largest group is then no burden for one task.
+PROBE_BYTES = 1 << 30
+# Keys that a sketch of the rows' keys keeps track of.
+TRACKED_KEYS = 10_000
+
+
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that a result is made from, as Spark knows them before it reads them."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+
+
+def heavy_keys(rows: DataFrame, on: Sequence[str], parts: int, largest: int = LARGEST_GROUPS) -> list[int]:
+    """Hashes of keys that hold about ``1 / parts`` of all rows or more, at most ``largest``, by one pass with a sketch.
+
+    The sketch is a fixed number of counters for each task. A count may be off by a small
+    share of the rows; a key more or less changes where rows go, not what comes out.
+    """
+    known = reduce(lambda a, b: a & b, (F.col(f"`{c}`").isNotNull() for c in on))
+    key = F.xxhash64(*[F.col(f"`{c}`") for c in on])
+    found = rows.where(known).select(key.alias("key")).agg(
+        F.expr(f"approx_top_k(key, {largest}, {TRACKED_KEYS})").alias("top"), F.count(F.lit(1)).alias("rows")
+    ).first()
+    return sorted(k["item"] for k in found["top"] or [] if k["count"] * parts >= found["rows"])
+
+
+def owner_join(
+    rows: DataFrame, owners: DataFrame, on: Sequence[str], how: str = "inner",
+    probe: DataFrame | None = None, probe_bytes: int | None = None, parts: int | None = None,
+) -> DataFrame:
+    """Join rows with the few ``owners`` of each key, where one key may hold a large share of the rows.
+
+    ``how`` is inner, left or left_semi. The heavy keys are found first, in ``probe`` if that has
+    the same keys and costs less than ``rows``; only their rows travel
+    under salted keys, and only their owners are copied, once for each of ``parts`` salts.
+    """
+    on = list(on)
+    if source_bytes(rows) < (PROBE_BYTES if probe_bytes is None else probe_bytes):
+        return rows.join(owners, on, how)
+    parts = parts or max(SPREAD, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    heavy = heavy_keys(rows if probe is None else probe, on, parts)
+    if not heavy:
+        return rows.join(owners, on, how)
+    is_heavy = F.xxhash64(*[F.col(f"`{c}`") for c in on]).isin(heavy)
+    own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(parts)).cast("int")
+    salted = rows.withColumn("_salt", F.when(is_heavy, own).otherwise(0))
+    salts = F.when(is_heavy, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    copies = owners.withColumn("_salt", F.explode(salts))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")

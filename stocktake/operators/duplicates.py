@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from stocktake.functions.flags import type_counts, type_flags
 from stocktake.functions.numbers import total
 from stocktake.functions.prefixes import match_namespaces
-from stocktake.functions.skew import lookup_join
+from stocktake.functions.skew import lookup_join, owner_join
 from stocktake.model import PRODUCT_TYPES, flag_name
 
 
@@ -39,8 +39,8 @@ def archive_artifacts_of_collections(
     files = match_namespaces(
         artifact.select("plane_id", "uri", "product_type"), pairs.select("namespace").distinct()
     )
-    owners = plane.select("plane_id", "obs_id").join(observation.select("obs_id", "collection"), "obs_id")
-    owned = files.join(owners.drop("obs_id"), "plane_id").drop("plane_id")
+    owners = owner_join(plane.select("plane_id", "obs_id"), observation.select("obs_id", "collection"), ["obs_id"])
+    owned = owner_join(files, owners.drop("obs_id"), ["plane_id"]).drop("plane_id")
     return lookup_join(owned, pairs, ["collection", "namespace"], spread_by=["uri"])
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stocktake import model as m
 from stocktake.functions.flags import non_junk
-from stocktake.functions.skew import attach_group_values
+from stocktake.functions.skew import attach_group_values, owner_join
 from stocktake.operators.profiles import artifact_types_by_plane
 
 TYPES = ("preview", "thumbnail", "this", "science", "calibration")
@@ -27,7 +27,7 @@ def plane_preview_flags(observation: DataFrame, plane: DataFrame, artifact: Data
     owners = observation.select("obs_id", "collection", "observation_id", "instrument_name", "intent")
     folded = "num_artifacts" in artifact.columns
     flagged = artifact.select("plane_id", *TYPES) if folded else artifact_types_by_plane(artifact, TYPES)
-    planes = flagged.join(good, "plane_id").join(owners, "obs_id")
+    planes = owner_join(flagged.join(good, "plane_id"), owners, ["obs_id"], probe=good)
     return planes.select(*PLANE, *[F.coalesce(t, F.lit(0)).alias(t) for t in TYPES])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stocktake.functions.flags import non_junk, type_presence
 from stocktake.functions.numbers import total
+from stocktake.functions.skew import owner_join
 from stocktake.model import JUNK, PRODUCT_TYPES, flag_name
 
 PROFILE = ("collection", "instrument_name", "intent", "data_product_type")
@@ -26,7 +27,7 @@ def no_planes(observation: DataFrame, plane: DataFrame) -> DataFrame:
 def _plane_listing(observation: DataFrame, plane: DataFrame, category: str) -> DataFrame:
     owners = observation.select("obs_id", "collection", "observation_id")
     columns = plane.select("obs_id", "plane_id", "data_product_type", "max_last_modified")
-    return columns.join(owners, "obs_id").withColumn("category", F.lit(category)).select(*PLANE_LISTING)
+    return owner_join(columns, owners, ["obs_id"]).withColumn("category", F.lit(category)).select(*PLANE_LISTING)
 
 
 def no_artifacts(observation: DataFrame, plane: DataFrame, artifact: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def plane_type_flags(
     good = plane.where(non_junk()).select("plane_id", "obs_id", "data_product_type")
     owners = observation.select("obs_id", "collection", "instrument_name", "intent")
     flagged = _folded(artifact, vocabulary).drop("num_artifacts")
-    planes = flagged.join(good, "plane_id").join(owners, "obs_id")
+    planes = owner_join(flagged.join(good, "plane_id"), owners, ["obs_id"], probe=good)
     return planes.select(*PROFILE, "plane_id", *[flag_name(t) for t in vocabulary])
 
 

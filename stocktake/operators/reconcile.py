@@ -10,7 +10,7 @@ from stocktake import model as m
 from stocktake.functions.dedupe import dedupe_first, newest_first
 from stocktake.functions.numbers import total
 from stocktake.functions.prefixes import match_namespaces, under
-from stocktake.functions.skew import lookup_join
+from stocktake.functions.skew import lookup_join, owner_join
 
 FILE = ("uri", *m.CONTENT, "last_modified")
 SUFFIX = "_si"
@@ -18,10 +18,8 @@ SUFFIX = "_si"
 
 def described_artifacts(observation: DataFrame, plane: DataFrame, artifact: DataFrame) -> DataFrame:
     """Artifacts with the collection of the observation they belong to."""
-    owners = plane.select("plane_id", "obs_id").join(
-        observation.select("obs_id", "collection"), "obs_id"
-    )
-    return artifact.join(owners.select("plane_id", "collection"), "plane_id")
+    owners = owner_join(plane.select("plane_id", "obs_id"), observation.select("obs_id", "collection"), ["obs_id"])
+    return owner_join(artifact, owners.select("plane_id", "collection"), ["plane_id"])
 
 
 def catalog_listing(
@@ -63,8 +61,8 @@ def archive_listing_for_groups(
     owners = lookup_join(
         observation.select("obs_id", "collection"), _members(members, "collection"), ["collection"], spread_by=["obs_id"]
     )
-    owned = plane.select("plane_id", "obs_id").join(owners, "obs_id").drop("obs_id")
-    rows = files.join(owned, ["plane_id", "group_id"]).select("group_id", "collection", "namespace", *FILE)
+    owned = owner_join(plane.select("plane_id", "obs_id"), owners, ["obs_id"]).drop("obs_id")
+    rows = owner_join(files, owned, ["plane_id", "group_id"]).select("group_id", "collection", "namespace", *FILE)
     return dedupe_first(rows, ["group_id", "collection", "namespace", "uri"], newest_first())
 
 
