@@ -1,6 +1,7 @@
 """Command line, for spark-submit or ``python -m stocktake``.
 
     stocktake reconcile  --tables DIR --config DIR --out DIR [COLLECTION ...]
+    stocktake reconcile  ... --state DIR [--previous DIR]   (again, taking over what did not change)
     stocktake duplicates | profiles | previews   (same options)
     stocktake copies     --site NAME=PATH ... --config DIR --out DIR [NAMESPACE ...]
     stocktake usage      --tables DIR --out DIR [--start FIELD] [--end FIELD]
@@ -56,6 +57,9 @@ def _arguments(argv):
         )
         audit.add_argument("--skip-site", help="leave out collections of this site")
         audit.add_argument("names", nargs="*", metavar="COLLECTION")
+    again = commands.choices["reconcile"]
+    again.add_argument("--state", help="new folder to keep this run's digests and result in, for the next run")
+    again.add_argument("--previous", help="folder that an earlier run kept")
     copy = commands.add_parser("copies")
     copy.add_argument("--config", required=True)
     copy.add_argument("names", nargs="*", metavar="NAMESPACE")
@@ -143,6 +147,10 @@ def run(spark: SparkSession, argv=None) -> None:
         places = dict(site.split("=", 1) for site in args.site)
     if args.command in ("profiles", "previews"):
         AUDITS[args.command](_archive(spark, args), args.out, requested, args.skip_site, args.format)
+    elif args.command == "reconcile" and args.state:
+        audits.repeated_reconcile_audit(
+            _archive(spark, args), args.out, args.state, args.previous, requested, args.format
+        )
     elif args.command in AUDITS:
         AUDITS[args.command](_archive(spark, args), args.out, requested, args.format)
     elif args.command == "copies":

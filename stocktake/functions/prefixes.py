@@ -10,7 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stocktake.functions.skew import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join
+from stocktake.functions.longest import first_elements, prefix_index
+from stocktake.functions.skew import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join, measured, owner_join
 
 
 def under(uri, namespace: str) -> Column:
@@ -37,7 +38,7 @@ def path_prefixes(uri, depths: Sequence[int] | None = None) -> Column:
     return F.array(*[F.when(slashes >= d, F.substring_index(uri, "/", d)) for d in depths])
 
 
-# With more distinct depths than this, all prefixes are formed instead of chosen ones.
+# With more distinct depths than this, a URI is looked up instead of forming its prefixes.
 MOST_DEPTHS = 16
 
 
@@ -52,18 +53,39 @@ def match_namespaces(
 
     An equi-join on the URI's own path prefixes instead of a ``startswith``
     nested loop; overlapping namespaces give one row per match. The namespaces
-    are measured first: how many they are decides how they are joined, and how
-    deep they are decides which prefixes are formed.
+    are measured first. Few of them, of few depths, are broadcast and every URI forms its prefixes of
+    these depths. Otherwise every URI is looked up in an index for the longest namespace it is under, stays one row until
+    then, and meets the others through that one.
     """
     name = F.col(namespace)
     size = F.octet_length(F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in namespaces.columns]))
-    measured = namespaces.select(name, size.alias("size")).limit(BROADCAST_ROWS + 1).agg(
+    found = namespaces.select(name, size.alias("size")).limit(BROADCAST_ROWS + 1).agg(
         F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"), F.collect_set(_slashes(name) + 1).alias("depths")
     ).first()
-    small = measured["rows"] <= BROADCAST_ROWS and (measured["bytes"] or 0) <= BROADCAST_BYTES
-    whole = small and len(measured["depths"]) <= MOST_DEPTHS
-    prefixes = path_prefixes(uri, sorted(measured["depths"]) if whole else None)
-    if whole and not measured["depths"]:
-        prefixes = F.array().cast("array<string>")
-    candidates = df.withColumn(namespace, F.explode(prefixes)).where(name.isNotNull())
-    return lookup_join(candidates, namespaces, [namespace, *also_on], spread_by=[uri], small=small)
+    small = found["rows"] <= BROADCAST_ROWS and (found["bytes"] or 0) <= BROADCAST_BYTES
+    if small and len(found["depths"]) <= MOST_DEPTHS:
+        depths = sorted(found["depths"])
+        prefixes = path_prefixes(uri, depths) if depths else F.array().cast("array<string>")
+        candidates = df.withColumn(namespace, F.explode(prefixes)).where(name.isNotNull())
+        return lookup_join(candidates, namespaces, [namespace, *also_on], spread_by=[uri], small=small)
+    return match_namespaces_indexed(df, namespaces, uri, namespace, also_on)
+
+
+def match_namespaces_indexed(
+    df: DataFrame, namespaces: DataFrame, uri: str = "uri", namespace: str = "namespace",
+    also_on: Sequence[str] = (), **options
+) -> DataFrame:
+    """``match_namespaces`` by look-ups in an index, for any number and depth of namespaces."""
+    also_on = list(also_on)
+    index = prefix_index(namespaces, namespace, first_elements, lambda name: _slashes(name) + 1, **options)
+    found = index.longest(df, uri, "_longest").where("_longest IS NOT NULL")
+    chain = index.chain.select(F.col("longest").alias("_longest"), F.col("text").alias(namespace))
+    matches = chain.join(namespaces, namespace)
+    rows, size = measured(matches, options.get("broadcast_rows", BROADCAST_ROWS))
+    on = ["_longest", *also_on]
+    if rows <= options.get("broadcast_rows", BROADCAST_ROWS) and size <= BROADCAST_BYTES:
+        joined = found.join(F.broadcast(matches), on)
+    else:
+        joined = owner_join(found, matches, on)
+    others = [c for c in namespaces.columns if c not in (namespace, *also_on)]
+    return joined.select(namespace, *also_on, *[c for c in df.columns if c not in also_on], *others)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stocktake import model as m
 from stocktake.functions.numbers import total
 from stocktake.functions.skew import BROADCAST_ROWS
-from stocktake.operators.reconcile import reconcile
+from stocktake.operators.reconcile import reconcile, summarize
 from stocktake.plans.stages import drop, stage
 
 # Bits of a place that number the ranges of each level. The first level is at most 2^14 ranges of a task's rows.
@@ -173,6 +173,16 @@ def reconcile_changes_summary(
     return summed.withColumn(counts[m.CONSISTENT], F.col("num_catalog") - others)
 
 
+def summarize_changes(
+    catalog: DataFrame, inventory: DataFrame, changes: DataFrame, by: Sequence[str] = ()
+) -> DataFrame:
+    """``reconcile.summarize`` from ``reconcile_changes``: what the catalog has beside them is consistent."""
+    counted = summarize(catalog, inventory, changes, by)
+    others = [f"num_{c.lower()}" for c in m.RECONCILE_CATEGORIES if c not in (m.CONSISTENT, m.MISSING_IN_CATALOG)]
+    rest = F.col("num_catalog") - reduce(lambda a, b: a + b, map(F.col, others))
+    return counted.withColumn(f"num_{m.CONSISTENT.lower()}", rest)
+
+
 # --- the same audit, day after day --------------------------------------------------------------
 
 KEPT_BITS = 22

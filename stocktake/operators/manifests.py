@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stocktake import model as m
 from stocktake.functions.dedupe import dedupe_first
+from stocktake.functions.longest import first_characters, prefix_index
 from stocktake.functions.skew import attach_group_values
 
 
@@ -116,20 +117,21 @@ def not_listed(
 ) -> DataFrame:
     """Contribution directories whose name occurs nowhere in the table of contents.
 
-    Occurring means as part of any line. Every piece of a line that starts with
-    one of the ``letters`` and is as long as some name becomes a join key, which
-    keeps this an equi-join.
+    Occurring means as part of any line. Every piece of a line that starts with one of the ``letters``, as long as the
+    longest name, is looked up in an index of the names; it stays one row, however many lengths names have.
     """
     names = directories.where(F.substring("name", 1, 1).isin(*letters)).select("name").distinct()
-    longest = names.agg(F.max(F.length("name"))).scalar()
-    lengths = names.agg(F.collect_set(F.length("name"))).scalar()
+    index = prefix_index(names, "name", first_characters, F.length)
+    if not index.levels:
+        return names
     starts = "".join(re.escape(letter) for letter in letters)
     # A lookahead also finds pieces that overlap.
-    window = F.concat(F.lit(f"(?s)(?=([{starts}].{{0,"), longest - 1, F.lit("}))"))
-    tails = contents.select(F.explode(F.regexp_extract_all("line", window, F.lit(1))).alias("tail"))
-    pieces = tails.select("tail", F.explode(lengths).alias("size")).where("length(tail) >= size")
-    pieces = pieces.select(F.expr("substring(tail, 1, size)").alias("name")).distinct()
-    return names.join(pieces, "name", "left_anti")
+    window = f"(?s)(?=([{starts}].{{0,{index.levels[-1] - 1}}}))"
+    pieces = contents.select(F.explode(F.regexp_extract_all("line", F.lit(window), F.lit(1))).alias("piece")).distinct()
+    longest = index.longest(pieces, "piece").select("longest").distinct()
+    # A name that begins a longer one that occurs does occur too.
+    occurring = index.chain.join(longest, "longest", "left_semi").select(F.col("text").alias("name")).distinct()
+    return names.join(occurring, "name", "left_anti")
 
 
 def unexpected_files(listing: DataFrame, expected: Sequence[str] = m.EXPECTED_KINDS) -> DataFrame:

@@ -163,6 +163,27 @@ def test_reconcile_command(spark, archive):
                     "--out", str(archive / "no"), "B"])
 
 
+def test_repeated_reconcile_command(spark, archive):
+    sites = ["--sites", str(archive / "config" / "sites.tsv")]
+    state = [str(archive / "state" / day) for day in ("1", "2")]
+    first = _run(spark, archive, "reconcile", *sites, "--state", state[0])
+    assert rows(_tsv(spark, first / "files"), "category", "uri") == [
+        ("DIFF_CHECKSUMS", "n/2"), ("MISSING_IN_CATALOG", "n/9"), ("MISSING_IN_INVENTORY", "n/1p")]
+    assert rows(_tsv(spark, first / "summary"), "group_id", "num_catalog", "num_inventory", "num_consistent", "num_diff_checksums") == [
+        ("A", "3", "3", "1", "1")]
+    # The next day the missing file is in storage, another one is too long.
+    stored = spark.read.parquet(str(archive / "tables" / "inventory"))
+    longer = stored.withColumn("contentLength", F.expr("IF(uri = 'n/1', 6L, contentLength)"))
+    longer.unionByName(stored.where("uri = 'n/1'").withColumn("uri", F.lit("n/1p"))).write.parquet(str(archive / "next" / "inventory"))
+    for name in ("observation", "plane", "artifact"):
+        spark.read.parquet(str(archive / "tables" / name)).write.parquet(str(archive / "next" / name))
+    run(spark, ["reconcile", "--tables", str(archive / "next"), "--config", str(archive / "config"), "--out", str(archive / "out2"),
+                *sites, "--state", state[1], "--previous", state[0]])
+    assert rows(_tsv(spark, archive / "out2" / "files"), "category", "uri") == [
+        ("DIFF_CHECKSUMS", "n/2"), ("DIFF_LENGTHS", "n/1"), ("MISSING_IN_CATALOG", "n/9")]
+    assert rows(_tsv(spark, archive / "out2" / "summary"), "num_consistent", "num_diff_lengths", "num_missing_in_inventory") == [("1", "1", "0")]
+
+
 def test_records_of_each_collection_come_from_its_site(spark, archive, frame):
     at = "2024-01-14 12:00:00"
     (archive / "config" / "collections.tsv").write_text("collection\tin_si\tams_site\nA\tTrue\ts1\nB\tTrue\ts2\n")

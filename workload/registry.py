@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from stocktake.functions.dedupe import dedupe_first, newest_first
+from stocktake.functions.prefixes import match_namespaces_indexed
+from stocktake.functions.skew import owner_join
 from stocktake.model import EXPECTED_KINDS, OBSERVATION, PREVIEW_CATEGORIES, PRODUCT_TYPES, flag_name
 from stocktake.operators import (
     config, copies, digests, duplicates, groups, harvest, manifests, previews, profiles, reconcile, reports,
@@ -306,6 +308,27 @@ def _(v):
     )
 
 
+OWNED = """SELECT o.collection, a.plane_id, COUNT(*) AS num_files FROM {observation} o
+    JOIN {plane} p ON o.obs_id = p.obs_id JOIN {artifact} a ON a.plane_id = p.plane_id GROUP BY o.collection, a.plane_id"""
+
+
+@register("owned_files", OWNED)
+def _(v):
+    # However small the tables, the heavy keys are looked for here.
+    owners = owner_join(v("plane").select("plane_id", "obs_id"), v("observation").select("obs_id", "collection"), ["obs_id"], probe_bytes=0)
+    owned = owner_join(v("artifact").select("plane_id"), owners.select("plane_id", "collection"), ["plane_id"], probe_bytes=0)
+    return owned.groupBy("collection", "plane_id").agg(F.count(F.lit(1)).alias("num_files"))
+
+
+@register("files_by_namespace", """WITH n AS (SELECT DISTINCT si_namespace FROM {brand_mappings}),
+    u AS (SELECT uri, COUNT(*) AS c FROM {artifact} GROUP BY uri)
+    SELECT si_namespace, CAST(SUM(c) AS BIGINT) AS num_files FROM n JOIN u ON starts_with(uri, concat(si_namespace, '/')) GROUP BY si_namespace""")
+def _(v):
+    spaces = v("brand_mappings").select("si_namespace").distinct()
+    found = match_namespaces_indexed(v("artifact").select("uri"), spaces, namespace="si_namespace")
+    return found.groupBy("si_namespace").agg(F.count(F.lit(1)).alias("num_files"))
+
+
 # --- B: duplicates ---------------------------------------------------------------------------
 
 FLAGS = [(t, flag_name(t)) for t in PRODUCT_TYPES]
