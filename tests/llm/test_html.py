@@ -73,3 +73,60 @@ def test_rows(spark):
     assert found == [("9007199254740993", "u", len(LONG) + 1)] * 2 + [("None", None, 0)]
     assert {r["n_chars"] for r in html.extract(pages).collect()} == {len(LONG) + 1, 0}
     assert html.extract(pages.limit(0)).count() == 0
+
+
+IMAGE = "data:image/png;base64," + "iVBORw0KGgo+/AAB" * 65_536  # 1 MB
+
+
+def test_attributes_of_any_length():
+    assert html.main_text(f'<article><p>{LONG}</p><img alt="x" src="{IMAGE}"><p>{LONG}</p></article>') == f"{LONG}\n{LONG}"
+    assert html.main_text(f"<article><p>{LONG} <img src='{IMAGE}'> x</p></article>") == f"{LONG} x"
+    style = "color: red; " * 1000
+    assert html.main_text(f'<div>{BODY}</div><div style="{style}" class="sidebar"><p>{LONG}</p></div>') == KEPT
+    many = " ".join(f'data-x{k}="{k} > 0"' for k in range(500))
+    assert html.main_text(f"<div {many}>{BODY}</div><div {many} class=sidebar>{LONG}</div>") == KEPT
+
+
+@pytest.mark.parametrize("page", [
+    f"<p title=Bob's>{LONG}</p><p>it's {LONG}</p>", f'<p title="a <b> c" >{LONG}</p><p>it\'s {LONG}</p>', f"<p a = 'x>y' b>{LONG}</p><p c=>it's {LONG}</p>",
+])
+def test_quotes_count_after_an_equals_sign(page):
+    assert html.main_text(page) == f"{LONG}\nit's {LONG}"
+
+
+@pytest.mark.parametrize("broken", ['<p "', "<p a='", '<p a="', "<a b=\"'", "<x <y='", "<!", "< p", "<p a=\"><p b='>"])
+def test_broken_tags_take_linear_time(broken):
+    assert html.main_text(broken * 60_000) is not None
+
+
+@pytest.mark.parametrize("name", ["comment-list", "user-comments", "comments_area_2", "comment-respond", "post-replies", "disqus_thread", "commentlist", "x-comments-y"])
+def test_reader_comments_by_any_part_of_a_name(name):
+    thread = "".join(f"<div class='{name}'><p>{k} {LONG} {LONG}</p></div>" for k in range(3))
+    assert html.main_text(f"<div class='post'>{BODY}</div>{thread}") == KEPT
+    assert html.main_text(f"<div class='post'>{BODY}</div><div id='{name}'>{BODY}{BODY}{BODY}</div>") == KEPT
+    # A wrapper of the whole page is no thread, whatever it is called.
+    assert html.main_text(f"<div class='{name}'><h1>Head</h1>{BODY}</div><div><nav>x</nav><p>{LONG}</p></div>").startswith(f"Head\n{KEPT}")
+
+
+@pytest.mark.parametrize("name", ["site-footer", "left-sidebar", "adsbygoogle", "google_ads_1", "site-header", "main-nav", "top-banner", "post-share"])
+def test_marks_at_the_end_of_a_name(name):
+    assert html.main_text(f"<div class='{name}'><p>{LONG}</p></div><div>{BODY}</div><ins class='a {name}'>{LONG}</ins>") == KEPT
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "has-footer", "post-with-comments", "entry-header", "without_ads", "headline", "adder", "formal"])
+def test_names_that_mark_nothing(name):
+    assert html.main_text(f"<div><div class='{name}'><p>{LONG}</p></div>{BODY}</div>") == f"{LONG}\n{KEPT}"
+
+
+def test_attribute_values_do_not_conceal():
+    assert html.main_text(f"<p title='hidden gems'>{LONG}</p><p data-id=sidebar>{LONG}</p><p hidden>{LONG}</p><p style='display : none'>{LONG}</p>") == f"{LONG}\n{LONG}"
+
+
+def test_titles_in_headers_of_articles():
+    assert html.main_text(f"<header><h1>Site</h1></header><article><header><h1>Title</h1></header>{BODY}</article>") == f"Title\n{KEPT}"
+    assert html.main_text(f"<main><header><h1>Title</h1></header>{BODY}</main><footer>foot</footer>") == f"Title\n{KEPT}"
+
+
+def test_a_hidden_element_does_not_part_its_neighbours():
+    assert html.main_text(f"<h1>Title</h1><nav>menu</nav><p>intro</p><aside>{LONG}</aside><p>{LONG}</p>") == f"Title\nintro\n{LONG}"
+    assert html.main_text(f"<div><h1>Title</h1><div class=ad>buy</div><p>intro</p><div class=ad>buy</div>{BODY}<form>x</form><p>end</p></div>") == f"Title\nintro\n{KEPT}\nend"
