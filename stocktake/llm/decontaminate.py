@@ -3,13 +3,13 @@
 Lower-cased words are symbols. The CGK embedding walks over a text: at step j it emits the word under its pointer and moves on if a random
 function of (j, word) says so; two texts of small edit distance fall into step again after each edit, so edit distance becomes
 Hamming distance of the emitted words. Bit sampling takes the words emitted at a few steps as a key. Walks begin at every word of
-every text and of every item. They are short, not as long as the item: 12 to 24 steps, which cover about 6 to 12 words, for all items of 16 words
-or more, and less for shorter ones. So a long item is found by any one of its many short stretches. The walks are a fixed number,
-one for each of HORIZONS (fewer for short items); tests measure their recall against brute force. Equal keys propose (item, place);
-proposals are verified exactly by the edit distance of the whole item to the best stretch of the text there.
+every item and at every word of a text around which a window of an item's size may hold the item. A walk spans its window: it has two steps for
+each word, and the sampled steps are any of them. Items belong to classes of size; a class has as many walks as the
+recall target asks for. How many that are comes from embedding random items and their edited copies (`walks_needed`). Equal keys propose
+(item, place); proposals are verified exactly by the edit distance of the whole item to the best stretch of the text there.
 
-Windows of fewer than LEAST_KNOWN words from the items' vocabulary are skipped before walking: edits within the limit leave at least
-that share of some window's words. Items are a stated query set; they go to the tasks in blocks of known size.
+A window can only hold an item if all its words but the allowed edits belong to the items' vocabulary; other places are passed over before walking. Items
+are a stated query set; they go to the tasks in blocks of known size.
 
 Defined results: null and empty texts or items match nothing; repeated documents are reported each; of several places of an item in a
 text the one with fewest edits counts, ties go to the first; repeated item rows are reported under each id; empty tables
@@ -19,6 +19,7 @@ give no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +29,104 @@ from pyspark.sql import DataFrame, SparkSession
 from stocktake.llm.common import bounded_batches, table
 from stocktake.llm.tokens import chunks, hashed_words, mixed, text_bytes
 
-#: Edits allowed, as a percentage of the item's words.
-EDITS = 20
-#: Window sizes of items; an item belongs to the largest that is not above its number of words.
-SIZES = (16, 8, 4, 2, 1)
-LEAST_KNOWN = 0.75
-#: Steps that each repeated walk covers, for a window of 16 words, and words sampled from it.
-HORIZONS = (12, 12, 12, 16, 16, 16, 20, 24)
-SAMPLED = 7
+#: Edits allowed, as a percentage of the item's words, and the share of items with that many edits that must be proposed.
+EDITS, RECALL = 20, 0.98
+#: Words sampled from a walk; one more for each 16 times as many items in a block.
+SAMPLED, ITEMS = 3, 2000
+#: Walks of each size up to 128 that reach RECALL with EDITS and SAMPLED, as `walks_needed` finds them with 96 trials and 64 tried walks.
+WALKS = {
+    1: 1, 2: 1, 3: 1, 4: 1, 5: 14, 6: 12, 7: 11, 8: 10, 10: 28, 12: 18, 14: 16, 16: 20, 20: 31, 24: 16, 28: 28, 32: 29, 40: 39, 48: 62, 56: 135,
+    64: 83, 80: 189, 96: 106, 112: 95, 128: 209,
+}
+#: Texts are first looked through in windows of this many words; larger classes see only texts with one that may be part of an item.
+GLANCE = 8
+#: Words of such texts that are walked together.
+TOGETHER = 1 << 20
 SLACK = 8
 #: Items in a block: one pass over the texts for each block.
 BLOCK = 20_000
-PAD = np.uint64(0)
+
+
+def sizes_up_to(longest: int) -> list[int]:
+    """Sizes of classes: every number up to 8, then four for each doubling."""
+    sizes = list(range(1, min(longest, 8) + 1))
+    step = 2
+    while sizes and sizes[-1] + step <= longest:
+        for _ in range(4):
+            if sizes[-1] + step <= longest:
+                sizes.append(sizes[-1] + step)
+        step *= 2
+    return sizes
+
+
+def _largest(size: int) -> int:
+    """Words of the largest item in the class of this size."""
+    following = sizes_up_to(4 * size + 8)
+    return following[following.index(size) + 1] - 1
+
+
+def _walk(rng: np.random.Generator, size: int, sampled: int) -> tuple[int, tuple[int, ...]]:
+    """A random number for the walk's moves, and the steps at which its words are taken."""
+    horizon = 2 * size
+    return int(rng.integers(64)), tuple(sorted(rng.choice(horizon, min(sampled, horizon), replace=False).tolist()))
+
+
+def _edited(rng: np.random.Generator, item: np.ndarray, edits: int, pattern: str) -> np.ndarray:
+    """The item with edits at even distances or anywhere."""
+    words, n = item.tolist(), len(item)
+    even, new = [(k + 1) * n // (edits + 1) for k in range(edits)], rng.integers(1, 1 << 63, edits, dtype=np.uint64)
+    places = even if "even" in pattern else sorted(rng.choice(n, edits, replace=False).tolist())
+    for k in reversed(range(edits)):
+        kind = pattern.split(" ")[0] if "mixed" not in pattern else ("changed", "left out", "added")[int(rng.integers(3))].split(" ")[0]
+        if kind == "changed":
+            words[places[k]] = int(new[k])
+        elif kind == "left":
+            del words[places[k]]
+        else:
+            words.insert(places[k], int(new[k]))
+    return np.array(words, np.uint64)
+
+
+PATTERNS = ("changed even", "left even", "added even", "changed any", "left any", "added any", "mixed any")
+
+
+@lru_cache(None)
+def walks_needed(size: int, edits: int = EDITS, sampled: int = SAMPLED, recall: float = RECALL, trials: int = 24, tried: int = 48) -> int:
+    """Walks by which edited copies of items of this class are proposed with the recall, whatever the pattern of their edits.
+
+    Of each pattern, and of the smallest and the largest items of the class, `trials` random items are embedded by `tried` walks. An item that a share p of them
+    proposes is proposed by one of L walks with probability 1 - (1 - p)^L.
+    """
+    rng = np.random.default_rng(size)
+    walks = [_walk(rng, size, sampled) for _ in range(tried)]
+    most = 1
+    for n in sorted({size, _largest(size)}):
+        limit = n * edits // 100
+        if not limit:
+            continue
+        for pattern in PATTERNS:
+            items = [rng.integers(1, 1 << 63, n, dtype=np.uint64) for _ in range(trials)]
+            texts = [_edited(rng, x, limit, pattern) for x in items]
+            sides = []
+            for side in (items, texts):
+                ends = np.cumsum([len(x) for x in side])
+                of = np.repeat(np.arange(trials), [len(x) for x in side])
+                sides.append((np.concatenate(side), np.arange(len(of)), ends[of], of))
+            hits = np.zeros(trials)
+            for walk in walks:
+                pairs = []
+                for words, starts, ends, of in sides:
+                    key, padded = embedded_keys(words, starts, ends, walk)
+                    pairs.append(mixed(key + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[~padded])
+                    owner = of[~padded]
+                hits[np.unique(owner[np.isin(pairs[1], pairs[0])])] += 1
+            # Half a walk stands for an item that none of those tried proposes.
+            missed = 1 - np.maximum(hits, 0.5) / tried
+            walks_for = 1
+            while 1 - np.mean(missed**walks_for) < recall:
+                walks_for += 1
+            most = max(most, walks_for)
+    return most
 
 
 class Index:
@@ -49,38 +136,42 @@ class Index:
         self.ids, self.items = ids, items
         self.length = np.array([len(x) for x in items], np.int64)
         self.limit = self.length * edits // 100
-        self.vocabulary = np.zeros(1 << 20, bool)
+        # A bit map of the items' words, 16 bits for each and more.
+        self.shift = np.uint64(64 - min(27, max(20, int(16 * self.length.sum()).bit_length())))
+        self.vocabulary = np.zeros(1 << (64 - int(self.shift)), bool)
         for words in items:
-            self.vocabulary[words >> np.uint64(44)] = True
+            self.vocabulary[words >> self.shift] = True
+        sampled = SAMPLED + max(0, int(np.ceil(np.log(max(1, len(items)) / ITEMS) / np.log(16))))
+        sizes = sizes_up_to(int(self.length.max(initial=0)))
+        class_of = np.searchsorted(sizes, self.length, side="right") - 1
         rng = np.random.default_rng(8)
         self.classes = []
-        for size in SIZES:
-            own = [k for k, x in enumerate(items) if len(x) >= size and (size == SIZES[0] or len(x) < SIZES[SIZES.index(size) - 1])]
+        for number, size in enumerate(sizes):
+            own = np.flatnonzero(class_of == number).tolist()
+            if not own:
+                continue
+            known = (edits, sampled) == (EDITS, SAMPLED)
+            many = WALKS[size] if known and size in WALKS else walks_needed(size, edits, sampled)
+            words = np.concatenate([items[k] for k in own])
+            length = self.length[own]
+            starts, ends = np.arange(len(words)), np.repeat(np.cumsum(length), length)
+            item = np.repeat(np.array(own, np.int32), length)
+            offset = (starts - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
             walks = []
-            for horizon in sorted({max(1, h * size // 16) for h in HORIZONS}) if size < 16 else HORIZONS:
-                steps = sorted({0, *rng.choice(horizon, min(SAMPLED, horizon), replace=False).tolist()})[: SAMPLED + 1]
-                walk = (int(rng.integers(64)), horizon, set(steps))
-                keys, item, offset = [], [], []
-                for k in own:
-                    starts = np.arange(len(items[k]))
-                    found, padded = embedded_keys(items[k], starts, np.full(len(starts), len(items[k])), walk)
-                    keys.append(found[~padded])
-                    item.append(np.full(int((~padded).sum()), k, np.int32))
-                    offset.append(starts[~padded].astype(np.int32))
-                if own:
-                    every = np.concatenate(keys)
-                    order = np.argsort(every, kind="stable")
-                    walks.append((walk, every[order], np.concatenate(item)[order], np.concatenate(offset)[order]))
-            if own:
-                self.classes.append((size, walks))
-
-
-def embedded_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: tuple[int, int, set[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the windows that begin at starts in texts that end at ends; and which ran past their end."""
-    bit, horizon, steps = walk
+            for _ in range(many):
+                walk = _walk(rng, size, sampled)
+                key, padded = embedded_keys(words, starts, ends, walk)
+                key, of, at = key[~padded], item[~padded], offset[~padded]
+                order = np.argsort(key, kind="stable")
+                walks.append((walk, key[order], of[order], at[order]))
+            self.classes.append((size, int(self.limit[own].max()), int(length.max()), walks))
+
+
+def embedded_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: tuple[int, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the walks that begin at starts in texts that end at ends; and which had run past their end when a word was taken."""
+    bit, steps = walk
     at, key, padded = starts.copy(), np.zeros(len(starts), np.uint64), np.zeros(len(starts), bool)
-    last = max(steps)
-    for step in range(min(horizon, last + 1)):
+    for step in range(steps[-1] + 1):
         over = at >= ends
         word = words[np.where(over, 0, at)] if len(words) else np.zeros(len(at), np.uint64)
         if step in steps:
@@ -116,16 +207,21 @@ def proposals(words: np.ndarray, rows: np.ndarray, index: Index) -> np.ndarray:
     """Distinct (row, item, estimated begin of the item) of one chunk's texts."""
     if not len(words):
         return np.zeros((0, 3), np.int64)
-    known = np.concatenate([[0], np.cumsum(index.vocabulary[words >> np.uint64(44)])])
+    known = np.concatenate([[0], np.cumsum(index.vocabulary[words >> index.shift])])
     row_of = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
     end_of = rows[1:][row_of]
     found = []
     places = np.arange(len(words))
-    for size, walks in index.classes:
+    for size, limit, longest, walks in index.classes:
         count = known[np.minimum(places + size, end_of)] - known[places]
-        starts = np.flatnonzero(count >= np.ceil(LEAST_KNOWN * size))
-        if not len(starts):
+        able = np.flatnonzero(count >= size - limit)
+        if not len(able):
             continue
+        # An item may begin at an able place; its walks begin at any of its words, of which the limit may be added ones.
+        change = np.zeros(len(words) + 1, np.int32)
+        np.add.at(change, able, 1)
+        np.add.at(change, np.minimum(able + longest + limit, end_of[able]), -1)
+        starts = np.flatnonzero(np.cumsum(change[:-1]) > 0)
         ends = end_of[starts]
         for walk, keys, item, offset in walks:
             key, padded = embedded_keys(words, starts, ends, walk)
@@ -154,25 +250,64 @@ def reach(row: np.ndarray, item: np.ndarray, begin: np.ndarray, rows: np.ndarray
     return low, np.maximum(low, np.minimum(rows[row + 1], begin + index.length[item] + wide))
 
 
+def worth_walking(words: np.ndarray, rows: np.ndarray, index: Index) -> np.ndarray:
+    """Rows that may hold an item: one of their windows of GLANCE words, or of a smaller class, has enough known words."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    known = np.concatenate([[0], np.cumsum(index.vocabulary[words >> index.shift])])
+    places, able = np.arange(len(words)), np.zeros(len(words), bool)
+    end_of = np.repeat(rows[1:], np.diff(rows))
+    needs: dict[int, int] = {}
+    for size, limit, _, _ in index.classes:
+        # A window is cut into parts of GLANCE words; the unknown words of the best part are no more than their share.
+        window = min(size, GLANCE)
+        most = window - limit // max(1, size // GLANCE)
+        needs[window] = min(needs.get(window, most), most)
+    for window, need in needs.items():
+        able |= known[np.minimum(places + window, end_of)] - known[places] >= need
+    return np.unique(np.searchsorted(rows, np.flatnonzero(able), side="right") - 1)
+
+
+def _of_rows(words: np.ndarray, rows: np.ndarray, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
+    """matches of texts whose words these are."""
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    proposed = proposals(words, rows, index)
+    lows, highs = reach(proposed[:, 0], proposed[:, 1], proposed[:, 2], rows, index)
+    for (row, item, _), low, high in zip(proposed.tolist(), lows.tolist(), highs.tolist(), strict=True):
+        own, limit = index.items[item], int(index.limit[item])
+        stretch = words[low:high]
+        if int(np.isin(own, stretch).sum()) < len(own) - limit:
+            continue
+        edits, start, end = best_stretch(own, stretch)
+        if edits <= limit:
+            found = (edits, low + start - int(rows[row]), end - start)
+            best[row, item] = min(best.get((row, item), found), found)
+    for (row, item), (edits, start, length) in sorted(best.items()):
+        yield row, item, edits, start, length
+
+
 def matches(texts: pa.Array, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
     """(row, item number, edits, first word, words) of the best place of each item in each text, in any case of letters."""
     data, offsets = text_bytes(pc.utf8_lower(texts))
+    held: list[np.ndarray] = []
+    numbers: list[int] = []
+
+    def walked() -> Iterator[tuple[int, int, int, int, int]]:
+        rows = np.concatenate([[0], np.cumsum([len(w) for w in held])]).astype(np.int64)
+        for row, *rest in _of_rows(np.concatenate(held), rows, index):
+            yield numbers[row], *rest
+        held.clear()
+        numbers.clear()
+
     for first, last in chunks(offsets):
         words, rows = hashed_words(data, offsets, first, last)
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        proposed = proposals(words, rows, index)
-        lows, highs = reach(proposed[:, 0], proposed[:, 1], proposed[:, 2], rows, index)
-        for (row, item, _), low, high in zip(proposed.tolist(), lows.tolist(), highs.tolist(), strict=True):
-            own, limit = index.items[item], int(index.limit[item])
-            stretch = words[low:high]
-            if int(np.isin(own, stretch).sum()) < len(own) - limit:
-                continue
-            edits, start, end = best_stretch(own, stretch)
-            if edits <= limit:
-                found = (edits, low + start - int(rows[row]), end - start)
-                best[row, item] = min(best.get((row, item), found), found)
-        for (row, item), (edits, start, length) in sorted(best.items()):
-            yield first + row, item, edits, start, length
+        for row in worth_walking(words, rows, index).tolist():
+            held.append(words[rows[row] : rows[row + 1]])
+            numbers.append(first + row)
+        if sum(map(len, held)) > TOGETHER:
+            yield from walked()
+    if held:
+        yield from walked()
 
 
 def indexes(benchmark: DataFrame, edits: int = EDITS, block: int = BLOCK) -> Iterator[Index]:

@@ -109,3 +109,64 @@ def test_blocks_of_items(spark, documents, block):
     benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items[:12]], "item_id long, text string")
     index = list(decontaminate.indexes(benchmark, block=block))
     assert sum(len(i.ids) for i in index) == 12 and len(index) == -(-12 // block)
+
+
+LENGTHS = [5, 6, 8, 9, 12, 15, 16, 19, 20, 24, 32, 47, 63, 64, 100, 128]
+
+
+def planted(rng, n, pattern, count):
+    """Items of n words and texts that hold them with all the edits allowed, between other words."""
+    items = [rng.integers(1, 1 << 63, n, dtype=np.uint64) for _ in range(count)]
+    texts = []
+    for item in items:
+        own = decontaminate._edited(rng, item, n * 20 // 100, pattern)
+        texts.append(np.concatenate([rng.integers(1, 1 << 63, int(rng.integers(0, 60)), dtype=np.uint64), own, rng.integers(1, 1 << 63, int(rng.integers(0, 60)), dtype=np.uint64)]))
+    return items, texts
+
+
+@pytest.mark.parametrize("pattern", decontaminate.PATTERNS)
+def test_recall_of_every_length_with_all_edits_allowed(pattern):
+    rng = np.random.default_rng(17)
+    for n in LENGTHS:
+        found = tried = 0
+        for _ in range(2):
+            items, texts = planted(rng, n, pattern, 50)
+            index = decontaminate.Index(list(range(len(items))), items)
+            rows = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+            words = np.concatenate(texts)
+            worth = set(decontaminate.worth_walking(words, rows, index).tolist())
+            assert worth == set(range(len(texts)))  # the first look passes over none of them
+            hits = {(row, item) for row, item, *_ in decontaminate._of_rows(words, rows, index)}
+            found += sum((k, k) in hits for k in range(len(items)))
+            tried += len(items)
+        assert found >= 0.95 * tried, (n, found / tried)
+
+
+def test_walks_derive_from_the_recall():
+    for size in (5, 16, 40):
+        assert decontaminate.WALKS[size] == decontaminate.walks_needed(size, trials=96, tried=64)
+    assert decontaminate.walks_needed(16, recall=0.5) < decontaminate.walks_needed(16, recall=0.99)
+    assert decontaminate.walks_needed(16, edits=0) == 1
+    sizes = decontaminate.sizes_up_to(1000)
+    assert sizes == sorted(set(sizes)) and {16, 32, 64, 128} <= set(sizes) and all(decontaminate._largest(a) == b - 1 for a, b in zip(sizes, sizes[1:]))
+
+
+def test_many_items_take_longer_keys(monkeypatch):
+    rng = np.random.default_rng(5)
+    items, texts = planted(rng, 20, "changed any", 60)
+    monkeypatch.setattr(decontaminate, "ITEMS", 10)
+    index = decontaminate.Index(list(range(60)), items)
+    assert {len(steps) for _, _, _, walks in index.classes for (_, steps), *_ in walks} == {decontaminate.SAMPLED + 1}
+    rows = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    assert len({r for r, *_ in decontaminate._of_rows(np.concatenate(texts), rows, index)}) >= 57
+
+
+def test_rows_walked_together_change_nothing(monkeypatch):
+    docs, items = corpus(6)
+    import pyarrow as pa
+
+    index = decontaminate._index([i for i, _ in items], [" ".join(w) for _, w in items], 20)
+    texts = pa.array([t for _, t in docs])
+    want = list(decontaminate.matches(texts, index))
+    monkeypatch.setattr(decontaminate, "TOGETHER", 100)
+    assert list(decontaminate.matches(texts, index)) == want and len(want) > 50
