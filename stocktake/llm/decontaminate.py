@@ -8,8 +8,10 @@ each word, and the sampled steps are any of them. Items belong to classes of siz
 recall target asks for. How many that are comes from embedding random items and their edited copies (`walks_needed`). Equal keys propose
 (item, place); proposals are verified exactly by the edit distance of the whole item to the best stretch of the text there.
 
-A window can only hold an item if all its words but the allowed edits belong to the items' vocabulary; other places are passed over before walking. Items
-are a stated query set; they go to the tasks in blocks of known size.
+Places are passed over before walking if the window there cannot hold an item of the class: all its words but the allowed edits belong to the items'
+vocabulary, and what its words weigh, by the number of items that hold them, is what an item weighs less its edits. That loss is taken at three standard
+deviations of edits at random places (at most the heaviest words), the only part besides the walks that may miss an item. Items are a stated query set; they go to
+the tasks in blocks of known size.
 
 Defined results: null and empty texts or items match nothing; repeated documents are reported each; of several places of an item in a
 text the one with fewest edits counts, ties go to the first; repeated item rows are reported under each id; empty tables
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,17 +33,17 @@ from stocktake.llm.common import bounded_batches, table
 from stocktake.llm.tokens import chunks, hashed_words, mixed, text_bytes
 
 #: Edits allowed, as a percentage of the item's words, and the share of items with that many edits that must be proposed.
-EDITS, RECALL = 20, 0.98
+EDITS, RECALL = 20, 0.99
 #: Words sampled from a walk; one more for each 16 times as many items in a block.
-SAMPLED, ITEMS = 3, 2000
+SAMPLED, ITEMS = 2, 500
 #: Walks of each size up to 128 that reach RECALL with EDITS and SAMPLED, as `walks_needed` finds them with 96 trials and 64 tried walks.
 WALKS = {
-    1: 1, 2: 1, 3: 1, 4: 1, 5: 14, 6: 12, 7: 11, 8: 10, 10: 28, 12: 18, 14: 16, 16: 20, 20: 31, 24: 16, 28: 28, 32: 29, 40: 39, 48: 62, 56: 135,
-    64: 83, 80: 189, 96: 106, 112: 95, 128: 209,
+    1: 1, 2: 1, 3: 1, 4: 1, 5: 9, 6: 11, 7: 9, 8: 8, 10: 12, 12: 9, 14: 11, 16: 12, 20: 13, 24: 9, 28: 15, 32: 15, 40: 15, 48: 21, 56: 25,
+    64: 34, 80: 34, 96: 36, 112: 23, 128: 25,
 }
-#: Texts are first looked through in windows of this many words; larger classes see only texts with one that may be part of an item.
-GLANCE = 8
-#: Words of such texts that are walked together.
+#: What a word that only one item holds may weigh.
+HEAVIEST = 200
+#: Words of texts with places to walk from that are walked together.
 TOGETHER = 1 << 20
 SLACK = 8
 #: Items in a block: one pass over the texts for each block.
@@ -65,6 +68,11 @@ def _largest(size: int) -> int:
     return following[following.index(size) + 1] - 1
 
 
+def beginnings(size: int, limit: int) -> int:
+    """Of the words of a text where an item may lie, how many walks begin at: a quarter of a window and the words that edits may add."""
+    return -(-size // 4) + limit
+
+
 def _walk(rng: np.random.Generator, size: int, sampled: int) -> tuple[int, tuple[int, ...]]:
     """A random number for the walk's moves, and the steps at which its words are taken."""
     horizon = 2 * size
@@ -108,17 +116,18 @@ def walks_needed(size: int, edits: int = EDITS, sampled: int = SAMPLED, recall:
             items = [rng.integers(1, 1 << 63, n, dtype=np.uint64) for _ in range(trials)]
             texts = [_edited(rng, x, limit, pattern) for x in items]
             sides = []
-            for side in (items, texts):
-                ends = np.cumsum([len(x) for x in side])
-                of = np.repeat(np.arange(trials), [len(x) for x in side])
-                sides.append((np.concatenate(side), np.arange(len(of)), ends[of], of))
+            for side, last in ((items, n), (texts, beginnings(size, limit))):
+                rows = np.concatenate([[0], np.cumsum([len(x) for x in side])])
+                walker = Walker(np.concatenate(side), rows)
+                places = np.arange(rows[-1])
+                sides.append((walker, places[places - rows[walker.row_of] < last]))
             hits = np.zeros(trials)
             for walk in walks:
                 pairs = []
-                for words, starts, ends, of in sides:
-                    key, padded = embedded_keys(words, starts, ends, walk)
-                    pairs.append(mixed(key + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[~padded])
-                    owner = of[~padded]
+                for walker, starts in sides:
+                    key, over = walker.keys(starts, walk)
+                    owner = walker.row_of[starts[~over]]
+                    pairs.append(mixed(key[~over] + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
                 hits[np.unique(owner[np.isin(pairs[1], pairs[0])])] += 1
             # Half a walk stands for an item that none of those tried proposes.
             missed = 1 - np.maximum(hits, 0.5) / tried
@@ -129,56 +138,100 @@ def walks_needed(size: int, edits: int = EDITS, sampled: int = SAMPLED, recall:
     return most
 
 
+class _Class(NamedTuple):
+    """Items of one size: the most edits and words, the least weight with all edits, and of each walk its keys with their items and places."""
+
+    size: int
+    limit: int
+    longest: int
+    need: int
+    walks: list
+
+
 class Index:
     """Keys of all windows of a block of items."""
 
     def __init__(self, ids: list[int], items: list[np.ndarray], edits: int = EDITS):
-        self.ids, self.items = ids, items
+        self.ids, self.items, self.different = ids, items, [set(x.tolist()) for x in items]
         self.length = np.array([len(x) for x in items], np.int64)
         self.limit = self.length * edits // 100
         # A bit map of the items' words, 16 bits for each and more.
         self.shift = np.uint64(64 - min(27, max(20, int(16 * self.length.sum()).bit_length())))
-        self.vocabulary = np.zeros(1 << (64 - int(self.shift)), bool)
-        for words in items:
-            self.vocabulary[words >> self.shift] = True
+        self.weights = np.zeros(1 << (64 - int(self.shift)), np.uint8)
+        self.needs = self._weigh()
         sampled = SAMPLED + max(0, int(np.ceil(np.log(max(1, len(items)) / ITEMS) / np.log(16))))
         sizes = sizes_up_to(int(self.length.max(initial=0)))
         class_of = np.searchsorted(sizes, self.length, side="right") - 1
         rng = np.random.default_rng(8)
         self.classes = []
         for number, size in enumerate(sizes):
-            own = np.flatnonzero(class_of == number).tolist()
-            if not own:
+            members = np.flatnonzero(class_of == number)
+            if not len(members):
                 continue
             known = (edits, sampled) == (EDITS, SAMPLED)
             many = WALKS[size] if known and size in WALKS else walks_needed(size, edits, sampled)
-            words = np.concatenate([items[k] for k in own])
-            length = self.length[own]
-            starts, ends = np.arange(len(words)), np.repeat(np.cumsum(length), length)
-            item = np.repeat(np.array(own, np.int32), length)
+            own = members.tolist()
+            words, length = np.concatenate([items[k] for k in own]), self.length[members]
+            starts = np.arange(len(words))
+            walker = Walker(words, np.concatenate([[0], np.cumsum(length)]))
+            item = np.repeat(members.astype(np.int32), length)
             offset = (starts - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
             walks = []
             for _ in range(many):
                 walk = _walk(rng, size, sampled)
-                key, padded = embedded_keys(words, starts, ends, walk)
-                key, of, at = key[~padded], item[~padded], offset[~padded]
+                key, over = walker.keys(starts, walk)
+                key, of, at = key[~over], item[~over], offset[~over]
                 order = np.argsort(key, kind="stable")
                 walks.append((walk, key[order], of[order], at[order]))
-            self.classes.append((size, int(self.limit[own].max()), int(length.max()), walks))
-
-
-def embedded_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: tuple[int, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the walks that begin at starts in texts that end at ends; and which had run past their end when a word was taken."""
-    bit, steps = walk
-    at, key, padded = starts.copy(), np.zeros(len(starts), np.uint64), np.zeros(len(starts), bool)
-    for step in range(steps[-1] + 1):
-        over = at >= ends
-        word = words[np.where(over, 0, at)] if len(words) else np.zeros(len(at), np.uint64)
-        if step in steps:
-            padded |= over
-            key = mixed(key * np.uint64(31) + word)
-        at += (word >> np.uint64((bit + step * 7) % 64)).astype(np.int64) & 1
-    return key, padded
+            self.classes.append(_Class(size, int(self.limit[members].max()), int(length.max()), int(self.needs[members].min()), walks))
+
+    def _weigh(self) -> np.ndarray:
+        """Fill the table of weights; what each item still weighs with all its edits."""
+        held = [np.unique(x) for x in self.items]
+        words, holders = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+        # Words of many items weigh little, but at least 1: a known word.
+        scale = HEAVIEST / np.log(2 + len(self.items))
+        weight = np.maximum(1, np.round(scale * np.log((1 + len(self.items)) / holders))).astype(np.uint8)
+        np.maximum.at(self.weights, words >> self.shift, weight)
+        needs = np.zeros(len(self.items), np.int64)
+        for k, item in enumerate(self.items):
+            own, edits, n = np.sort(self.weights[item >> self.shift].astype(np.int64)), int(self.limit[k]), len(item)
+            lost = 0.0
+            if edits:
+                spread = 3 * own.std() * np.sqrt(edits * (n - edits) / max(1, n - 1))
+                lost = min(float(own[n - edits :].sum()), edits * own.mean() + spread)
+            needs[k] = int(own.sum() - lost)
+        return needs
+
+
+class Walker:
+    """Walks over some texts, of which each is followed by a mark that no walk goes beyond."""
+
+    def __init__(self, words: np.ndarray, rows: np.ndarray):
+        self.row_of = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+        self.words = np.zeros(len(words) + len(rows), np.uint64)
+        self.words[np.arange(len(words)) + self.row_of] = words
+        self.moves: dict[int, np.ndarray] = {}
+
+    def _moves(self, bit: int) -> np.ndarray:
+        """Whether a walk moves on from each word at a step that asks for this bit."""
+        if bit not in self.moves:
+            self.moves[bit] = ((self.words >> np.uint64(bit)) & np.uint64(1)).astype(np.int8)
+        return self.moves[bit]
+
+    def keys(self, starts: np.ndarray, walk: tuple[int, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the walks that begin at these words; and which had run past their text's end when a word was taken."""
+        bit, steps = walk
+        at = (starts + self.row_of[starts]).astype(np.intp)
+        key, over, moved = np.zeros(len(at), np.uint64), np.zeros(len(at), bool), np.zeros(len(at), np.int8)
+        for step in range(steps[-1] + 1):
+            if step in steps:
+                word = self.words[at]
+                over |= word == 0
+                key = mixed(key * np.uint64(31) + word)
+            np.take(self._moves((bit + step * 7) % 64), at, out=moved, mode="clip")
+            at += moved
+        return key, over
 
 
 def _row(previous: np.ndarray, differs: np.ndarray, first: int) -> np.ndarray:
@@ -203,32 +256,49 @@ def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return edits, end - int(np.flatnonzero(row == edits)[0]), end
 
 
+class _Sums:
+    """Known words and weights up to every place of texts."""
+
+    def __init__(self, words: np.ndarray, rows: np.ndarray, index: Index):
+        weight = index.weights[words >> index.shift]
+        self.known = np.concatenate([[0], np.cumsum(weight > 0)])
+        self.weight = np.concatenate([[0], np.cumsum(weight, dtype=np.int64)])
+        self.end_of = np.repeat(rows[1:], np.diff(rows))
+        self.places = np.arange(len(words))
+
+    def able(self, of: _Class) -> np.ndarray:
+        """Places whose window has words enough, and weight enough as far as an item may reach from there."""
+        count = self.known[np.minimum(self.places + of.size, self.end_of)] - self.known[:-1]
+        able = np.flatnonzero(count >= of.size - of.limit)
+        weight = self.weight[np.minimum(able + of.longest + of.limit, self.end_of[able])] - self.weight[able]
+        return able[weight >= of.need]
+
+
 def proposals(words: np.ndarray, rows: np.ndarray, index: Index) -> np.ndarray:
-    """Distinct (row, item, estimated begin of the item) of one chunk's texts."""
+    """Distinct (row, item, estimated begin of the item) of some texts."""
     if not len(words):
         return np.zeros((0, 3), np.int64)
-    known = np.concatenate([[0], np.cumsum(index.vocabulary[words >> index.shift])])
-    row_of = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-    end_of = rows[1:][row_of]
+    sums = _Sums(words, rows, index)
+    known, end_of = sums.known, sums.end_of
+    walker = Walker(words, rows)
+    row_of = walker.row_of
     found = []
-    places = np.arange(len(words))
-    for size, limit, longest, walks in index.classes:
-        count = known[np.minimum(places + size, end_of)] - known[places]
-        able = np.flatnonzero(count >= size - limit)
+    for of in index.classes:
+        able = sums.able(of)
         if not len(able):
             continue
-        # An item may begin at an able place; its walks begin at any of its words, of which the limit may be added ones.
+        # An item may begin at an able place; its walks begin there and behind.
         change = np.zeros(len(words) + 1, np.int32)
         np.add.at(change, able, 1)
-        np.add.at(change, np.minimum(able + longest + limit, end_of[able]), -1)
+        np.add.at(change, np.minimum(able + beginnings(of.size, of.limit), end_of[able]), -1)
         starts = np.flatnonzero(np.cumsum(change[:-1]) > 0)
-        ends = end_of[starts]
-        for walk, keys, item, offset in walks:
-            key, padded = embedded_keys(words, starts, ends, walk)
-            low, high = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
-            hit = np.flatnonzero((high > low) & ~padded)
-            many = (high - low)[hit]
-            which = np.repeat(low[hit], many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        for walk, keys, item, offset in of.walks:
+            key, over = walker.keys(starts, walk)
+            low = np.searchsorted(keys, key, "left")
+            hit = np.flatnonzero((keys[np.minimum(low, len(keys) - 1)] == key) & ~over) if len(keys) else low[:0]
+            low = low[hit]
+            many = np.searchsorted(keys, key[hit], "right") - low
+            which = np.repeat(low, many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
             begin = np.repeat(starts[hit], many)
             found.append(np.stack([row_of[begin], item[which], begin - offset[which]], axis=1))
     if not found:
@@ -238,9 +308,10 @@ def proposals(words: np.ndarray, rows: np.ndarray, index: Index) -> np.ndarray:
     # Proposals of one item within SLACK words are the same place.
     same = (every[1:, :2] == every[:-1, :2]).all(axis=1) & (every[1:, 2] // SLACK == every[:-1, 2] // SLACK)
     every = every[np.concatenate([[True], ~same])] if len(every) else every
-    # The item needs all its words but the edits there, and each of them is in the vocabulary.
+    # The item needs all its words but the edits there, and their weight.
     low, high = reach(every[:, 0], every[:, 1], every[:, 2], rows, index)
-    return every[known[high] - known[low] >= (index.length - index.limit)[every[:, 1]]]
+    enough = known[high] - known[low] >= (index.length - index.limit)[every[:, 1]]
+    return every[enough & (sums.weight[high] - sums.weight[low] >= index.needs[every[:, 1]])]
 
 
 def reach(row: np.ndarray, item: np.ndarray, begin: np.ndarray, rows: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
@@ -251,34 +322,25 @@ def reach(row: np.ndarray, item: np.ndarray, begin: np.ndarray, rows: np.ndarray
 
 
 def worth_walking(words: np.ndarray, rows: np.ndarray, index: Index) -> np.ndarray:
-    """Rows that may hold an item: one of their windows of GLANCE words, or of a smaller class, has enough known words."""
+    """Rows with a place to walk from."""
     if not len(words):
         return np.zeros(0, np.int64)
-    known = np.concatenate([[0], np.cumsum(index.vocabulary[words >> index.shift])])
-    places, able = np.arange(len(words)), np.zeros(len(words), bool)
-    end_of = np.repeat(rows[1:], np.diff(rows))
-    needs: dict[int, int] = {}
-    for size, limit, _, _ in index.classes:
-        # A window is cut into parts of GLANCE words; the unknown words of the best part are no more than their share.
-        window = min(size, GLANCE)
-        most = window - limit // max(1, size // GLANCE)
-        needs[window] = min(needs.get(window, most), most)
-    for window, need in needs.items():
-        able |= known[np.minimum(places + window, end_of)] - known[places] >= need
+    sums, able = _Sums(words, rows, index), np.zeros(len(words), bool)
+    for of in index.classes:
+        able[sums.able(of)] = True
     return np.unique(np.searchsorted(rows, np.flatnonzero(able), side="right") - 1)
 
 
 def _of_rows(words: np.ndarray, rows: np.ndarray, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
     """matches of texts whose words these are."""
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    proposed = proposals(words, rows, index)
+    proposed, listed = proposals(words, rows, index), words.tolist()
     lows, highs = reach(proposed[:, 0], proposed[:, 1], proposed[:, 2], rows, index)
     for (row, item, _), low, high in zip(proposed.tolist(), lows.tolist(), highs.tolist(), strict=True):
         own, limit = index.items[item], int(index.limit[item])
-        stretch = words[low:high]
-        if int(np.isin(own, stretch).sum()) < len(own) - limit:
-            continue
-        edits, start, end = best_stretch(own, stretch)
+        if len(index.different[item].intersection(listed[low:high])) < len(index.different[item]) - limit:
+            continue  # an edit takes away one word at most
+        edits, start, end = best_stretch(own, words[low:high])
         if edits <= limit:
             found = (edits, low + start - int(rows[row]), end - start)
             best[row, item] = min(best.get((row, item), found), found)

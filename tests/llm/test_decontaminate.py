@@ -156,7 +156,7 @@ def test_many_items_take_longer_keys(monkeypatch):
     items, texts = planted(rng, 20, "changed any", 60)
     monkeypatch.setattr(decontaminate, "ITEMS", 10)
     index = decontaminate.Index(list(range(60)), items)
-    assert {len(steps) for _, _, _, walks in index.classes for (_, steps), *_ in walks} == {decontaminate.SAMPLED + 1}
+    assert {len(steps) for of in index.classes for (_, steps), *_ in of.walks} == {decontaminate.SAMPLED + 1}
     rows = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     assert len({r for r, *_ in decontaminate._of_rows(np.concatenate(texts), rows, index)}) >= 57
 
