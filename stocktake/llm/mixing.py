@@ -3,7 +3,8 @@
 Every source has a weight schedule over training time 0..1. Its integral, scaled to the source's target, is the demand
 for the source's words up to each time. Documents of a source stand in a fixed pseudo-random order; the words before a
 document are inverted through the demand to the time at which it is due, and documents are range-sorted by that time.
-A source whose target exceeds its size is passed through again; where a target ends, the last document is cut.
+A source whose target exceeds its size is passed through again, and each take of a document is due when the words of its source before
+that take, earlier passes included, are spent; where a target ends, the last document is cut.
 
 Defined results: null and empty texts have size 0 and take 0; a null source comes after all others; documents equal in id
 and size are interchangeable; an empty table gives an empty mix.
@@ -77,7 +78,8 @@ def due_time(done: Column, knots: Column) -> Column:
 
 
 def place(docs: DataFrame, size: str, source: str = "source", share: float = 1.5, most: float = 2.0, schedules: dict = SCHEDULES) -> DataFrame:
-    """docs, which must have doc_id, with source_size, target, taken and position (null if nothing is taken).
+    """docs, which must have doc_id, with source_size, target, taken, positions (of each take, in order) and position (the first; null
+    if nothing is taken).
 
     Two-level running sums: parts of a source's order are summed first, then rows within their part, so a hot source is
     spread over 16**PARTS_HEX tasks.
@@ -100,14 +102,20 @@ def place(docs: DataFrame, size: str, source: str = "source", share: float = 1.5
     left = F.floor("target") - passes * F.col("source_size")
     taken = (passes * n + F.greatest(F.lit(0), F.least(n, left - before))).cast("long")
     placed = summed.join(plan, ["_source", "_part"]).withColumn("taken", taken)
-    position = F.when(F.col("taken") > 0, due_time(F.least(before / F.col("target"), F.lit(1.0)), F.col("_knots")))
-    return placed.withColumn("position", position).drop("_source", "_part", "_earlier", "_within", "_knots")
+    takes = F.when(n > 0, (passes + F.when(left > before, 1).otherwise(0)).cast("long")).otherwise(0)
+    spent = lambda take: F.least((before + take * F.col("source_size")) / F.col("target"), F.lit(1.0))
+    due = F.transform(F.sequence(F.lit(0).cast("long"), takes - 1), lambda take: due_time(spent(take), F.col("_knots")))
+    placed = placed.withColumn("positions", F.when(takes > 0, due).otherwise(F.array().cast("array<double>")))
+    return placed.withColumn("position", F.get("positions", F.lit(0))).drop("_source", "_part", "_earlier", "_within", "_knots")
 
 
 def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """All documents with size, source_size, target, taken and position, range-sorted by position; the unused come last."""
+    """All documents with size, source_size, target, taken, the positions of their first and last take and of all, range-sorted by the first;
+    the unused come last."""
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    placed = place(sized, "size", share=share, most=most).select("doc_id", "size", "source_size", "target", "taken", "position", "_key")
+    placed = place(sized, "size", share=share, most=most).select(
+        "doc_id", "size", "source_size", "target", "taken", "position", F.get("positions", F.size("positions") - 1).alias("last_position"), "positions", "_key"
+    )
     return placed.orderBy(F.col("position").asc_nulls_last(), "_key").drop("_key")
 
 
@@ -119,13 +127,12 @@ def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> D
     placed = place(boxed, "_size", share=share, most=most)
     times = F.when(F.col("_size") > 0, F.round(F.col("taken") / F.col("_size"))).otherwise(0).cast("int")
     rows = placed.where(times > 0).withColumn("_take", F.explode(F.sequence(F.lit(1), times)))
-    # A later pass is due when the whole source has been used as often before.
-    return rows.withColumn("_at", F.col("position") + F.col("_take") - 1).repartitionByRange("_at", "_key").sortWithinPartitions("_at", "_key").select("_doc.*")
+    return rows.withColumn("_at", F.get("positions", F.col("_take") - 1)).repartitionByRange("_at", "_key").sortWithinPartitions("_at", "_key").select("_doc.*")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents to the contract's weights."""
-    return mix(table(spark, sf_dir, "documents"))
+    return mix(table(spark, sf_dir, "documents")).drop("positions")
 
 
 OP2_SQL = r"""
@@ -154,13 +161,15 @@ WITH sized AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS p FROM ordered
 ), takes AS (
   SELECT *, p * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - p * source_size - before)) AS taken FROM passes
-), slopes AS (
+), due AS (
   SELECT *, least(before / target, CAST(1 AS DOUBLE)) AS done,
+    least((before + CASE WHEN CAST(floor(target) AS BIGINT) - p * source_size > before THEN p ELSE p - 1 END * source_size) / target, CAST(1 AS DOUBLE)) AS last_done,
     CASE w WHEN 5 THEN CAST(1.5 AS DOUBLE) WHEN 2 THEN 1 ELSE 0.5 END AS w0,
     CASE w WHEN 5 THEN CAST(-1 AS DOUBLE) WHEN 2 THEN 0 ELSE 1 END AS slope
   FROM takes
 )
 SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
-  CASE WHEN taken > 0 THEN CASE WHEN done <= 0 THEN 0 ELSE 2.0 * done / (w0 + sqrt(greatest(w0 * w0 + 2.0 * slope * done, 0))) END END AS position
-FROM slopes
+  CASE WHEN taken > 0 THEN CASE WHEN done <= 0 THEN 0 ELSE 2.0 * done / (w0 + sqrt(greatest(w0 * w0 + 2.0 * slope * done, 0))) END END AS position,
+  CASE WHEN taken > 0 THEN CASE WHEN last_done <= 0 THEN 0 ELSE 2.0 * last_done / (w0 + sqrt(greatest(w0 * w0 + 2.0 * slope * last_done, 0))) END END AS last_position
+FROM due
 """

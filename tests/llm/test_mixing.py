@@ -49,6 +49,41 @@ def test_targets_and_takes(mixed):
     assert next(r["size"] for r in mixed if r["doc_id"] == 902) == 3
 
 
+def test_words_follow_the_schedules(documents):
+    rows = [(k, "w " * (5 + k % 20), "abcde"[k % 5]) for k in range(2000)] + [(5000 + k, "w " * 9, "a") for k in range(600)]
+    found = mixing.mix(documents(rows)).collect()
+    source_of, names = {r[0]: r[2] for r in rows}, "abcde"
+    weight = {s: mixing.WEIGHTS[k % 3] for k, s in enumerate(names)}
+    target = {source_of[r["doc_id"]]: r["target"] for r in found}
+    assert any(r["taken"] > r["size"] for r in found)
+    for tenth in range(1, 11):
+        words = defaultdict(int)
+        for r in found:
+            takes = r["positions"]
+            assert len(takes) == -(-r["taken"] // r["size"]) and takes == sorted(takes)
+            assert (r["position"], r["last_position"]) == ((takes[0], takes[-1]) if takes else (None, None))
+            for k, at in enumerate(takes):
+                if at < tenth / 10:
+                    words[source_of[r["doc_id"]]] += min(r["size"], r["taken"] - k * r["size"])
+        for s in names:
+            (t0, w0), (t1, w1) = mixing.SCHEDULES[weight[s]]
+            t = tenth / 10
+            demand = target[s] * (w0 * t + (w1 - w0) * t * t / 2) / ((w0 + w1) / 2)
+            assert abs(words[s] - demand) <= 30, (s, tenth)  # one document more or less
+
+
+def test_documents_come_in_the_order_of_their_takes(documents):
+    rows = [(k, "w " * 10, "ab"[k % 2]) for k in range(400)]
+    at = {r["doc_id"]: r["positions"] for r in mixing.mix(documents(rows)).collect()}
+    seen, times = defaultdict(int), []
+    for r in mixing.mixed_documents(documents(rows)).collect():
+        times.append(at[r["doc_id"]][seen[r["doc_id"]]])
+        seen[r["doc_id"]] += 1
+    assert times == sorted(times) and max(seen.values()) == 2
+    # The second passes of the heavy source do not wait for the end of the light one.
+    assert sum(t < 0.9 for t in times) > 0.8 * len(times)
+
+
 def test_order_and_reruns(mixed, documents):
     at = [r["position"] for r in mixed if r["position"] is not None]
     assert at == sorted(at) and all(0 <= p <= 1 for p in at)
