@@ -163,11 +163,10 @@ def run(spark: SparkSession, argv=None) -> None:
     elif args.command == "harvest":
         everywhere = tables.read_sites(spark, places, m.StructType([m.OBSERVATION["collection"]]))
         skip = tables.read_table(spark, f"{args.tables}/harvest_skip", m.HARVEST_SKIP, args.table_format)
-        figures = audits.harvest_figures(
+        audits.harvest_in_one_pass(
             _archive(spark, args), everywhere, skip, args.collection, args.source, list(places),
-            args.namespace, args.asof,
+            args.namespace, args.asof, args.out, format=args.format,
         )
-        audits.harvest_audit(figures, args.out, args.format)
     elif args.command == "merge":
         counts = tables.read_site_counts(spark, args.counts, args.format)
         sinks.write_table(copies.merge_site_counts(counts, args.site), args.out, ["namespace"], args.format)
@@ -182,8 +181,10 @@ def run(spark: SparkSession, argv=None) -> None:
         chosen = manifests.newest_upload(manifests.listing_filter(listing, args.owner))
         sinks.write_table(chosen, args.out, ["dir", "modified", "name"], args.format)
     elif args.command == "compare":
-        source = tables.read_manifest(spark, args.source, checksum=True)
-        target = tables.read_manifest(spark, args.target, checksum=True)
+        source, target = (
+            tables.read_manifest(spark, side, checksum=True, chunk_bytes=tables.CHUNK_BYTES)
+            for side in (args.source, args.target)
+        )
         sinks.write_table(manifests.manifest_diff(source, target), args.out, ["dir", "name"], args.format)
     elif args.command == "expected":
         files = manifests.unexpected_files(tables.read_manifest(spark, args.source))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from stocktake.functions.numbers import tebibytes
 from stocktake.functions.prefixes import under
@@ -43,19 +43,41 @@ def harvested_since(
     ).agg(F.count(F.lit(1)).alias("num_observations"))
 
 
+def observation_figures(observation: DataFrame, collection: str, asof: datetime, hours: int = 24) -> DataFrame:
+    """``missing_release`` and ``harvested_since`` in one row, from one pass: num_missing_release, num_harvested."""
+    since = F.col("max_last_modified") >= _moment(asof - timedelta(hours=hours))
+    return observation.where(F.col("collection") == collection).agg(
+        F.count_if(F.col("meta_release").isNull()).alias("num_missing_release"), F.count_if(since).alias("num_harvested")
+    )
+
+
 def _queue(skip: DataFrame, cname: str, source_part: str) -> DataFrame:
     return skip.where((F.col("cname") == cname) & F.col("source").contains(source_part))
 
 
 def retry_queue(skip: DataFrame, cname: str, source_part: str, asof: datetime) -> DataFrame:
     """Size of the retry queue: all, due, not yet due, failed. An entry without a time is only in all."""
+    return _queue(skip, cname, source_part).agg(*_queue_counts(asof))
+
+
+def _queue_counts(asof: datetime) -> list[Column]:
     at = _moment(asof)
-    return _queue(skip, cname, source_part).agg(
+    return [
         F.count(F.lit(1)).alias("num_todo"),
         F.count_if(F.col("try_after") <= at).alias("num_due"),
         F.count_if(F.col("try_after") > at).alias("num_future"),
         F.count("error_message").alias("num_error"),
-    )
+    ]
+
+
+def observed_errors(skip: DataFrame, cname: str, source_part: str, asof: datetime) -> tuple[DataFrame, Observation]:
+    """``error_dump``, and the counts of ``retry_queue`` as what Spark observes while the dump is first computed.
+
+    The counts are there once the dump was written; it must not be sorted on the way, which would read it twice.
+    """
+    counts = Observation("retry queue")
+    queue = _queue(skip, cname, source_part).observe(counts, *_queue_counts(asof))
+    return queue.where(F.col("error_message").isNotNull()), counts
 
 
 def error_digest(skip: DataFrame, cname: str, source_part: str, width: int = 40) -> DataFrame:

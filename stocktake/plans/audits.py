@@ -253,6 +253,41 @@ def harvest_figures(
     }
 
 
+def harvest_in_one_pass(
+    archive: Archive,
+    site_observation: DataFrame,
+    skip: DataFrame,
+    collection: str,
+    source_part: str,
+    sites: Sequence[str],
+    namespace: str,
+    asof: datetime,
+    out: str,
+    cname: str = "Observation",
+    format: str = "tsv",
+) -> None:
+    """The report of ``harvest_figures``, with one pass over the observations and one over the skip table.
+
+    Sizes of the queue are counted while its errors are set aside; the errors' digest and list come from there.
+    """
+    spark = archive.observation.sparkSession
+    dump, queue = harvest.observed_errors(skip, cname, source_part, asof)
+    with (
+        kept(harvest.observation_figures(archive.observation, collection, asof), "harvest") as counted, kept(dump, "errors") as errors
+    ):
+        counts = queue.get
+        figures = {
+            "counts_by_site": harvest.obs_counts_by_site(site_observation, collection, sites),
+            "missing_release": counted.select(F.col("num_missing_release").alias("num_observations")),
+            "harvested": counted.select(F.col("num_harvested").alias("num_observations")),
+            "retry_queue": spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts)),
+            "error_digest": harvest.error_digest(errors, cname, source_part),
+            "errors": errors,
+            "volume": harvest.prefix_volume(archive.plane, archive.artifact, namespace),
+        }
+        harvest_audit(figures, out, format)
+
+
 HARVEST_ORDER = {"error_digest": ["msg"], "errors": ["skip_id"], "counts_by_site": ["site"]}
 
 

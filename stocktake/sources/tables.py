@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -117,6 +122,51 @@ def read_config(spark: SparkSession, name: str, path: str) -> DataFrame:
 CHECKSUM_BYTES = 256 << 20
 
 
+#: Bytes of a large file that one row stands for while its digest is computed, and bytes read at once.
+CHUNK_BYTES, READ_BYTES = 64 << 20, 1 << 20
+
+
+def tree_digests(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(path, digest) of files given by (path, length): the MD5 of the MD5s of their chunks, in order.
+
+    Each chunk is a row of its own, so one file is read by many tasks, a piece of READ_BYTES at a time. Two files have
+    one digest, for one ``chunk_bytes``, if their contents are equal.
+    """
+    count = F.floor((F.col("length") + (chunk_bytes - 1)) / chunk_bytes).cast("long")
+    ranges = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(count - 1, F.lit(0)))).alias("no"))
+
+    # Inner functions travel with the task, so executors need no copy of this package.
+    def opened(path):
+        if path.startswith("file:"):
+            path = "/" + path.removeprefix("file:").lstrip("/")
+        if "://" not in path:
+            return fs.LocalFileSystem().open_input_file(path)
+        system, place = fs.FileSystem.from_uri(quote(path, safe=":/"))
+        return system.open_input_file(place)
+
+    def digest(batches):
+        for batch in batches:
+            out = []
+            for path, length, no in zip(*(batch.column(c).to_pylist() for c in ("path", "length", "no"))):
+                found, at, end = hashlib.md5(), no * chunk_bytes, min(length, (no + 1) * chunk_bytes)
+                with opened(path) as file:
+                    file.seek(at)
+                    while at < end:
+                        data = file.read(min(READ_BYTES, end - at))
+                        if not data:
+                            raise OSError(f"{path} became shorter while it was read")
+                        found.update(data)
+                        at += len(data)
+                out.append(found.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("no"), pa.array(out, pa.string())], names=["path", "no", "part"])
+
+    # Ranges are few bytes, so adaptive execution would put all of them into one task unless told how many there are.
+    tasks = max(1, math.ceil(ranges.count() / 8))
+    parts = ranges.repartition(tasks, "path", "no").mapInArrow(digest, "path string, no long, part string")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("no", "part"))), lambda p: p["part"])
+    return parts.groupBy("path").agg(F.md5(F.concat_ws("", ordered)).alias("digest"))
+
+
 def _root(spark: SparkSession, path: str) -> str:
     """The path as Spark lists files below it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -125,13 +175,14 @@ def _root(spark: SparkSession, path: str) -> str:
 
 
 def read_manifest(
-    spark: SparkSession, path: str, checksum: bool = False, checksum_bytes: int = CHECKSUM_BYTES
+    spark: SparkSession, path: str, checksum: bool = False, checksum_bytes: int = CHECKSUM_BYTES,
+    chunk_bytes: int | None = None,
 ) -> DataFrame:
     """Files below ``path`` as (dir, name, modified, owner, length, checksum).
 
     ``dir`` is relative to ``path``, empty for files right below it. Contents are read
-    only if the checksum is asked for, and only of files up to ``checksum_bytes``, as
-    a file is one row; the checksum of larger ones is null. ``owner`` is null; file
+    only if the checksum is asked for. A file up to ``checksum_bytes`` is one row; larger ones
+    have a digest of their chunks, marked with the chunks' size, if ``chunk_bytes`` is given, else none. ``owner`` is null; file
     systems do not tell Spark.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
@@ -151,7 +202,12 @@ def read_manifest(
     if not checksum:
         return listed(files, nothing)
     small = listed(files.where(F.col("length") <= checksum_bytes), F.md5("content"))
-    return small.unionByName(listed(files.where(F.col("length") > checksum_bytes), nothing))
+    large = files.where(F.col("length") > checksum_bytes)
+    if chunk_bytes is None:
+        return small.unionByName(listed(large, nothing))
+    of = tree_digests(large.select("path", "length"), chunk_bytes).withColumnRenamed("path", "_of")
+    found = large.join(of, F.col("path") == F.col("_of"), "left")
+    return small.unionByName(listed(found, F.concat(F.lit(f"chunks-{chunk_bytes}:"), "digest")))
 
 
 def _written(spark: SparkSession, path: str, format: str) -> DataFrame:

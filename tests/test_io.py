@@ -1,5 +1,7 @@
 """Readers, writers and the command line, end to end on small files."""
 
+import hashlib
+from datetime import datetime
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -10,6 +12,7 @@ from conftest import rows
 from stocktake import model as m
 from stocktake.__main__ import run
 from stocktake.operators import manifests
+from stocktake.plans import audits
 from stocktake.plans.session import ensure_checkpoint_dir
 from stocktake.plans.stages import kept
 from stocktake.sources import sinks, tables
@@ -76,6 +79,28 @@ def test_manifest_of_files(spark, tmp_path):
     assert "content" not in plan.split("ReadSchema")[1]
 
 
+def test_large_files_are_compared_by_chunks(spark, tmp_path, monkeypatch):
+    big = bytes(range(256)) * 40
+    files = {"d/same.bin": (big, big), "d/end.bin": (big, big[:-1] + b"!"), "d/cut.bin": (big, big[:-1]), "d/small": (b"abc", b"abc"),
+             "d/a b%.bin": (big[:1000], big[:1000]), "d/swap.bin": (big[:200] + big[100:200], big[100:200] + big[:200])}
+    for path, sides in files.items():
+        for side, content in zip("xy", sides):
+            (tmp_path / side / path).parent.mkdir(parents=True, exist_ok=True)
+            (tmp_path / side / path).write_bytes(content)
+    monkeypatch.setattr(tables, "READ_BYTES", 33)
+    for chunk in (100, 999, 10_240, 1 << 20):
+        both = [tables.read_manifest(spark, str(tmp_path / s), checksum=True, checksum_bytes=100, chunk_bytes=chunk) for s in "xy"]
+        assert dict(rows(manifests.manifest_diff(*both), "name", "action")) == {
+            "same.bin": "SAME", "end.bin": "DIFFERS", "cut.bin": "DIFFERS", "small": "SAME", "a b%.bin": "SAME", "swap.bin": "DIFFERS"}
+    found = dict(rows(both[0], "name", "checksum"))
+    assert found["small"] == hashlib.md5(b"abc").hexdigest()
+    assert found["same.bin"] == f"chunks-{1 << 20}:" + hashlib.md5(hashlib.md5(big).hexdigest().encode()).hexdigest()
+    # One file is read by many tasks.
+    listed = spark.read.format("binaryFile").load(str(tmp_path / "x" / "d" / "same.bin")).select("path", "length")
+    assert tables.tree_digests(listed, 100)._jdf.queryExecution().optimizedPlan().toString().count("Repartition") >= 1
+    assert tables.tree_digests(listed.where("false"), 100).count() == 0
+
+
 def test_sections(spark, frame, tmp_path):
     df = frame([("A", "u2", 1), ("B", "u1", None), ("A", "u1", 2)], "category string, uri string, n int")
     sinks.write_sections(df, str(tmp_path / "s"), ["uri"])
@@ -260,6 +285,40 @@ def test_harvest_command(spark, archive):
     assert rows(_tsv(spark, out / "harvested")) == [("1",)]
 
 
+def test_harvest_reads_each_table_once(spark, frame, tmp_path):
+    read = {name: spark.sparkContext.accumulator(0) for name in ("observation", "skip")}
+
+    def counted(df, name):
+        counter = read[name]
+
+        def pass_on(batches):
+            for batch in batches:
+                counter.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(pass_on, df.schema)
+
+    at = datetime(2024, 1, 15)
+    observation = frame([("1", "A", None, at), ("2", "A", at, at), ("3", "B", None, at), ("4", "A", at, datetime(2023, 1, 1))],
+                        "obs_id string, collection string, meta_release timestamp_ntz, max_last_modified timestamp_ntz")
+    skip = frame([(k, "Observation", "s/A", at if k % 3 else None, f"bad {k % 2}" if k % 4 else None) for k in range(20)] + [(99, "Plane", "s/A", at, "bad")],
+                 "skip_id long, cname string, source string, try_after timestamp_ntz, error_message string")
+    plane = frame([("p", "1")], "plane_id string, obs_id string")
+    artifact = frame([("p", "n/1", 5), ("p", "m/1", 5)], "plane_id string, uri string, content_length long")
+    everywhere = frame([("here", "A"), ("here", "A"), ("there", "B")], "site string, collection string")
+    archive = audits.Archive(observation=observation, plane=plane, artifact=artifact)
+    arguments = (everywhere, skip, "A", "s/", ["here", "there"], "n", at)
+    audits.harvest_audit(audits.harvest_figures(archive, *arguments), str(tmp_path / "many"))
+    archive.observation = counted(observation, "observation")
+    audits.harvest_in_one_pass(archive, everywhere, counted(skip, "skip"), *arguments[2:], str(tmp_path / "one"))
+    assert {name: counter.value for name, counter in read.items()} == {"observation": 4, "skip": 21}
+    names = sorted(p.name for p in (tmp_path / "many").iterdir())
+    assert names == sorted(p.name for p in (tmp_path / "one").iterdir()) and len(names) == 7
+    for name in names:
+        many, one = (_tsv(spark, tmp_path / side / name) for side in ("many", "one"))
+        assert many.columns == one.columns and rows(many) == rows(one)
+
+
 def test_file_commands(spark, tmp_path):
     for side, names in (("src", ["a.tex", "b.tex", "c.zip"]), ("dst", ["a.tex", "old.doc"])):
         (tmp_path / side / "P1").mkdir(parents=True)
