@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stocktake.functions.numbers import percent
-from stocktake.functions.skew import same_keys
+from stocktake.functions.skew import owner_join, same_keys
+from stocktake.plans.stages import stage
 
 OBSERVATION, PLANE = "Observation", "Plane"
 COLLECTION = ("collection",)
@@ -167,6 +169,70 @@ def null_usage(
     )
 
 
+# --- counts from file footers ----------------------------------------------------------------
+
+_FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def write_for_footers(observation: DataFrame, plane: DataFrame, path: str) -> None:
+    """Store the rows that count as Parquet, by collection and instrument, planes by those of their observation.
+
+    Every file then belongs to one group, and its footer knows the nulls of every column.
+    """
+    by = list(COLLECTION_INSTRUMENT)
+    observation.where(usable_instrument()).write.partitionBy(*by).parquet(f"{path}/{OBSERVATION}")
+    owners = observation.where(usable_instrument()).select("obs_id", *[F.col(c).alias(f"_{c}") for c in by])
+    owned = owner_join(plane, owners, ["obs_id"]).select(*plane.columns, *[f"_{c}" for c in by])
+    owned.write.partitionBy(*[f"_{c}" for c in by]).parquet(f"{path}/{PLANE}")
+
+
+def counts_by_folder(stored: DataFrame) -> DataFrame:
+    """Rows and non-null values of every column, for each value of the folders' columns."""
+    own = [c for c in (f"_{c}" for c in COLLECTION_INSTRUMENT) if c in stored.columns]
+    folders = own or list(COLLECTION_INSTRUMENT)
+    columns = [c for c in stored.columns if c not in folders]
+    return stored.groupBy(*folders).agg(
+        F.count(F.lit(1)).alias("num_instances"), *[F.count(F.col(f"`{c}`")).alias(f"_known_{c}") for c in columns]
+    ).withColumnsRenamed({c: c.removeprefix("_") for c in own})
+
+
+@contextmanager
+def footers_count(spark: SparkSession) -> Iterator[None]:
+    """Counts of Parquet tables that are read and computed meanwhile come from the files' footers."""
+    before = {key: spark.conf.get(key, None) for key in _FOOTERS}
+    try:
+        for key, value in _FOOTERS.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def footer_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``counts_by_folder`` of a stored table, without reading a column; a staged table of one row for each group."""
+    with footers_count(spark):
+        return stage(counts_by_folder(spark.read.parquet(path)), "footers")[0]
+
+
+def null_usage_from_footers(
+    observation: DataFrame, plane: DataFrame, path: str, fields: Sequence[str], by: Sequence[str] = COLLECTION_INSTRUMENT
+) -> DataFrame:
+    """``null_usage`` from what ``write_for_footers`` stored of these tables; only their schemas are used."""
+    parts = []
+    for table, df in ((OBSERVATION, observation), (PLANE, plane)):
+        columns = _columns_of(table, df, fields)
+        counts = footer_counts(df.sparkSession, f"{path}/{table}")
+        # A folder's column is not in its files: it is null in all rows of a group or in none.
+        known = lambda c: F.col(f"_known_{c}") if f"_known_{c}" in counts.columns else F.when(F.col(f"`{c}`").isNull(), 0).otherwise(F.col("num_instances"))
+        summed = counts.withColumns({f"_null_{i}": F.col("num_instances") - known(c) for i, c in enumerate(columns.values())})
+        summed = summed.groupBy(*by).agg(
+            F.sum("num_instances").alias("num_instances"), *[F.sum(f"_null_{i}").alias(f"_null_{i}") for i in range(len(columns))]
+        )
+        parts.append(_finish(_long(summed, table, columns, by), by) if columns else _no_usage(summed, by))
+    return parts[0].unionByName(parts[1])
+
+
 def with_nulls(usage: DataFrame) -> DataFrame:
     """Rows as reported per field: only groups that have a null."""
     return usage.where("num_null > 0")

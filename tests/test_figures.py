@@ -44,6 +44,26 @@ def test_null_usage_counts_and_denominators(tables):
     assert both.where("percentage_null < 0 or percentage_null > 100").count() == 0
 
 
+def test_null_counts_from_footers(spark, frame, tables, tmp_path):
+    obs, plane = tables
+    obs = obs.unionAll(frame([(9, None, "cam", None, None)], obs.schema))
+    plane = plane.unionAll(frame([(90, 9, None), (99, 77, None)], plane.schema))
+    usage.write_for_footers(obs, plane, str(tmp_path / "stored"))
+    fields = usage.field_catalog(obs, plane)
+    for by in (CI, usage.COLLECTION):
+        found = usage.null_usage_from_footers(obs, plane, str(tmp_path / "stored"), fields, by)
+        want = usage.null_usage(obs, plane, fields, by)
+        assert found.columns == want.columns and rows(found) == rows(want)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    with usage.footers_count(spark):
+        for table in (usage.OBSERVATION, usage.PLANE):
+            counts = usage.counts_by_folder(spark.read.parquet(str(tmp_path / "stored" / table)))
+            scan = counts._jdf.queryExecution().executedPlan().toString()
+            pushed = scan[scan.index("PushedAggregation: [") :].split("]")[0]
+            assert pushed.count("COUNT(") == len(counts.columns) - 2 and "PushedGroupBy: [" in scan
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+
+
 def test_usage_reports(tables):
     obs, plane = tables
     fields = usage.field_catalog(obs, plane)

@@ -663,6 +663,15 @@ def _(v):
     return usage.with_nulls(_usage(v, by=usage.COLLECTION))
 
 
+@register("null_usage_footers", f"SELECT *, {PCT} FROM ({_null_sql('collection')}) WHERE num_null > 0")
+def _(v):
+    observation, plane = v("observation"), v("plane")
+    path = f"{ensure_checkpoint_dir(observation.sparkSession)}/stocktake-footers-{uuid.uuid4().hex}"
+    usage.write_for_footers(observation, plane, path)
+    fields = usage.field_catalog(observation, plane)
+    return usage.with_nulls(usage.null_usage_from_footers(observation, plane, path, fields, usage.COLLECTION))
+
+
 @register("null_usage_rollup", f"""SELECT granularity, table_name, field, collection, instrument_name,
     num_null, num_instances, {PCT} FROM (
       SELECT 'collection_instrument' AS granularity, * FROM ({_null_sql(CI)})
