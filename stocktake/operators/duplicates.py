@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stocktake.functions.flags import type_counts, type_flags
 from stocktake.functions.numbers import total
 from stocktake.functions.prefixes import match_namespaces
-from stocktake.functions.skew import lookup_join, owner_join
+from stocktake.functions.skew import BROADCAST_ROWS, lookup_join, owner_join
 from stocktake.model import PRODUCT_TYPES, flag_name
+from stocktake.plans.stages import stage
 
 
 def product_type_flags(
@@ -71,3 +72,53 @@ def duplicate_summary(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count_if(n > 1).alias("num_duplicate_uris"),
         total(F.when(n > 1, n)).alias("num_duplicate_instances"),
     )
+
+
+# --- most URIs occur once --------------------------------------------------------------------
+
+
+def _hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in keys])
+
+
+def repeated_hashes(artifact: DataFrame, keys: Sequence[str] = ("uri",)) -> DataFrame:
+    """Hashes that more than one row has: all repeated keys and, rarely, two keys of one hash. A staged table.
+
+    Only eight bytes and a number of each row are shuffled.
+    """
+    counts = artifact.select(_hash(keys).alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    return stage(counts.where("n > 1").select("hash"), "repeated")[0]
+
+
+def by_repetition(
+    artifact: DataFrame, keys: Sequence[str] = ("uri",), broadcast_rows: int = BROADCAST_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key may occur again, and rows whose key does not, without a shuffle where few hashes are repeated."""
+    hashes = repeated_hashes(artifact, keys)
+    few = hashes.limit(broadcast_rows + 1).count() <= broadcast_rows
+    other = F.broadcast(hashes) if few else hashes
+    sides = (artifact.join(other, _hash(keys) == F.col("hash"), how) for how in ("left_semi", "left_anti"))
+    return tuple(sides)
+
+
+def duplicate_uris_of(
+    artifact: DataFrame, keys: Sequence[str] = ("uri",), vocabulary: Sequence[str] = PRODUCT_TYPES, **options
+) -> DataFrame:
+    """``duplicate_uris`` of ``uri_type_counts``; only rows that may be repeated reach the wide aggregate."""
+    repeated, _ = by_repetition(artifact, keys, **options)
+    return duplicate_uris(uri_type_counts(repeated, keys, vocabulary))
+
+
+def duplicate_summary_of(
+    artifact: DataFrame, keys: Sequence[str], by: Sequence[str] = (), vocabulary: Sequence[str] = PRODUCT_TYPES, **options
+) -> DataFrame:
+    """``duplicate_summary`` of ``uri_type_counts``, for ``by`` among the keys; single rows are just counted."""
+    repeated, single = by_repetition(artifact, keys, **options)
+    found = duplicate_summary(uri_type_counts(repeated, keys, vocabulary), by)
+    known = F.count_if(F.col("product_type").isin(*vocabulary))
+    zero = F.lit(0).cast("long")
+    alone = single.groupBy(*by).agg(known.alias("num_uris")).withColumns({
+        "num_single_uris": F.col("num_uris"), "num_duplicate_uris": zero, "num_duplicate_instances": zero,
+    })
+    sums = [c for c in found.columns if c not in by]
+    return found.unionByName(alone).groupBy(*by).agg(*[total(F.col(c)).alias(c) for c in sums])

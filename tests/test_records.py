@@ -146,3 +146,28 @@ def test_preview_flags_and_none_text(archive):
     combos = previews.combinations(planes)
     assert rows(combos, "category", "instrument_name", "science", "num_planes") == [
         ("PROFILE", None, 0, 1), ("PROFILE", "cam", 1, 2)]
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+@pytest.mark.parametrize("seed", range(3))
+def test_duplicates_by_hash_equal_the_wide_aggregate(frame, seed, most):
+    rng = random.Random(seed)
+    types = ["science", "preview", "unheard of", None]
+    data = [(rng.choice(["A", "B", None]), rng.choice([f"u{rng.randint(0, 90)}", None]), rng.choice(types)) for _ in range(120)]
+    table = frame(data, "collection string, uri string, product_type string")
+    for keys, by in ((["uri"], []), (["collection", "uri"], ["collection"]), (["collection", "uri"], [])):
+        counts = duplicates.uri_type_counts(table, keys)
+        found = duplicates.duplicate_uris_of(table, keys, broadcast_rows=most)
+        assert found.columns == counts.columns and rows(found) == rows(duplicates.duplicate_uris(counts))
+        assert rows(duplicates.duplicate_summary_of(table, keys, by, broadcast_rows=most)) == rows(duplicates.duplicate_summary(counts, by))
+    empty = table.where("false")
+    assert rows(duplicates.duplicate_summary_of(empty, ["uri"])) == rows(duplicates.duplicate_summary(duplicates.uri_type_counts(empty)))
+
+
+def test_only_repeated_rows_reach_the_wide_aggregate(spark):
+    table = spark.range(5000).selectExpr("concat('u', IF(id < 20, id % 5, id)) AS uri", "'science' AS product_type")
+    repeated, single = duplicates.by_repetition(table)
+    assert (repeated.count(), single.count()) == (20, 4980)
+    text = duplicates.duplicate_uris_of(table)._jdf.queryExecution().executedPlan().toString()
+    # The rows meet the few hashes before the only shuffle of rows.
+    assert text.index("Exchange hashpartitioning(uri") < text.index("BroadcastHashJoin") and "LeftSemi" in text

@@ -381,6 +381,19 @@ def duplicate_summary(v):
     return duplicates.duplicate_summary(counts, ["collection"])
 
 
+@register("duplicate_uris_by_hash", ORACLE["duplicate_uris"])
+def _(v):
+    return duplicates.duplicate_uris_of(v("artifact"))
+
+
+@register("duplicate_summary_by_hash", DUPLICATE_SUMMARY)
+def _(v):
+    owned = duplicates.archive_artifacts_of_collections(
+        v("observation"), v("plane"), v("artifact"), v("brand_mappings")
+    )
+    return duplicates.duplicate_summary_of(owned, ["collection", "uri"], ["collection"])
+
+
 @register("namespaces_per_collection",
           "SELECT DISTINCT collection, si_namespace AS namespace FROM {mapping_graph}")
 def _(v):
