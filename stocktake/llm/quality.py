@@ -2,7 +2,11 @@
 
 Features are counted inside each row by built-in functions. Rules turn them into votes. The votes of all documents shrink to
 counts of vote patterns, at most 2**rules of them, whatever the table's size; expectation-maximisation on these counts
-estimates how each rule votes on good documents and on each kind of bad ones, and Bayes' rule gives a document's probability to be good.
+estimates how each rule votes on good and on bad documents, and Bayes' rule gives a document's probability to be good.
+
+Rules are of two kinds. Precise ones name a gross fault; weak ones name what bad documents often and good ones sometimes have. Their prior accuracies
+weigh the votes of the first round only; from then on a rule weighs what its votes tell apart. A weak rule that votes alike on good and bad documents is
+overruled, several that are common among the bad ones drop a document together.
 
 Defined results: null and empty texts have no words and fail the base rule; rows are judged one by one, so repeated
 ones get equal results; a table without rows gives none; without any fault in the table, all are good.
@@ -22,8 +26,8 @@ WINDOW = 8
 GOOD, ABSTAIN, BAD = 1, 0, -1
 #: Iterations at most, and the change of a probability at which they end.
 ROUNDS, SETTLED = 40, 1e-5
-#: Belief in the class in which a document starts.
-SURE = 0.95
+#: How often rules are taken to be right before anything is known of their votes.
+PRECISE, WEAK = 0.98, 0.6
 
 
 def _removed(text: Column, characters: str) -> Column:
@@ -94,7 +98,7 @@ def base_failed() -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """Votes by name. Each rule speaks for one class only and otherwise abstains: the lack of a fault proves little."""
+    """Votes by name. Each rule speaks for one class only and otherwise abstains: the lack of a fault proves little. Those in GROSS are precise."""
     words, chars, lines = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1)), F.greatest(F.col("n_lines"), F.lit(1))
     length = chars / words
 
@@ -115,9 +119,17 @@ def rules() -> dict[str, Column]:
         "sentences": good(F.col("n_ended") / lines >= 0.66),
         "all_new": good((F.col("n_dup_lines") == 0) & (F.col("n_repeat_words") == 0)),
         "size": good(F.col("n_words") > 60),
+        "some_symbols": bad(F.col("n_symbols") / words > 0.02),
+        "some_capitals": bad(F.col("n_upper") / chars > 0.08),
+        "few_lines": bad(lines < 2),
+        "few_sentences": bad(F.col("n_ended") / lines < 0.5),
+        "brief": bad(words < 60),
+        "long_words": bad(length > 6.5),
     }
 
 
+#: The precise rules.
+GROSS = ("symbols", "capitals", "shouting", "copied_lines", "copied_windows", "stutter", "odd_words")
 VOTES = (BAD, ABSTAIN, GOOD)
 
 
@@ -132,35 +144,37 @@ def posterior(names: list[str], prior: list[float], chances: list[dict[str, dict
     return F.lit(1.0) / odds
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], names: list[str]) -> tuple[list[float], list[dict[str, dict[int, float]]]]:
+def fit(
+    patterns: list[tuple[tuple[int, ...], int]], names: list[str], accuracy: dict[str, float] | None = None
+) -> tuple[list[float], list[dict[str, dict[int, float]]]]:
     """Expectation-maximisation on counted vote patterns, at most 2**rules of them.
 
-    Bad documents are bad in different ways, so they are one class for each rule that finds faults; with a single bad class the
-    faults that come together would define it and push the others over to the good ones. A document starts in the
-    class of its first fault. Returns the share of each class and its chances of each vote; the good class is first.
+    The first belief in a document weighs each vote by its rule's prior accuracy (WEAK unless given). Then, in turn, the chances of each
+    rule's votes are estimated in both classes, and the beliefs from them. Returns the shares of good and bad documents and the
+    chances of each vote in both; the good class alone if no rule found a fault.
     """
-    faults = sorted({k for votes, _ in patterns for k, v in enumerate(votes) if v == BAD})
-    classes = [None, *faults]
-    belief = []
-    for votes, _ in patterns:
-        own = next((k for k in faults if votes[k] == BAD), None)
-        belief.append([SURE if c == own else (1 - SURE) / max(1, len(faults)) for c in classes])
-    prior = [1.0] + [1e-9] * len(faults)
-    chances = [{x: dict.fromkeys(VOTES, 1 / 3) for x in names} for _ in classes]
-    for _ in range(ROUNDS if faults else 0):
-        weight = [sum(n * p[c] for (_, n), p in zip(patterns, belief, strict=True)) for c in range(len(classes))]
-        prior = [(w + 1) / (sum(weight) + len(classes)) for w in weight]
-        for c in range(len(classes)):
-            for k, x in enumerate(names):
-                for v in VOTES:
-                    seen = sum(n * p[c] for (votes, n), p in zip(patterns, belief, strict=True) if votes[k] == v)
-                    chances[c][x][v] = (seen + 0.1) / (weight[c] + 0.3)
+    if not any(BAD in votes for votes, _ in patterns):
+        return [1.0], [{x: dict.fromkeys(VOTES, 1 / 3) for x in names}]
+    accuracy = accuracy or {}
+    weights = [math.log(a / (1 - a)) for a in (accuracy.get(x, WEAK) for x in names)]
+    belief = [1 / (1 + math.exp(-sum(w * v for w, v in zip(weights, votes, strict=True)))) for votes, _ in patterns]
+    total = sum(n for _, n in patterns)
+    for _ in range(ROUNDS):
+        good = sum(n * p for (_, n), p in zip(patterns, belief, strict=True))
+        weight = [good, total - good]
+        prior = [(w + 1) / (total + 2) for w in weight]
+        chances = [{}, {}]
+        for k, x in enumerate(names):
+            for c in (0, 1):
+                seen = dict.fromkeys(VOTES, 0.0)
+                for (votes, n), p in zip(patterns, belief, strict=True):
+                    seen[votes[k]] += n * (1 - p if c else p)
+                chances[c][x] = {v: (seen[v] + 0.1) / (weight[c] + 0.3) for v in VOTES}
         moved, now = 0.0, []
         for (votes, _), old in zip(patterns, belief, strict=True):
-            logs = [math.log(prior[c]) + sum(math.log(chances[c][x][v]) for x, v in zip(names, votes, strict=True)) for c in range(len(classes))]
-            parts = [math.exp(z - max(logs)) for z in logs]
-            now.append([z / sum(parts) for z in parts])
-            moved = max(moved, abs(now[-1][0] - old[0]))
+            logit = math.log(prior[0] / prior[1]) + sum(math.log(chances[0][x][v] / chances[1][x][v]) for x, v in zip(names, votes, strict=True))
+            now.append(1 / (1 + math.exp(-max(-700.0, min(700.0, logit)))))
+            moved = max(moved, abs(now[-1] - old))
         belief = now
         if moved < SETTLED:
             break
@@ -173,7 +187,7 @@ def judge(docs: DataFrame) -> DataFrame:
     voted = staged(features(docs).withColumns(rules()), "quality")
     # At most 2**rules rows, however many documents.
     counted = voted.groupBy(*names).agg(F.count("*").alias("n")).orderBy(*names).collect()
-    prior, chances = fit([(tuple(r[x] for x in names), r["n"]) for r in counted], names)
+    prior, chances = fit([(tuple(r[x] for x in names), r["n"]) for r in counted], names, dict.fromkeys(GROSS, PRECISE))
     scored = voted.withColumn("quality", posterior(names, prior, chances)).withColumn("base_failed", base_failed())
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5))
 
