@@ -6,12 +6,22 @@ _CHARS = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (CAST('0x' || substr(h, {5 * k + 1}, 5) AS BIGINT) >> {s} & 31) + 1, 1)" for k in range(8) for s in (15, 10, 5, 0)
 )
 
+#: The header of a record, with % for line ends.
+_HTTP = "'HTTP/1.1 200 OK%Content-Type: text/html; charset=utf-8%Content-Length: ' || strlen(body) || '%%'"
+_HEADER = f"""'WARC/1.1%WARC-Type: ' || record_type || '%WARC-Record-ID: <urn:page:' || page_id || ':' || copy || '>%WARC-Date: 1970-01-01T00:00:00Z%'
+  || CASE WHEN coalesce(url, '') = '' THEN '' ELSE 'WARC-Target-URI: ' || replace(url, '%', chr(1)) || '%' END || 'WARC-Payload-Digest: sha1:' || digest || '%'
+  || CASE WHEN r > 1 THEN 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest%WARC-Refers-To: <urn:page:' || first_id || ':1>%' ELSE '' END
+  || 'Content-Type: application/http; msgtype=response%Content-Length: ' || (strlen({_HTTP}) + (length({_HTTP}) - length(replace({_HTTP}, '%', '')))
+    + CASE WHEN r > 1 THEN 0 ELSE strlen(body) END) || '%%' || {_HTTP}"""
+
 OP1 = f"""
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
-f AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first_id, row_number() OVER (PARTITION BY body ORDER BY page_id, url) AS r FROM p)
-SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, {_CHARS} AS payload_digest,
-  CASE WHEN r = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN r > 1 THEN first_id END AS refers_to, url
-FROM f
+f AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first_id, row_number() OVER (PARTITION BY body ORDER BY page_id, url) AS r,
+  row_number() OVER (PARTITION BY body, page_id, url) AS copy FROM p),
+d AS (SELECT *, {_CHARS} AS digest, CASE WHEN r = 1 THEN 'response' ELSE 'revisit' END AS record_type FROM f)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, digest AS payload_digest, record_type, CASE WHEN r > 1 THEN first_id END AS refers_to, url,
+  sha256(replace(replace({_HEADER}, '%', chr(13) || chr(10)), chr(1), '%') || body) AS record_sha256
+FROM d
 """
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

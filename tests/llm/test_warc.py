@@ -1,6 +1,9 @@
 import base64
 import hashlib
 
+import pytest
+from pyspark.sql import functions as F
+
 from stocktake.llm import warc
 
 SCHEMA = "page_id long, url string, html string, digest string, header string"
@@ -64,5 +67,43 @@ def test_damage_is_an_error(spark, tmp_path):
         raise AssertionError
 
 
+@pytest.mark.parametrize("named, other", [("Content-Length: 9\r\n\r\n$", "Content-Length: 8\r\n\r\n"), (r"(Content-Length: )\d+(\r\n\r\nHTTP)", "$11$2")])
+def test_lengths_that_do_not_fit_are_an_error(spark, tmp_path, named, other):
+    archive(spark, tmp_path, PAGES[:1])
+    folder, bad = f"file://{tmp_path}/archive", f"file://{tmp_path}/bad"
+    spark.read.parquet(f"{folder}/payloads").write.parquet(f"{bad}/payloads")
+    damaged = spark.read.parquet(f"{folder}/headers").withColumn("header", F.regexp_replace("header", named, other))
+    assert damaged.exceptAll(spark.read.parquet(f"{folder}/headers")).count() == 1
+    damaged.write.parquet(f"{bad}/headers")
+    with pytest.raises(Exception, match="does not fit the length"):
+        warc.read_archive(spark, bad).collect()
+
+
+def test_records_are_rebuilt_without_a_shuffle(spark, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = archive(spark, tmp_path, [(k, f"http://{k}/", f"<p>{k}</p>") for k in range(100)])
+        text = rows.select("header", "payload")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in text and "Exchange" not in text and text.count("payload#") > 1
+
+
+def test_a_payload_that_many_share_is_dealt_out(spark, tmp_path):
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        pages = [(k, f"http://{k}/", "hot" if k % 3 == 0 else f"<p>{k}</p>") for k in range(300)]
+        found = archive(spark, tmp_path, pages)
+        headers = spark.read.parquet(f"file://{tmp_path}/archive/headers")
+        assert warc.shared_keys(headers, 7) == [hashlib.sha256(b"hot").hexdigest()]
+        assert "_salt" in found._jdf.queryExecution().optimizedPlan().toString()
+        records = {r["page_id"]: r for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert len(records) == 300 and all(bytes(records[k]["payload"]).decode() == p for k, _, p in pages)
+    assert {r["refers_to"] for r in records.values() if r["record_type"] == "revisit"} == {0}
+
+
 def test_empty(spark, tmp_path):
     assert archive(spark, tmp_path, []).count() == 0
