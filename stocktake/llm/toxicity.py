@@ -3,9 +3,10 @@
 A logistic model on hashed words and word parts is fitted on a bounded sample of labelled texts. For every sampled text that mentions
 an identity group, the features of copies with the group's word swapped for other sampled groups' and for a neutral word are made, and the
 squared differences of their scores, as log odds, are added to the loss: a mere mention of a group must not move the score. Copies that differ
-from their texts by the same features are added once, with their number.
+from their texts by the same features are added once, with their number. Group words come from a lexicon by language and from the sample itself: rare
+words that stand in the same slots, between the same neighbours, as others do, about as often in texts of either label, are swapped like names of groups.
 
-Defined results: of rows with one id the sample takes one; null and empty texts get the score of the bias alone; rows are scored one by one; without any usable label
+Defined results: a null id counts as the empty text, is held out and is never learned from; of rows with one id the sample takes one; null and empty texts get the score of the bias alone; rows are scored one by one; without any usable label
 the score is 0, with labels of one class only it is that class's smoothed share; an empty table gives no rows.
 """
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocktake.llm.common import bounded_batches, table
+from stocktake.llm.common import ascii_lower, bounded_batches, table
 from stocktake.llm.tokens import LETTERS, LOWER, chunks, hashed_grams, hashed_words, text_bytes
 
 #: Labelled texts that the model is fitted on, at most: those with the smallest hashes of their ids.
@@ -32,11 +33,22 @@ FOLDS = 5
 #: A word enters the model if its count among toxic texts is this many standard deviations from what its count among all would give.
 NOTABLE, LEAST_TEXTS = 4.0, 4
 RIDGE, FAIR, STEPS, RATE = 0.1, 20.0, 400, 0.1
-IDENTITY = (
-    "women men woman man girls boys muslims muslim christians christian jews jewish hindus hindu buddhists atheists black white asian asians "
-    "african africans latino latinos arab arabs immigrants immigrant refugees foreigners gay gays lesbian lesbians straight bisexual transgender "
-    "disabled blind deaf old young americans chinese mexicans indians germans french europeans"
-).split()
+#: Names of groups by language; a score never asks for a text's language, all are looked for in every text.
+LEXICON = {
+    "en": (
+        "women men woman man girls boys muslims muslim christians christian jews jewish hindus hindu buddhists atheists black white asian asians "
+        "african africans latino latinos arab arabs immigrants immigrant refugees foreigners gay gays lesbian lesbians straight bisexual transgender "
+        "disabled blind deaf old young americans chinese mexicans indians germans french europeans"
+    ).split(),
+    "fr": "femmes femme hommes homme musulmans musulman chrétiens juifs noirs blancs arabes africains asiatiques immigrés réfugiés étrangers homosexuels handicapés".split(),
+    "de": "frauen frau männer muslime muslim christen juden schwarze weiße araber afrikaner asiaten einwanderer flüchtlinge ausländer schwule lesben behinderte".split(),
+    "es": "mujeres mujer hombres musulmanes cristianos judíos negros blancos árabes africanos asiáticos inmigrantes refugiados extranjeros gays lesbianas discapacitados".split(),
+}
+IDENTITY = list(dict.fromkeys(w for words in LEXICON.values() for w in words))
+#: Group-like words taken from the sample, the share of its texts that may hold one (of small samples the number), and the texts of each label that must.
+TERMS, RARE, RARE_TEXTS, LEAST_OF_EACH = 8, 0.02, 30, 2
+#: Standard deviations by which a group-like word may be commoner or rarer among toxic texts: what marks toxic texts is no mere mention.
+NEUTRAL_WITHIN = 1.5
 NEUTRAL = "people"
 
 
@@ -79,12 +91,44 @@ def pattern_of(identity: list[str]) -> re.Pattern:
     return re.compile(rb"(?<![a-z\x80-\xff])(?:" + words + rb")(?![a-z\x80-\xff])" if identity else rb"(?!)")
 
 
+def _chosen(labels: DataFrame, limit: int) -> DataFrame:
+    """Ids of the sample with their labels; conflicting labels count as toxic."""
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & train_fold(F.col("doc_id")))
+    return known.groupBy("doc_id").agg(F.max("toxic").alias("_toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+
+
+def terms_of_slots(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, most: int = TERMS) -> list[str]:
+    """Rare words of the sample that meet most other such words in a slot, a pair of neighbouring words, and are no sign of either label.
+
+    All of it is counted where the texts are; at most `most` words come back.
+    """
+    chosen = _chosen(labels, limit)
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("_toxic").alias("_toxic"))
+    words = F.regexp_extract_all(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), F.lit(r"([a-z\x{80}-\x{10FFFF}]+)"), F.lit(1))
+    triples = F.when(F.size("words") > 2, F.transform(
+        F.sequence(F.lit(1), F.size("words") - 2), lambda i: F.struct(F.get("words", i - 1).alias("left"), F.get("words", i).alias("word"), F.get("words", i + 1).alias("right"))
+    ))
+    slots = texts.select("doc_id", "_toxic", words.alias("words")).select("doc_id", "_toxic", F.explode(F.array_distinct(triples)).alias("s")).select("doc_id", "_toxic", "s.*")
+    size = texts.agg(F.count("*").alias("all"), F.count_if(F.col("_toxic") > 0).alias("toxic")).first()
+    share, n = size["toxic"] / max(1, size["all"]), F.col("toxic") + F.col("clean")
+    if not 0 < share < 1:
+        return []
+    surprise = F.abs(F.col("toxic") - n * share) / F.sqrt(n * share * (1 - share))
+    held = slots.select("doc_id", "_toxic", "word").distinct().groupBy("word").agg(
+        F.count_if(F.col("_toxic") > 0).alias("toxic"), F.count_if(F.col("_toxic") <= 0).alias("clean")
+    ).where(
+        (F.col("toxic") >= LEAST_OF_EACH) & (F.col("clean") >= LEAST_OF_EACH) & (n <= max(RARE * size["all"], RARE_TEXTS)) & (surprise <= NEUTRAL_WITHIN)
+    )
+    met = slots.select("left", "right", "word").distinct().join(held.select("word"), "word")
+    shared = met.groupBy("left", "right").agg(F.count("*").alias("words")).where("words > 1").select("left", "right")
+    ranked = met.join(shared, ["left", "right"]).groupBy("word").agg(F.count("*").alias("slots")).orderBy(F.desc("slots"), "word").limit(most)
+    return [r["word"] for r in ranked.collect()]
+
+
 def sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, identity: list[str] = IDENTITY) -> list[tuple[int, np.ndarray, dict[str, np.ndarray]]]:
     """(label, word ids, ids that go with each identity word) of the sampled training texts, featurised where the texts are; one for each id.
     Conflicting labels count as toxic."""
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & train_fold(F.col("doc_id")))
-    chosen = known.groupBy("doc_id").agg(F.max("toxic").alias("_toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    pattern = pattern_of(identity)
+    chosen, pattern = _chosen(labels, limit), pattern_of(identity)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +236,8 @@ def scores(texts: pa.Array, chosen: np.ndarray, values: np.ndarray, bias: float)
 
 
 def model(docs: DataFrame, labels: DataFrame, identity: list[str] = IDENTITY, **options) -> tuple[np.ndarray, np.ndarray, float]:
-    """Ids with a weight, their weights, the bias."""
+    """Ids with a weight, their weights, the bias. To the identity words come those of the sample's own slots."""
+    identity = list(dict.fromkeys([*identity, *terms_of_slots(docs, labels)]))
     weights, bias = fit(sample(docs, labels, identity=identity), identity, **options)
     chosen = np.flatnonzero(weights)
     return chosen, weights[chosen], bias
@@ -225,5 +270,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score all documents by the model fitted on the training folds."""
     docs = table(spark, sf_dir, "documents")
     scored = classify(docs, model(docs, table(spark, sf_dir, "labels")))
-    # A null id is in no fold.
-    return scored.select("doc_id", (~train_fold(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    # A null id counts as the empty text, whose remainder is 0.
+    return scored.select("doc_id", F.coalesce(~train_fold(F.col("doc_id")), F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

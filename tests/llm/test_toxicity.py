@@ -117,3 +117,39 @@ def test_edges(spark, documents):
         assert len(found) == 5 and all(0 <= s <= 1 for _, s in found)
         assert len({s for k, s in found if k in (1, 2)}) == 1
     assert toxicity.classify(documents([]), toxicity.model(documents([]), spark.createDataFrame([], schema))).count() == 0
+
+
+def test_terms_of_slots_give_swaps_on_given_tables(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    terms = toxicity.terms_of_slots(docs, labels)
+    assert 0 < len(terms) <= toxicity.TERMS and terms == toxicity.terms_of_slots(docs.repartition(5), labels)
+    identity = [*toxicity.IDENTITY, *terms]
+    texts = toxicity.sample(docs, labels, identity=identity)
+    swaps = toxicity.swaps_of(identity, texts)
+    assert len(swaps) > 0
+
+    def gap(fair):
+        weights, _ = toxicity.fit(texts, identity, fair=fair)
+        return sum(n * abs(sum(x * weights[i] for i, x in change.items())) for change, n in swaps) / sum(n for _, n in swaps)
+
+    assert gap(toxicity.FAIR) < 0.1 * gap(0.0)
+
+
+def test_terms_stand_in_slots_of_either_label(spark, documents):
+    filler = ["alpha", "beta", "gamma", "delta"]
+    rows, labels = [], []
+    for k in range(200):
+        group, toxic = ["zorps", "blims", "quents"][k % 3] if k % 4 == 0 else "nothing", k % 2
+        rows.append((k, f"the {group} are here {filler[k % 4]} {'vile' if toxic else 'kind'} {'x' * (k % 7 + 1)}{k}"))
+        labels.append((k, int(k % 8 < 4)))
+    found = toxicity.terms_of_slots(documents(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert {"zorps", "blims", "quents"} <= set(found) and not {"vile", "kind", "the"} & set(found)
+    assert toxicity.terms_of_slots(documents([]), spark.createDataFrame([], "doc_id long, toxic int")) == []
+
+
+def test_null_ids_are_held_out(spark, documents, tmp_path):
+    documents([(None, "a"), (None, None), (1, "b")]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1), (None, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = toxicity.op9_toxicity(spark, str(tmp_path)).collect()
+    assert [r["held_out"] for r in found if r["doc_id"] is None] == [True, True] and all(r["score"] is not None for r in found)
