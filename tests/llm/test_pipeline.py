@@ -81,7 +81,7 @@ def test_query_equals_sql(spark, db, name):
 
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_stages_take_odd_rows(spark, documents):
