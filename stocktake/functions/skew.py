@@ -57,6 +57,9 @@ def attach_group_values(
 # Limits of what is broadcast; beyond either a table is joined by a shuffle, with the same result.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
+# What is made from files of more bytes than this is not broadcast on Spark's estimate, which goes by compressed columns and takes
+# exploded rows for one: a table of 5 MB can be a broadcast of 155 MB, its copies one of 2 GB.
+ESTIMATED_BYTES = 1 << 20
 # Parts that a key is spread over at least; as many as the session has shuffle partitions if that is more.
 SPREAD = 64
 
@@ -82,9 +85,8 @@ def lookup_join(
     """Join many ``rows`` with a configuration table whose keys may each match a large share of them.
 
     The table is measured first, unless the caller already did and tells whether it
-    is ``small``. If so it is broadcast. Otherwise every key is spread over parts by a
-    hash of ``spread_by`` (all of the row by default), so that one key's rows land in
-    many tasks.
+    is ``small``. If so it is broadcast. Otherwise it is an ``owner_join``: only heavy keys are
+    spread over parts, by a hash of the row, and only they are copied.
     """
     on = list(on)
     if small is None:
@@ -92,11 +94,7 @@ def lookup_join(
         small = count <= broadcast_rows and size <= BROADCAST_BYTES
     if small:
         return rows.join(F.broadcast(table), on, how)
-    parts = max(SPREAD, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    part = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(parts)).cast("int")
-    spread_rows = rows.withColumn("_part", part)
-    copies = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return spread_rows.join(copies, [*on, "_part"], how).drop("_part")
+    return owner_join(rows, table.hint("merge"), on, how, spread_by=spread_by)
 
 
 # Rows made from less than this meet their owners by a plain join; the largest group is then no burden for one task.
@@ -111,6 +109,11 @@ def source_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
 
 
+def apart(table: DataFrame) -> DataFrame:
+    """The table, to be joined by a shuffle unless the files it is made from are few and small."""
+    return table.hint("merge") if source_bytes(table) > ESTIMATED_BYTES else table
+
+
 def heavy_keys(rows: DataFrame, on: Sequence[str], parts: int, largest: int = LARGEST_GROUPS) -> list[int]:
     """Hashes of keys that hold about ``1 / parts`` of all rows or more, at most ``largest``, by one pass with a sketch.
 
@@ -127,15 +130,16 @@ def heavy_keys(rows: DataFrame, on: Sequence[str], parts: int, largest: int = LA
 
 def owner_join(
     rows: DataFrame, owners: DataFrame, on: Sequence[str], how: str = "inner",
-    probe: DataFrame | None = None, probe_bytes: int | None = None, parts: int | None = None,
+    probe: DataFrame | None = None, probe_bytes: int | None = None, parts: int | None = None, spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Join rows with the few ``owners`` of each key, where one key may hold a large share of the rows.
 
     ``how`` is inner, left or left_semi. The heavy keys are found first, in ``probe`` if that has
     the same keys and costs less than ``rows``; only their rows travel
-    under salted keys, and only their owners are copied, once for each of ``parts`` salts.
+    under salted keys (a hash of ``spread_by``, all of the row by default), and only their owners are copied, once
+    for each of ``parts`` salts.
     """
-    on = list(on)
+    on, owners = list(on), apart(owners)
     if source_bytes(rows) < (PROBE_BYTES if probe_bytes is None else probe_bytes):
         return rows.join(owners, on, how)
     parts = parts or max(SPREAD, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -143,8 +147,8 @@ def owner_join(
     if not heavy:
         return rows.join(owners, on, how)
     is_heavy = F.xxhash64(*[F.col(f"`{c}`") for c in on]).isin(heavy)
-    own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(parts)).cast("int")
+    own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread_by or rows.columns]), F.lit(parts)).cast("int")
     salted = rows.withColumn("_salt", F.when(is_heavy, own).otherwise(0))
     salts = F.when(is_heavy, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    copies = owners.withColumn("_salt", F.explode(salts))
+    copies = apart(owners.withColumn("_salt", F.explode(salts)))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from stocktake.functions import skew
+from stocktake.functions.prefixes import match_namespaces_indexed
+from stocktake.operators import duplicates
 from test_plans import count, no_broadcast, plan  # noqa: F401
 from test_queries import SMALL, _normal
 from workload import registry
-from workload.views import TABLES
+from workload.views import TABLES, view
 
 ROOT = Path(__file__).resolve().parents[1]
 
@@ -132,3 +134,47 @@ def test_queries_with_every_join_probed(spark, monkeypatch, no_broadcast, name):
     columns = [c[0] for c in result.description]
     assert _normal(df.collect(), df.columns) == _normal(result.fetchall(), columns)
     assert probed
+
+
+def test_a_large_lookup_is_neither_copied_nor_broadcast(spark, tmp_path):
+    spark.range(3000).selectExpr("id % 700 AS k", "id AS v").write.parquet(str(tmp_path / "many"))
+    spark.range(600).selectExpr("id AS k", "-id AS w").write.parquet(str(tmp_path / "table"))
+    many, table = (spark.read.parquet(str(tmp_path / n)) for n in ("many", "table"))
+    for how in ("inner", "left", "left_semi"):
+        found = skew.lookup_join(many, table, ["k"], how, broadcast_rows=1)
+        text = plan(found)
+        assert "Broadcast" not in text and "Generate" not in text and "SortMergeJoin" in text
+        assert rows(found) == rows(many.join(table, "k", how))
+
+
+def test_a_large_lookup_spreads_heavy_keys_only(spark, monkeypatch):
+    monkeypatch.setattr(skew, "PROBE_BYTES", 0)
+    many = spark.range(3000).selectExpr("IF(id % 3 = 0, 5, id % 700) AS k", "id AS v")
+    table = spark.range(600).selectExpr("id AS k", "-id AS w")
+    found = skew.lookup_join(many, table, ["k"], broadcast_rows=1, spread_by=["v"])
+    assert "Broadcast" not in plan(found) and rows(found) == rows(many.join(table, "k"))
+
+
+def test_repeated_hashes_beyond_the_limit_are_not_broadcast(spark, tmp_path):
+    spark.range(2000).selectExpr("concat('u', id % 900) AS uri", "'science' AS product_type").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    repeated, single = duplicates.by_repetition(table, broadcast_rows=10)
+    assert all("Broadcast" not in plan(side) for side in (repeated, single))
+    assert (repeated.count(), single.count()) == (2000, 0)
+
+
+@pytest.mark.parametrize("name", ["artifact", "observation"])
+def test_tables_of_a_view_meet_by_a_shuffle(spark, monkeypatch, name):
+    assert "Broadcast" in plan(view(spark, SMALL, name))  # small ones are broadcast
+    monkeypatch.setattr(skew, "ESTIMATED_BYTES", 0)
+    assert "Broadcast" not in plan(view(spark, SMALL, name))
+
+
+def test_an_index_beyond_the_limit_is_not_broadcast(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(skew, "ESTIMATED_BYTES", 0)
+    spark.range(50).selectExpr("concat('n', id % 9, IF(id % 2 = 0, concat('/', id), '')) AS namespace").write.parquet(str(tmp_path / "n"))
+    spark.range(300).selectExpr("concat('n', id % 12, '/', id % 40, '/f') AS uri").write.parquet(str(tmp_path / "u"))
+    names, uris = (spark.read.parquet(str(tmp_path / n)) for n in "nu")
+    found = match_namespaces_indexed(uris, names, broadcast_rows=-1)
+    assert "Broadcast" not in plan(found)
+    assert rows(found) == rows(names.join(uris, F.expr("startswith(uri, concat(namespace, '/'))")), *found.columns)
