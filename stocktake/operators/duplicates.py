@@ -96,7 +96,7 @@ def by_repetition(
     """Rows whose key may occur again, and rows whose key does not, without a shuffle where few hashes are repeated."""
     hashes = repeated_hashes(artifact, keys)
     few = hashes.limit(broadcast_rows + 1).count() <= broadcast_rows
-    other = F.broadcast(hashes) if few else hashes
+    other = F.broadcast(hashes) if few else hashes.hint("merge")
     sides = (artifact.join(other, _hash(keys) == F.col("hash"), how) for how in ("left_semi", "left_anti"))
     return tuple(sides)
 
