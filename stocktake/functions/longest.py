@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stocktake.functions.skew import BROADCAST_BYTES, BROADCAST_ROWS, measured, owner_join
+from stocktake.functions.skew import BROADCAST_BYTES, BROADCAST_ROWS, apart, measured, owner_join
 
 #: A beginning of a text at a level (a number of characters, a depth), null if the text has no such level.
 Beginning = Callable[[Column, Column], Column]
@@ -71,7 +71,7 @@ class PrefixIndex:
             if self.small:
                 met = asking.join(F.broadcast(entries), "_key", "left")
             else:
-                met = owner_join(asking, entries, ["_key"], "left")
+                met = owner_join(asking, entries.hint("merge"), ["_key"], "left")
             known = F.col("_known").isNotNull()
             found = met.select(
                 *kept, F.when(known, middle + 1).otherwise(F.col("_low")).alias("_low"),
@@ -104,10 +104,10 @@ def prefix_index(
     every = F.transform(F.array(*[F.lit(n) for n in levels]) if levels else F.array().cast("array<int>"), lambda n: beginning(F.col("key"), n))
     # A key is its own beginning, whether or not the function counts it (a path's last element has no slash behind it).
     begins = keys.select("key", F.explode(F.array_distinct(F.array_append(F.array_compact(every), F.col("key")))).alias("text"))
-    chain = begins.join(names, "text", "left_semi")
+    chain = begins.join(apart(names), "text", "left_semi")
     best = chain.groupBy("key").agg(F.max_by("text", F.length("text")).alias("longest"))
-    entries = keys.join(best, "key", "left")
+    entries = keys.join(apart(best), "key", "left")
     rows, size = measured(entries, broadcast_rows)
     small = rows <= broadcast_rows and size <= broadcast_bytes
-    own_chain = chain.join(names.select(F.col("text").alias("key")), "key", "left_semi").select(F.col("key").alias("longest"), "text")
+    own_chain = chain.join(apart(names.select(F.col("text").alias("key"))), "key", "left_semi").select(F.col("key").alias("longest"), "text")
     return PrefixIndex(entries, own_chain, levels, beginning, small)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stocktake.functions.longest import first_elements, prefix_index
-from stocktake.functions.skew import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join, measured, owner_join
+from stocktake.functions.skew import BROADCAST_BYTES, BROADCAST_ROWS, apart, lookup_join, measured, owner_join
 
 
 def under(uri, namespace: str) -> Column:
@@ -80,12 +80,12 @@ def match_namespaces_indexed(
     index = prefix_index(namespaces, namespace, first_elements, lambda name: _slashes(name) + 1, **options)
     found = index.longest(df, uri, "_longest").where("_longest IS NOT NULL")
     chain = index.chain.select(F.col("longest").alias("_longest"), F.col("text").alias(namespace))
-    matches = chain.join(namespaces, namespace)
+    matches = chain.join(apart(namespaces), namespace)
     rows, size = measured(matches, options.get("broadcast_rows", BROADCAST_ROWS))
     on = ["_longest", *also_on]
     if rows <= options.get("broadcast_rows", BROADCAST_ROWS) and size <= BROADCAST_BYTES:
         joined = found.join(F.broadcast(matches), on)
     else:
-        joined = owner_join(found, matches, on)
+        joined = owner_join(found, matches.hint("merge"), on)
     others = [c for c in namespaces.columns if c not in (namespace, *also_on)]
     return joined.select(namespace, *also_on, *[c for c in df.columns if c not in also_on], *others)
