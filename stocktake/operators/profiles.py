@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from stocktake.functions.flags import non_junk, type_presence
+from stocktake.functions.flags import non_junk, packed_flags, packed_names, packed_presence, unpacked_flags
 from stocktake.functions.numbers import total
-from stocktake.functions.skew import owner_join
+from stocktake.functions.skew import apart, owner_join
 from stocktake.model import JUNK, PRODUCT_TYPES, flag_name
 
 PROFILE = ("collection", "instrument_name", "intent", "data_product_type")
@@ -46,14 +46,18 @@ def artifact_types_by_plane(artifact: DataFrame, vocabulary: Sequence[str] = PRO
     Artifacts, by far the largest table, shrink to one row per plane before
     they meet any other table, and the result is already partitioned by plane.
     """
-    return artifact.groupBy("plane_id").agg(
-        *type_presence(vocabulary=vocabulary), F.count(F.lit(1)).alias("num_artifacts")
-    )
+    packed = _packed(artifact, vocabulary)
+    return packed.select("plane_id", *unpacked_flags(vocabulary), "num_artifacts")
+
 
+def _packed(artifact: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+    """``artifact``, or what ``artifact_types_by_plane`` already made of it, by plane with the types as bits.
 
-def _folded(artifact: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
-    """``artifact``, or what ``artifact_types_by_plane`` already made of it."""
-    return artifact if "num_artifacts" in artifact.columns else artifact_types_by_plane(artifact, vocabulary)
+    A plane is a row of a few numbers in the memory of tasks and in shuffles, however many types there are.
+    """
+    if "num_artifacts" in artifact.columns:
+        return artifact.select("plane_id", *packed_flags(vocabulary), "num_artifacts")
+    return artifact.groupBy("plane_id").agg(*packed_presence(vocabulary=vocabulary), F.count(F.lit(1)).alias("num_artifacts"))
 
 
 def plane_type_flags(
@@ -68,9 +72,9 @@ def plane_type_flags(
     """
     good = plane.where(non_junk()).select("plane_id", "obs_id", "data_product_type")
     owners = observation.select("obs_id", "collection", "instrument_name", "intent")
-    flagged = _folded(artifact, vocabulary).drop("num_artifacts")
+    flagged = _packed(artifact, vocabulary).drop("num_artifacts")
     planes = owner_join(flagged.join(good, "plane_id"), owners, ["obs_id"], probe=good)
-    return planes.select(*PROFILE, "plane_id", *[flag_name(t) for t in vocabulary])
+    return planes.select(*PROFILE, "plane_id", *unpacked_flags(vocabulary))
 
 
 def type_profile(planes: DataFrame, vocabulary: Sequence[str] = PRODUCT_TYPES) -> DataFrame:
@@ -107,22 +111,26 @@ def profile_summary(
     with very many planes stays small, and distinct combinations are counted
     without a wide distinct.
     """
-    flags = [flag_name(t) for t in vocabulary]
+    flags = packed_names(vocabulary)
     owners = observation.select("obs_id", "collection", "instrument_name", "intent")
-    planes = plane.select("plane_id", "obs_id", "data_product_type", "quality_flag").join(
-        _folded(artifact, vocabulary), "plane_id", "left"
+    is_junk = (F.col("quality_flag") == JUNK).alias("is_junk")
+    # Planes keep their number of parts; tasks that hold both sides, sorted, and their counts would else grow with the tables.
+    parts = int(plane.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = plane.select("plane_id", "obs_id", "data_product_type", is_junk, non_junk().alias("good"))
+    planes = listed.repartition(parts, "plane_id").join(
+        apart(_packed(artifact, vocabulary)), "plane_id", "left"
     )
-    checked = F.col("num_artifacts").isNotNull() & non_junk()
+    checked = F.col("num_artifacts").isNotNull() & F.col("good")
     alike = planes.withColumn("checked", checked).groupBy(
         "obs_id", "data_product_type", *flags, "checked"
     ).agg(
         F.count_if(F.col("num_artifacts").isNull()).alias("no_artifacts"),
-        F.count_if(F.col("quality_flag") == JUNK).alias("junk"),
+        F.count_if("is_junk").alias("junk"),
         F.count(F.lit(1)).alias("planes"),
         total(F.col("num_artifacts")).alias("artifacts"),
     )
     sums = ("no_artifacts", "junk", "planes", "artifacts")
-    combinations = alike.join(owners, "obs_id").groupBy(*PROFILE, *flags, "checked").agg(
+    combinations = alike.join(apart(owners), "obs_id").groupBy(*PROFILE, *flags, "checked").agg(
         *[F.sum(c).alias(c) for c in sums]
     )
     zero = F.lit(0).cast("long")

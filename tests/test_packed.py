@@ -1,0 +1,38 @@
+"""Product types of a plane as bits."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from stocktake.functions import flags
+from stocktake.model import flag_name
+from stocktake.operators import profiles
+from test_plans import plan
+
+
+def test_types_of_a_plane_in_few_numbers(frame):
+    rng = random.Random(3)
+    words = [f"t{k}" for k in range(130)]
+    data = [(rng.choice([1, 2, 3, None]), rng.choice([*words, "unheard of", None])) for _ in range(400)] + [(9, None)]
+    artifact = frame(data, "plane_id long, product_type string")
+    found = profiles.artifact_types_by_plane(artifact, words)
+    want = []
+    for p in {p for p, _ in data}:
+        mine = [t for q, t in data if q == p]
+        want.append((p, *[1 if t in mine else None for t in words], len(mine)))
+    assert rows(found) == sorted(want, key=lambda r: tuple((x is not None, str(x)) for x in r))
+    assert found.columns == ["plane_id", *map(flag_name, words), "num_artifacts"] and found.dtypes[1][1] == "int"
+    packed = found.select(*flags.packed_flags(words))
+    assert len(packed.columns) == 3 and rows(packed.select(*flags.unpacked_flags(words))) == rows(found.drop("plane_id", "num_artifacts"))
+
+
+def test_profiles_carry_a_plane_as_few_numbers(spark):
+    observation = spark.sql("SELECT id AS obs_id, 'C' AS collection, 'o' AS observation_id, 'i' AS instrument_name, 'science' AS intent, 't' AS max_last_modified FROM range(3)")
+    plane = spark.sql("SELECT id AS plane_id, id % 3 AS obs_id, 'image' AS data_product_type, IF(id = 4, 'junk', NULL) AS quality_flag FROM range(9)")
+    artifact = spark.sql("SELECT id % 7 AS plane_id, IF(id % 2 = 0, 'this', 'preview') AS product_type FROM range(40)")
+    one = profiles.profile_summary(observation, plane, artifact)
+    assert tuple(one.first()) == ("C", 0, 2, 1, 6, 34, 1)
+    assert rows(one) == rows(profiles.profile_summary(observation, plane, profiles.artifact_types_by_plane(artifact)))
+    text = plan(one)
+    assert "bit_or" in text and "max(CASE WHEN (product_type" not in text and "has_" not in text
