@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from stocktake.functions.flags import non_junk, packed_flags, packed_names, packed_presence, unpacked_flags
+from stocktake.functions.flags import non_junk, packed_flags, packed_names, packed_presence, type_presence, unpacked_flags
 from stocktake.functions.numbers import total
 from stocktake.functions.skew import apart, owner_join
 from stocktake.model import JUNK, PRODUCT_TYPES, flag_name
@@ -72,9 +72,11 @@ def plane_type_flags(
     """
     good = plane.where(non_junk()).select("plane_id", "obs_id", "data_product_type")
     owners = observation.select("obs_id", "collection", "instrument_name", "intent")
-    flagged = _packed(artifact, vocabulary).drop("num_artifacts")
+    types = type_presence(vocabulary=vocabulary)
+    folded = artifact if "num_artifacts" in artifact.columns else artifact.groupBy("plane_id").agg(*types)
+    flagged = folded.select("plane_id", *[flag_name(t) for t in vocabulary])
     planes = owner_join(flagged.join(good, "plane_id"), owners, ["obs_id"], probe=good)
-    return planes.select(*PROFILE, "plane_id", *unpacked_flags(vocabulary))
+    return planes.select(*PROFILE, "plane_id", *[flag_name(t) for t in vocabulary])
 
 
 def type_profile(planes: DataFrame, vocabulary: Sequence[str] = PRODUCT_TYPES) -> DataFrame:
