@@ -57,11 +57,13 @@ KEPT_WORDS, KEPT_CHARS = 250_000, 64
 MANIFEST = "part int, file int, path string, n_docs long, n_ids long, n_bytes long"
 #: Latin letters, which every version of Unicode knows as such.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-#: Pieces of text that end where byte-level pre-tokenization always ends a token too: words of plain letters before white space or one of six
-#: marks, runs of these marks before white space, a line end or tab before something else, else all up to a certain white space. Space, tab and
+#: ASCII characters that are no letter, digit, white space or apostrophe (which may begin a contraction), for a character class.
+MARKS = r"!-&(-/:-@\[-`{-~"
+#: Pieces of text that end where byte-level pre-tokenization always ends a token too: words of plain letters before white space or one of these
+#: marks, runs of the marks before white space, a line end or tab before something else, else all up to a certain white space. Space, tab and
 #: line ends are certain; of some others not every library says that they are white space, so they end nothing.
 _UNITS = re.compile(
-    rf" ?[{LETTERS}]+(?=[\s.,;:!?]|\Z)|[.,;:!?]+(?=[ \t\n\r]|\Z)|[\t\n\r](?=\S)|\s*\S+(?:[^\S \t\n\r]\s*(?:\S+|\Z))*|\s+"
+    rf" ?[{LETTERS}]+(?=[\s{MARKS}]|\Z)|[{MARKS}]+(?=[ \t\n\r]|\Z)|[\t\n\r](?=\S)|\s*\S+(?:[^\S \t\n\r]\s*(?:\S+|\Z))*|\s+"
 )
 
 
@@ -291,7 +293,7 @@ class Encoder:
     def _tokens(self, word: str) -> list[int]:
         if self.is_plain and self.is_plain(word):
             return [t.id for t in self.model.tokenize(word.translate(self.spelled))]
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if self.whole:

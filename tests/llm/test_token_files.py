@@ -176,3 +176,11 @@ def test_units_are_the_text():
     for text in (" a b,\n c  ", "It's 12.5 e.g. this...\n\nNew\tline!? _x_ é漢 .", "a.b a. b ..c"):
         assert "".join(re.findall(token_files._UNITS, text)) == text
     assert re.findall(token_files._UNITS, "Of cats, dogs.\nAnd 'mice' ") == ["Of", " cats", ",", " dogs", ".", "\n", "And", " 'mice'", " "]
+
+
+def test_words_before_any_ascii_mark_are_units(library):
+    assert re.findall(token_files._UNITS, "cats%%% dogs### (x) a_b don't it's.") == ["cats", "%%%", " dogs", "###", " (x)", " a", "_b", " don't", " it's."]
+    rng = random.Random(7)
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    texts = ["".join(rng.choice(["ab", " the", "é", "s", "ll", "7", " ", "\n", *rng.choices(marks, k=6)]) for _ in range(30)) for _ in range(2000)]
+    assert [ids.tolist() for ids in token_files.Encoder(TOKENIZER)(texts)] == [library(t) for t in texts]
