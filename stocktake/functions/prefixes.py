@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stocktake.functions.longest import first_elements, prefix_index
-from stocktake.functions.skew import BROADCAST_BYTES, BROADCAST_ROWS, apart, lookup_join, measured, owner_join
+from stocktake.functions.skew import BROADCAST_BYTES, BROADCAST_ROWS, SALT, apart, lookup_join, measured, owner_join, source_bytes
+from stocktake.plans.session import shuffles_removed
 
 
 def under(uri, namespace: str) -> Column:
@@ -57,18 +58,81 @@ def match_namespaces(
     these depths. Otherwise every URI is looked up in an index for the longest namespace it is under, stays one row until
     then, and meets the others through that one.
     """
+    depths = few_depths(namespaces, namespace)
+    if depths is None:
+        return match_namespaces_indexed(df, namespaces, uri, namespace, also_on)
+    prefixes = path_prefixes(uri, depths) if depths else F.array().cast("array<string>")
+    candidates = df.withColumn(namespace, F.explode(prefixes)).where(F.col(namespace).isNotNull())
+    return lookup_join(candidates, namespaces, [namespace, *also_on], spread_by=[uri], small=True)
+
+
+def few_depths(namespaces: DataFrame, namespace: str = "namespace") -> list[int] | None:
+    """Depths of namespaces that can be broadcast and have few of them, else nothing."""
     name = F.col(namespace)
     size = F.octet_length(F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in namespaces.columns]))
-    found = namespaces.select(name, size.alias("size")).limit(BROADCAST_ROWS + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"), F.collect_set(_slashes(name) + 1).alias("depths")
-    ).first()
+    with shuffles_removed(namespaces.sparkSession):
+        found = namespaces.select(name, size.alias("size")).limit(BROADCAST_ROWS + 1).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"), F.collect_set(_slashes(name) + 1).alias("depths")
+        ).first()
     small = found["rows"] <= BROADCAST_ROWS and (found["bytes"] or 0) <= BROADCAST_BYTES
-    if small and len(found["depths"]) <= MOST_DEPTHS:
-        depths = sorted(found["depths"])
-        prefixes = path_prefixes(uri, depths) if depths else F.array().cast("array<string>")
-        candidates = df.withColumn(namespace, F.explode(prefixes)).where(name.isNotNull())
-        return lookup_join(candidates, namespaces, [namespace, *also_on], spread_by=[uri], small=small)
-    return match_namespaces_indexed(df, namespaces, uri, namespace, also_on)
+    return sorted(found["depths"]) if small and len(found["depths"]) <= MOST_DEPTHS else None
+
+
+# With more depths than this that cannot be broadcast, URIs are looked up in an index, a shuffle for each halving of the depths.
+SHUFFLED_DEPTHS = 2
+# Bytes of files for each partition that rows are dealt over, so that a task holds as much however large the tables are.
+DEALT_BYTES = 8 << 20
+MOST_PARTS = 10_000
+#: Where rows of ``match_namespaces_by_depth`` lie together, each following from the URI and ``also_on``.
+PLACE = "_place"
+
+
+def match_namespaces_by_depth(
+    df: DataFrame, namespaces: DataFrame, uri: str = "uri", namespace: str = "namespace", also_on: Sequence[str] = ()
+) -> DataFrame:
+    """``match_namespaces`` for many namespaces, which have no columns but ``namespace`` and ``also_on`` and are distinct.
+
+    Depths with few namespaces are broadcast; each of the others takes one shuffle of the rows, by their beginning of that depth. A row
+    becomes one for each match after the last shuffle, and then lies with all rows of its URI and ``also_on``: the
+    columns ``PLACE`` and ``SALT`` are left in, if there are any, so that grouping by them too needs no other shuffle.
+    """
+    also_on, name, text = list(also_on), F.col(namespace), F.col(uri)
+    size = F.octet_length(F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in namespaces.columns]))
+    depth = _slashes(name) + 1
+    with shuffles_removed(namespaces.sparkSession):
+        found = namespaces.where(name.isNotNull()).groupBy(depth.alias("depth")).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")
+        ).collect()
+    few, many, rows, size = [], [], 0, 0
+    for d in sorted(found, key=lambda d: (d["rows"], d["depth"])):
+        rows, size = rows + d["rows"], size + d["bytes"]
+        (few if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else many).append(d["depth"])
+    if len(few) > MOST_DEPTHS or len(many) > SHUFFLED_DEPTHS:
+        return match_namespaces_indexed(df, namespaces, uri, namespace, also_on)
+    matches = [F.struct(begin.alias(namespace), F.lit(False).alias("_known")) for begin in (_beginning(text, d) for d in few)]
+    kept, found = df.columns, df
+    # Of tables that are no files Spark knows no size.
+    due = source_bytes(df) // DEALT_BYTES
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), due if due <= MOST_PARTS else 0)
+    for d in many:
+        # A URI without that many elements lies by itself.
+        placed = found.withColumn(PLACE, F.coalesce(_beginning(text, d), text))
+        listed = namespaces.where(depth == d).select(*also_on, name.alias(PLACE), F.lit(True).alias(f"_hit_{d}"))
+        found = owner_join(placed.select(*kept, PLACE), listed, [*also_on, PLACE], "left", spread_by=[uri], dealt=parts)
+        hit = F.when(F.col(f"_hit_{d}"), _beginning(text, d)).alias(namespace)
+        kept = [*kept, f"_hit_{d}"]
+        matches.append(F.struct(hit, F.lit(True).alias("_known")))
+    if not matches:
+        return match_namespaces_indexed(df, namespaces, uri, namespace, also_on)
+    lies = [c for c in (PLACE, SALT) if c in found.columns]
+    each = found.select(*df.columns, *lies, F.inline(F.array(*matches))).where(name.isNotNull())
+    listed = namespaces.where(depth.isin(few)).select(*also_on, namespace, F.lit(True).alias("_listed"))
+    matched = each.join(F.broadcast(listed), [*also_on, namespace], "left").where("_known OR _listed")
+    return matched.select(namespace, *also_on, *[c for c in df.columns if c not in also_on], *lies)
+
+
+def _beginning(uri: Column, depth: int) -> Column:
+    return F.when(_slashes(uri) >= depth, F.substring_index(uri, "/", depth))
 
 
 def match_namespaces_indexed(

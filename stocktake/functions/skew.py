@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stocktake.plans.session import shuffles_removed
+
 # Groups sent to all executors. A group outside the largest N holds under 1/N of the rows.
 LARGEST_GROUPS = 1000
 
@@ -67,9 +69,10 @@ SPREAD = 64
 def measured(table: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[int, int]:
     """Rows of a table, counted up to one more than ``rows``, and the bytes of their values as text."""
     text = F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in table.columns])
-    size = table.select(F.octet_length(text).alias("size")).limit(rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes")
-    ).first()
+    with shuffles_removed(table.sparkSession):
+        size = table.select(F.octet_length(text).alias("size")).limit(rows + 1).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes")
+        ).first()
     return size["rows"], size["bytes"] or 0
 
 
@@ -101,6 +104,10 @@ def lookup_join(
 PROBE_BYTES = 1 << 30
 # Keys that a sketch of the rows' keys keeps track of.
 TRACKED_KEYS = 10_000
+# Rows made from more than this are staged between two joins: the first one's shuffle files go before the second one's are written,
+# and a sketch of keys reads a table instead of running all that the rows are made of once more.
+STAGED_BYTES = 64 << 20
+SALT = "_salt"
 
 
 def source_bytes(df: DataFrame) -> int:
@@ -122,33 +129,38 @@ def heavy_keys(rows: DataFrame, on: Sequence[str], parts: int, largest: int = LA
     """
     known = reduce(lambda a, b: a & b, (F.col(f"`{c}`").isNotNull() for c in on))
     key = F.xxhash64(*[F.col(f"`{c}`") for c in on])
-    found = rows.where(known).select(key.alias("key")).agg(
-        F.expr(f"approx_top_k(key, {largest}, {TRACKED_KEYS})").alias("top"), F.count(F.lit(1)).alias("rows")
-    ).first()
+    with shuffles_removed(rows.sparkSession):
+        found = rows.where(known).select(key.alias("key")).agg(
+            F.expr(f"approx_top_k(key, {largest}, {TRACKED_KEYS})").alias("top"), F.count(F.lit(1)).alias("rows")
+        ).first()
     return sorted(k["item"] for k in found["top"] or [] if k["count"] * parts >= found["rows"])
 
 
 def owner_join(
     rows: DataFrame, owners: DataFrame, on: Sequence[str], how: str = "inner",
     probe: DataFrame | None = None, probe_bytes: int | None = None, parts: int | None = None, spread_by: Sequence[str] = (),
+    dealt: int = 0,
 ) -> DataFrame:
     """Join rows with the few ``owners`` of each key, where one key may hold a large share of the rows.
 
     ``how`` is inner, left or left_semi. The heavy keys are found first, in ``probe`` if that has
     the same keys and costs less than ``rows``; only their rows travel
     under salted keys (a hash of ``spread_by``, all of the row by default), and only their owners are copied, once
-    for each of ``parts`` salts.
+    for each of ``parts`` salts. With ``dealt`` the rows lie in that many partitions, which are not merged, and the result
+    keeps the column of the salts (``SALT``) if there are any.
     """
     on, owners = list(on), apart(owners)
+    deal = (lambda df, *by: df.repartition(dealt, *by)) if dealt else (lambda df, *by: df)
     if source_bytes(rows) < (PROBE_BYTES if probe_bytes is None else probe_bytes):
-        return rows.join(owners, on, how)
+        return deal(rows, *on).join(owners, on, how)
     parts = parts or max(SPREAD, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     heavy = heavy_keys(rows if probe is None else probe, on, parts)
     if not heavy:
-        return rows.join(owners, on, how)
+        return deal(rows, *on).join(owners, on, how)
     is_heavy = F.xxhash64(*[F.col(f"`{c}`") for c in on]).isin(heavy)
     own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread_by or rows.columns]), F.lit(parts)).cast("int")
-    salted = rows.withColumn("_salt", F.when(is_heavy, own).otherwise(0))
+    spread = rows.withColumn(SALT, F.when(is_heavy, own).otherwise(0))
     salts = F.when(is_heavy, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    copies = apart(owners.withColumn("_salt", F.explode(salts)))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    copies = apart(owners.withColumn(SALT, F.explode(salts)))
+    joined = deal(spread, *on, SALT).join(copies, [*on, SALT], how)
+    return joined if dealt else joined.drop(SALT)

@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stocktake.functions.flags import type_counts, type_flags
 from stocktake.functions.numbers import total
-from stocktake.functions.prefixes import match_namespaces
-from stocktake.functions.skew import BROADCAST_ROWS, lookup_join, owner_join
+from stocktake.functions import skew
+from stocktake.functions.prefixes import PLACE, few_depths, match_namespaces, match_namespaces_by_depth
+from stocktake.functions.skew import BROADCAST_ROWS, SALT, lookup_join, owner_join, source_bytes
 from stocktake.model import PRODUCT_TYPES, flag_name
-from stocktake.plans.stages import stage
+from stocktake.plans.stages import drop, stage
 
 
 def product_type_flags(
@@ -33,16 +34,30 @@ def archive_artifacts_of_collections(
 ) -> DataFrame:
     """The same from the archive's three tables.
 
-    Artifacts under none of the namespaces are left out before the tables meet; whose
-    namespace it is is asked afterwards.
+    Where the namespaces can be broadcast, artifacts under none of them are left out before the
+    tables meet; whose namespace it is is asked afterwards. More namespaces meet the artifacts once these have a
+    collection, as one row each, and what large tables join to is staged on the way.
     """
     pairs = mappings.select("collection", F.col("si_namespace").alias("namespace")).distinct()
-    files = match_namespaces(
-        artifact.select("plane_id", "uri", "product_type"), pairs.select("namespace").distinct()
-    )
-    owners = owner_join(plane.select("plane_id", "obs_id"), observation.select("obs_id", "collection"), ["obs_id"])
-    owned = owner_join(files, owners.drop("obs_id"), ["plane_id"]).drop("plane_id")
-    return lookup_join(owned, pairs, ["collection", "namespace"], spread_by=["uri"])
+    spaces, files = pairs.select("namespace").distinct(), artifact.select("plane_id", "uri", "product_type")
+    few = few_depths(spaces) is not None
+    if few:
+        files = match_namespaces(files, spaces)
+    owners = owner_join(plane.select("plane_id", "obs_id"), observation.select("obs_id", "collection"), ["obs_id"]).drop("obs_id")
+    if few:
+        owned = owner_join(files, owners, ["plane_id"]).drop("plane_id")
+        return lookup_join(owned, pairs, ["collection", "namespace"], spread_by=["uri"])
+    owners, owners_at = stage_large(owners, "owners")
+    owned = owner_join(files, owners, ["plane_id"], probe=artifact.select("plane_id")).drop("plane_id")
+    owned, owned_at = stage_large(owned, "owned")
+    if owners_at and owned_at:
+        drop(artifact.sparkSession, owners_at)
+    return match_namespaces_by_depth(owned, pairs, also_on=["collection"])
+
+
+def stage_large(df: DataFrame, name: str) -> tuple[DataFrame, str | None]:
+    """``df`` staged, and where, if it is made from large files; else ``df`` itself."""
+    return stage(df, name) if source_bytes(df) >= skew.STAGED_BYTES else (df, None)
 
 
 def uri_type_counts(
@@ -51,11 +66,12 @@ def uri_type_counts(
     """Instances of each URI by product type.
 
     ``n_known`` counts the types of the vocabulary; an unknown or null type
-    only shows in ``n_rows``.
+    only shows in ``n_rows``. Rows that lie together by collection and URI are not shuffled again.
     """
-    counts = artifact.groupBy(*keys).agg(
+    lies = [c for c in (PLACE, SALT) if c in artifact.columns and {"collection", "uri"} <= {*keys}]
+    counts = artifact.groupBy(*keys, *lies).agg(
         *type_counts(vocabulary=vocabulary), F.count(F.lit(1)).alias("n_rows")
-    )
+    ).drop(*lies)
     known = reduce(lambda a, b: a + b, (F.col(flag_name(t)) for t in vocabulary))
     return counts.withColumn("n_known", known)
 

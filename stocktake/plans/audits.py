@@ -14,7 +14,7 @@ from stocktake.functions.skew import lookup_join
 from stocktake.operators import (
     config, copies, digests, duplicates, groups, harvest, previews, profiles, reconcile, usage,
 )
-from stocktake.plans.stages import kept
+from stocktake.plans.stages import kept, passing
 from stocktake.sources import sinks
 
 
@@ -98,16 +98,17 @@ def duplicate_audit(
 ) -> None:
     """URIs described more than once, per collection."""
     selected = _selected(archive, requested)
-    owned = duplicates.archive_artifacts_of_collections(
-        _only(archive.observation, selected), archive.plane, archive.artifact, archive.mappings
-    )
-    with kept(duplicates.uri_type_counts(owned, ["collection", "uri"])) as counts:
-        sinks.write_by_group(
-            duplicates.duplicate_uris(counts), f"{out}/uris", ["collection"], ["uri"], format
-        )
-        sinks.write_table(
-            duplicates.duplicate_summary(counts, ["collection"]), f"{out}/summary", ["collection"], format
+    with passing(archive.artifact.sparkSession):
+        owned = duplicates.archive_artifacts_of_collections(
+            _only(archive.observation, selected), archive.plane, archive.artifact, archive.mappings
         )
+        with kept(duplicates.uri_type_counts(owned, ["collection", "uri"])) as counts:
+            sinks.write_by_group(
+                duplicates.duplicate_uris(counts), f"{out}/uris", ["collection"], ["uri"], format
+            )
+            sinks.write_table(
+                duplicates.duplicate_summary(counts, ["collection"]), f"{out}/summary", ["collection"], format
+            )
 
 
 def profile_audit(

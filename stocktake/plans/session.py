@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,3 +37,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         named = "file://" + tempfile.mkdtemp(prefix="stocktake-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
+
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Shuffle files of what runs inside go as soon as it has run, not when the driver next collects garbage.
+
+    Only for frames that are made inside and run once, as a write makes its own.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)

@@ -4,17 +4,26 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stocktake.plans.session import ensure_checkpoint_dir
+from stocktake.plans.session import ensure_checkpoint_dir, shuffles_removed
+
+#: The folder of stage tables inside ``passing``.
+_FOLDER: ContextVar[str | None] = ContextVar("_FOLDER", default=None)
+
+
+def _place(spark: SparkSession, name: str) -> str:
+    return f"{_FOLDER.get() or ensure_checkpoint_dir(spark)}/stocktake-{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``df`` written once and read back, and where; a lost executor costs none of it."""
+    """``df`` written once and read back, and where; a lost executor costs none of it, and its shuffle files go."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/stocktake-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = _place(spark, name)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -31,3 +40,15 @@ def kept(df: DataFrame, name: str = "table"):
         yield table
     finally:
         drop(df.sparkSession, path)
+
+
+@contextmanager
+def passing(spark: SparkSession):
+    """Tables staged inside go at the end."""
+    path = _place(spark, "passing")
+    before = _FOLDER.set(path)
+    try:
+        yield
+    finally:
+        _FOLDER.reset(before)
+        drop(spark, path)
