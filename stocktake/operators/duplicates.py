@@ -129,12 +129,15 @@ def duplicate_summary_of(
     artifact: DataFrame, keys: Sequence[str], by: Sequence[str] = (), vocabulary: Sequence[str] = PRODUCT_TYPES, **options
 ) -> DataFrame:
     """``duplicate_summary`` of ``uri_type_counts``, for ``by`` among the keys; single rows are just counted."""
-    repeated, single = by_repetition(artifact, keys, **options)
+    artifact, _ = stage_large(artifact.select(*keys, "product_type"), "owned")
+    repeated, _ = by_repetition(artifact, keys, **options)
     found = duplicate_summary(uri_type_counts(repeated, keys, vocabulary), by)
     known = F.count_if(F.col("product_type").isin(*vocabulary))
     zero = F.lit(0).cast("long")
-    alone = single.groupBy(*by).agg(known.alias("num_uris")).withColumns({
+    # Single rows are all but the repeated ones, so that they need not meet the hashes.
+    every = artifact.groupBy(*by).agg(known.alias("num_uris")).withColumns({
         "num_single_uris": F.col("num_uris"), "num_duplicate_uris": zero, "num_duplicate_instances": zero,
     })
     sums = [c for c in found.columns if c not in by]
-    return found.unionByName(alone).groupBy(*by).agg(*[total(F.col(c)).alias(c) for c in sums])
+    rest = found.withColumns({"num_single_uris": F.col("num_single_uris") - F.col("num_uris"), "num_uris": zero})
+    return every.unionByName(rest).groupBy(*by).agg(*[total(F.col(c)).alias(c) for c in sums])

@@ -62,7 +62,7 @@ def large(monkeypatch):
     monkeypatch.setattr(skew, "PROBE_BYTES", 0)
 
 
-@pytest.mark.parametrize("name", ["duplicate_summary"])
+@pytest.mark.parametrize("name", ["duplicate_summary", "duplicate_summary_by_hash"])
 def test_large_tables_have_the_same_summary(spark, request, name):
     small = "/root/testdata/sf0.001"
     expected = rows(registry.QUERIES[name](spark, small))
@@ -95,6 +95,15 @@ def test_no_sketch_of_keys_runs_the_joins_before_it(spark, tmp_path, large, monk
     assert expected.count() and rows(owned, *columns) == rows(expected, *columns)
 
 
+def test_rows_counted_by_hash_are_made_once(spark, tmp_path, large):
+    owned = duplicates.archive_artifacts_of_collections(*_archive(spark, str(tmp_path)))
+    found = duplicates.duplicate_summary_of(owned, ["collection", "uri"], ["collection"], broadcast_rows=0)
+    text = plan(found)
+    assert "stocktake-owned" in text and "LeftAnti" not in text
+    assert count(text, "SortMergeJoin") == 1 and "Inner" not in text
+    assert rows(found) == rows(duplicates.duplicate_summary(duplicates.uri_type_counts(owned, ["collection", "uri"]), ["collection"]))
+
+
 def _shuffle_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return {files.apply(k).getName() for k in range(files.length()) if files.apply(k).getName().startswith("shuffle")}
