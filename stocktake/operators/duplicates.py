@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stocktake.functions.flags import type_counts, type_flags
 from stocktake.functions.numbers import total
-from stocktake.functions import skew
 from stocktake.functions.prefixes import PLACE, few_depths, match_namespaces, match_namespaces_by_depth
-from stocktake.functions.skew import BROADCAST_ROWS, SALT, lookup_join, owner_join, source_bytes
+from stocktake.functions.skew import BROADCAST_ROWS, SALT, lookup_join, owner_join
 from stocktake.model import PRODUCT_TYPES, flag_name
-from stocktake.plans.stages import drop, stage
+from stocktake.plans.stages import drop, stage, stage_large
 
 
 def product_type_flags(
@@ -55,11 +54,6 @@ def archive_artifacts_of_collections(
     return match_namespaces_by_depth(owned, pairs, also_on=["collection"])
 
 
-def stage_large(df: DataFrame, name: str) -> tuple[DataFrame, str | None]:
-    """``df`` staged, and where, if it is made from large files; else ``df`` itself."""
-    return stage(df, name) if source_bytes(df) >= skew.STAGED_BYTES else (df, None)
-
-
 def uri_type_counts(
     artifact: DataFrame, keys: Sequence[str] = ("uri",), vocabulary: Sequence[str] = PRODUCT_TYPES
 ) -> DataFrame:

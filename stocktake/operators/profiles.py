@@ -10,6 +10,7 @@ from stocktake.functions.flags import non_junk, packed_flags, packed_names, pack
 from stocktake.functions.numbers import total
 from stocktake.functions.skew import apart, owner_join
 from stocktake.model import JUNK, PRODUCT_TYPES, flag_name
+from stocktake.plans.stages import stage_large
 
 PROFILE = ("collection", "instrument_name", "intent", "data_product_type")
 PLANE_LISTING = (
@@ -131,6 +132,8 @@ def profile_summary(
         F.count(F.lit(1)).alias("planes"),
         total(F.col("num_artifacts")).alias("artifacts"),
     )
+    # The shuffles that made them go before the next ones are written.
+    alike, _ = stage_large(alike, "alike")
     sums = ("no_artifacts", "junk", "planes", "artifacts")
     combinations = alike.join(apart(owners), "obs_id").groupBy(*PROFILE, *flags, "checked").agg(
         *[F.sum(c).alias(c) for c in sums]

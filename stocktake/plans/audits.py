@@ -126,7 +126,7 @@ def profile_audit(
     sinks.write_table(
         profiles.junk_planes(observation, plane), f"{out}/junk_planes", [*order, "plane_id"], format
     )
-    with kept(profiles.artifact_types_by_plane(artifact), "artifact-types") as folded:
+    with passing(artifact.sparkSession), kept(profiles.artifact_types_by_plane(artifact), "artifact-types") as folded:
         sinks.write_table(
             profiles.no_artifacts(observation, plane, folded), f"{out}/no_artifacts",
             [*order, "plane_id"], format,

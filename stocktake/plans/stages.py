@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stocktake.functions import skew
 from stocktake.plans.session import ensure_checkpoint_dir, shuffles_removed
 
 #: The folder of stage tables inside ``passing``.
@@ -27,6 +29,11 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def stage_large(df: DataFrame, name: str) -> tuple[DataFrame, str | None]:
+    """``df`` staged, and where, if it is made from large files; else ``df`` itself."""
+    return stage(df, name) if skew.source_bytes(df) >= skew.STAGED_BYTES else (df, None)
+
+
 def drop(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
@@ -52,3 +59,13 @@ def passing(spark: SparkSession):
     finally:
         _FOLDER.reset(before)
         drop(spark, path)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The frame that ``make`` returns, written and read back; tables staged for it go, as do its shuffle files."""
+    path = _place(spark, name)
+    with passing(spark):
+        df = make()
+        with shuffles_removed(spark):
+            df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 import random
 import time
+from pathlib import Path
 
 import pytest
 
@@ -62,7 +63,7 @@ def large(monkeypatch):
     monkeypatch.setattr(skew, "PROBE_BYTES", 0)
 
 
-@pytest.mark.parametrize("name", ["duplicate_summary", "duplicate_summary_by_hash"])
+@pytest.mark.parametrize("name", ["duplicate_summary", "duplicate_summary_by_hash", "audit_summary"])
 def test_large_tables_have_the_same_summary(spark, request, name):
     small = "/root/testdata/sf0.001"
     expected = rows(registry.QUERIES[name](spark, small))
@@ -127,3 +128,29 @@ def test_shuffle_files_of_a_staged_table_and_of_a_sketch_go(spark):
     assert spark.conf.get(SHUFFLE_CLEANUP, "false") == "false"
     assert staged.count() == 900
     stages.drop(spark, path)
+
+
+def test_stage_tables_of_a_settled_frame_go(spark):
+    made = []
+
+    def make():
+        table, path = stages.stage(spark.range(20).selectExpr("id % 3 AS k"), "inner")
+        made.append(Path(path.removeprefix("file://")))
+        assert made[0].exists()
+        return table.groupBy("k").count()
+
+    found = stages.settled(spark, make, "test")
+    assert not made[0].exists() and rows(found) == [(0, 7), (1, 7), (2, 6)]
+    with stages.passing(spark):
+        _, path = stages.stage(spark.range(3).toDF("k"), "other")
+    assert not Path(path.removeprefix("file://")).exists()
+    assert rows(found) == [(0, 7), (1, 7), (2, 6)]
+
+
+def test_audits_leave_one_small_table_each(spark, large, monkeypatch):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = {p.name for p in folder.iterdir()} if folder.exists() else set()
+    text = plan(registry.QUERIES["audit_summary"](spark, "/root/testdata/sf0.001"))
+    new = sorted(p.name.rsplit("-", 1)[0] for p in folder.iterdir() if p.name not in before)
+    assert new == [f"stocktake-summary-{a}" for a in sorted(registry.SUMMARIES)]
+    assert "Join" not in text

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -22,7 +23,7 @@ from stocktake.operators import (
     usage,
 )
 from stocktake.plans.session import ensure_checkpoint_dir
-from stocktake.plans.stages import stage
+from stocktake.plans.stages import kept, settled, stage
 from stocktake.sources import layout
 from stocktake.sources.tables import conform
 from workload.views import view, with_views
@@ -849,11 +850,14 @@ def _audit_summary_sql() -> str:
 
 @register("audit_summary", _audit_summary_sql())
 def _(v):
-    # Two of the audits need the artifacts folded by plane; that happens once.
-    folded, _ = stage(profiles.artifact_types_by_plane(v("artifact")), "artifact-types")
-    known = {"artifact": folded}
-    summaries = {a: (fn(v if a == "duplicates" else lambda n: known.get(n) or v(n)), "collection")
-                 for a, (fn, _, _) in SUMMARIES.items()}
+    # Two of the audits need the artifacts folded by plane; that happens once. One audit runs after the other, so that what one
+    # puts on disk is gone when the next begins.
+    with kept(profiles.artifact_types_by_plane(v("artifact")), "artifact-types") as folded:
+        known, spark = {"artifact": folded}, folded.sparkSession
+        summaries = {
+            a: (settled(spark, partial(fn, v if a == "duplicates" else lambda n: known.get(n) or v(n)), f"summary-{a}"), "collection")
+            for a, (fn, _, _) in SUMMARIES.items()
+        }
     return reports.audit_summary(summaries)
 
 
