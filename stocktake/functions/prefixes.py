@@ -49,16 +49,17 @@ def match_namespaces(
     uri: str = "uri",
     namespace: str = "namespace",
     also_on: Sequence[str] = (),
+    depths: Sequence[int] | None = None,
 ) -> DataFrame:
     """Rows of ``df`` with the columns of every namespace they live under.
 
     An equi-join on the URI's own path prefixes instead of a ``startswith``
     nested loop; overlapping namespaces give one row per match. The namespaces
-    are measured first. Few of them, of few depths, are broadcast and every URI forms its prefixes of
+    are measured first, unless the caller has their ``few_depths``. Few of them, of few depths, are broadcast and every URI forms its prefixes of
     these depths. Otherwise every URI is looked up in an index for the longest namespace it is under, stays one row until
     then, and meets the others through that one.
     """
-    depths = few_depths(namespaces, namespace)
+    depths = few_depths(namespaces, namespace) if depths is None else depths
     if depths is None:
         return match_namespaces_indexed(df, namespaces, uri, namespace, also_on)
     prefixes = path_prefixes(uri, depths) if depths else F.array().cast("array<string>")

@@ -39,11 +39,11 @@ def archive_artifacts_of_collections(
     """
     pairs = mappings.select("collection", F.col("si_namespace").alias("namespace")).distinct()
     spaces, files = pairs.select("namespace").distinct(), artifact.select("plane_id", "uri", "product_type")
-    few = few_depths(spaces) is not None
-    if few:
-        files = match_namespaces(files, spaces)
+    few = few_depths(spaces)
+    if few is not None:
+        files = match_namespaces(files, spaces, depths=few)
     owners = owner_join(plane.select("plane_id", "obs_id"), observation.select("obs_id", "collection"), ["obs_id"]).drop("obs_id")
-    if few:
+    if few is not None:
         owned = owner_join(files, owners, ["plane_id"]).drop("plane_id")
         return lookup_join(owned, pairs, ["collection", "namespace"], spread_by=["uri"])
     owners, owners_at = stage_large(owners, "owners")
